@@ -242,3 +242,78 @@ FROM priced""",
 SELECT ride_id, CASE WHEN {_hash32('ride_id')} % 100 < {TRAIN_PERCENT} THEN 'train' ELSE 'test' END AS split
 FROM clean""",
 }
+
+
+# -- ML fit side --------------------------------------------------------------------
+
+SPLIT_CTES = (
+    f"train AS (SELECT * FROM feat WHERE {_hash32('ride_id')} % 100 < {TRAIN_PERCENT})",
+    f"test AS (SELECT * FROM feat WHERE {_hash32('ride_id')} % 100 >= {TRAIN_PERCENT})",
+)
+
+_CATS = ["cab_type", "name", "source", "destination", "time_of_day", "distance_category"]
+_NUMS = ["distance", "surge_multiplier", "hour", "day_of_week", "month", "is_weekend", "is_surge"]
+
+
+def _long(src: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS label FROM {src}" for c in _CATS)
+
+
+LABEL_CTES = (
+    f"train_long AS ({_long('train')})",
+    """counts AS (
+  SELECT feature, label, count(*) AS label_count FROM train_long WHERE label IS NOT NULL GROUP BY 1, 2)""",
+    """idx AS (
+  SELECT feature, label, label_count,
+         row_number() OVER (PARTITION BY feature ORDER BY label_count DESC, label) - 1 AS label_index,
+         count(*) OVER (PARTITION BY feature) AS block_size
+  FROM counts)""",
+)
+
+_not_null_numeric = " AND ".join(f"{c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE))" for c in _NUMS)
+
+
+def _std_select(c: str) -> str:
+    return (f"SELECT '{c}' AS feature, round(s.sd, 6) AS raw_std, "
+            f"round(CASE WHEN s.sd > 0 THEN (SELECT stddev_samp(CAST({c} AS DOUBLE) / s.sd) FROM train) "
+            f"ELSE {_d(0.0)} END, 6) AS scaled_std "
+            f"FROM (SELECT stddev_samp(CAST({c} AS DOUBLE)) AS sd FROM train) s")
+
+
+SQL.update({
+    "label_index": _with(*SPLIT_CTES, *LABEL_CTES) + """
+SELECT feature, label, label_count, CAST(label_index AS INTEGER) AS label_index FROM idx""",
+
+    "onehot_slot_counts": _with(*SPLIT_CTES, *LABEL_CTES, f"test_long AS ({_long('test')})") + """
+SELECT t.feature, CAST(i.label_index AS INTEGER) AS slot, CAST(i.block_size AS INTEGER) AS block_size,
+       count(*) AS row_count
+FROM test_long t JOIN idx i ON i.feature = t.feature AND i.label = t.label
+GROUP BY 1, 2, 3""",
+
+    "assembled_rows": _with(f"""labelled AS (
+  SELECT *, CASE WHEN {_hash32('ride_id')} % 100 < {TRAIN_PERCENT} THEN 'train' ELSE 'test' END AS split
+  FROM feat)""") + f"""
+SELECT split, count(*) AS total_rows,
+       count(*) FILTER (WHERE {_not_null_numeric}) AS kept_rows,
+       count(*) - count(*) FILTER (WHERE {_not_null_numeric}) AS skipped_rows
+FROM labelled GROUP BY split""",
+
+    "scaled_feature_std": _with(*SPLIT_CTES) + "\n" + "\nUNION ALL\n".join(_std_select(c) for c in _NUMS),
+
+    "fare_enet_distance": _with(*SPLIT_CTES, """st AS (
+  SELECT count(*) AS n, avg(distance) AS mx, avg(price) AS my, stddev_pop(distance) AS sx,
+         stddev_pop(price) AS sy, corr(distance, price) AS r
+  FROM train WHERE distance IS NOT NULL AND NOT isnan(distance))""", f"""be AS (
+  SELECT *, sign(r) * greatest(abs(r) - ({_d(0.1)} / sy) * {_d(0.5)}, {_d(0.0)})
+            / ({_d(1.0)} + ({_d(0.1)} / sy) * {_d(0.5)}) AS beta
+  FROM st)""") + """
+SELECT n, round(my - (beta * sy / sx) * mx, 6) AS intercept, round(beta * sy / sx, 6) AS slope FROM be""",
+
+    "regression_metrics": _with(f"""pred AS (
+  SELECT price, {_d(5.0)} + {_d(2.5)} * distance * surge_multiplier AS prediction FROM clean)""") + """
+SELECT count(*) AS n,
+       round(sqrt(avg((prediction - price) * (prediction - price))), 6) AS rmse,
+       round(avg(abs(prediction - price)), 6) AS mae,
+       round(1 - sum((prediction - price) * (prediction - price)) / (var_pop(price) * count(*)), 6) AS r2
+FROM pred""",
+})

@@ -131,6 +131,130 @@ def train_test_split(spark, sf_dir):
     return c.select("ride_id", split.alias("split"))
 
 
+# -- step 6: ML fit side -----------------------------------------------------------
+
+def _split(spark, sf_dir):
+    from cabmeter.operators.model import split_train_test
+
+    return split_train_test(featured(spark, sf_dir))
+
+
+def label_index(spark, sf_dir):
+    from cabmeter.operators import model as m
+
+    train, _ = _split(spark, sf_dir)
+    return m.label_index(train)
+
+
+def onehot_slot_counts(spark, sf_dir):
+    """Indexer + encoder fitted on the training split, applied to the test
+    split: rows per slot."""
+    from pyspark.ml import Pipeline
+
+    from cabmeter.operators import model as m
+
+    train, test = _split(spark, sf_dir)
+    cats, _ = m.available_features(train)
+    stages = m.preprocessing_stages(cats, [])[:2]
+    fitted = Pipeline(stages=stages).fit(train)
+    return m.onehot_slot_counts(fitted, test, cats)
+
+
+def assembled_rows(spark, sf_dir):
+    """M3: rows kept and skipped by the assembler, per split."""
+    from cabmeter.operators import model as m
+
+    feats = featured(spark, sf_dir)
+    train, _ = m.split_train_test(feats)
+    cats, nums = m.available_features(train)
+    fitted = m.preprocessing(cats, nums).fit(train)
+    labelled = feats.withColumn("split", F.when(m.train_mask(), F.lit("train")).otherwise(F.lit("test")))
+    total = labelled.groupBy("split").agg(F.count(F.lit(1)).alias("total_rows"))
+    kept = fitted.transform(labelled).groupBy("split").agg(F.count(F.lit(1)).alias("kept_rows"))
+    out = total.join(kept, "split", "left").fillna(0, ["kept_rows"])
+    return out.withColumn("skipped_rows", F.col("total_rows") - F.col("kept_rows"))
+
+
+def scaled_feature_std(spark, sf_dir):
+    from cabmeter.operators import model as m
+
+    train, _ = _split(spark, sf_dir)
+    cats, nums = m.available_features(train)
+    fitted = m.preprocessing(cats, nums).fit(train)
+    return round_doubles(m.feature_std(fitted, train, nums))
+
+
+def fare_enet_distance(spark, sf_dir):
+    from cabmeter.operators import model as m
+
+    train, _ = _split(spark, sf_dir)
+    return round_doubles(m.fit_single_feature(train, "distance"))
+
+
+def regression_metrics(spark, sf_dir):
+    """A9 on the fixed tariff predictor 5 + 2.5 x distance x surge."""
+    from cabmeter.operators import model as m
+
+    preds = clean(spark, sf_dir).withColumn(
+        "prediction", F.lit(5.0) + F.lit(2.5) * F.col("distance") * F.col("surge_multiplier"))
+    return round_doubles(m.regression_metrics(preds))
+
+
+# -- step 7: ML full -----------------------------------------------------------------
+
+def _fitted(spark, sf_dir):
+    from cabmeter.operators import model as m
+
+    train, test = _split(spark, sf_dir)
+    return m.fit_fare_model(train), test
+
+
+def train_and_evaluate(spark, sf_dir):
+    """M5-M11 + T5: fit on the training split, predict the test split."""
+    model, test = _fitted(spark, sf_dir)
+    preds = model.transform(test)
+    return round_doubles(preds.select("ride_id", "price", "prediction"))
+
+
+def model_metrics(spark, sf_dir):
+    from cabmeter.operators import model as m
+
+    model, test = _fitted(spark, sf_dir)
+    return round_doubles(m.regression_metrics(model.transform(test)))
+
+
+def quote_prices(spark, sf_dir):
+    """One quote request per ride (calendar fields given, distance from
+    the route map); valid requests are scored."""
+    from cabmeter.functions.features import add_calendar, add_ride_features
+    from cabmeter.operators import model as m
+
+    model, _ = _fitted(spark, sf_dir)
+    dmap = routes.build_distance_map(clean(spark, sf_dir))
+    reqs = add_calendar(rides(spark, sf_dir)).select(
+        "ride_id", "cab_type", "name", "source", "destination", "surge_multiplier",
+        "hour", "day_of_week", "month")
+    places = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_name").alias("place"))
+    checked = routes.check_quote_requests(reqs, dmap, sources=places, destinations=places)
+    valid = add_ride_features(checked.filter(F.col("reject_reason").isNull()).drop("reject_reason"))
+    quoted = m.quote_prices(model, valid)
+    return round_doubles(quoted.select("ride_id", "distance", "surge_multiplier", "predicted_price",
+                                       "base_price", "price_per_mile"))
+
+
+def model_round_trip(spark, sf_dir):
+    """S9 + S10: save the fitted model to the shared folder, load it back and
+    score the test split with the loaded copy."""
+    from cabmeter.operators import model as m
+    from cabmeter.session import fresh_dir
+
+    model, test = _fitted(spark, sf_dir)
+    path = fresh_dir(spark, "models")
+    m.save_model(model, path)
+    loaded = m.load_model(path)
+    return round_doubles(loaded.transform(test).select("ride_id", "prediction"))
+
+
 QUERIES: dict[str, Query] = {
     "hourly_stats": hourly_stats,
     "clean_rides": clean_rides,
@@ -150,4 +274,14 @@ QUERIES: dict[str, Query] = {
     "quote_requests_checked": quote_requests_checked,
     "scenario_prices": scenario_prices,
     "train_test_split": train_test_split,
+    "label_index": label_index,
+    "onehot_slot_counts": onehot_slot_counts,
+    "assembled_rows": assembled_rows,
+    "scaled_feature_std": scaled_feature_std,
+    "fare_enet_distance": fare_enet_distance,
+    "regression_metrics": regression_metrics,
+    "train_and_evaluate": train_and_evaluate,
+    "model_metrics": model_metrics,
+    "quote_prices": quote_prices,
+    "model_round_trip": model_round_trip,
 }
