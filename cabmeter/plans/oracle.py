@@ -317,3 +317,47 @@ SELECT count(*) AS n,
        round(1 - sum((prediction - price) * (prediction - price)) / (var_pop(price) * count(*)), 6) AS r2
 FROM pred""",
 })
+
+
+# -- messages and streams -------------------------------------------------------------
+
+REQ_CTE = """req AS (
+  SELECT ride_id, cab_type, name, source, destination, distance, surge_multiplier,
+         CAST(hour(make_timestamp(time_stamp * 1000)) AS INTEGER) AS hour,
+         CAST(dayofweek(make_timestamp(time_stamp * 1000)) + 1 AS INTEGER) AS day_of_week,
+         CAST(month(make_timestamp(time_stamp * 1000)) AS INTEGER) AS month
+  FROM rides)"""
+
+_REQ_COLS = """cab_type, name, source, destination, round(distance, 6) AS distance,
+       round(surge_multiplier, 6) AS surge_multiplier, hour, day_of_week, month"""
+
+_bad_request = " OR ".join(
+    [f"{c} IS NULL" for c in ["distance", "surge_multiplier", "hour", "day_of_week", "month"]]
+    + ["isnan(distance)", "isnan(surge_multiplier)"]
+)
+
+SQL.update({
+    "request_messages": _with(REQ_CTE) + f"""
+SELECT ride_id, {_REQ_COLS} FROM req""",
+
+    "stream_ride_features": _with(REQ_CTE) + f"""
+SELECT ride_id, {_REQ_COLS},
+       CASE WHEN hour BETWEEN 6 AND 11 THEN 'morning'
+            WHEN hour BETWEEN 12 AND 16 THEN 'afternoon'
+            WHEN hour BETWEEN 17 AND 20 THEN 'evening'
+            ELSE 'night' END AS time_of_day,
+       CAST(CASE WHEN day_of_week IN (1, 7) THEN 1 ELSE 0 END AS INTEGER) AS is_weekend,
+       CAST(CASE WHEN surge_multiplier > {_d(1.0)} THEN 1 ELSE 0 END AS INTEGER) AS is_surge,
+       CASE WHEN distance < 1 THEN 'short' WHEN distance < 3 THEN 'medium' ELSE 'long' END
+         AS distance_category
+FROM req WHERE NOT ({_bad_request})""",
+
+    "stream_rejects": _with(REQ_CTE) + f"""
+SELECT ride_id,
+       CASE WHEN distance IS NULL OR isnan(distance) THEN 'invalid_distance'
+            WHEN surge_multiplier IS NULL OR isnan(surge_multiplier) THEN 'invalid_surge_multiplier'
+            WHEN hour IS NULL THEN 'invalid_hour'
+            WHEN day_of_week IS NULL THEN 'invalid_day_of_week'
+            ELSE 'invalid_month' END AS reject_reason
+FROM req WHERE {_bad_request}""",
+})

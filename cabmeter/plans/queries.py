@@ -255,6 +255,82 @@ def model_round_trip(spark, sf_dir):
     return round_doubles(loaded.transform(test).select("ride_id", "prediction"))
 
 
+# -- step 8-9: messages and streaming ------------------------------------------------
+
+def _messages(spark, sf_dir, rides_df=None):
+    from cabmeter.sources.kafka import to_messages
+    from cabmeter.sources.requests import requests_from_rides
+
+    src = rides(spark, sf_dir) if rides_df is None else rides_df
+    return to_messages(requests_from_rides(src), key_col="ride_id")
+
+
+def _with_ride_id(df):
+    return df.withColumn("ride_id", F.col("key").cast("string").cast("long")).drop(
+        "key", "topic", "partition", "offset", "value_text")
+
+
+def request_messages(spark, sf_dir):
+    """S5 + F11: one JSON message per ride, decoded again (F10) so the check
+    compares values rather than float text."""
+    from cabmeter.streaming.decode import decode_requests
+
+    return round_doubles(_with_ride_id(decode_requests(_messages(spark, sf_dir))))
+
+
+def _drain_messages(spark, messages, build):
+    """Write messages as files, stream them through ``build`` and return the
+    drained sink as a table."""
+    from cabmeter.session import fresh_dir
+    from cabmeter.sources.kafka import message_file_stream, write_message_files
+    from cabmeter.streaming.scoring import run_to_table
+
+    base = fresh_dir(spark, "streams")
+    write_message_files(messages, f"{base}/in")
+    stream = build(message_file_stream(spark, f"{base}/in"))
+    return run_to_table(stream, f"{base}/out", f"{base}/checkpoint")
+
+
+def stream_ride_features(spark, sf_dir):
+    """K1 + K2: decode the message stream and derive the features with the
+    batch feature function."""
+    from cabmeter.functions.features import add_ride_features
+    from cabmeter.streaming.decode import decode_requests, split_requests
+
+    def build(stream):
+        ok, _ = split_requests(decode_requests(stream))
+        return _with_ride_id(add_ride_features(ok))
+
+    return round_doubles(_drain_messages(spark, _messages(spark, sf_dir), build))
+
+
+def stream_rejects(spark, sf_dir):
+    """K5: messages that cannot be scored, with the reason."""
+    from cabmeter.streaming.decode import decode_requests, split_requests
+
+    def build(stream):
+        _, bad = split_requests(decode_requests(stream))
+        return bad.select(F.col("key").cast("string").cast("long").alias("ride_id"), "reject_reason")
+
+    return _drain_messages(spark, _messages(spark, sf_dir), build)
+
+
+def stream_scores(spark, sf_dir):
+    """K3 + K4 + P5 + S7: the model fitted on the training split scores the
+    test split's messages as a stream."""
+    from cabmeter.streaming.decode import decode_requests, split_requests
+    from cabmeter.streaming.scoring import score_requests
+
+    model, test = _fitted(spark, sf_dir)
+
+    def build(stream):
+        ok, _ = split_requests(decode_requests(stream))
+        scored = score_requests(model, ok, extra=("key",))
+        return scored.withColumn("ride_id", F.col("key").cast("string").cast("long")).drop("key")
+
+    return round_doubles(_drain_messages(spark, _messages(spark, sf_dir, test), build))
+
+
 QUERIES: dict[str, Query] = {
     "hourly_stats": hourly_stats,
     "clean_rides": clean_rides,
@@ -284,4 +360,8 @@ QUERIES: dict[str, Query] = {
     "model_metrics": model_metrics,
     "quote_prices": quote_prices,
     "model_round_trip": model_round_trip,
+    "request_messages": request_messages,
+    "stream_ride_features": stream_ride_features,
+    "stream_rejects": stream_rejects,
+    "stream_scores": stream_scores,
 }
