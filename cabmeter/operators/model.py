@@ -128,6 +128,11 @@ def quote_prices(model: PipelineModel, requests: DataFrame) -> DataFrame:
     )
 
 
+def prediction_preview(predictions: DataFrame, n: int = 10, id_col: str = "ride_id") -> DataFrame:
+    """T5: the first ``n`` (price, prediction) pairs by id; a bounded top-k."""
+    return predictions.orderBy(id_col).limit(n).select(id_col, LABEL, "prediction")
+
+
 # -- S9, S10 --------------------------------------------------------------------
 
 def save_model(model: PipelineModel, path: str) -> None:
