@@ -1,16 +1,32 @@
-"""Join helpers."""
+"""Join helpers: broadcast only behind a proven size bound."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Largest dimension (rows) broadcast to every task.
+DIMENSION_BROADCAST_ROWS = 1_000_000
 
-def broadcast_if_bounded(dim: DataFrame, max_rows: int) -> DataFrame:
+
+def broadcast_if_bounded(dim: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROWS) -> DataFrame:
     """Mark ``dim`` for broadcast only when its row count is proven to be at
-    most ``max_rows``; otherwise return it unchanged so the planner (and AQE at
-    run time) picks a shuffle join. Use it for given dimension tables whose
-    count is a cheap scan; for dimensions derived from the fact data leave the
-    choice to AQE, which measures the shuffled size before switching."""
+    most ``max_rows`` (the count stops early past the bound); otherwise return
+    it unchanged so the planner picks a shuffle join, where AQE splits skewed
+    partitions. Meant for given dimension tables, whose count is a cheap
+    scan."""
     n = dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
+
+
+def materialized_dimension(dim: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROWS) -> DataFrame:
+    """For a dimension derived from the fact data (an aggregate such as the
+    route map): write it once to the shared checkpoint folder, which cuts its
+    lineage and survives executor loss, then apply ``broadcast_if_bounded``
+    to the written copy. The join then never shuffles the fact side when the
+    dimension is small, and the dimension is computed once, not per use."""
+    from cabmeter.session import shared_dir
+
+    shared_dir(dim.sparkSession)  # make sure a checkpoint folder is set
+    written = dim.checkpoint(eager=True)
+    return broadcast_if_bounded(written, max_rows)

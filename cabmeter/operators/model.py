@@ -80,10 +80,33 @@ def fare_model(categorical: list[str], numeric: list[str]) -> Pipeline:
     return Pipeline(stages=preprocessing_stages(categorical, numeric) + [regressor()])
 
 
+def fitting_input(train: DataFrame, categorical: list[str], numeric: list[str]):
+    """A context manager giving the training rows, projected to the columns
+    the fit reads and persisted (memory, spilling to disk) for the fit's
+    passes: indexer counts, scaler moments and the regressor's statistics.
+    The cache is released when the eager fit returns; lost blocks are
+    recomputed from lineage, so an executor loss costs time, not results."""
+    from contextlib import contextmanager
+
+    from pyspark import StorageLevel
+
+    @contextmanager
+    def _ctx():
+        cols = [c for c in [*categorical, *numeric, LABEL] if c in train.columns]
+        data = train.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            yield data
+        finally:
+            data.unpersist()
+
+    return _ctx()
+
+
 def fit_fare_model(train: DataFrame) -> PipelineModel:
     """M6 + M8: fit preprocessing and regressor on the training split only."""
     cats, nums = available_features(train)
-    return fare_model(cats, nums).fit(train)
+    with fitting_input(train, cats, nums) as data:
+        return fare_model(cats, nums).fit(data)
 
 
 # -- M9, M10, A9 ----------------------------------------------------------------

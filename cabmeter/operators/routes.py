@@ -41,10 +41,11 @@ def lookup_distance(requests: DataFrame, dmap: DataFrame,
     gives null. ``dmap`` must be unique on its key (``build_distance_map`` and
     ``normalize_distance_map`` both are).
 
-    No broadcast hint: for a map derived from the data, AQE measures the
-    map's shuffled size and switches to a broadcast join only when it is
-    small; beyond that it stays a sort-merge join whose skewed (hot-route)
-    partitions AQE splits."""
+    The join strategy is the caller's: pass the map through
+    ``materialized_dimension`` (derived maps) or ``broadcast_if_bounded``
+    (given maps) to broadcast it behind a size check; an unmarked map is
+    left to the planner, a sort-merge join whose hot-route partitions AQE
+    splits."""
     keyed = requests.withColumns(
         {"_src": normalize_key("source"), "_dst": normalize_key("destination")}
     )
@@ -77,26 +78,24 @@ def check_quote_requests(requests: DataFrame, dmap: DataFrame,
     with a flag column (a semi/anti join that keeps every row); the fixed
     provider catalogue is a literal predicate."""
     spark = requests.sparkSession
-    # The fixed lists have 10 entries each: a proven bound, so broadcast.
-    if sources is None:
-        sources = F.broadcast(spark.createDataFrame([(p,) for p in SOURCE_LOCATIONS], "place string"))
-    else:
-        sources = broadcast_if_bounded(sources, max_rows=DOMAIN_BROADCAST_ROWS)
-    if destinations is None:
-        destinations = F.broadcast(
-            spark.createDataFrame([(p,) for p in DESTINATION_LOCATIONS], "place string"))
-    else:
-        destinations = broadcast_if_bounded(destinations, max_rows=DOMAIN_BROADCAST_ROWS)
-
-    def flag(domain: DataFrame, key: str, name: str) -> DataFrame:
-        return domain.select(normalize_key("place").alias(key), F.lit(True).alias(name)).distinct()
+
+    def flag(domain: DataFrame | None, fixed: list[str], key: str, name: str) -> DataFrame:
+        if domain is None:
+            # A fixed list of 10 places: a proven bound, so broadcast.
+            domain = spark.createDataFrame([(p,) for p in fixed], "place string")
+            keyed = domain.select(normalize_key("place").alias(key), F.lit(True).alias(name)).distinct()
+            return F.broadcast(keyed)
+        keyed = domain.select(normalize_key("place").alias(key), F.lit(True).alias(name)).distinct()
+        return broadcast_if_bounded(keyed, max_rows=DOMAIN_BROADCAST_ROWS)
 
     df = requests.withColumns(
         {"_src": normalize_key("source"), "_dst": normalize_key("destination")}
     )
-    df = df.join(flag(sources, "_src", "_src_ok"), "_src", "left")
-    df = df.join(flag(destinations, "_dst", "_dst_ok"), "_dst", "left")
-    df = lookup_distance(df.drop("_src", "_dst"), dmap, out_col="distance")
+    df = df.join(flag(sources, SOURCE_LOCATIONS, "_src", "_src_ok"), "_src", "left")
+    df = df.join(flag(destinations, DESTINATION_LOCATIONS, "_dst", "_dst_ok"), "_dst", "left")
+    # The quoted distance is always the map's; a distance given with the
+    # request is replaced.
+    df = lookup_distance(df.drop("_src", "_dst", "distance"), dmap, out_col="distance")
 
     h, d, m, s = F.col("hour"), F.col("day_of_week"), F.col("month"), F.col("surge_multiplier")
     reason = (

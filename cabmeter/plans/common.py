@@ -24,6 +24,18 @@ def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*cols)
 
 
+class Rides:
+    """The rides of one query, derived once: ``all`` (every ride), ``clean``
+    (P1) and ``featured`` (clean + calendar + P7-P10). The three frames share
+    one scan lineage, so a query using two of them plans the derivation and
+    its dimension check once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.all = rides_from_tables(spark, sf_dir)
+        self.clean = clean_rides(self.all)
+        self.featured = add_ride_features(self.clean)
+
+
 def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rides_from_tables(spark, sf_dir)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cabmeter.functions.hashing import hash_bucket
 from cabmeter.functions.surge import suggested_surge
 from cabmeter.operators import dashboard, routes, scenarios
-from cabmeter.plans.common import clean, featured, rides, round_doubles
+from cabmeter.plans.common import Rides, clean, featured, rides, round_doubles
 from cabmeter.schemas import SPLIT_SEED, TRAIN_PERCENT
 from cabmeter.sources.rides import load_profile as _load_profile
 
@@ -97,8 +97,11 @@ def distance_map(spark, sf_dir):
 def route_distance(spark, sf_dir):
     """J1 for every ride (clean or not) against the map built from the clean
     rides."""
-    dmap = routes.build_distance_map(clean(spark, sf_dir))
-    probe = rides(spark, sf_dir).select("ride_id", "source", "destination")
+    from cabmeter.operators.joins import materialized_dimension
+
+    r = Rides(spark, sf_dir)
+    dmap = materialized_dimension(routes.build_distance_map(r.clean))
+    probe = r.all.select("ride_id", "source", "destination")
     return round_doubles(routes.lookup_distance(probe, dmap))
 
 
@@ -106,16 +109,27 @@ def quote_requests_checked(spark, sf_dir):
     """P11/P12 over one quote request per ride; places are the nation names."""
     from cabmeter.functions.features import add_calendar
 
-    dmap = routes.build_distance_map(clean(spark, sf_dir))
-    reqs = add_calendar(rides(spark, sf_dir)).select(
+    from cabmeter.operators.joins import materialized_dimension
+
+    r = Rides(spark, sf_dir)
+    dmap = materialized_dimension(routes.build_distance_map(r.clean))
+    reqs = add_calendar(r.all).select(
         "ride_id", "cab_type", "name", "source", "destination", "surge_multiplier",
         "hour", "day_of_week", "month",
     )
-    places = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_name").alias("place"))
+    places = _places(spark, sf_dir)
     checked = routes.check_quote_requests(reqs, dmap, sources=places, destinations=places)
     return round_doubles(checked.select("ride_id", "distance", "reject_reason"))
 
 
+def _places(spark, sf_dir):
+    """The place domain of the test data: the nation names."""
+    from cabmeter.sources.rides import NATION
+
+    return spark.read.schema(NATION).parquet(f"{sf_dir}/nation.parquet").select(
+        F.col("n_name").alias("place"))
+
+
 # -- step 5: scenarios ----------------------------------------------------------
 
 def scenario_prices(spark, sf_dir):
@@ -156,7 +170,8 @@ def onehot_slot_counts(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     cats, _ = m.available_features(train)
     stages = m.preprocessing_stages(cats, [])[:2]
-    fitted = Pipeline(stages=stages).fit(train)
+    with m.fitting_input(train, cats, []) as data:
+        fitted = Pipeline(stages=stages).fit(data)
     return m.onehot_slot_counts(fitted, test, cats)
 
 
@@ -167,7 +182,8 @@ def assembled_rows(spark, sf_dir):
     feats = featured(spark, sf_dir)
     train, _ = m.split_train_test(feats)
     cats, nums = m.available_features(train)
-    fitted = m.preprocessing(cats, nums).fit(train)
+    with m.fitting_input(train, cats, nums) as data:
+        fitted = m.preprocessing(cats, nums).fit(data)
     labelled = feats.withColumn("split", F.when(m.train_mask(), F.lit("train")).otherwise(F.lit("test")))
     total = labelled.groupBy("split").agg(F.count(F.lit(1)).alias("total_rows"))
     kept = fitted.transform(labelled).groupBy("split").agg(F.count(F.lit(1)).alias("kept_rows"))
@@ -180,7 +196,8 @@ def scaled_feature_std(spark, sf_dir):
 
     train, _ = _split(spark, sf_dir)
     cats, nums = m.available_features(train)
-    fitted = m.preprocessing(cats, nums).fit(train)
+    with m.fitting_input(train, cats, nums) as data:
+        fitted = m.preprocessing(cats, nums).fit(data)
     return round_doubles(m.feature_std(fitted, train, nums))
 
 
@@ -229,12 +246,15 @@ def quote_prices(spark, sf_dir):
     from cabmeter.functions.features import add_calendar, add_ride_features
     from cabmeter.operators import model as m
 
-    model, _ = _fitted(spark, sf_dir)
-    dmap = routes.build_distance_map(clean(spark, sf_dir))
-    reqs = add_calendar(rides(spark, sf_dir)).select(
+    r = Rides(spark, sf_dir)
+    model = m.fit_fare_model(m.split_train_test(r.featured)[0])
+    from cabmeter.operators.joins import materialized_dimension
+
+    dmap = materialized_dimension(routes.build_distance_map(r.clean))
+    reqs = add_calendar(r.all).select(
         "ride_id", "cab_type", "name", "source", "destination", "surge_multiplier",
         "hour", "day_of_week", "month")
-    places = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_name").alias("place"))
+    places = _places(spark, sf_dir)
     checked = routes.check_quote_requests(reqs, dmap, sources=places, destinations=places)
     valid = add_ride_features(checked.filter(F.col("reject_reason").isNull()).drop("reject_reason"))
     quoted = m.quote_prices(model, valid)
@@ -321,14 +341,19 @@ def stream_scores(spark, sf_dir):
     from cabmeter.streaming.decode import decode_requests, split_requests
     from cabmeter.streaming.scoring import score_requests
 
-    model, test = _fitted(spark, sf_dir)
+    from cabmeter.operators import model as m
+
+    r = Rides(spark, sf_dir)
+    train, _ = m.split_train_test(r.featured)
+    model = m.fit_fare_model(train)
+    _, test_rides = m.split_train_test(r.clean)
 
     def build(stream):
         ok, _ = split_requests(decode_requests(stream))
         scored = score_requests(model, ok, extra=("key",))
         return scored.withColumn("ride_id", F.col("key").cast("string").cast("long")).drop("key")
 
-    return round_doubles(_drain_messages(spark, _messages(spark, sf_dir, test), build))
+    return round_doubles(_drain_messages(spark, _messages(spark, sf_dir, test_rides), build))
 
 
 QUERIES: dict[str, Query] = {
