@@ -29,15 +29,24 @@ LABEL = "price"
 
 # -- R2 -------------------------------------------------------------------------
 
-def train_mask(id_col: str = "ride_id", percent: int = TRAIN_PERCENT, seed: int = SPLIT_SEED) -> Column:
+def train_mask(id_col: str | Column = "ride_id", percent: int = TRAIN_PERCENT,
+               seed: int = SPLIT_SEED) -> Column:
     return hash_bucket(id_col, seed) < F.lit(percent)
 
 
-def split_train_test(df: DataFrame, id_col: str = "ride_id", percent: int = TRAIN_PERCENT,
+def row_key(df: DataFrame, id_col: str | None) -> Column:
+    """The split key: ``id_col`` when the table has it, else a 64-bit hash of
+    the whole row (equal rows then fall on the same side)."""
+    if id_col and id_col in df.columns:
+        return F.col(id_col)
+    return F.xxhash64(*[F.col(c) for c in df.columns])
+
+
+def split_train_test(df: DataFrame, id_col: str | None = "ride_id", percent: int = TRAIN_PERCENT,
                      seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
     """R2: a hash split by row id; unlike ``randomSplit`` it gives the same
     rows whatever the partitioning, and needs no shuffle."""
-    m = train_mask(id_col, percent, seed)
+    m = train_mask(row_key(df, id_col), percent, seed)
     return df.filter(m), df.filter(~m)
 
 

@@ -233,6 +233,14 @@ def train_and_evaluate(spark, sf_dir):
     return round_doubles(preds.select("ride_id", "price", "prediction"))
 
 
+def prediction_preview(spark, sf_dir):
+    """T5: the first 10 test predictions by ride id (a bounded top-k)."""
+    from cabmeter.operators import model as m
+
+    model, test = _fitted(spark, sf_dir)
+    return round_doubles(m.prediction_preview(model.transform(test)))
+
+
 def model_metrics(spark, sf_dir):
     from cabmeter.operators import model as m
 
@@ -383,6 +391,7 @@ QUERIES: dict[str, Query] = {
     "regression_metrics": regression_metrics,
     "train_and_evaluate": train_and_evaluate,
     "model_metrics": model_metrics,
+    "prediction_preview": prediction_preview,
     "quote_prices": quote_prices,
     "model_round_trip": model_round_trip,
     "request_messages": request_messages,
