@@ -17,13 +17,15 @@ from cabmeter.functions.text import currency, hour_text, thousands
 from cabmeter.schemas import SAMPLE_CAP, SAMPLE_PERCENT, SPLIT_SEED
 
 
+def hourly_aggregate(rides: DataFrame) -> DataFrame:
+    """A1 without the ordering, for further aggregation."""
+    return rides.groupBy("hour").agg(
+        F.avg("price").alias("avg_price"), F.count(F.lit(1)).alias("ride_count"))
+
+
 def hourly_stats(rides: DataFrame) -> DataFrame:
     """A1 + T1: average price and ride count per hour."""
-    return (
-        rides.groupBy("hour")
-        .agg(F.avg("price").alias("avg_price"), F.count(F.lit(1)).alias("ride_count"))
-        .orderBy("hour")
-    )
+    return hourly_aggregate(rides).orderBy("hour")
 
 
 def daily_stats(rides: DataFrame) -> DataFrame:

@@ -70,7 +70,7 @@ def surge_stats(spark, sf_dir):
 
 
 def dashboard_kpis(spark, sf_dir):
-    kpis = dashboard.dashboard_kpis(dashboard.hourly_stats(featured(spark, sf_dir)))
+    kpis = dashboard.dashboard_kpis(dashboard.hourly_aggregate(featured(spark, sf_dir)))
     # Currency text is checked in the unit tests: engines round x.xx5 ties
     # of the binary value differently.
     return round_doubles(kpis.drop("avg_price_text", "peak_hour_price_text"))
@@ -176,7 +176,8 @@ def onehot_slot_counts(spark, sf_dir):
 
 
 def assembled_rows(spark, sf_dir):
-    """M3: rows kept and skipped by the assembler, per split."""
+    """M3: rows kept and skipped by the assembler, per split. The input and
+    the assembler's output are counted in one union + aggregate (no join)."""
     from cabmeter.operators import model as m
 
     feats = featured(spark, sf_dir)
@@ -185,9 +186,10 @@ def assembled_rows(spark, sf_dir):
     with m.fitting_input(train, cats, nums) as data:
         fitted = m.preprocessing(cats, nums).fit(data)
     labelled = feats.withColumn("split", F.when(m.train_mask(), F.lit("train")).otherwise(F.lit("test")))
-    total = labelled.groupBy("split").agg(F.count(F.lit(1)).alias("total_rows"))
-    kept = fitted.transform(labelled).groupBy("split").agg(F.count(F.lit(1)).alias("kept_rows"))
-    out = total.join(kept, "split", "left").fillna(0, ["kept_rows"])
+    tagged = labelled.select("split", F.lit(1).alias("_in"), F.lit(0).alias("_kept")).unionByName(
+        fitted.transform(labelled).select("split", F.lit(0).alias("_in"), F.lit(1).alias("_kept")))
+    out = tagged.groupBy("split").agg(F.sum("_in").cast("bigint").alias("total_rows"),
+                                      F.sum("_kept").cast("bigint").alias("kept_rows"))
     return out.withColumn("skipped_rows", F.col("total_rows") - F.col("kept_rows"))
 
 

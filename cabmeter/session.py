@@ -48,8 +48,13 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     machine-local folder would be invisible to the other executors.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    context_dir = spark.sparkContext.getCheckpointDir()
+    if base and not context_dir:
+        # Set as a runtime conf only: give the context the same folder so
+        # DataFrame.checkpoint() writes there too.
+        spark.sparkContext.setCheckpointDir(base)
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
+        base = context_dir
     if not base:
         if not _is_local(spark):
             raise RuntimeError(
