@@ -9,33 +9,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cabmeter.functions.columns import as_column
 from cabmeter.schemas import DAY_NAMES
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def timestamp_from_millis(ms: Column | str) -> Column:
     """epoch milliseconds -> UTC wall-clock timestamp (timestamp_ntz)."""
-    return F.timestamp_add("MILLISECOND", _col(ms), F.expr(_EPOCH_NTZ))
+    return F.timestamp_add("MILLISECOND", as_column(ms), F.expr(_EPOCH_NTZ))
 
 
 def hour_of_day(ts: Column | str) -> Column:
     """0-23."""
-    return F.hour(_col(ts))
+    return F.hour(as_column(ts))
 
 
 def day_of_week(ts: Column | str) -> Column:
     """1 = Sunday .. 7 = Saturday."""
-    return F.dayofweek(_col(ts))
+    return F.dayofweek(as_column(ts))
 
 
 def month_of_year(ts: Column | str) -> Column:
     """1-12."""
-    return F.month(_col(ts))
+    return F.month(as_column(ts))
 
 
 def day_name(day: Column | str) -> Column:
@@ -43,4 +40,4 @@ def day_name(day: Column | str) -> Column:
     pairs = []
     for number, name in DAY_NAMES.items():
         pairs += [F.lit(number), F.lit(name)]
-    return F.try_element_at(F.create_map(*pairs), _col(day).cast("int"))
+    return F.try_element_at(F.create_map(*pairs), as_column(day).cast("int"))

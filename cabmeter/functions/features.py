@@ -11,14 +11,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabmeter.functions.calendar import (
-    _col, day_of_week, hour_of_day, month_of_year, timestamp_from_millis,
+    day_of_week, hour_of_day, month_of_year, timestamp_from_millis,
 )
+from cabmeter.functions.columns import as_column
 
 
 def time_of_day(hour: Column | str) -> Column:
     """6-11 morning, 12-16 afternoon, 17-20 evening, anything else
     (including null) night."""
-    h = _col(hour)
+    h = as_column(hour)
     return (
         F.when(h.between(6, 11), F.lit("morning"))
         .when(h.between(12, 16), F.lit("afternoon"))
@@ -29,17 +30,17 @@ def time_of_day(hour: Column | str) -> Column:
 
 def is_weekend(day: Column | str) -> Column:
     """1 for Sunday (1) and Saturday (7), else 0 (null -> 0)."""
-    return F.when(_col(day).isin(1, 7), F.lit(1)).otherwise(F.lit(0))
+    return F.when(as_column(day).isin(1, 7), F.lit(1)).otherwise(F.lit(0))
 
 
 def is_surge(multiplier: Column | str) -> Column:
     """1 when the multiplier exceeds 1.0, else 0 (null -> 0)."""
-    return F.when(_col(multiplier) > F.lit(1.0), F.lit(1)).otherwise(F.lit(0))
+    return F.when(as_column(multiplier) > F.lit(1.0), F.lit(1)).otherwise(F.lit(0))
 
 
 def distance_category(distance: Column | str) -> Column:
     """P10: < 1 short, < 3 medium, anything else (null, NaN) long."""
-    d = _col(distance)
+    d = as_column(distance)
     return (
         F.when(d < F.lit(1), F.lit("short"))
         .when(d < F.lit(3), F.lit("medium"))

@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cabmeter.functions.calendar import _col
+from cabmeter.functions.columns import as_column
 
 
 def hash32(row_id: Column | str, seed: int) -> Column:
     """First 32 bits of md5("<seed>:<id>") as a non-negative bigint."""
-    text = F.concat_ws(":", F.lit(str(seed)), _col(row_id).cast("string"))
+    text = F.concat_ws(":", F.lit(str(seed)), as_column(row_id).cast("string"))
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 

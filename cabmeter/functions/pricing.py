@@ -6,19 +6,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cabmeter.functions.calendar import _col
+from cabmeter.functions.columns import as_column
 
 
 def base_price(prediction: Column | str, surge: Column | str) -> Column:
     """price before surge."""
-    return F.try_divide(_col(prediction), _col(surge))
+    return F.try_divide(as_column(prediction), as_column(surge))
 
 
 def price_per_mile(prediction: Column | str, distance: Column | str) -> Column:
     """F13."""
-    return F.try_divide(_col(prediction), _col(distance))
+    return F.try_divide(as_column(prediction), as_column(distance))
 
 
 def linear_tariff(distance: Column | str, rate: Column | str, fee: Column | str) -> Column:
     """fee + distance x rate."""
-    return _col(fee) + _col(distance) * _col(rate)
+    return as_column(fee) + as_column(distance) * as_column(rate)

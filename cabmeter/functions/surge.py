@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cabmeter.functions.calendar import _col
+from cabmeter.functions.columns import as_column
 
 # Fixed values of the surge rules.
 SURGE_BY_HOUR = [  # (first hour, last hour, base multiplier), first match wins
@@ -35,7 +35,7 @@ def round_to_step(x: Column, step: float) -> Column:
 
 def suggested_surge(hour: Column | str, day: Column | str) -> Column:
     """base by hour, weekend adjustment, round to 0.25, clamp to [1, 3]."""
-    h, d = _col(hour), _col(day)
+    h, d = as_column(hour), as_column(day)
     base = None
     for first, last, mult in SURGE_BY_HOUR:
         base = (F.when if base is None else base.when)(h.between(first, last), F.lit(mult))

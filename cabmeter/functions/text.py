@@ -5,39 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cabmeter.functions.calendar import _col
+from cabmeter.functions.columns import as_column
 
 
 def normalize_key(c: Column | str) -> Column:
     """trim + lower-case, for route keys on both sides of a look-up."""
-    return F.lower(F.trim(_col(c)))
+    return F.lower(F.trim(as_column(c)))
 
 
 def currency(x: Column | str) -> Column:
     """``$12.34``."""
-    return F.format_string("$%.2f", _col(x))
+    return F.format_string("$%.2f", as_column(x))
 
 
 def savings_text(x: Column | str) -> Column:
     """currency when positive, ``-`` otherwise."""
-    return F.when(_col(x) > 0, currency(x)).otherwise(F.lit("-"))
+    return F.when(as_column(x) > 0, currency(x)).otherwise(F.lit("-"))
 
 
 def multiplier_text(x: Column | str) -> Column:
     """F16: ``0.8x`` (the double's shortest text, as Python prints it)."""
-    return F.concat(_col(x).cast("string"), F.lit("x"))
+    return F.concat(as_column(x).cast("string"), F.lit("x"))
 
 
 def hour_text(h: Column | str) -> Column:
     """F16: ``17:00``."""
-    return F.concat(_col(h).cast("string"), F.lit(":00"))
+    return F.concat(as_column(h).cast("string"), F.lit(":00"))
 
 
 def miles_text(x: Column | str) -> Column:
     """F16: ``1.71 miles``."""
-    return F.format_string("%.2f miles", _col(x))
+    return F.format_string("%.2f miles", as_column(x))
 
 
 def thousands(x: Column | str) -> Column:
     """F16: integer with thousands separators, ``9,705``."""
-    return F.format_number(_col(x), 0)
+    return F.format_number(as_column(x), 0)

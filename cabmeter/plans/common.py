@@ -34,16 +34,3 @@ class Rides:
         self.all = rides_from_tables(spark, sf_dir)
         self.clean = clean_rides(self.all)
         self.featured = add_ride_features(self.clean)
-
-
-def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rides_from_tables(spark, sf_dir)
-
-
-def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_rides(rides(spark, sf_dir))
-
-
-def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean rides with calendar fields and P7-P10."""
-    return add_ride_features(clean(spark, sf_dir))

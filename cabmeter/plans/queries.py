@@ -1,45 +1,77 @@
 """One callable per registered query: ``(spark, sf_dir) -> DataFrame``.
 
 Each reads the driver's tables under ``sf_dir`` (rides are derived from
-``events`` and ``nation``) and runs over whole tables.
+``events`` and ``nation``, see ``cabmeter.sources.rides``) and runs over whole
+tables. Doubles are rounded to 6 decimals so results compare across engines.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabmeter.functions.hashing import hash_bucket
+from cabmeter.functions.features import add_calendar, add_ride_features
 from cabmeter.functions.surge import suggested_surge
 from cabmeter.operators import dashboard, routes, scenarios
-from cabmeter.plans.common import Rides, clean, featured, rides, round_doubles
-from cabmeter.schemas import SPLIT_SEED, TRAIN_PERCENT
-from cabmeter.sources.rides import load_profile as _load_profile
+from cabmeter.operators import model as m
+from cabmeter.operators.joins import materialized_dimension
+from cabmeter.plans.common import Rides, round_doubles
+from cabmeter.session import fresh_dir
+from cabmeter.sources.kafka import message_file_stream, to_messages, write_message_files
+from cabmeter.sources.requests import requests_from_rides
+from cabmeter.sources.rides import NATION, load_profile as _load_profile
+from cabmeter.streaming.decode import decode_requests, split_requests
+from cabmeter.streaming.scoring import run_to_table, score_requests
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-# -- step 1-2: rides, cleaning, features --------------------------------------
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place domain of the test data: the nation names."""
+    return spark.read.schema(NATION).parquet(f"{sf_dir}/nation.parquet").select(
+        F.col("n_name").alias("place"))
+
+
+def _quote_requests(spark: SparkSession, sf_dir: str, r: Rides) -> DataFrame:
+    """P11/P12 over one quote request per ride (every ride, clean or not):
+    calendar fields given, distance from the route map built from the clean
+    rides (materialised, size-checked, broadcast), places = nation names."""
+    dmap = materialized_dimension(routes.build_distance_map(r.clean))
+    reqs = add_calendar(r.all).select(
+        "ride_id", "cab_type", "name", "source", "destination", "surge_multiplier",
+        "hour", "day_of_week", "month")
+    places = _places(spark, sf_dir)
+    return routes.check_quote_requests(reqs, dmap, sources=places, destinations=places)
+
+
+def _fit(r: Rides) -> tuple[PipelineModel, DataFrame]:
+    """The fare model fitted on the training split, and the test split."""
+    train, test = m.split_train_test(r.featured)
+    return m.fit_fare_model(train), test
+
+
+# -- step 1-2: rides, cleaning, features ----------------------------------------
 
 def hourly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_doubles(dashboard.hourly_stats(featured(spark, sf_dir)))
+    return round_doubles(dashboard.hourly_stats(Rides(spark, sf_dir).featured))
 
 
 def clean_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_doubles(clean(spark, sf_dir))
+    return round_doubles(Rides(spark, sf_dir).clean)
 
 
 def ride_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_doubles(featured(spark, sf_dir).drop("timestamp_converted"))
+    return round_doubles(Rides(spark, sf_dir).featured.drop("timestamp_converted"))
 
 
 def suggested_surge_by_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F7-F9 for every (hour, day) slot that has rides, with the rides' count
     and their observed mean surge."""
     return round_doubles(
-        featured(spark, sf_dir)
+        Rides(spark, sf_dir).featured
         .groupBy("hour", "day_of_week")
         .agg(F.count(F.lit(1)).alias("ride_count"),
              F.avg("surge_multiplier").alias("avg_observed_surge"))
@@ -48,139 +80,102 @@ def suggested_surge_by_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _load_profile(rides(spark, sf_dir))
+    return _load_profile(Rides(spark, sf_dir).all)
 
 
-# -- step 3: dashboard ----------------------------------------------------------
+# -- step 3: dashboard -------------------------------------------------------------
 
-def daily_stats(spark, sf_dir):
-    return round_doubles(dashboard.daily_stats(featured(spark, sf_dir)))
+def daily_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(dashboard.daily_stats(Rides(spark, sf_dir).featured))
 
 
-def service_stats(spark, sf_dir):
-    return round_doubles(dashboard.service_stats(featured(spark, sf_dir)))
+def service_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(dashboard.service_stats(Rides(spark, sf_dir).featured))
 
 
-def top_services(spark, sf_dir):
-    return round_doubles(dashboard.top_services(dashboard.service_stats(featured(spark, sf_dir))))
+def top_services(spark: SparkSession, sf_dir: str) -> DataFrame:
+    svc = dashboard.service_stats(Rides(spark, sf_dir).featured)
+    return round_doubles(dashboard.top_services(svc))
 
 
-def surge_stats(spark, sf_dir):
-    return round_doubles(dashboard.surge_stats(featured(spark, sf_dir)))
+def surge_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(dashboard.surge_stats(Rides(spark, sf_dir).featured))
 
 
-def dashboard_kpis(spark, sf_dir):
-    kpis = dashboard.dashboard_kpis(dashboard.hourly_aggregate(featured(spark, sf_dir)))
+def dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kpis = dashboard.dashboard_kpis(dashboard.hourly_aggregate(Rides(spark, sf_dir).featured))
     # Currency text is checked in the unit tests: engines round x.xx5 ties
     # of the binary value differently.
     return round_doubles(kpis.drop("avg_price_text", "peak_hour_price_text"))
 
 
-def dashboard_grouping_sets(spark, sf_dir):
-    return round_doubles(dashboard.dashboard_grouping_sets(featured(spark, sf_dir)))
+def dashboard_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(dashboard.dashboard_grouping_sets(Rides(spark, sf_dir).featured))
 
 
-def distance_price_sample(spark, sf_dir):
-    return round_doubles(dashboard.distance_price_sample(clean(spark, sf_dir)))
+def distance_price_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(dashboard.distance_price_sample(Rides(spark, sf_dir).clean))
 
 
-def fare_trend(spark, sf_dir):
-    return round_doubles(dashboard.fare_trend(clean(spark, sf_dir)))
+def fare_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(dashboard.fare_trend(Rides(spark, sf_dir).clean))
 
 
-# -- step 4: routes -------------------------------------------------------------
+# -- step 4: routes ----------------------------------------------------------------
 
-def distance_map(spark, sf_dir):
-    return round_doubles(routes.build_distance_map(clean(spark, sf_dir)))
+def distance_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(routes.build_distance_map(Rides(spark, sf_dir).clean))
 
 
-def route_distance(spark, sf_dir):
+def route_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 for every ride (clean or not) against the map built from the clean
     rides."""
-    from cabmeter.operators.joins import materialized_dimension
-
     r = Rides(spark, sf_dir)
     dmap = materialized_dimension(routes.build_distance_map(r.clean))
     probe = r.all.select("ride_id", "source", "destination")
     return round_doubles(routes.lookup_distance(probe, dmap))
 
 
-def quote_requests_checked(spark, sf_dir):
-    """P11/P12 over one quote request per ride; places are the nation names."""
-    from cabmeter.functions.features import add_calendar
-
-    from cabmeter.operators.joins import materialized_dimension
-
-    r = Rides(spark, sf_dir)
-    dmap = materialized_dimension(routes.build_distance_map(r.clean))
-    reqs = add_calendar(r.all).select(
-        "ride_id", "cab_type", "name", "source", "destination", "surge_multiplier",
-        "hour", "day_of_week", "month",
-    )
-    places = _places(spark, sf_dir)
-    checked = routes.check_quote_requests(reqs, dmap, sources=places, destinations=places)
+def quote_requests_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = _quote_requests(spark, sf_dir, Rides(spark, sf_dir))
     return round_doubles(checked.select("ride_id", "distance", "reject_reason"))
 
 
-def _places(spark, sf_dir):
-    """The place domain of the test data: the nation names."""
-    from cabmeter.sources.rides import NATION
-
-    return spark.read.schema(NATION).parquet(f"{sf_dir}/nation.parquet").select(
-        F.col("n_name").alias("place"))
-
-
-# -- step 5: scenarios ----------------------------------------------------------
+# -- step 5: scenarios -------------------------------------------------------------
 
-def scenario_prices(spark, sf_dir):
-    tariffs = scenarios.tariffs_from_rides(clean(spark, sf_dir))
+def scenario_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tariff per clean ride (its distance, default rate and fee) under
+    every scenario."""
+    tariffs = scenarios.tariffs_from_rides(Rides(spark, sf_dir).clean)
     return round_doubles(scenarios.scenario_prices(tariffs))
 
 
-# -- step 6 helper: layout-independent split ------------------------------------
-
-def train_test_split(spark, sf_dir):
-    c = clean(spark, sf_dir)
-    split = F.when(hash_bucket("ride_id", SPLIT_SEED) < TRAIN_PERCENT, F.lit("train")).otherwise(F.lit("test"))
-    return c.select("ride_id", split.alias("split"))
-
+# -- step 6: ML fit side -------------------------------------------------------------
 
-# -- step 6: ML fit side -----------------------------------------------------------
+def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = F.when(m.train_mask(), F.lit("train")).otherwise(F.lit("test"))
+    return Rides(spark, sf_dir).clean.select("ride_id", split.alias("split"))
 
-def _split(spark, sf_dir):
-    from cabmeter.operators.model import split_train_test
 
-    return split_train_test(featured(spark, sf_dir))
-
-
-def label_index(spark, sf_dir):
-    from cabmeter.operators import model as m
-
-    train, _ = _split(spark, sf_dir)
+def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = m.split_train_test(Rides(spark, sf_dir).featured)
     return m.label_index(train)
 
 
-def onehot_slot_counts(spark, sf_dir):
+def onehot_slot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Indexer + encoder fitted on the training split, applied to the test
     split: rows per slot."""
-    from pyspark.ml import Pipeline
-
-    from cabmeter.operators import model as m
-
-    train, test = _split(spark, sf_dir)
+    train, test = m.split_train_test(Rides(spark, sf_dir).featured)
     cats, _ = m.available_features(train)
-    stages = m.preprocessing_stages(cats, [])[:2]
     with m.fitting_input(train, cats, []) as data:
-        fitted = Pipeline(stages=stages).fit(data)
+        fitted = Pipeline(stages=m.preprocessing_stages(cats, [])[:2]).fit(data)
     return m.onehot_slot_counts(fitted, test, cats)
 
 
-def assembled_rows(spark, sf_dir):
+def assembled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3: rows kept and skipped by the assembler, per split. The input and
     the assembler's output are counted in one union + aggregate (no join)."""
-    from cabmeter.operators import model as m
-
-    feats = featured(spark, sf_dir)
+    feats = Rides(spark, sf_dir).featured
     train, _ = m.split_train_test(feats)
     cats, nums = m.available_features(train)
     with m.fitting_input(train, cats, nums) as data:
@@ -193,177 +188,125 @@ def assembled_rows(spark, sf_dir):
     return out.withColumn("skipped_rows", F.col("total_rows") - F.col("kept_rows"))
 
 
-def scaled_feature_std(spark, sf_dir):
-    from cabmeter.operators import model as m
-
-    train, _ = _split(spark, sf_dir)
+def scaled_feature_std(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = m.split_train_test(Rides(spark, sf_dir).featured)
     cats, nums = m.available_features(train)
     with m.fitting_input(train, cats, nums) as data:
         fitted = m.preprocessing(cats, nums).fit(data)
     return round_doubles(m.feature_std(fitted, train, nums))
 
 
-def fare_enet_distance(spark, sf_dir):
-    from cabmeter.operators import model as m
-
-    train, _ = _split(spark, sf_dir)
+def fare_enet_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = m.split_train_test(Rides(spark, sf_dir).featured)
     return round_doubles(m.fit_single_feature(train, "distance"))
 
 
-def regression_metrics(spark, sf_dir):
+def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A9 on the fixed tariff predictor 5 + 2.5 x distance x surge."""
-    from cabmeter.operators import model as m
-
-    preds = clean(spark, sf_dir).withColumn(
+    preds = Rides(spark, sf_dir).clean.withColumn(
         "prediction", F.lit(5.0) + F.lit(2.5) * F.col("distance") * F.col("surge_multiplier"))
     return round_doubles(m.regression_metrics(preds))
 
 
-# -- step 7: ML full -----------------------------------------------------------------
+# -- step 7: ML full ---------------------------------------------------------------------
 
-def _fitted(spark, sf_dir):
-    from cabmeter.operators import model as m
-
-    train, test = _split(spark, sf_dir)
-    return m.fit_fare_model(train), test
+def train_and_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit on the training split, predict the test split."""
+    model, test = _fit(Rides(spark, sf_dir))
+    return round_doubles(model.transform(test).select("ride_id", "price", "prediction"))
 
 
-def train_and_evaluate(spark, sf_dir):
-    """M5-M11 + T5: fit on the training split, predict the test split."""
-    model, test = _fitted(spark, sf_dir)
-    preds = model.transform(test)
-    return round_doubles(preds.select("ride_id", "price", "prediction"))
+def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, test = _fit(Rides(spark, sf_dir))
+    return round_doubles(m.regression_metrics(model.transform(test)))
 
 
-def prediction_preview(spark, sf_dir):
+def prediction_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5: the first 10 test predictions by ride id (a bounded top-k)."""
-    from cabmeter.operators import model as m
-
-    model, test = _fitted(spark, sf_dir)
+    model, test = _fit(Rides(spark, sf_dir))
     return round_doubles(m.prediction_preview(model.transform(test)))
 
 
-def model_metrics(spark, sf_dir):
-    from cabmeter.operators import model as m
-
-    model, test = _fitted(spark, sf_dir)
-    return round_doubles(m.regression_metrics(model.transform(test)))
-
-
-def quote_prices(spark, sf_dir):
-    """One quote request per ride (calendar fields given, distance from
-    the route map); valid requests are scored."""
-    from cabmeter.functions.features import add_calendar, add_ride_features
-    from cabmeter.operators import model as m
-
+def quote_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12 + F12 + F13: every valid quote request scored."""
     r = Rides(spark, sf_dir)
-    model = m.fit_fare_model(m.split_train_test(r.featured)[0])
-    from cabmeter.operators.joins import materialized_dimension
-
-    dmap = materialized_dimension(routes.build_distance_map(r.clean))
-    reqs = add_calendar(r.all).select(
-        "ride_id", "cab_type", "name", "source", "destination", "surge_multiplier",
-        "hour", "day_of_week", "month")
-    places = _places(spark, sf_dir)
-    checked = routes.check_quote_requests(reqs, dmap, sources=places, destinations=places)
+    model, _ = _fit(r)
+    checked = _quote_requests(spark, sf_dir, r)
     valid = add_ride_features(checked.filter(F.col("reject_reason").isNull()).drop("reject_reason"))
     quoted = m.quote_prices(model, valid)
     return round_doubles(quoted.select("ride_id", "distance", "surge_multiplier", "predicted_price",
                                        "base_price", "price_per_mile"))
 
 
-def model_round_trip(spark, sf_dir):
+def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S9 + S10: save the fitted model to the shared folder, load it back and
     score the test split with the loaded copy."""
-    from cabmeter.operators import model as m
-    from cabmeter.session import fresh_dir
-
-    model, test = _fitted(spark, sf_dir)
+    model, test = _fit(Rides(spark, sf_dir))
     path = fresh_dir(spark, "models")
     m.save_model(model, path)
-    loaded = m.load_model(path)
-    return round_doubles(loaded.transform(test).select("ride_id", "prediction"))
+    return round_doubles(m.load_model(path).transform(test).select("ride_id", "prediction"))
 
 
 # -- step 8-9: messages and streaming ------------------------------------------------
 
-def _messages(spark, sf_dir, rides_df=None):
-    from cabmeter.sources.kafka import to_messages
-    from cabmeter.sources.requests import requests_from_rides
+def _messages(rides_df: DataFrame) -> DataFrame:
+    """One request message per ride, keyed by ride id."""
+    return to_messages(requests_from_rides(rides_df), key_col="ride_id")
 
-    src = rides(spark, sf_dir) if rides_df is None else rides_df
-    return to_messages(requests_from_rides(src), key_col="ride_id")
 
-
-def _with_ride_id(df):
+def _ride_id_from_key(df: DataFrame) -> DataFrame:
     return df.withColumn("ride_id", F.col("key").cast("string").cast("long")).drop(
         "key", "topic", "partition", "offset", "value_text")
 
 
-def request_messages(spark, sf_dir):
-    """S5 + F11: one JSON message per ride, decoded again (F10) so the check
-    compares values rather than float text."""
-    from cabmeter.streaming.decode import decode_requests
-
-    return round_doubles(_with_ride_id(decode_requests(_messages(spark, sf_dir))))
-
-
-def _drain_messages(spark, messages, build):
-    """Write messages as files, stream them through ``build`` and return the
-    drained sink as a table."""
-    from cabmeter.session import fresh_dir
-    from cabmeter.sources.kafka import message_file_stream, write_message_files
-    from cabmeter.streaming.scoring import run_to_table
-
+def _drain(spark: SparkSession, messages: DataFrame,
+           build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Write messages as files in the shared folder, stream them through
+    ``build`` (available-now trigger, checkpointed) and return the sink."""
     base = fresh_dir(spark, "streams")
     write_message_files(messages, f"{base}/in")
     stream = build(message_file_stream(spark, f"{base}/in"))
     return run_to_table(stream, f"{base}/out", f"{base}/checkpoint")
 
 
-def stream_ride_features(spark, sf_dir):
+def request_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + F11: one JSON message per ride, decoded again (F10) so the check
+    compares values rather than float text."""
+    return round_doubles(_ride_id_from_key(decode_requests(_messages(Rides(spark, sf_dir).all))))
+
+
+def stream_ride_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 + K2: decode the message stream and derive the features with the
     batch feature function."""
-    from cabmeter.functions.features import add_ride_features
-    from cabmeter.streaming.decode import decode_requests, split_requests
-
-    def build(stream):
+    def build(stream: DataFrame) -> DataFrame:
         ok, _ = split_requests(decode_requests(stream))
-        return _with_ride_id(add_ride_features(ok))
+        return _ride_id_from_key(add_ride_features(ok))
 
-    return round_doubles(_drain_messages(spark, _messages(spark, sf_dir), build))
+    return round_doubles(_drain(spark, _messages(Rides(spark, sf_dir).all), build))
 
 
-def stream_rejects(spark, sf_dir):
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: messages that cannot be scored, with the reason."""
-    from cabmeter.streaming.decode import decode_requests, split_requests
-
-    def build(stream):
+    def build(stream: DataFrame) -> DataFrame:
         _, bad = split_requests(decode_requests(stream))
         return bad.select(F.col("key").cast("string").cast("long").alias("ride_id"), "reject_reason")
 
-    return _drain_messages(spark, _messages(spark, sf_dir), build)
+    return _drain(spark, _messages(Rides(spark, sf_dir).all), build)
 
 
-def stream_scores(spark, sf_dir):
+def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 + K4 + P5 + S7: the model fitted on the training split scores the
     test split's messages as a stream."""
-    from cabmeter.streaming.decode import decode_requests, split_requests
-    from cabmeter.streaming.scoring import score_requests
-
-    from cabmeter.operators import model as m
-
     r = Rides(spark, sf_dir)
-    train, _ = m.split_train_test(r.featured)
-    model = m.fit_fare_model(train)
+    model, _ = _fit(r)
     _, test_rides = m.split_train_test(r.clean)
 
-    def build(stream):
+    def build(stream: DataFrame) -> DataFrame:
         ok, _ = split_requests(decode_requests(stream))
         scored = score_requests(model, ok, extra=("key",))
         return scored.withColumn("ride_id", F.col("key").cast("string").cast("long")).drop("key")
 
-    return round_doubles(_drain_messages(spark, _messages(spark, sf_dir, test_rides), build))
+    return round_doubles(_drain(spark, _messages(test_rides), build))
 
 
 QUERIES: dict[str, Query] = {

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from cabmeter.functions.hashing import hash_bucket
 from cabmeter.operators import dashboard
 from cabmeter.operators import model as m
-from cabmeter.plans.common import featured
+from cabmeter.plans.common import Rides
 
 
 @pytest.fixture(scope="module")
 def feats(spark, sf_small):
-    return featured(spark, sf_small).persist()
+    return Rides(spark, sf_small).featured.persist()
 
 
 @pytest.fixture(scope="module")
