@@ -20,6 +20,21 @@ def timestamp_from_millis(ms: Column | str) -> Column:
     return F.timestamp_add("MILLISECOND", as_column(ms), F.expr(_EPOCH_NTZ))
 
 
+def millis_from_wall_clock(ts: Column | str) -> Column:
+    """Inverse of F1: a UTC wall-clock ``TIMESTAMP_NTZ`` -> epoch
+    milliseconds (microseconds truncated). Pure field arithmetic (days since
+    the epoch, then the time of day), so no session time zone is involved,
+    not even for wall-clock times that fall in a daylight-saving gap."""
+    t = as_column(ts)
+    days = F.unix_date(F.to_date(t)).cast("long")
+    millis_of_day = (
+        F.hour(t).cast("long") * F.lit(3_600_000)
+        + F.minute(t).cast("long") * F.lit(60_000)
+        + F.floor(F.date_part(F.lit("SECOND"), t) * F.lit(1000)).cast("long")
+    )
+    return days * F.lit(86_400_000) + millis_of_day
+
+
 def hour_of_day(ts: Column | str) -> Column:
     """0-23."""
     return F.hour(as_column(ts))

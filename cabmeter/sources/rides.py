@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cabmeter.functions.calendar import millis_from_wall_clock
 from cabmeter.operators.joins import broadcast_if_bounded
 from cabmeter.schemas import RIDES, SERVICES
 
@@ -31,7 +32,6 @@ def load_profile(df: DataFrame) -> DataFrame:
 # Test-data mapping: rides come from ``events``, the only table with times of
 # day. Places are nation names keyed by ``user_id`` and ``event_id``.
 NATION_KEYS = 25
-_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 # event_type -> service index within a provider's catalogue (anything else
 # maps to the last service).
@@ -90,7 +90,7 @@ def rides_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     surge = F.lit(1.0) + (F.col("user_id") % 5).cast("double") * F.lit(0.25)
     base = events.select(
         F.col("event_id").alias("ride_id"),
-        F.expr(f"timestampdiff(MILLISECOND, {_EPOCH_NTZ}, ts)").alias("time_stamp"),
+        millis_from_wall_clock("ts").alias("time_stamp"),
         cab_type.alias("cab_type"),
         _service_name(cab_type, F.col("event_type")).alias("name"),
         (F.col("user_id") % NATION_KEYS).alias("src_key"),

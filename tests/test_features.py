@@ -89,3 +89,22 @@ def test_clean_rides_null_nan(spark):
     df = spark.createDataFrame(rows, "ride_id long, price double, distance double")
     assert sorted(r.ride_id for r in clean_rides(df).collect()) == [1, 6]
     assert [r.ride_id for r in clean_rides(df, drop_nan=True).collect()] == [1]
+
+
+def test_wall_clock_millis_round_trip_across_dst(spark):
+    import datetime
+
+    rows = [(datetime.datetime(2024, 7, 1, 12, 0, 0, 123456),), (datetime.datetime(2024, 1, 1, 0, 9, 58, 778549),),
+            (datetime.datetime(2024, 3, 10, 2, 30, 0),)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz")
+    epoch = datetime.datetime(1970, 1, 1)
+    expected = [(r[0] - epoch) // datetime.timedelta(milliseconds=1) for r in rows]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        out = df.select(calendar.millis_from_wall_clock("ts").alias("ms")).collect()
+        back = features.add_calendar(spark.createDataFrame([(e,) for e in expected], "time_stamp long")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert [r.ms for r in out] == expected
+    assert [(r.hour, r.month) for r in back] == [(12, 7), (0, 1), (2, 3)]
