@@ -94,7 +94,12 @@ def fitting_input(train: DataFrame, categorical: list[str], numeric: list[str]):
     the fit reads and persisted (memory, spilling to disk) for the fit's
     passes: indexer counts, scaler moments and the regressor's statistics.
     The cache is released when the eager fit returns; lost blocks are
-    recomputed from lineage, so an executor loss costs time, not results."""
+    recomputed from lineage, so an executor loss costs time, not results.
+
+    An input with fewer partitions than the cluster's default parallelism
+    (a small table stored as one file) is spread round-robin first, so the
+    fit's passes use every core; a large scan already has many partitions
+    and is cached as it is, without a shuffle."""
     from contextlib import contextmanager
 
     from pyspark import StorageLevel
@@ -102,7 +107,11 @@ def fitting_input(train: DataFrame, categorical: list[str], numeric: list[str]):
     @contextmanager
     def _ctx():
         cols = [c for c in [*categorical, *numeric, LABEL] if c in train.columns]
-        data = train.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+        data = train.select(*cols)
+        parallelism = train.sparkSession.sparkContext.defaultParallelism
+        if data.rdd.getNumPartitions() < parallelism:
+            data = data.repartition(parallelism)
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             yield data
         finally:

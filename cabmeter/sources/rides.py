@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from cabmeter.functions.calendar import millis_from_wall_clock
 from cabmeter.operators.joins import broadcast_if_bounded
+from cabmeter.sources.layout import spread_if_underpartitioned
 from cabmeter.schemas import RIDES, SERVICES
 
 
@@ -70,10 +71,14 @@ def rides_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rides with the ``RIDES`` schema derived from ``events`` and ``nation``.
 
     The two nation look-ups are map-side joins against a size-checked
-    broadcast of the 25-row dimension, so the events scan is never shuffled.
+    broadcast of the 25-row dimension, so the events are not shuffled (an
+    input read by fewer tasks than there are cores is first spread, see
+    ``spread_if_underpartitioned``).
     """
-    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").select(
-        "event_id", "ts", "user_id", "event_type", "value", "props"
+    events = spread_if_underpartitioned(
+        spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").select(
+            "event_id", "ts", "user_id", "event_type", "value", "props"
+        )
     )
     nation = spark.read.schema(NATION).parquet(f"{sf_dir}/nation.parquet").select(
         F.col("n_nationkey").cast("long").alias("key"), F.col("n_name").alias("place")
