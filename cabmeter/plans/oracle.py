@@ -110,8 +110,9 @@ def _allowed_service_sql() -> str:
     return "coalesce(" + " OR ".join(terms) + ", false)"
 
 
-def _scenario_values() -> str:
-    return ", ".join(f"('{name}', {_d(mult)})" for name, mult in SCENARIOS)
+def _scenario_list() -> str:
+    items = ", ".join(f"{{'scenario': '{name}', 'multiplier': {_d(mult)}}}" for name, mult in SCENARIOS)
+    return f"[{items}]"
 
 
 SQL: dict[str, str] = {
@@ -226,10 +227,10 @@ FROM flagged""",
     "scenario_prices": _with(f"""tariffs AS (
   SELECT ride_id AS tariff_id, distance, {_d(DEFAULT_BASE_RATE)} AS base_rate, {_d(DEFAULT_BASE_FEE)} AS base_fee
   FROM clean)""", """based AS (SELECT *, base_fee + distance * base_rate AS base_price FROM tariffs)""",
-        f"""scen(scenario, multiplier) AS (VALUES {_scenario_values()})""",
+        f"""expanded AS (
+  SELECT b.*, unnest({_scenario_list()}, recursive := true) FROM based b)""",
         """priced AS (
-  SELECT b.*, s.scenario, s.multiplier, b.base_price * s.multiplier AS estimated_price
-  FROM based b CROSS JOIN scen s)""") + """
+  SELECT *, base_price * multiplier AS estimated_price FROM expanded)""") + """
 SELECT tariff_id, round(distance, 6) AS distance, round(base_rate, 6) AS base_rate,
        round(base_fee, 6) AS base_fee, round(base_price, 6) AS base_price, scenario,
        round(multiplier, 6) AS multiplier, round(estimated_price, 6) AS estimated_price,

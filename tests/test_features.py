@@ -21,8 +21,8 @@ def _expected_surge(hour, day):
 
 
 def test_suggested_surge_golden_168(spark):
-    grid = spark.range(24).select(F.col("id").cast("int").alias("hour")).crossJoin(
-        spark.range(1, 8).select(F.col("id").cast("int").alias("day_of_week")))
+    grid = spark.range(168).select((F.col("id") % 24).cast("int").alias("hour"),
+                                   (F.col("id") / 24 + 1).cast("int").alias("day_of_week"))
     rows = grid.select("hour", "day_of_week",
                        surge.suggested_surge("hour", "day_of_week").alias("s")).collect()
     assert len(rows) == 168
