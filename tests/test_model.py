@@ -128,3 +128,41 @@ def test_batch_equals_stream(spark, fitted):
     stream = {int(r.key.decode()): r.predicted_price for r in streamed.collect()}
     assert stream.keys() == batch.keys()
     assert all(abs(stream[k] - batch[k]) < 1e-9 for k in batch)
+
+
+def test_elastic_net_kkt_conditions(fitted):
+    """Optimality of the fitted elastic net, checked in numpy in the space
+    the solver works in: features and label standardised with population
+    deviations, penalty lambda' = regParam / std(label)."""
+    from cabmeter.schemas import LR_ELASTIC_NET_PARAM, LR_REG_PARAM
+
+    model, train, _ = fitted
+    lr = model.stages[-1]
+    rows = model.transform(train).select("features", "price").collect()
+    X = np.array([r.features.toArray() for r in rows])
+    y = np.array([r.price for r in rows])
+    sx, sy = X.std(axis=0), y.std()
+    keep = sx > 0
+    Xs = (X[:, keep] - X[:, keep].mean(axis=0)) / sx[keep]
+    ys = (y - y.mean()) / sy
+    w = np.asarray(lr.coefficients)[keep] * sx[keep] / sy
+    lam = LR_REG_PARAM / sy
+    l1, l2 = lam * LR_ELASTIC_NET_PARAM, lam * (1 - LR_ELASTIC_NET_PARAM)
+    grad = Xs.T @ (ys - Xs @ w) / len(ys)
+    tol = 1e-3 * max(l1, 1e-12) + 1e-6
+    active = np.abs(w) > 1e-9
+    assert np.all(np.abs(grad[active] - (l1 * np.sign(w[active]) + l2 * w[active])) < tol)
+    assert np.all(np.abs(grad[~active]) <= l1 + tol)
+    # the intercept makes the mean residual zero
+    pred = np.array([r.prediction for r in model.transform(train).select("prediction").collect()])
+    assert abs((y - pred).mean()) < 1e-6 * max(1.0, abs(y.mean()))
+    assert active.sum() < len(w)  # the L1 part zeroes some coefficients
+
+
+def test_aggregates_are_layout_independent(feats):
+    base = {r.hour: (r.ride_count, r.avg_price) for r in dashboard.hourly_stats(feats).collect()}
+    for n in (1, 4, 7):
+        got = {r.hour: (r.ride_count, r.avg_price) for r in dashboard.hourly_stats(feats.repartition(n)).collect()}
+        assert got.keys() == base.keys()
+        for h in base:
+            assert got[h][0] == base[h][0] and abs(got[h][1] - base[h][1]) < 1e-9
