@@ -9,50 +9,47 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cabmeter.functions.columns import as_column
+from cabmeter.functions.columns import ident, sql_literal
 from cabmeter.schemas import DAY_NAMES
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def timestamp_from_millis(ms: Column | str) -> Column:
+def timestamp_from_millis(ms: str) -> Column:
     """epoch milliseconds -> UTC wall-clock timestamp (timestamp_ntz)."""
-    return F.timestamp_add("MILLISECOND", as_column(ms), F.expr(_EPOCH_NTZ))
+    return F.expr(f"timestampadd(MILLISECOND, {ident(ms)}, {_EPOCH_NTZ})")
 
 
-def millis_from_wall_clock(ts: Column | str) -> Column:
+def millis_from_wall_clock(ts: str) -> Column:
     """Inverse of F1: a UTC wall-clock ``TIMESTAMP_NTZ`` -> epoch
     milliseconds (microseconds truncated). Pure field arithmetic (days since
     the epoch, then the time of day), so no session time zone is involved,
     not even for wall-clock times that fall in a daylight-saving gap."""
-    t = as_column(ts)
-    days = F.unix_date(F.to_date(t)).cast("long")
-    millis_of_day = (
-        F.hour(t).cast("long") * F.lit(3_600_000)
-        + F.minute(t).cast("long") * F.lit(60_000)
-        + F.floor(F.date_part(F.lit("SECOND"), t) * F.lit(1000)).cast("long")
+    t = ident(ts)
+    return F.expr(
+        f"CAST(unix_date(to_date({t})) AS BIGINT) * 86400000"
+        f" + CAST(hour({t}) AS BIGINT) * 3600000"
+        f" + CAST(minute({t}) AS BIGINT) * 60000"
+        f" + CAST(floor(date_part('SECOND', {t}) * 1000) AS BIGINT)"
     )
-    return days * F.lit(86_400_000) + millis_of_day
 
 
-def hour_of_day(ts: Column | str) -> Column:
+def hour_of_day(ts: str) -> Column:
     """0-23."""
-    return F.hour(as_column(ts))
+    return F.expr(f"hour({ident(ts)})")
 
 
-def day_of_week(ts: Column | str) -> Column:
+def day_of_week(ts: str) -> Column:
     """1 = Sunday .. 7 = Saturday."""
-    return F.dayofweek(as_column(ts))
+    return F.expr(f"dayofweek({ident(ts)})")
 
 
-def month_of_year(ts: Column | str) -> Column:
+def month_of_year(ts: str) -> Column:
     """1-12."""
-    return F.month(as_column(ts))
+    return F.expr(f"month({ident(ts)})")
 
 
-def day_name(day: Column | str) -> Column:
+def day_name(day: str) -> Column:
     """day number (1 = Sunday) -> short name; other values give null."""
-    pairs = []
-    for number, name in DAY_NAMES.items():
-        pairs += [F.lit(number), F.lit(name)]
-    return F.try_element_at(F.create_map(*pairs), as_column(day).cast("int"))
+    whens = " ".join(f"WHEN {n} THEN {sql_literal(name)}" for n, name in DAY_NAMES.items())
+    return F.expr(f"CASE CAST({ident(day)} AS INT) {whens} END")

@@ -13,39 +13,35 @@ from pyspark.sql import functions as F
 from cabmeter.functions.calendar import (
     day_of_week, hour_of_day, month_of_year, timestamp_from_millis,
 )
-from cabmeter.functions.columns import as_column
+from cabmeter.functions.columns import ident
 
 
-def time_of_day(hour: Column | str) -> Column:
+def time_of_day(hour: str) -> Column:
     """6-11 morning, 12-16 afternoon, 17-20 evening, anything else
     (including null) night."""
-    h = as_column(hour)
-    return (
-        F.when(h.between(6, 11), F.lit("morning"))
-        .when(h.between(12, 16), F.lit("afternoon"))
-        .when(h.between(17, 20), F.lit("evening"))
-        .otherwise(F.lit("night"))
+    h = ident(hour)
+    return F.expr(
+        f"CASE WHEN {h} BETWEEN 6 AND 11 THEN 'morning'"
+        f" WHEN {h} BETWEEN 12 AND 16 THEN 'afternoon'"
+        f" WHEN {h} BETWEEN 17 AND 20 THEN 'evening'"
+        f" ELSE 'night' END"
     )
 
 
-def is_weekend(day: Column | str) -> Column:
+def is_weekend(day: str) -> Column:
     """1 for Sunday (1) and Saturday (7), else 0 (null -> 0)."""
-    return F.when(as_column(day).isin(1, 7), F.lit(1)).otherwise(F.lit(0))
+    return F.expr(f"CASE WHEN {ident(day)} IN (1, 7) THEN 1 ELSE 0 END")
 
 
-def is_surge(multiplier: Column | str) -> Column:
+def is_surge(multiplier: str) -> Column:
     """1 when the multiplier exceeds 1.0, else 0 (null -> 0)."""
-    return F.when(as_column(multiplier) > F.lit(1.0), F.lit(1)).otherwise(F.lit(0))
+    return F.expr(f"CASE WHEN {ident(multiplier)} > 1.0D THEN 1 ELSE 0 END")
 
 
-def distance_category(distance: Column | str) -> Column:
+def distance_category(distance: str) -> Column:
     """P10: < 1 short, < 3 medium, anything else (null, NaN) long."""
-    d = as_column(distance)
-    return (
-        F.when(d < F.lit(1), F.lit("short"))
-        .when(d < F.lit(3), F.lit("medium"))
-        .otherwise(F.lit("long"))
-    )
+    d = ident(distance)
+    return F.expr(f"CASE WHEN {d} < 1 THEN 'short' WHEN {d} < 3 THEN 'medium' ELSE 'long' END")
 
 
 def add_calendar(df: DataFrame, timestamp_col: str = "time_stamp") -> DataFrame:

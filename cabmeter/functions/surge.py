@@ -1,4 +1,4 @@
-"""Suggested surge multiplier from (hour, day_of_week), as one Column
+"""Suggested surge multiplier from (hour, day_of_week), as one SQL
 expression."""
 
 from __future__ import annotations
@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cabmeter.functions.columns import as_column
+from cabmeter.functions.columns import ident, sql_literal
 
 # Fixed values of the surge rules.
 SURGE_BY_HOUR = [  # (first hour, last hour, base multiplier), first match wins
@@ -23,32 +23,31 @@ SURGE_STEP = 0.25
 SURGE_MIN, SURGE_MAX = 1.0, 3.0
 
 
-def clamp(x: Column, low: float, high: float) -> Column:
+def clamp_sql(x: str, low: float, high: float) -> str:
     """F8."""
-    return F.greatest(F.lit(low), F.least(F.lit(high), x))
+    return f"greatest({sql_literal(low)}, least({sql_literal(high)}, {x}))"
 
 
-def round_to_step(x: Column, step: float) -> Column:
+def round_to_step_sql(x: str, step: float) -> str:
     """nearest multiple of ``step``, ties to even (as Python's round)."""
-    return F.bround(x / F.lit(step), 0) * F.lit(step)
+    return f"bround(({x}) / {sql_literal(step)}, 0) * {sql_literal(step)}"
 
 
-def suggested_surge(hour: Column | str, day: Column | str) -> Column:
+def suggested_surge(hour: str, day: str) -> Column:
     """base by hour, weekend adjustment, round to 0.25, clamp to [1, 3]."""
-    h, d = as_column(hour), as_column(day)
-    base = None
-    for first, last, mult in SURGE_BY_HOUR:
-        base = (F.when if base is None else base.when)(h.between(first, last), F.lit(mult))
-    base = base.otherwise(F.lit(SURGE_OTHER_HOURS))
-
-    weekend = d.isin(*SURGE_WEEKEND_DAYS)
+    h, d = ident(hour), ident(day)
+    base = "CASE " + " ".join(
+        f"WHEN {h} BETWEEN {first} AND {last} THEN {sql_literal(mult)}"
+        for first, last, mult in SURGE_BY_HOUR
+    ) + f" ELSE {sql_literal(SURGE_OTHER_HOURS)} END"
+    weekend = f"{d} IN ({', '.join(str(x) for x in SURGE_WEEKEND_DAYS)})"
     night_from, night_to, night_mult, night_cap = SURGE_WEEKEND_NIGHT
     brunch_from, brunch_to, brunch_mult, brunch_cap = SURGE_WEEKEND_BRUNCH
     adjusted = (
-        F.when(weekend & ((h >= night_from) | (h <= night_to)),
-               F.least(base * F.lit(night_mult), F.lit(night_cap)))
-        .when(weekend & h.between(brunch_from, brunch_to),
-              F.least(base * F.lit(brunch_mult), F.lit(brunch_cap)))
-        .otherwise(base)
+        f"CASE WHEN {weekend} AND ({h} >= {night_from} OR {h} <= {night_to})"
+        f" THEN least(({base}) * {sql_literal(night_mult)}, {sql_literal(night_cap)})"
+        f" WHEN {weekend} AND {h} BETWEEN {brunch_from} AND {brunch_to}"
+        f" THEN least(({base}) * {sql_literal(brunch_mult)}, {sql_literal(brunch_cap)})"
+        f" ELSE {base} END"
     )
-    return clamp(round_to_step(adjusted, SURGE_STEP), SURGE_MIN, SURGE_MAX)
+    return F.expr(clamp_sql(round_to_step_sql(adjusted, SURGE_STEP), SURGE_MIN, SURGE_MAX))

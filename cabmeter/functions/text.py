@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cabmeter.functions.columns import as_column
+from cabmeter.functions.columns import as_column, ident
 
 
-def normalize_key(c: Column | str) -> Column:
+def normalize_key(c: str) -> Column:
     """trim + lower-case, for route keys on both sides of a look-up."""
-    return F.lower(F.trim(as_column(c)))
+    return F.expr(f"lower(trim({ident(c)}))")
 
 
 def currency(x: Column | str) -> Column:

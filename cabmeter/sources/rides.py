@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cabmeter.functions.calendar import millis_from_wall_clock
+from cabmeter.functions.columns import sql_literal
 from cabmeter.operators.joins import broadcast_if_bounded
 from cabmeter.sources.layout import spread_if_underpartitioned
 from cabmeter.schemas import RIDES, SERVICES
@@ -39,16 +40,14 @@ NATION_KEYS = 25
 _EVENT_SERVICE = {"click": 0, "view": 1, "purchase": 2, "signup": 3}
 
 
-def _service_name(cab_type: Column, event_type: Column) -> Column:
-    def pick(i: int) -> Column:
-        return F.when(cab_type == "Uber", F.lit(SERVICES["Uber"][i])).otherwise(
-            F.lit(SERVICES["Lyft"][i])
-        )
+def _service_name_sql(cab_type: str, event_type: str) -> str:
+    def pick(i: int) -> str:
+        return (f"CASE WHEN {cab_type} = 'Uber' THEN {sql_literal(SERVICES['Uber'][i])}"
+                f" ELSE {sql_literal(SERVICES['Lyft'][i])} END")
 
-    expr = None
-    for event, i in _EVENT_SERVICE.items():
-        expr = (F.when if expr is None else expr.when)(event_type == event, pick(i))
-    return expr.otherwise(pick(4))
+    whens = " ".join(f"WHEN {event_type} = {sql_literal(e)} THEN {pick(i)}"
+                     for e, i in _EVENT_SERVICE.items())
+    return f"CASE {whens} ELSE {pick(4)} END"
 
 
 # Read schemas of the two input tables (no footer-based inference).
@@ -87,30 +86,25 @@ def rides_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = places.select(F.col("key").alias("src_key"), F.col("place").alias("source"))
     dst = places.select(F.col("key").alias("dst_key"), F.col("place").alias("destination"))
 
-    cab_type = F.when(F.col("user_id") % 2 == 0, F.lit("Uber")).otherwise(F.lit("Lyft"))
     # json_tuple is a generator: the JSON is parsed once per row, and filters
     # on the derived distance / price cannot re-inline the parse.
     events = events.select("*", F.json_tuple("props", "k").alias("k"))
-    distance = F.col("k").cast("double") / F.lit(10.0)
-    surge = F.lit(1.0) + (F.col("user_id") % 5).cast("double") * F.lit(0.25)
+    cab_type = "CASE WHEN user_id % 2 = 0 THEN 'Uber' ELSE 'Lyft' END"
     base = events.select(
         F.col("event_id").alias("ride_id"),
         millis_from_wall_clock("ts").alias("time_stamp"),
-        cab_type.alias("cab_type"),
-        _service_name(cab_type, F.col("event_type")).alias("name"),
-        (F.col("user_id") % NATION_KEYS).alias("src_key"),
-        (F.col("event_id") % NATION_KEYS).alias("dst_key"),
-        distance.alias("distance"),
-        surge.alias("surge_multiplier"),
+        F.expr(cab_type).alias("cab_type"),
+        F.expr(_service_name_sql(f"({cab_type})", "event_type")).alias("name"),
+        F.expr(f"user_id % {NATION_KEYS}").alias("src_key"),
+        F.expr(f"event_id % {NATION_KEYS}").alias("dst_key"),
+        F.expr("CAST(k AS DOUBLE) / 10.0D").alias("distance"),
+        F.expr("1.0D + CAST(user_id % 5 AS DOUBLE) * 0.25D").alias("surge_multiplier"),
         "value",
     )
-    price = (
-        F.when(F.col("ride_id") % 97 == 0, F.lit(None).cast("double"))
-        .when(F.col("ride_id") % 101 == 0, F.lit(0.0))
-        .otherwise(
-            F.lit(5.0) + F.lit(2.5) * F.col("distance") * F.col("surge_multiplier")
-            + F.col("value") * F.lit(0.01)
-        )
+    price = F.expr(
+        "CASE WHEN ride_id % 97 = 0 THEN CAST(NULL AS DOUBLE)"
+        " WHEN ride_id % 101 = 0 THEN 0.0D"
+        " ELSE 5.0D + 2.5D * distance * surge_multiplier + value * 0.01D END"
     )
     joined = base.join(src, "src_key", "left").join(dst, "dst_key", "left")
     return joined.select(
