@@ -11,6 +11,9 @@ the vocabularies and coefficients reach the driver.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 
 from cabmeter.functions.hashing import hash_bucket
 from cabmeter.functions.pricing import base_price, price_per_mile
+from cabmeter.sources.layout import spread_if_underpartitioned
 from cabmeter.schemas import (
     CATEGORICAL_FEATURES, LR_ELASTIC_NET_PARAM, LR_MAX_ITER, LR_REG_PARAM,
     NUMERIC_FEATURES, SPLIT_SEED, TRAIN_PERCENT,
@@ -60,6 +64,7 @@ def available_features(df: DataFrame, categorical=CATEGORICAL_FEATURES,
 
 
 def preprocessing_stages(categorical: list[str], numeric: list[str]) -> list:
+    """M1-M4: indexer and encoder (multi-column), assembler, scaler."""
     idx = [f"{c}_idx" for c in categorical]
     vec = [f"{c}_idx_vec" for c in categorical]
     stages = []
@@ -89,35 +94,20 @@ def fare_model(categorical: list[str], numeric: list[str]) -> Pipeline:
     return Pipeline(stages=preprocessing_stages(categorical, numeric) + [regressor()])
 
 
+@contextmanager
 def fitting_input(train: DataFrame, categorical: list[str], numeric: list[str]):
-    """A context manager giving the training rows, projected to the columns
-    the fit reads and persisted (memory, spilling to disk) for the fit's
-    passes: indexer counts, scaler moments and the regressor's statistics.
-    The cache is released when the eager fit returns; lost blocks are
-    recomputed from lineage, so an executor loss costs time, not results.
-
-    An input with fewer partitions than the cluster's default parallelism
-    (a small table stored as one file) is spread round-robin first, so the
-    fit's passes use every core; a large scan already has many partitions
-    and is cached as it is, without a shuffle."""
-    from contextlib import contextmanager
-
-    from pyspark import StorageLevel
-
-    @contextmanager
-    def _ctx():
-        cols = [c for c in [*categorical, *numeric, LABEL] if c in train.columns]
-        data = train.select(*cols)
-        parallelism = train.sparkSession.sparkContext.defaultParallelism
-        if data.rdd.getNumPartitions() < parallelism:
-            data = data.repartition(parallelism)
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            yield data
-        finally:
-            data.unpersist()
-
-    return _ctx()
+    """The training rows, projected to the columns the fit reads and
+    persisted (memory, spilling to disk) for the fit's passes: indexer
+    counts, scaler moments and the regressor's statistics. The cache is
+    released when the eager fit returns; lost blocks are recomputed from
+    lineage, so an executor loss costs time, not results. An input read by
+    fewer tasks than there are cores is spread first (a large scan is not)."""
+    cols = [c for c in [*categorical, *numeric, LABEL] if c in train.columns]
+    data = spread_if_underpartitioned(train.select(*cols)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield data
+    finally:
+        data.unpersist()
 
 
 def fit_fare_model(train: DataFrame) -> PipelineModel:
