@@ -59,3 +59,47 @@ def test_kafka_source_requires_connector(spark):
 
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka_stream(spark, "localhost:9092")
+
+
+def test_stream_restart_resumes_from_checkpoint(spark):
+    """A second run on the same checkpoint picks up only the new messages,
+    so each message is scored exactly once across restarts."""
+    from cabmeter.functions.features import add_ride_features
+    from cabmeter.session import fresh_dir
+    from cabmeter.sources.kafka import message_file_stream, write_message_files
+    from cabmeter.streaming.scoring import run_to_table
+
+    base = fresh_dir(spark, "streams")
+
+    def batch(ids):
+        rows = [(i, *VALID.values()) for i in ids]
+        ddl = ("ride_id long, cab_type string, name string, source string, destination string, "
+               "distance double, surge_multiplier double, hour int, day_of_week int, month int")
+        return to_messages(spark.createDataFrame(rows, ddl).coalesce(1), key_col="ride_id")
+
+    def run():
+        ok, _ = split_requests(decode_requests(message_file_stream(spark, f"{base}/in")))
+        return run_to_table(add_ride_features(ok), f"{base}/out", f"{base}/ck")
+
+    write_message_files(batch([1, 2, 3]), f"{base}/in")
+    first = sorted(r.key.decode() for r in run().collect())
+    write_message_files(batch([4, 5]), f"{base}/in")
+    second = sorted(r.key.decode() for r in run().collect())
+    assert first == ["1", "2", "3"]
+    assert second == ["1", "2", "3", "4", "5"]
+
+
+def test_console_sink(spark):
+    from cabmeter.session import fresh_dir
+    from cabmeter.sources.kafka import message_file_stream, write_message_files
+    from cabmeter.sources.requests import requests_from_records
+    from cabmeter.streaming.scoring import start_sink
+
+    base = fresh_dir(spark, "streams")
+    write_message_files(to_messages(requests_from_records(spark, [VALID])), f"{base}/in")
+    ok, _ = split_requests(decode_requests(message_file_stream(spark, f"{base}/in")))
+    q = start_sink(ok.select("cab_type", "name", "distance"), None, f"{base}/ck", fmt="console")
+    q.awaitTermination()
+    # The JVM prints the batch to its own stdout; check the query's progress.
+    assert q.exception() is None
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 1
