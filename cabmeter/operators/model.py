@@ -176,6 +176,16 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def load_model_pair(preprocessing_path: str, regressor_path: str) -> PipelineModel:
+    """S10 for the two-directory layout: a saved preprocessing
+    ``PipelineModel`` and a saved ``LinearRegressionModel``, combined into
+    one model that scores in a single ``transform``."""
+    from pyspark.ml.regression import LinearRegressionModel
+
+    prep = PipelineModel.load(preprocessing_path)
+    return PipelineModel(stages=[*prep.stages, LinearRegressionModel.load(regressor_path)])
+
+
 # -- A14 / M1 fit side ------------------------------------------------------------
 
 def label_index(df: DataFrame, categorical: list[str] = CATEGORICAL_FEATURES) -> DataFrame:

@@ -166,3 +166,19 @@ def test_aggregates_are_layout_independent(feats):
         assert got.keys() == base.keys()
         for h in base:
             assert got[h][0] == base[h][0] and abs(got[h][1] - base[h][1]) < 1e-9
+
+
+def test_two_directory_model_layout(spark, fitted):
+    """Preprocessing and regressor saved separately load back as one model."""
+    from pyspark.ml import PipelineModel
+
+    from cabmeter.session import fresh_dir
+
+    model, _, test = fitted
+    base = fresh_dir(spark, "models")
+    m.save_model(PipelineModel(stages=model.stages[:-1]), f"{base}/preprocessing_pipeline")
+    m.save_model(model.stages[-1], f"{base}/linear_regression_model")
+    pair = m.load_model_pair(f"{base}/preprocessing_pipeline", f"{base}/linear_regression_model")
+    a = {r.ride_id: r.prediction for r in model.transform(test).select("ride_id", "prediction").collect()}
+    b = {r.ride_id: r.prediction for r in pair.transform(test).select("ride_id", "prediction").collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)

@@ -1,0 +1,67 @@
+"""Property checks: the Spark expressions against the rules stated in plain
+Python, on generated inputs (including out-of-range, null and NaN)."""
+
+import math
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from cabmeter.functions import features, surge
+
+
+def rule_surge(hour, day):
+    base = 1.25
+    for first, last, mult in surge.SURGE_BY_HOUR:
+        if first <= hour <= last:
+            base = mult
+            break
+    if day in surge.SURGE_WEEKEND_DAYS:
+        if hour >= 22 or hour <= 3:
+            base = min(base * 1.4, 3.0)
+        elif 10 <= hour <= 14:
+            base = min(base * 1.2, 2.5)
+    return max(1.0, min(3.0, round(base * 4) / 4))
+
+
+def rule_time_of_day(h):
+    if h is not None and 6 <= h <= 11:
+        return "morning"
+    if h is not None and 12 <= h <= 16:
+        return "afternoon"
+    if h is not None and 17 <= h <= 20:
+        return "evening"
+    return "night"
+
+
+def rule_distance_category(d):
+    if d is None or math.isnan(d):
+        return "long"
+    return "short" if d < 1 else "medium" if d < 3 else "long"
+
+
+hours = st.integers(min_value=-5, max_value=30)
+days = st.integers(min_value=0, max_value=9)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(hours, days), min_size=1, max_size=40))
+def test_surge_matches_rules(spark, pairs):
+    df = spark.createDataFrame(pairs, "hour int, day_of_week int")
+    got = df.select("hour", "day_of_week", surge.suggested_surge("hour", "day_of_week").alias("s")).collect()
+    for r in got:
+        assert r.s == rule_surge(r.hour, r.day_of_week)
+        assert 1.0 <= r.s <= 3.0 and (r.s * 4).is_integer()
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), hours),
+                          st.one_of(st.none(), st.floats(allow_infinity=True, allow_nan=True,
+                                                         min_value=None, max_value=None, width=64))),
+                min_size=1, max_size=40))
+def test_features_match_rules(spark, rows):
+    df = spark.createDataFrame(rows, "hour int, distance double")
+    got = df.select("hour", "distance", features.time_of_day("hour").alias("t"),
+                    features.distance_category("distance").alias("c")).collect()
+    for r in got:
+        assert r.t == rule_time_of_day(r.hour)
+        assert r.c == rule_distance_category(r.distance)
