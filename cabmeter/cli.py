@@ -24,6 +24,16 @@ from pyspark.sql import functions as F
 from cabmeter.schemas import REQUEST_TOPIC
 
 
+def _load(args):
+    """``--model`` alone is a combined model; with ``--regressor`` it is the
+    preprocessing pipeline and the regressor is loaded from its own folder."""
+    from cabmeter.operators.model import load_model, load_model_pair
+
+    if getattr(args, "regressor", None):
+        return load_model_pair(args.model, args.regressor)
+    return load_model(args.model)
+
+
 def _session() -> SparkSession:
     spark = (SparkSession.builder.appName("cabmeter")
              .config("spark.sql.adaptive.enabled", "true")
@@ -59,13 +69,12 @@ def score_stream(args) -> None:
     """Kafka request messages -> features -> prediction -> sink (console by
     default), until stopped. With ``--checkpoint`` a restart resumes from the
     last committed offsets."""
-    from cabmeter.operators.model import load_model
     from cabmeter.sources.kafka import kafka_stream
     from cabmeter.streaming.decode import decode_requests, split_requests
     from cabmeter.streaming.scoring import score_requests, start_sink
 
     spark = _session()
-    model = load_model(args.model)
+    model = _load(args)
     ok, bad = split_requests(decode_requests(
         kafka_stream(spark, args.bootstrap, args.topic, args.starting_offsets)))
     q = start_sink(score_requests(model, ok), args.out, f"{args.checkpoint}/scores",
@@ -116,7 +125,7 @@ def quote(args) -> None:
     the time unless given, then price, base price and price per mile."""
     from cabmeter.functions.surge import suggested_surge
     from cabmeter.operators.joins import broadcast_if_bounded
-    from cabmeter.operators.model import load_model, quote_prices
+    from cabmeter.operators.model import quote_prices
     from cabmeter.operators.routes import check_quote_requests
     from cabmeter.functions.features import add_ride_features
     from cabmeter.sources.requests import requests_from_records
@@ -135,7 +144,7 @@ def quote(args) -> None:
     if bad:
         print(f"Request rejected: {bad[0].reject_reason}")
         sys.exit(2)
-    out = quote_prices(load_model(args.model), add_ride_features(checked.drop("reject_reason")))
+    out = quote_prices(_load(args), add_ride_features(checked.drop("reject_reason")))
     r = out.select("distance", "surge_multiplier", "predicted_price", "base_price",
                    "price_per_mile").first()
     print(f"Distance: {r.distance:.2f} miles | Surge: {r.surge_multiplier}x")
@@ -170,6 +179,7 @@ def main(argv=None) -> None:
     s.add_argument("--bootstrap", required=True)
     s.add_argument("--topic", default=REQUEST_TOPIC)
     s.add_argument("--model", required=True)
+    s.add_argument("--regressor", default=None)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--starting-offsets", default="latest")
     s.add_argument("--sink", default="console", choices=["console", "parquet"])
@@ -192,6 +202,7 @@ def main(argv=None) -> None:
 
     q = sub.add_parser("quote")
     q.add_argument("--model", required=True)
+    q.add_argument("--regressor", default=None)
     q.add_argument("--distance-map", required=True)
     for name in ("cab-type", "name", "source", "destination"):
         q.add_argument(f"--{name}", required=True)
