@@ -21,12 +21,15 @@ def broadcast_if_bounded(dim: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROW
 
 def materialized_dimension(dim: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROWS) -> DataFrame:
     """For a dimension derived from the fact data (an aggregate such as the
-    route map): write it once to the shared checkpoint folder, which cuts its
-    lineage and survives executor loss, then apply ``broadcast_if_bounded``
+    route map): write it once as a Parquet table under the shared checkpoint
+    folder and read it back, which cuts its lineage, survives executor loss
+    and gives the planner file statistics; then apply ``broadcast_if_bounded``
     to the written copy. The join then never shuffles the fact side when the
-    dimension is small, and the dimension is computed once, not per use."""
-    from cabmeter.session import shared_dir
-
-    shared_dir(dim.sparkSession)  # make sure a checkpoint folder is set
-    written = dim.checkpoint(eager=True)
-    return broadcast_if_bounded(written, max_rows)
+    dimension is small, and the dimension is computed once (an eager
+    ``checkpoint()`` of an unpersisted frame would compute it twice)."""
+    from cabmeter.session import fresh_dir
+
+    spark = dim.sparkSession
+    path = fresh_dir(spark, "dimensions")
+    dim.write.parquet(path)
+    return broadcast_if_bounded(spark.read.schema(dim.schema).parquet(path), max_rows)
