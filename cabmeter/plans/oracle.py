@@ -362,3 +362,20 @@ SELECT ride_id,
             ELSE 'invalid_month' END AS reject_reason
 FROM req WHERE {_bad_request}""",
 })
+
+
+# -- file sources ------------------------------------------------------------------------
+
+SQL.update({
+    "rides_csv_scan": _with() + """
+SELECT ride_id, time_stamp, cab_type, name, source, destination,
+       round(distance, 6) AS distance, round(surge_multiplier, 6) AS surge_multiplier,
+       round(price, 6) AS price
+FROM rides""",
+
+    "distance_map_csv_scan": _with(DMAP_CTE) + """
+SELECT source, destination, round(max_distance, 6) AS max_distance FROM dmap""",
+
+    "request_csv_scan": _with(REQ_CTE) + f"""
+SELECT {_REQ_COLS} FROM req""",
+})

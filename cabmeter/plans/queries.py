@@ -21,8 +21,9 @@ from cabmeter.operators.joins import materialized_dimension
 from cabmeter.plans.common import Rides, round_doubles
 from cabmeter.session import fresh_dir
 from cabmeter.sources.kafka import message_file_stream, to_messages, write_message_files
-from cabmeter.sources.requests import requests_from_rides
-from cabmeter.sources.rides import NATION, load_profile as _load_profile
+from cabmeter.sources.requests import read_requests_csv, requests_from_rides
+from cabmeter.sources.rides import NATION, load_profile as _load_profile, read_rides_csv
+from cabmeter.sources.routes import read_distance_map_csv
 from cabmeter.streaming.decode import decode_requests, split_requests
 from cabmeter.streaming.scoring import run_to_table, score_requests
 
@@ -247,6 +248,35 @@ def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(m.load_model(path).transform(test).select("ride_id", "prediction"))
 
 
+# -- step 10: file sources -----------------------------------------------------------
+
+def rides_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rides written as CSV with a header to the shared folder, read
+    back with the explicit rides schema."""
+    path = fresh_dir(spark, "csv")
+    Rides(spark, sf_dir).all.write.option("header", True).csv(path)
+    return round_doubles(read_rides_csv(spark, path))
+
+
+def distance_map_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: the longest distance per raw (source, destination) written as a
+    map CSV, read back with key normalisation (F5) and de-duplication."""
+    path = fresh_dir(spark, "csv")
+    raw = (Rides(spark, sf_dir).clean
+           .filter(F.col("source").isNotNull() & F.col("destination").isNotNull())
+           .groupBy("source", "destination").agg(F.max("distance").alias("max_distance")))
+    raw.write.option("header", True).csv(path)
+    return round_doubles(read_distance_map_csv(spark, path))
+
+
+def request_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per ride written as a request CSV (the message
+    fields), read back with the request schema."""
+    path = fresh_dir(spark, "csv")
+    requests_from_rides(Rides(spark, sf_dir).all).drop("ride_id").write.option("header", True).csv(path)
+    return round_doubles(read_requests_csv(spark, path))
+
+
 # -- step 8-9: messages and streaming ------------------------------------------------
 
 def _messages(rides_df: DataFrame) -> DataFrame:
@@ -339,6 +369,9 @@ QUERIES: dict[str, Query] = {
     "prediction_preview": prediction_preview,
     "quote_prices": quote_prices,
     "model_round_trip": model_round_trip,
+    "rides_csv_scan": rides_csv_scan,
+    "distance_map_csv_scan": distance_map_csv_scan,
+    "request_csv_scan": request_csv_scan,
     "request_messages": request_messages,
     "stream_ride_features": stream_ride_features,
     "stream_rejects": stream_rejects,
