@@ -15,7 +15,9 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler,
+)
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -220,28 +222,39 @@ def onehot_slot_counts(model: PipelineModel, df: DataFrame,
     return slots.groupBy("feature", "slot", "block_size").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def feature_slots(model: PipelineModel, numeric: list[str]) -> list[tuple[int, str, str | None]]:
+    """(position, feature, label) of every entry of the assembled vector:
+    one slot per label of each one-hot block (the indexer's vocabulary, which
+    the fitted model holds), then the numeric features."""
+    names: list[tuple[str, str | None]] = []
+    for stage in model.stages:
+        if isinstance(stage, StringIndexerModel):
+            for feature, labels in zip(stage.getInputCols(), stage.labelsArray):
+                names += [(feature, label) for label in labels]
+    names += [(name, None) for name in numeric]
+    return [(pos, feature, label) for pos, (feature, label) in enumerate(names)]
+
+
 def feature_std(model: PipelineModel, df: DataFrame,
                 numeric: list[str] = NUMERIC_FEATURES) -> DataFrame:
-    """Sample standard deviation of each numeric feature before
-    scaling (what the scaler divides by) and after it (1, or 0 for a
-    constant feature), from one distributed Summarizer pass."""
+    """Sample standard deviation of every assembled feature before
+    scaling (what the scaler divides by) and after it (1, or 0 for a constant
+    feature), from one distributed Summarizer pass. One-hot slots are named
+    by (feature, label); numeric features have a null label."""
     from pyspark.ml.functions import vector_to_array
     from pyspark.ml.stat import Summarizer
 
-    t = model.transform(df)
-    stats = t.select(
+    stats = model.transform(df).select(
         vector_to_array(Summarizer.std(F.col("features_raw"))).alias("raw"),
         vector_to_array(Summarizer.std(F.col("features"))).alias("scaled"),
     )
-    names = F.array(*[F.lit(n) for n in numeric])
-    k = len(numeric)
-    exploded = stats.select(F.posexplode("raw").alias("pos", "raw_std"), "scaled")
-    start = F.size("scaled") - F.lit(k)
-    return exploded.filter(F.col("pos") >= start).select(
-        F.element_at(names, (F.col("pos") - start + 1).cast("int")).alias("feature"),
-        "raw_std",
-        F.element_at("scaled", (F.col("pos") + 1).cast("int")).alias("scaled_std"),
-    )
+    exploded = stats.select(
+        F.posexplode("raw").alias("pos", "raw_std"), "scaled"
+    ).select("pos", "raw_std", F.element_at("scaled", (F.col("pos") + 1).cast("int")).alias("scaled_std"))
+    # The slot table is as large as the vocabulary (held by the model anyway).
+    names = df.sparkSession.createDataFrame(
+        feature_slots(model, numeric), "pos int, feature string, label string")
+    return exploded.join(F.broadcast(names), "pos").select("feature", "label", "raw_std", "scaled_std")
 
 
 def fit_single_feature(train: DataFrame, feature: str = "distance") -> DataFrame:

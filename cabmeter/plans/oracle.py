@@ -275,12 +275,20 @@ _not_null_numeric = " AND ".join(f"{c} IS NOT NULL AND NOT isnan(CAST({c} AS DOU
 
 
 def _std_select(c: str) -> str:
-    return (f"SELECT '{c}' AS feature, round(s.sd, 6) AS raw_std, "
+    return (f"SELECT '{c}' AS feature, CAST(NULL AS VARCHAR) AS label, round(s.sd, 6) AS raw_std, "
             f"round(CASE WHEN s.sd > 0 THEN (SELECT stddev_samp(CAST({c} AS DOUBLE) / s.sd) FROM train) "
             f"ELSE {_d(0.0)} END, 6) AS scaled_std "
             f"FROM (SELECT stddev_samp(CAST({c} AS DOUBLE)) AS sd FROM train) s")
 
 
+# A one-hot slot is a 0/1 indicator: with c ones among n rows its sample
+# deviation is sqrt(c (n - c) / (n (n - 1))).
+_SLOT_STD = """SELECT i.feature, i.label,
+       round(sqrt(CAST(i.label_count AS DOUBLE) * (t.n - i.label_count) / (t.n * (t.n - 1.0))), 6) AS raw_std,
+       CASE WHEN i.label_count < t.n THEN 1.0 ELSE 0.0 END AS scaled_std
+FROM idx i, (SELECT count(*) AS n FROM train) t"""
+
+
 SQL.update({
     "label_index": _with(*SPLIT_CTES, *LABEL_CTES) + """
 SELECT feature, label, label_count, CAST(label_index AS INTEGER) AS label_index FROM idx""",
@@ -299,7 +307,8 @@ SELECT split, count(*) AS total_rows,
        count(*) - count(*) FILTER (WHERE {_not_null_numeric}) AS skipped_rows
 FROM labelled GROUP BY split""",
 
-    "scaled_feature_std": _with(*SPLIT_CTES) + "\n" + "\nUNION ALL\n".join(_std_select(c) for c in _NUMS),
+    "scaled_feature_std": _with(*SPLIT_CTES, *LABEL_CTES) + "\n"
+        + "\nUNION ALL\n".join([_SLOT_STD] + [_std_select(c) for c in _NUMS]),
 
     "fare_enet_distance": _with(*SPLIT_CTES, """st AS (
   SELECT count(*) AS n, avg(distance) AS mx, avg(price) AS my, stddev_pop(distance) AS sx,
