@@ -111,8 +111,7 @@ def dashboard(args) -> None:
         "hourly": hourly, "daily": d.daily_stats(feats), "service": service,
         "top_services": d.top_services(service), "surge": d.surge_stats(feats),
         "kpis": d.dashboard_kpis(hourly), "fare_trend": d.fare_trend(feats),
-        "distance_price": d.distance_price_sample(feats, id_col=args.id_col)
-        if args.id_col in feats.columns else None,
+        "distance_price": d.distance_price_sample(feats, id_col=args.id_col),
     }
     for name, df in tables.items():
         if df is not None:

@@ -7,7 +7,7 @@ engine that has MD5.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabmeter.functions.columns import as_column
@@ -22,3 +22,11 @@ def hash32(row_id: Column | str, seed: int) -> Column:
 def hash_bucket(row_id: Column | str, seed: int, buckets: int = 100) -> Column:
     """0 .. buckets-1, uniform over ids."""
     return hash32(row_id, seed) % F.lit(buckets)
+
+
+def row_key(df: DataFrame, id_col: str | None) -> Column:
+    """The sampling / split key: ``id_col`` when the table has it, else a
+    64-bit hash of the whole row (equal rows then fall on the same side)."""
+    if id_col and id_col in df.columns:
+        return F.col(id_col)
+    return F.xxhash64(*[F.col(c) for c in df.columns])

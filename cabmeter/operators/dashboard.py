@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabmeter.functions.calendar import day_name
-from cabmeter.functions.hashing import hash32
+from cabmeter.functions.hashing import hash32, row_key
 from cabmeter.functions.text import currency, hour_text, thousands
 from cabmeter.schemas import SAMPLE_CAP, SAMPLE_PERCENT, SPLIT_SEED
 
@@ -116,13 +116,15 @@ def distance_price_sample(rides: DataFrame, id_col: str = "ride_id",
                           percent: int = SAMPLE_PERCENT, cap: int = SAMPLE_CAP,
                           seed: int = SPLIT_SEED) -> DataFrame:
     """R1 + T4 + P6: a ``percent`` % hash sample of (distance, price), capped
-    at ``cap`` rows chosen by hash then id. The result does not depend on the
-    input's partitioning; the cap is a bounded top-k."""
-    h = hash32(id_col, seed)
+    at ``cap`` rows chosen by hash then key. The key is ``id_col``, or a hash
+    of the whole row when the table has no id. The result does not depend on
+    the input's partitioning; the cap is a bounded top-k."""
+    key = row_key(rides, id_col)
     return (
-        rides.select(id_col, "distance", "price", h.alias("_h"))
+        rides.select(key.alias("_key"), "distance", "price")
+        .withColumn("_h", hash32("_key", seed))
         .filter(F.col("_h") % 100 < percent)
-        .orderBy("_h", id_col)
+        .orderBy("_h", "_key")
         .limit(cap)
         .select("distance", "price")
     )

@@ -22,7 +22,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cabmeter.functions.hashing import hash_bucket
+from cabmeter.functions.hashing import hash_bucket, row_key
 from cabmeter.functions.pricing import base_price, price_per_mile
 from cabmeter.sources.layout import spread_if_underpartitioned
 from cabmeter.schemas import (
@@ -40,14 +40,6 @@ def train_mask(id_col: str | Column = "ride_id", percent: int = TRAIN_PERCENT,
     return hash_bucket(id_col, seed) < F.lit(percent)
 
 
-def row_key(df: DataFrame, id_col: str | None) -> Column:
-    """The split key: ``id_col`` when the table has it, else a 64-bit hash of
-    the whole row (equal rows then fall on the same side)."""
-    if id_col and id_col in df.columns:
-        return F.col(id_col)
-    return F.xxhash64(*[F.col(c) for c in df.columns])
-
-
 def split_train_test(df: DataFrame, id_col: str | None = "ride_id", percent: int = TRAIN_PERCENT,
                      seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
     """R2: a hash split by row id; unlike ``randomSplit`` it gives the same

@@ -16,3 +16,18 @@ def spread_if_underpartitioned(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() < parallelism:
         return df.repartition(parallelism)
     return df
+
+
+def read_csv_by_name(spark, path: str, schema) -> DataFrame:
+    """A CSV with a header line, typed by column *name*: each column named in
+    ``schema`` is cast to its type (``try_cast``: a malformed value becomes
+    null instead of failing the job), other columns stay text, and the file's
+    column order does not matter. No inference pass is made."""
+    from pyspark.sql import functions as F
+
+    raw = spark.read.option("header", True).csv(path)
+    types = {f.name: f.dataType for f in schema.fields}
+    return raw.select(*[
+        F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c)
+        for c in raw.columns
+    ])

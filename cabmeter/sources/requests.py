@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cabmeter.functions.features import add_calendar
+from cabmeter.sources.layout import read_csv_by_name
 from cabmeter.schemas import REQUEST
 
 REQUEST_FIELDS = [f.name for f in REQUEST.fields]
 
 
 def read_requests_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Request CSV with a header line, explicit schema."""
-    return spark.read.option("header", True).schema(REQUEST).csv(path)
+    """Request CSV with a header line, typed by column name."""
+    return read_csv_by_name(spark, path, REQUEST)
 
 
 def _coerce(value, dtype):

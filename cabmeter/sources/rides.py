@@ -10,17 +10,18 @@ from pyspark.sql import types as T
 from cabmeter.functions.calendar import millis_from_wall_clock
 from cabmeter.functions.columns import sql_literal
 from cabmeter.operators.joins import broadcast_if_bounded
-from cabmeter.sources.layout import spread_if_underpartitioned
+from cabmeter.sources.layout import read_csv_by_name, spread_if_underpartitioned
 from cabmeter.schemas import RIDES, SERVICES
 
 
 def read_rides_csv(spark: SparkSession, path: str, infer_schema: bool = False) -> DataFrame:
-    """Rides CSV with a header line. The explicit schema avoids an extra
-    inference pass over the data; ``infer_schema=True`` restores it."""
-    reader = spark.read.option("header", True)
+    """Rides CSV with a header line. Known columns are typed by name from
+    ``RIDES`` (any order, extra columns kept as text, missing ones absent),
+    so no inference pass over the data is needed; ``infer_schema=True``
+    restores Spark's inference instead."""
     if infer_schema:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(RIDES).csv(path)
+        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return read_csv_by_name(spark, path, RIDES)
 
 
 def load_profile(df: DataFrame) -> DataFrame:

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cabmeter.operators.routes import normalize_distance_map
 from cabmeter.schemas import DISTANCE_MAP
+from cabmeter.sources.layout import read_csv_by_name
 
 
 def read_distance_map_csv(spark: SparkSession, path: str) -> DataFrame:
     """The map with both keys trimmed and lower-cased (F5) and unique per
     directed route (the larger distance wins on a duplicate key)."""
-    raw = spark.read.option("header", True).schema(DISTANCE_MAP).csv(path)
+    raw = read_csv_by_name(spark, path, DISTANCE_MAP)
     return normalize_distance_map(raw)

@@ -31,3 +31,20 @@ def test_cli_train_dashboard_quote_scenarios(spark, sf_small, capsys):
               "--destination", "Fenway", "--hour", "8", "--day", "2", "--month", "6"])
     out = capsys.readouterr().out
     assert "Distance: 1.71 miles | Surge: 1.75x" in out and "Estimated price: $" in out
+
+
+def test_cli_on_the_original_file_layout(spark, sf_small, capsys):
+    """Columns in the original file's order, a text id, no ride_id."""
+    from pyspark.sql import functions as F
+
+    d = tempfile.mkdtemp(prefix="cabmeter-cli-")
+    path = os.path.join(d, "cab_rides")
+    rides = rides_from_tables(spark, sf_small)
+    rides.select("distance", "cab_type", "time_stamp", "destination", "source", "price",
+                 "surge_multiplier", F.concat(F.lit("r"), F.col("ride_id").cast("string")).alias("id"),
+                 F.lit("p").alias("product_id"), "name").write.option("header", True).csv(path)
+    cli.main(["train", "--rides", path, "--model-out", os.path.join(d, "model"), "--id-col", "id"])
+    assert "Loaded 1,000 rows | 10 columns" in capsys.readouterr().out
+    cli.main(["dashboard", "--rides", path, "--out", os.path.join(d, "dash")])
+    sample = spark.read.parquet(os.path.join(d, "dash", "distance_price"))
+    assert 0 < sample.count() <= 1000
