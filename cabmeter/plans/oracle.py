@@ -283,10 +283,10 @@ def _std_select(c: str) -> str:
 
 # A one-hot slot is a 0/1 indicator: with c ones among n rows its sample
 # deviation is sqrt(c (n - c) / (n (n - 1))).
-_SLOT_STD = """SELECT i.feature, i.label,
-       round(sqrt(CAST(i.label_count AS DOUBLE) * (t.n - i.label_count) / (t.n * (t.n - 1.0))), 6) AS raw_std,
-       CASE WHEN i.label_count < t.n THEN 1.0 ELSE 0.0 END AS scaled_std
-FROM idx i, (SELECT count(*) AS n FROM train) t"""
+_SLOT_STD = """SELECT feature, label,
+       round(sqrt(CAST(label_count AS DOUBLE) * (n - label_count) / (n * (n - 1.0))), 6) AS raw_std,
+       CASE WHEN label_count < n THEN 1.0 ELSE 0.0 END AS scaled_std
+FROM (SELECT feature, label, label_count, (SELECT count(*) FROM train) AS n FROM idx)"""
 
 
 SQL.update({
