@@ -2,8 +2,9 @@
 publishing, the dashboard tables, a single quote and the fare scenarios.
 
     python -m cabmeter.cli train --rides rides.csv --model-out models/fare
-    python -m cabmeter.cli score-stream --bootstrap host:9092 --model models/fare
+    python -m cabmeter.cli score-stream --bootstrap host:9092 --model models/fare --checkpoint ck/
     python -m cabmeter.cli publish --requests ride_features.csv --bootstrap host:9092
+    (offline: publish --out-dir msgs/, then score-stream --messages-dir msgs/ --available-now)
     python -m cabmeter.cli dashboard --rides rides.csv --out dashboard/
     python -m cabmeter.cli quote --model models/fare --distance-map map.csv \\
         --cab-type Uber --name UberX --source "Back Bay" --destination Fenway --hour 8 --day 2 --month 6
@@ -73,16 +74,23 @@ def score_stream(args) -> None:
     from cabmeter.streaming.decode import decode_requests, split_requests
     from cabmeter.streaming.scoring import score_requests, start_sink
 
+    from cabmeter.sources.kafka import message_file_stream
+
     spark = _session()
     model = _load(args)
-    ok, bad = split_requests(decode_requests(
-        kafka_stream(spark, args.bootstrap, args.topic, args.starting_offsets)))
-    q = start_sink(score_requests(model, ok), args.out, f"{args.checkpoint}/scores",
-                   fmt=args.sink, available_now=False, processing_time=args.trigger)
+    if args.messages_dir:
+        source = message_file_stream(spark, args.messages_dir)
+    else:
+        source = kafka_stream(spark, args.bootstrap, args.topic, args.starting_offsets)
+    ok, bad = split_requests(decode_requests(source))
+    queries = [start_sink(score_requests(model, ok), args.out, f"{args.checkpoint}/scores",
+                          fmt=args.sink, available_now=args.available_now,
+                          processing_time=args.trigger)]
     if args.rejects_out:
-        start_sink(bad, args.rejects_out, f"{args.checkpoint}/rejects", fmt="parquet",
-                   available_now=False, processing_time=args.trigger)
-    q.awaitTermination()
+        queries.append(start_sink(bad, args.rejects_out, f"{args.checkpoint}/rejects", fmt="parquet",
+                                  available_now=args.available_now, processing_time=args.trigger))
+    for q in queries:
+        q.awaitTermination()
 
 
 def publish(args) -> None:
@@ -91,9 +99,14 @@ def publish(args) -> None:
     from cabmeter.sources.kafka import to_messages
     from cabmeter.sources.requests import read_requests_csv
 
+    from cabmeter.sources.kafka import write_message_files
+
     spark = _session()
-    reqs = read_requests_csv(spark, args.requests)
-    publish_messages(to_messages(reqs, topic=args.topic), args.bootstrap, args.topic)
+    messages = to_messages(read_requests_csv(spark, args.requests), topic=args.topic)
+    if args.out_dir:
+        write_message_files(messages, args.out_dir)
+    else:
+        publish_messages(messages, args.bootstrap, args.topic)
 
 
 def dashboard(args) -> None:
@@ -175,7 +188,10 @@ def main(argv=None) -> None:
     t.set_defaults(fn=train)
 
     s = sub.add_parser("score-stream")
-    s.add_argument("--bootstrap", required=True)
+    src = s.add_mutually_exclusive_group(required=True)
+    src.add_argument("--bootstrap")
+    src.add_argument("--messages-dir", help="Parquet message files instead of Kafka")
+    s.add_argument("--available-now", action="store_true", help="drain what is there, then stop")
     s.add_argument("--topic", default=REQUEST_TOPIC)
     s.add_argument("--model", required=True)
     s.add_argument("--regressor", default=None)
@@ -189,7 +205,9 @@ def main(argv=None) -> None:
 
     pb = sub.add_parser("publish")
     pb.add_argument("--requests", required=True)
-    pb.add_argument("--bootstrap", required=True)
+    dst = pb.add_mutually_exclusive_group(required=True)
+    dst.add_argument("--bootstrap")
+    dst.add_argument("--out-dir", help="write Parquet message files instead of Kafka")
     pb.add_argument("--topic", default=REQUEST_TOPIC)
     pb.set_defaults(fn=publish)
 
