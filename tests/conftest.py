@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,11 +10,12 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from cabmeter.session import build_session
+    from cabmeter.session import build_session, shared_dir
 
-    # Tests own their session, so they set the shared folder themselves.
-    ckpt = tempfile.mkdtemp(prefix="cabmeter-test-")
-    s = build_session("local[*]", 8, "cabmeter-tests", {"spark.checkpoint.dir": ckpt})
+    s = build_session("local[*]", 8, "cabmeter-tests")
+    # The shared folder comes from the session's spark.checkpoint.dir; only
+    # when that is unset does shared_dir give this local session its own.
+    shared_dir(s)
     yield s
     s.stop()
 
