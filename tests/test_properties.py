@@ -65,3 +65,39 @@ def test_features_match_rules(spark, rows):
     for r in got:
         assert r.t == rule_time_of_day(r.hour)
         assert r.c == rule_distance_category(r.distance)
+
+
+def rule_clean(price, distance):
+    # NaN compares above every number in Spark, so a NaN passes "> 0".
+    def positive(x):
+        return x is not None and (math.isnan(x) or x > 0)
+
+    return price is not None and positive(price) and positive(distance)
+
+
+numbers = st.one_of(st.none(), st.floats(allow_nan=True, allow_infinity=True, width=64))
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(numbers, numbers), min_size=1, max_size=40))
+def test_clean_rides_matches_rule(spark, rows):
+    from cabmeter.operators.clean import clean_rides
+
+    data = [(i, p, d) for i, (p, d) in enumerate(rows)]
+    df = spark.createDataFrame(data, "ride_id long, price double, distance double")
+    kept = {r.ride_id for r in clean_rides(df).collect()}
+    assert kept == {i for i, p, d in data if rule_clean(p, d)}
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=2**62), min_size=1, max_size=50, unique=True))
+def test_hash_bucket_matches_md5(spark, ids):
+    import hashlib
+
+    from cabmeter.functions.hashing import hash_bucket
+
+    df = spark.createDataFrame([(i,) for i in ids], "ride_id long")
+    got = {r.ride_id: r.b for r in df.select("ride_id", hash_bucket("ride_id", 42).alias("b")).collect()}
+    for i in ids:
+        expected = int(hashlib.md5(f"42:{i}".encode()).hexdigest()[:8], 16) % 100
+        assert got[i] == expected
