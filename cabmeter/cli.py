@@ -67,15 +67,15 @@ def train(args) -> None:
 
 
 def score_stream(args) -> None:
-    """Kafka request messages -> features -> prediction -> sink (console by
-    default), until stopped. With ``--checkpoint`` a restart resumes from the
-    last committed offsets."""
-    from cabmeter.sources.kafka import kafka_stream
+    """Request messages (Kafka, or message files with ``--messages-dir``) ->
+    features -> prediction -> sink (console by default), until stopped or,
+    with ``--available-now``, until the input present is drained. Rejected
+    messages go to ``--rejects-out``. The checkpoint folder makes a restart
+    resume from the last committed offsets."""
+    from cabmeter.sources.kafka import kafka_stream, message_file_stream
     from cabmeter.streaming.decode import decode_requests, split_requests
     from cabmeter.streaming.scoring import score_requests, start_sink
 
-    from cabmeter.sources.kafka import message_file_stream
-
     spark = _session()
     model = _load(args)
     if args.messages_dir:
