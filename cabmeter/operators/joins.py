@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (rows) broadcast to every task.
-DIMENSION_BROADCAST_ROWS = 1_000_000
+# Largest dimension (rows) broadcast to every executor: about 32 MB for the
+# route map at roughly 64 bytes per row (two place names and a double).
+DIMENSION_BROADCAST_ROWS = 500_000
 
 
 def broadcast_if_bounded(dim: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROWS) -> DataFrame:
