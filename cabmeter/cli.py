@@ -73,7 +73,7 @@ def score_stream(args) -> None:
     messages go to ``--rejects-out``. The checkpoint folder makes a restart
     resume from the last committed offsets."""
     from cabmeter.sources.kafka import kafka_stream, message_file_stream
-    from cabmeter.streaming.decode import decode_requests, split_requests
+    from cabmeter.streaming.decode import PASSTHROUGH, decode_requests, split_requests
     from cabmeter.streaming.scoring import score_requests, start_sink
 
     spark = _session()
@@ -83,7 +83,9 @@ def score_stream(args) -> None:
     else:
         source = kafka_stream(spark, args.bootstrap, args.topic, args.starting_offsets)
     ok, bad = split_requests(decode_requests(source))
-    queries = [start_sink(score_requests(model, ok), args.out, f"{args.checkpoint}/scores",
+    # Message key, topic, partition and offset ride along with each score.
+    scored = score_requests(model, ok, extra=PASSTHROUGH)
+    queries = [start_sink(scored, args.out, f"{args.checkpoint}/scores",
                           fmt=args.sink, available_now=args.available_now,
                           processing_time=args.trigger)]
     if args.rejects_out:

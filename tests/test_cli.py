@@ -70,5 +70,7 @@ def test_cli_publish_and_score_stream_offline(spark, sf_small):
     scores = spark.read.parquet(os.path.join(d, "scores")).collect()
     rejects = spark.read.parquet(os.path.join(d, "rejects")).collect()
     assert sorted(r.name for r in scores) == ["Lyft XL", "UberX"]
+    assert {"key", "topic", "partition", "offset", "predicted_price"} <= set(scores[0].asDict())
+    assert {r.topic for r in scores} == {"cab_price_features"}
     assert all(r.predicted_price == r.predicted_price for r in scores)  # not NaN
     assert [r.reject_reason for r in rejects] == ["invalid_distance"]
