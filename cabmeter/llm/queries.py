@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabmeter.llm import chat, shards, urls
+from cabmeter.llm import chat, mixture, quality, shards, tokens, topk, urls
+from cabmeter.llm.scratch import cut
 
 URL_RULES = [
     urls.Rule("allow", "com", "/"),
@@ -54,8 +55,44 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mixture of all sources takes of every document."""
+    docs = table(spark, sf_dir, "documents")
+    narrow = cut(docs.select("doc_id", "source", mixture.word_count(F.col("text")).alias("size")), "sizes")
+    return mixture.mix_plan(narrow, N_SHARDS).select(
+        "doc_id", "size", F.col("__source_size").alias("source_size"),
+        F.col("__target").alias("target"), F.col("__taken").alias("taken"))
+
+
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows for every vector whose id is divisible by 50."""
+    vectors = topk.whole_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.exact_top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count of every document."""
+    counts = tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path())
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op2_mixing": op2_mixing,
     "op3_chat_format": op3_chat_format,
+    "op5_top_k": op5_top_k,
     "op6_shards": op6_shards,
+    "op9_quality": op9_quality,
+    "op10_token_counts": op10_token_counts,
 }
