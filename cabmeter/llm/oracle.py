@@ -50,8 +50,36 @@ r AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+# Brute force over the pairs that share a shingle, then reachability.
+OP7 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) >= 2
+      THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+      WHEN len(w) = 1 THEN w ELSE [] END) AS s FROM w)),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+both_ AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i
+  FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM both_ JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * i >= 80 * (x.n + y.n - i)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(doc_id, other) AS (
+  SELECT a, b FROM edge UNION SELECT r.doc_id, e.b FROM reach r JOIN edge e ON e.a = r.other),
+low AS (SELECT doc_id, least(doc_id, min(other)) AS c FROM reach GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(c, d.doc_id) AS component_id,
+       coalesce(c, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN size USING (doc_id) LEFT JOIN low USING (doc_id)
+"""
+
 SQL = {
     "op1_url_filters": OP1,
     "op3_chat_format": OP3,
     "op5_top_k": OP5,
+    "op7_near_dedup": OP7,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabmeter.llm import chat, mixture, quality, shards, tokens, topk, urls
+from cabmeter.llm import chat, minhash, mixture, quality, shards, tokens, topk, urls
 from cabmeter.llm.scratch import cut
 
 URL_RULES = [
@@ -70,6 +70,11 @@ def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document, by 2-word shingles."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -93,6 +98,7 @@ QUERIES = {
     "op3_chat_format": op3_chat_format,
     "op5_top_k": op5_top_k,
     "op6_shards": op6_shards,
+    "op7_near_dedup": op7_near_dedup,
     "op9_quality": op9_quality,
     "op10_token_counts": op10_token_counts,
 }
