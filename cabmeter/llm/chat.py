@@ -49,22 +49,30 @@ def rendered(turns: Column, escape: bool) -> Column:
         F.lit(OPEN), put(t["role"]), F.lit(MIDDLE), put(t["text"]), F.lit(CLOSE))), "")
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once. A column that is used
+    inside a lambda would else be evaluated for every element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def parsed(formatted: Column) -> Column:
     """The turns (array of role and text) of a formatted conversation, or
     null if it does not follow the grammar."""
-    marks = F.regexp_extract_all(formatted, F.lit(f"({CONTROL})"), 1)
-    parts = F.split(formatted, CONTROL, -1)
-    # parts: "" role text "" role text ... ""; one more than marks
-    n = F.floor(F.size(marks) / 3).cast("int")
-    steps = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(
-        F.array().cast("array<int>"))
-    ordered = (F.size(marks) % 3 == 0) & (marks == F.flatten(F.transform(
-        steps, lambda _: F.array(F.lit(OPEN), F.lit(MIDDLE), F.lit(CLOSE)))))
-    closed = F.forall(F.sequence(F.lit(0), n), lambda i: F.get(parts, i * 3) == "")
-    turns = F.transform(steps, lambda i: F.struct(
-        unescaped(F.get(parts, i * 3 + 1)).alias("role"),
-        unescaped(F.get(parts, i * 3 + 2)).alias("text")))
-    return F.when(ordered & closed, turns)
+    def read(marks: Column, parts: Column) -> Column:
+        # parts: "" role text "" role text ... ""; one more than marks
+        n = F.floor(F.size(marks) / 3).cast("int")
+        steps = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        grammar = F.array(F.lit(OPEN), F.lit(MIDDLE), F.lit(CLOSE))
+        ordered = (F.size(marks) % 3 == 0) & F.forall(
+            F.transform(marks, lambda m, i: F.struct(m.alias("m"), i.alias("i"))),
+            lambda x: x["m"] == F.get(grammar, x["i"] % 3))
+        closed = F.forall(F.sequence(F.lit(0), n), lambda i: F.get(parts, i * 3) == "")
+        return F.when(ordered & closed, F.transform(steps, lambda i: F.struct(
+            unescaped(F.get(parts, i * 3 + 1)).alias("role"),
+            unescaped(F.get(parts, i * 3 + 2)).alias("text"))))
+
+    return let(F.regexp_extract_all(formatted, F.lit(f"({CONTROL})"), 1), lambda marks: let(
+        F.split(formatted, CONTROL, -1), lambda parts: read(marks, parts)))
 
 
 def format_chats(rows: DataFrame, conv: str = "conv_id", turn: str = "turn",
@@ -88,25 +96,34 @@ def format_chats(rows: DataFrame, conv: str = "conv_id", turn: str = "turn",
         F.struct(F.col(turn).alias("turn"),
                  F.coalesce(F.col(role), F.lit("")).alias("role"),
                  F.coalesce(F.col(text), F.lit("")).alias("text")).alias("t"))
-        .groupBy("__conv").agg(F.sort_array(F.collect_list("t")).alias("t"))
-        .select("__conv", F.transform("t", lambda t: F.struct(
-            t["role"].alias("role"), t["text"].alias("text"))).alias("source")))
-    first = turns.withColumn("raw", rendered(F.col("source"), False))
-    tried = first.withColumn("escaped", ~F.coalesce(parsed(F.col("raw")) == F.col("source"), F.lit(False)))
-    final = tried.withColumn("formatted", F.when(
-        F.col("escaped"), rendered(F.col("source"), True)).otherwise(F.col("raw")))
-    read = final.withColumn("turns", parsed(F.col("formatted")))
-    checked = read.withColumn("turns", F.when(
-        F.coalesce(F.col("turns") == F.col("source"), F.lit(False)), F.col("turns")).otherwise(
-        F.raise_error(F.lit("a formatted conversation does not read back as its source"))))
-    put = F.when(F.col("escaped"), F.transform("turns", lambda t: F.struct(
-        escaped(t["role"]).alias("role"), escaped(t["text"]).alias("text")))).otherwise(F.col("turns"))
-    return checked.withColumn("written", put).select(
-        F.col("__conv").alias(conv), "formatted", "escaped", "turns",
-        F.flatten(F.transform("written", lambda t: F.array(
-            _run(F.length(t["role"]) + len(OPEN + MIDDLE), F.lit(False)),
-            _run(F.length(t["text"]), t["role"] == F.lit(loss_role)),
-            _run(F.lit(len(CLOSE)), F.lit(False))))).alias("loss_mask"))
+        .groupBy("__conv").agg(F.sort_array(F.collect_list("t")).alias("t")))
+
+    def same(turns: Column, source: Column) -> Column:
+        return F.coalesce(turns == source, F.lit(False))
+
+    def mask(source: Column, escape: Column) -> Column:
+        put = lambda c: F.when(escape, escaped(c)).otherwise(c)
+        return F.flatten(F.transform(source, lambda t: F.array(
+            _run(F.length(put(t["role"])) + len(OPEN + MIDDLE), F.lit(False)),
+            _run(F.length(put(t["text"])), t["role"] == F.lit(loss_role)),
+            _run(F.lit(len(CLOSE)), F.lit(False)))))
+
+    def done(source: Column, formatted: Column, escape: Column, read: Column) -> Column:
+        return F.struct(formatted.alias("formatted"), escape.alias("escaped"), read.alias("turns"),
+                        mask(source, escape).alias("loss_mask"))
+
+    def retry(source: Column) -> Column:
+        failed = F.raise_error(F.lit("a formatted conversation does not read back as its source"))
+        return let(rendered(source, True), lambda text: let(parsed(text), lambda read: F.when(
+            same(read, source), done(source, text, F.lit(True), read)).otherwise(failed)))
+
+    def attempt(source: Column) -> Column:
+        return let(rendered(source, False), lambda text: let(parsed(text), lambda read: F.when(
+            same(read, source), done(source, text, F.lit(False), read)).otherwise(retry(source))))
+
+    source = F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+    return turns.select(F.col("__conv").alias(conv), let(source, attempt).alias("__chat")).select(
+        conv, "__chat.formatted", "__chat.escaped", "__chat.turns", "__chat.loss_mask")
 
 
 def _run(chars: Column, loss: Column) -> Column:
@@ -117,10 +134,12 @@ def chat_digest(chats: DataFrame, conv: str = "conv_id", loss_role: str = "assis
     """Digests of what ``format_chats`` wrote, taken from the turns read back
     and from the loss mask: the loss text is every turn whose run of text the
     mask marks, unescaped by the reader."""
-    loss = F.array_join(F.transform(
-        F.filter(F.transform("turns", lambda t, i: F.struct(
-            t["text"].alias("text"), F.get("loss_mask", i * 3 + 1)["loss"].alias("on"))),
-            lambda x: x["on"]), lambda x: x["text"]), "")
+    marked = F.filter(F.arrays_zip(
+        F.col("turns.text").alias("text"),
+        F.filter("loss_mask", lambda r, i: i % 3 == 1).alias("run")), lambda x: x["run"]["loss"])
+    loss = F.array_join(F.transform(marked, lambda x: x["text"]), "")
+    chats = chats.withColumn("__loss", loss)
+    loss = F.col("__loss")
     return chats.select(
         F.col(conv).alias("conv_id"),
         F.size("turns").cast("long").alias("n_turns"),
