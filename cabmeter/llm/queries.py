@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabmeter.llm import chat, minhash, mixture, quality, shards, tokens, topk, urls
+from cabmeter.llm import chat, decontaminate, minhash, mixture, quality, shards, tokens, topk, urls
 from cabmeter.llm.scratch import cut
 
 URL_RULES = [
@@ -64,6 +64,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("__target").alias("target"), F.col("__taken").alias("taken"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items they leak."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best rows for every vector whose id is divisible by 50."""
     vectors = topk.whole_vectors(table(spark, sf_dir, "embeddings"))
@@ -96,6 +101,7 @@ QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_mixing": op2_mixing,
     "op3_chat_format": op3_chat_format,
+    "op4_decontaminate": op4_decontaminate,
     "op5_top_k": op5_top_k,
     "op6_shards": op6_shards,
     "op7_near_dedup": op7_near_dedup,

@@ -79,6 +79,17 @@ def chunks(batches, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[
             i = j
 
 
+def segment_hash(data: np.ndarray, inside: np.ndarray, size: np.ndarray, fold: bool = False) -> np.ndarray:
+    """Hashes of segments of ``data``: those bytes where ``inside`` holds, cut
+    into pieces of the given sizes (none empty). ``fold`` takes A-Z as a-z."""
+    if not len(size):
+        return np.zeros(0, _U)
+    base = np.cumsum(size) - size
+    place = np.arange(base[-1] + size[-1]) - np.repeat(base, size)
+    parts = (_FOLDED if fold else _BYTE)[data[inside]] * _powers(int(size.max()))[place]
+    return mix(np.add.reduceat(parts, base) + size.astype(_U) * _U(0xD6E8FEB86659FD93))
+
+
 class Words:
     """The words of a chunk: ``hash``, ``doc`` (row in the chunk), ``start``
     and ``end`` (bytes in the chunk), and ``first`` (the index of each row's
@@ -100,15 +111,7 @@ class Words:
         self.end = np.flatnonzero(stops) + 1
         self.first = np.searchsorted(self.start, offsets)
         self.doc = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
-        size = self.end - self.start
-        if len(size):
-            base = np.cumsum(size) - size
-            place = np.arange(base[-1] + size[-1]) - np.repeat(base, size)
-            table = _FOLDED if fold else _BYTE
-            parts = table[data[word]] * _powers(int(size.max()))[place]
-            self.hash = mix(np.add.reduceat(parts, base) + size.astype(_U) * _U(0xD6E8FEB86659FD93))
-        else:
-            self.hash = np.zeros(0, _U)
+        self.hash = segment_hash(data, word, self.end - self.start, fold)
         assert n == 0 or self.first[-1] == len(self.start)
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
