@@ -77,9 +77,31 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(c, d.doc
 FROM documents d LEFT JOIN size USING (doc_id) LEFT JOIN low USING (doc_id)
 """
 
+OP8 = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w)),
+low AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s),
+hit AS (SELECT doc_id, list(i) AS starts FROM win JOIN low USING (s) WHERE m < doc_id GROUP BY doc_id),
+word AS (
+  SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM w),
+cover AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k
+  FROM (SELECT doc_id, unnest(starts) AS i FROM hit)),
+kept AS (
+  SELECT a.doc_id, string_agg(a.w[a.k], ' ' ORDER BY a.k) AS t, count(*) AS n
+  FROM word a ANTI JOIN cover c ON a.doc_id = c.doc_id AND a.k = c.k GROUP BY a.doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
 SQL = {
     "op1_url_filters": OP1,
     "op3_chat_format": OP3,
     "op5_top_k": OP5,
     "op7_near_dedup": OP7,
+    "op8_substrings": OP8,
 }

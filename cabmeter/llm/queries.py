@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabmeter.llm import chat, decontaminate, minhash, mixture, quality, shards, tokens, topk, urls
+from cabmeter.llm import chat, decontaminate, minhash, mixture, quality, shards, substrings, tokens, topk, urls
 from cabmeter.llm.scratch import cut
 
 URL_RULES = [
@@ -80,6 +80,12 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated windows of 13 words."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -105,6 +111,7 @@ QUERIES = {
     "op5_top_k": op5_top_k,
     "op6_shards": op6_shards,
     "op7_near_dedup": op7_near_dedup,
+    "op8_substrings": op8_substrings,
     "op9_quality": op9_quality,
     "op10_token_counts": op10_token_counts,
 }
