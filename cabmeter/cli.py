@@ -44,6 +44,11 @@ def _session() -> SparkSession:
     return spark
 
 
+def _options(args) -> dict[str, str]:
+    """``--option key=value`` pairs."""
+    return dict(o.split("=", 1) for o in args.option or [])
+
+
 def train(args) -> None:
     """Rides CSV -> clean -> features -> split -> fit -> evaluate -> save."""
     from cabmeter.functions.features import add_ride_features
@@ -53,17 +58,15 @@ def train(args) -> None:
 
     spark = _session()
     rides = read_rides_csv(spark, args.rides, infer_schema=args.infer_schema)
-    prof = load_profile(rides).first()
-    print(f"Loaded {prof.row_count:,} rows | {prof.column_count} columns")
+    load_profile(rides).show()
     feats = add_ride_features(clean_rides(rides))
     train_df, test_df = m.split_train_test(feats, id_col=args.id_col)
     model = m.fit_fare_model(train_df)
     preds, metrics = m.evaluate(model, test_df)
-    r = metrics.first()
-    print(f"RMSE : {r.rmse:.2f}\nMAE  : {r.mae:.2f}\nR2   : {r.r2:.4f}")
-    preds.select("price", "prediction").show(10)
+    metrics.show()
+    m.prediction_preview(preds, id_col=args.id_col if args.id_col in preds.columns else "price").show()
     m.save_model(model, args.model_out)
-    print(f"Model saved at {args.model_out}")
+    print(f"wrote the fitted pipeline to {args.model_out}")
 
 
 def score_stream(args) -> None:
@@ -73,26 +76,18 @@ def score_stream(args) -> None:
     messages go to ``--rejects-out``. The checkpoint folder makes a restart
     resume from the last committed offsets."""
     from cabmeter.sources.kafka import kafka_stream, message_file_stream
-    from cabmeter.streaming.decode import PASSTHROUGH, decode_requests, split_requests
-    from cabmeter.streaming.scoring import score_requests, start_sink
+    from cabmeter.streaming.scoring import start_scoring
 
     spark = _session()
     model = _load(args)
     if args.messages_dir:
         source = message_file_stream(spark, args.messages_dir)
     else:
-        source = kafka_stream(spark, args.bootstrap, args.topic, args.starting_offsets)
-    ok, bad = split_requests(decode_requests(source))
-    # Message key, topic, partition and offset ride along with each score.
-    scored = score_requests(model, ok, extra=PASSTHROUGH)
-    queries = [start_sink(scored, args.out, f"{args.checkpoint}/scores",
-                          fmt=args.sink, available_now=args.available_now,
-                          processing_time=args.trigger)]
-    if args.rejects_out:
-        queries.append(start_sink(bad, args.rejects_out, f"{args.checkpoint}/rejects", fmt="parquet",
-                                  available_now=args.available_now, processing_time=args.trigger))
-    for q in queries:
-        q.awaitTermination()
+        source = kafka_stream(spark, args.bootstrap, args.topic, args.starting_offsets, _options(args))
+    # One read of the source; message key, topic, partition and offset ride
+    # along with each score.
+    start_scoring(model, source, args.checkpoint, args.out, args.rejects_out, fmt=args.sink,
+                  available_now=args.available_now, processing_time=args.trigger).awaitTermination()
 
 
 def publish(args) -> None:
@@ -108,7 +103,7 @@ def publish(args) -> None:
     if args.out_dir:
         write_message_files(messages, args.out_dir)
     else:
-        publish_messages(messages, args.bootstrap, args.topic)
+        publish_messages(messages, args.bootstrap, args.topic, _options(args))
 
 
 def dashboard(args) -> None:
@@ -119,29 +114,30 @@ def dashboard(args) -> None:
     from cabmeter.sources.rides import read_rides_csv
 
     spark = _session()
-    feats = add_ride_features(clean_rides(read_rides_csv(spark, args.rides)))
+    # Parsed once for the eight tables; released when they are written.
+    feats = add_ride_features(clean_rides(read_rides_csv(spark, args.rides))).persist()
     hourly = d.hourly_stats(feats)
     service = d.service_stats(feats)
     tables = {
         "hourly": hourly, "daily": d.daily_stats(feats), "service": service,
         "top_services": d.top_services(service), "surge": d.surge_stats(feats),
         "kpis": d.dashboard_kpis(hourly), "fare_trend": d.fare_trend(feats),
-        "distance_price": d.distance_price_sample(feats, id_col=args.id_col),
+        "distance_price": d.distance_price_sample(feats, id_col=args.id_col, cap=args.points),
     }
     for name, df in tables.items():
-        if df is not None:
-            df.write.mode("overwrite").parquet(f"{args.out}/{name}")
+        df.write.mode("overwrite").parquet(f"{args.out}/{name}")
+    feats.unpersist()
     spark.read.parquet(f"{args.out}/kpis").show(truncate=False)
 
 
 def quote(args) -> None:
     """One quote request: distance from the route map, surge suggested from
     the time unless given, then price, base price and price per mile."""
-    from cabmeter.functions.surge import suggested_surge
-    from cabmeter.operators.joins import broadcast_if_bounded
+    from cabmeter.functions.surge import fill_suggested_surge
     from cabmeter.operators.model import quote_prices
     from cabmeter.operators.routes import check_quote_requests
     from cabmeter.functions.features import add_ride_features
+    from cabmeter.functions.text import currency
     from cabmeter.sources.requests import requests_from_records
     from cabmeter.sources.routes import read_distance_map_csv
 
@@ -149,21 +145,15 @@ def quote(args) -> None:
     rec = dict(cab_type=args.cab_type, name=args.name, source=args.source,
                destination=args.destination, surge_multiplier=args.surge, hour=args.hour,
                day_of_week=args.day, month=args.month)
-    reqs = requests_from_records(spark, [rec])
-    if args.surge is None:
-        reqs = reqs.withColumn("surge_multiplier", suggested_surge("hour", "day_of_week"))
-    dmap = broadcast_if_bounded(read_distance_map_csv(spark, args.distance_map))
-    checked = check_quote_requests(reqs, dmap)
+    reqs = fill_suggested_surge(requests_from_records(spark, [rec]))
+    checked = check_quote_requests(reqs, read_distance_map_csv(spark, args.distance_map))
     bad = checked.filter(F.col("reject_reason").isNotNull()).select("reject_reason").collect()
     if bad:
         print(f"Request rejected: {bad[0].reject_reason}")
         sys.exit(2)
     out = quote_prices(_load(args), add_ride_features(checked.drop("reject_reason")))
-    r = out.select("distance", "surge_multiplier", "predicted_price", "base_price",
-                   "price_per_mile").first()
-    print(f"Distance: {r.distance:.2f} miles | Surge: {r.surge_multiplier}x")
-    print(f"Estimated price: ${r.predicted_price:.2f} | Base price: ${r.base_price:.2f} | "
-          f"Price per mile: ${r.price_per_mile:.2f}")
+    out.select("distance", "surge_multiplier",
+               *[currency(c).alias(c) for c in ("predicted_price", "base_price", "price_per_mile")]).show()
 
 
 def scenarios(args) -> None:
@@ -203,6 +193,8 @@ def main(argv=None) -> None:
     s.add_argument("--out", default=None)
     s.add_argument("--rejects-out", default=None)
     s.add_argument("--trigger", default=None)
+    s.add_argument("--option", action="append", metavar="KEY=VALUE",
+                   help="Kafka source option, such as maxOffsetsPerTrigger=1000 or kafka.security.protocol=SSL")
     s.set_defaults(fn=score_stream)
 
     pb = sub.add_parser("publish")
@@ -211,12 +203,14 @@ def main(argv=None) -> None:
     dst.add_argument("--bootstrap")
     dst.add_argument("--out-dir", help="write Parquet message files instead of Kafka")
     pb.add_argument("--topic", default=REQUEST_TOPIC)
+    pb.add_argument("--option", action="append", metavar="KEY=VALUE", help="Kafka sink option")
     pb.set_defaults(fn=publish)
 
     d = sub.add_parser("dashboard")
     d.add_argument("--rides", required=True)
     d.add_argument("--out", required=True)
     d.add_argument("--id-col", default="ride_id")
+    d.add_argument("--points", type=int, default=None, help="at most so many rows of the distance/price sample")
     d.set_defaults(fn=dashboard)
 
     q = sub.add_parser("quote")

@@ -16,6 +16,8 @@ from cabmeter.functions.calendar import (
 from cabmeter.functions.columns import ident
 
 
+# The hours of P7 and the miles of P10 are stated in the rules.
+
 def time_of_day(hour: str) -> Column:
     """6-11 morning, 12-16 afternoon, 17-20 evening, anything else
     (including null) night."""

@@ -3,7 +3,7 @@ expression."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabmeter.functions.columns import ident, sql_literal
@@ -51,3 +51,10 @@ def suggested_surge(hour: str, day: str) -> Column:
         f" ELSE {base} END"
     )
     return F.expr(clamp_sql(round_to_step_sql(adjusted, SURGE_STEP), SURGE_MIN, SURGE_MAX))
+
+
+def fill_suggested_surge(requests: DataFrame, surge: str = "surge_multiplier",
+                         hour: str = "hour", day: str = "day_of_week") -> DataFrame:
+    """Requests whose surge is not given get the suggested one; a given one
+    stays. Without an hour or day the base for other hours is suggested."""
+    return requests.withColumn(surge, F.coalesce(F.col(surge), suggested_surge(hour, day)))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cabmeter.functions.calendar import day_name
 from cabmeter.functions.hashing import hash32, row_key
 from cabmeter.functions.text import currency, hour_text, thousands
-from cabmeter.schemas import SAMPLE_CAP, SAMPLE_PERCENT, SPLIT_SEED
+from cabmeter.schemas import SAMPLE_PERCENT, SAMPLE_SALT, SPLIT_SEED
 
 
 def hourly_aggregate(rides: DataFrame) -> DataFrame:
@@ -113,21 +113,22 @@ def dashboard_grouping_sets(rides: DataFrame) -> DataFrame:
 
 
 def distance_price_sample(rides: DataFrame, id_col: str = "ride_id",
-                          percent: int = SAMPLE_PERCENT, cap: int = SAMPLE_CAP,
+                          percent: int = SAMPLE_PERCENT, cap: int | None = None,
                           seed: int = SPLIT_SEED) -> DataFrame:
-    """R1 + T4 + P6: a ``percent`` % hash sample of (distance, price), capped
-    at ``cap`` rows chosen by hash then key. The key is ``id_col``, or a hash
-    of the whole row when the table has no id. The result does not depend on
-    the input's partitioning; the cap is a bounded top-k."""
+    """R1 + T4 + P6: a ``percent`` % hash sample of (distance, price). The key
+    is ``id_col``, or a hash of the whole row when the table has no id. The
+    result does not depend on the input's partitioning. A caller that draws
+    points may ask for at most ``cap`` of them, chosen by hash then key (a
+    bounded top-k); without it the whole sample is returned."""
     key = row_key(rides, id_col)
-    return (
+    sample = (
         rides.select(key.alias("_key"), "distance", "price")
-        .withColumn("_h", hash32("_key", seed))
+        .withColumn("_h", hash32("_key", seed, SAMPLE_SALT))
         .filter(F.col("_h") % 100 < percent)
-        .orderBy("_h", "_key")
-        .limit(cap)
-        .select("distance", "price")
     )
+    if cap is not None:
+        sample = sample.orderBy("_h", "_key").limit(cap)
+    return sample.select("distance", "price")
 
 
 def fare_trend(rides: DataFrame) -> DataFrame:

@@ -1,36 +1,20 @@
-"""Join helpers: broadcast only behind a proven size bound."""
+"""Dimensions derived from facts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Largest dimension (rows) broadcast to every executor: about 32 MB for the
-# route map at roughly 64 bytes per row (two place names and a double).
-DIMENSION_BROADCAST_ROWS = 500_000
 
-
-def broadcast_if_bounded(dim: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``dim`` for broadcast only when its row count is proven to be at
-    most ``max_rows`` (the count stops early past the bound); otherwise return
-    it unchanged so the planner picks a shuffle join, where AQE splits skewed
-    partitions. Meant for given dimension tables, whose count is a cheap
-    scan."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
-def materialized_dimension(dim: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROWS) -> DataFrame:
-    """For a dimension derived from the fact data (an aggregate such as the
-    route map): write it once as a Parquet table under the shared checkpoint
-    folder and read it back, which cuts its lineage, survives executor loss
-    and gives the planner file statistics; then apply ``broadcast_if_bounded``
-    to the written copy. The join then never shuffles the fact side when the
-    dimension is small, and the dimension is computed once (an eager
-    ``checkpoint()`` of an unpersisted frame would compute it twice)."""
+def materialized_dimension(dim: DataFrame) -> DataFrame:
+    """Write a dimension that is derived from the fact data (an aggregate such
+    as the route map) once as a Parquet table under the shared folder and read
+    it back. That cuts its lineage, survives executor loss and gives the
+    planner file sizes, from which ``spark.sql.autoBroadcastJoinThreshold``
+    decides by bytes whether the join is a broadcast; beyond it the planner
+    sorts and merges, and AQE splits hot keys."""
     from cabmeter.session import fresh_dir
 
     spark = dim.sparkSession
     path = fresh_dir(spark, "dimensions")
     dim.write.parquet(path)
-    return broadcast_if_bounded(spark.read.schema(dim.schema).parquet(path), max_rows)
+    return spark.read.schema(dim.schema).parquet(path)

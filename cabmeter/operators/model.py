@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from cabmeter.functions.hashing import hash_bucket, row_key
 from cabmeter.functions.pricing import base_price, price_per_mile
-from cabmeter.sources.layout import spread_if_underpartitioned
 from cabmeter.schemas import (
     CATEGORICAL_FEATURES, LR_ELASTIC_NET_PARAM, LR_MAX_ITER, LR_REG_PARAM,
     NUMERIC_FEATURES, SPLIT_SEED, TRAIN_PERCENT,
@@ -94,19 +93,23 @@ def fitting_input(train: DataFrame, categorical: list[str], numeric: list[str]):
     persisted (memory, spilling to disk) for the fit's passes: indexer
     counts, scaler moments and the regressor's statistics. The cache is
     released when the eager fit returns; lost blocks are recomputed from
-    lineage, so an executor loss costs time, not results. An input read by
-    fewer tasks than there are cores is spread first (a large scan is not)."""
+    lineage, so an executor loss costs time, not results."""
     cols = [c for c in [*categorical, *numeric, LABEL] if c in train.columns]
-    data = spread_if_underpartitioned(train.select(*cols)).persist(StorageLevel.MEMORY_AND_DISK)
+    data = train.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield data
     finally:
         data.unpersist()
 
 
-def fit_fare_model(train: DataFrame) -> PipelineModel:
-    """M6 + M8: fit preprocessing and regressor on the training split only."""
-    cats, nums = available_features(train)
+def fit_fare_model(train: DataFrame, categorical: list[str] = CATEGORICAL_FEATURES,
+                   numeric: list[str] = NUMERIC_FEATURES) -> PipelineModel:
+    """M6 + M8: fit preprocessing and regressor on the training split only,
+    on those of the given features that it has. The indexer's vocabularies
+    reach the driver, as MLlib's always do: they are meant for columns with
+    up to some 100,000 labels. Up to 4,096 assembled features the regressor
+    needs one distributed pass (normal equations); beyond, MLlib iterates."""
+    cats, nums = available_features(train, categorical, numeric)
     with fitting_input(train, cats, nums) as data:
         return fare_model(cats, nums).fit(data)
 
@@ -198,20 +201,20 @@ def label_index(df: DataFrame, categorical: list[str] = CATEGORICAL_FEATURES) ->
 def onehot_slot_counts(model: PipelineModel, df: DataFrame,
                        categorical: list[str] = CATEGORICAL_FEATURES) -> DataFrame:
     """M2 check: rows per one-hot slot and the block size, from the encoder's
-    real output. An unseen label has no slot."""
+    real output: the non-zero entries of every sparse block are counted in
+    one tree-aggregated pass. An unseen label has no slot."""
     from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
 
     cats = [c for c in categorical if c in df.columns]
-    out = model.transform(df).select(
-        *[vector_to_array(f"{c}_idx_vec").alias(c) for c in cats]
-    )
-    long = out.unpivot([], cats, "feature", "vec")
-    slots = long.select(
-        "feature",
-        (F.array_position("vec", F.lit(1.0)) - 1).cast("int").alias("slot"),
-        F.size("vec").cast("int").alias("block_size"),
-    ).filter(F.col("slot") >= 0)
-    return slots.groupBy("feature", "slot", "block_size").agg(F.count(F.lit(1)).alias("row_count"))
+    counts = model.transform(df).agg(*[
+        vector_to_array(Summarizer.numNonZeros(F.col(f"{c}_idx_vec"))).alias(c) for c in cats])
+    blocks = counts.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).alias("n")) for c in cats])).alias("b"))
+    slots = blocks.select(F.col("b.feature").alias("feature"), F.size("b.n").alias("block_size"),
+                          F.posexplode("b.n").alias("slot", "row_count"))
+    return slots.where("row_count > 0").select(
+        "feature", F.col("slot").cast("int"), F.col("block_size").cast("int"), F.col("row_count").cast("bigint"))
 
 
 def feature_slots(model: PipelineModel, numeric: list[str]) -> list[tuple[int, str, str | None]]:
@@ -229,35 +232,32 @@ def feature_slots(model: PipelineModel, numeric: list[str]) -> list[tuple[int, s
 
 def feature_std(model: PipelineModel, df: DataFrame,
                 numeric: list[str] = NUMERIC_FEATURES) -> DataFrame:
-    """Sample standard deviation of every assembled feature before
-    scaling (what the scaler divides by) and after it (1, or 0 for a constant
-    feature), from one distributed Summarizer pass. One-hot slots are named
-    by (feature, label); numeric features have a null label."""
+    """Of every assembled feature the sample standard deviation that
+    the fitted scaler holds and divides by, and that of the scaled feature (1,
+    or 0 for a constant one), from one distributed Summarizer pass. One-hot
+    slots are named by (feature, label); numeric features have a null label."""
+    from pyspark.ml.feature import StandardScalerModel
     from pyspark.ml.functions import vector_to_array
     from pyspark.ml.stat import Summarizer
 
-    stats = model.transform(df).select(
-        vector_to_array(Summarizer.std(F.col("features_raw"))).alias("raw"),
-        vector_to_array(Summarizer.std(F.col("features"))).alias("scaled"),
-    )
-    exploded = stats.select(
-        F.posexplode("raw").alias("pos", "raw_std"), "scaled"
-    ).select("pos", "raw_std", F.element_at("scaled", (F.col("pos") + 1).cast("int")).alias("scaled_std"))
-    # The slot table is as large as the vocabulary (held by the model anyway).
-    names = df.sparkSession.createDataFrame(
-        feature_slots(model, numeric), "pos int, feature string, label string")
-    return exploded.join(F.broadcast(names), "pos").select("feature", "label", "raw_std", "scaled_std")
+    scaler = next(s for s in model.stages if isinstance(s, StandardScalerModel))
+    # As long as the vocabulary, which the model holds on the driver anyway.
+    slots = [(pos, feature, label, float(sd))
+             for (pos, feature, label), sd in zip(feature_slots(model, numeric), scaler.std)]
+    names = df.sparkSession.createDataFrame(slots, "pos int, feature string, label string, raw_std double")
+    scaled = model.transform(df).select(vector_to_array(Summarizer.std(F.col("features"))).alias("s")).select(
+        F.posexplode("s").alias("pos", "scaled_std"))
+    return scaled.join(names, "pos").select("feature", "label", "raw_std", "scaled_std")
 
 
 def fit_single_feature(train: DataFrame, feature: str = "distance") -> DataFrame:
     """M8 on one raw feature: (n, intercept, slope). MLlib standardises
     internally, so this has a closed form, used by the SQL check. Only the two
-    fitted coefficients come back through the driver."""
-    assembled = VectorAssembler(inputCols=[feature], outputCol="features",
-                                handleInvalid="skip").transform(train)
-    model = regressor().fit(assembled)
-    spark = train.sparkSession
-    return spark.createDataFrame(
-        [(int(model.summary.numInstances), float(model.intercept), float(model.coefficients[0]))],
-        "n long, intercept double, slope double",
-    )
+    fitted coefficients and the row count come back through the driver."""
+    assembler = VectorAssembler(inputCols=[feature], outputCol="features", handleInvalid="skip")
+    with fitting_input(train, [], [feature]) as data:
+        rows = assembler.transform(data)
+        model = regressor().fit(rows)
+        n = rows.count()
+    return train.sparkSession.createDataFrame(
+        [(n, float(model.intercept), float(model.coefficients[0]))], "n long, intercept double, slope double")

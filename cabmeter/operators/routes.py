@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabmeter.functions.text import normalize_key
-from cabmeter.operators.joins import broadcast_if_bounded
 from cabmeter.schemas import DESTINATION_LOCATIONS, SERVICES, SOURCE_LOCATIONS
 
 
@@ -41,11 +40,9 @@ def lookup_distance(requests: DataFrame, dmap: DataFrame,
     gives null. ``dmap`` must be unique on its key (``build_distance_map`` and
     ``normalize_distance_map`` both are).
 
-    The join strategy is the caller's: pass the map through
-    ``materialized_dimension`` (derived maps) or ``broadcast_if_bounded``
-    (given maps) to broadcast it behind a size check; an unmarked map is
-    left to the planner, a sort-merge join whose hot-route partitions AQE
-    splits."""
+    The join strategy is the planner's: it broadcasts a map whose bytes are
+    within its threshold (``materialized_dimension`` gives a derived map file
+    sizes), else it sorts and merges, and AQE splits hot routes."""
     keyed = requests.withColumns(
         {"_src": normalize_key("source"), "_dst": normalize_key("destination")}
     )
@@ -56,9 +53,6 @@ def lookup_distance(requests: DataFrame, dmap: DataFrame,
     return keyed.join(m, ["_src", "_dst"], "left").drop("_src", "_dst")
 
 
-DOMAIN_BROADCAST_ROWS = 100_000
-
-
 def _allowed_service(cab_type: Column, name: Column) -> Column:
     cond = None
     for provider, services in SERVICES.items():
@@ -74,25 +68,20 @@ def check_quote_requests(requests: DataFrame, dmap: DataFrame,
     request gets the first failing ``reject_reason`` or null when valid.
 
     ``sources`` / ``destinations`` are one-column (``place``) domains; by
-    default the fixed location lists. Domains are matched through a left join
-    with a flag column (a semi/anti join that keeps every row); the fixed
-    provider catalogue is a literal predicate."""
-    spark = requests.sparkSession
-
-    def flag(domain: DataFrame | None, fixed: list[str], key: str, name: str) -> DataFrame:
+    default the fixed location lists, which are literal predicates like the
+    provider catalogue. A given domain is matched through a left join with a
+    flag column (a semi/anti join that keeps every row)."""
+    def flagged(df: DataFrame, domain: DataFrame | None, fixed: list[str], key: str, name: str) -> DataFrame:
         if domain is None:
-            # A fixed list of 10 places: a proven bound, so broadcast.
-            domain = spark.createDataFrame([(p,) for p in fixed], "place string")
-            keyed = domain.select(normalize_key("place").alias(key), F.lit(True).alias(name)).distinct()
-            return F.broadcast(keyed)
-        keyed = domain.select(normalize_key("place").alias(key), F.lit(True).alias(name)).distinct()
-        return broadcast_if_bounded(keyed, max_rows=DOMAIN_BROADCAST_ROWS)
+            return df.withColumn(name, F.when(F.col(key).isin(*[p.lower() for p in fixed]), F.lit(True)))
+        keyed = domain.groupBy(normalize_key("place").alias(key)).agg(F.first(F.lit(True)).alias(name))
+        return df.join(keyed, key, "left")
 
     df = requests.withColumns(
         {"_src": normalize_key("source"), "_dst": normalize_key("destination")}
     )
-    df = df.join(flag(sources, SOURCE_LOCATIONS, "_src", "_src_ok"), "_src", "left")
-    df = df.join(flag(destinations, DESTINATION_LOCATIONS, "_dst", "_dst_ok"), "_dst", "left")
+    df = flagged(df, sources, SOURCE_LOCATIONS, "_src", "_src_ok")
+    df = flagged(df, destinations, DESTINATION_LOCATIONS, "_dst", "_dst_ok")
     # The quoted distance is always the map's; a distance given with the
     # request is replaced.
     df = lookup_distance(df.drop("_src", "_dst", "distance"), dmap, out_col="distance")

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from cabmeter.schemas import (
     DEFAULT_BASE_FEE, DEFAULT_BASE_RATE, SCENARIOS, SERVICES, SPLIT_SEED,
-    TRAIN_PERCENT,
+    SAMPLE_SALT, TRAIN_PERCENT,
 )
 
 
@@ -23,8 +23,8 @@ def _service_case() -> str:
     return f"CASE {whens} ELSE {pick(4)} END"
 
 
-def _hash32(col: str) -> str:
-    return f"CAST(('0x' || substr(md5('{SPLIT_SEED}:' || CAST({col} AS VARCHAR)), 1, 8)) AS BIGINT)"
+def _hash32(col: str, salt: str = "") -> str:
+    return f"CAST(('0x' || substr(md5('{salt}{SPLIT_SEED}:' || CAST({col} AS VARCHAR)), 1, 8)) AS BIGINT)"
 
 
 # rides -> clean -> feat: the shared derivation of the test-data rides.
@@ -102,6 +102,11 @@ DMAP_CTE = """dmap AS (
   FROM clean WHERE source IS NOT NULL AND destination IS NOT NULL GROUP BY 1, 2)"""
 
 
+MAPPED_CTE = """dmap AS (
+  SELECT lower(trim(source)) AS source, lower(trim(destination)) AS destination, max(distance) AS max_distance
+  FROM clean WHERE source IS NOT NULL AND destination IS NOT NULL AND ride_id % 25 <> 7 GROUP BY 1, 2)"""
+
+
 def _allowed_service_sql() -> str:
     terms = []
     for provider, services in SERVICES.items():
@@ -115,6 +120,37 @@ def _scenario_list() -> str:
     return f"[{items}]"
 
 
+# Quote requests with the faults of cabmeter.plans.queries, and their verdicts.
+CHECKED_CTES = (MAPPED_CTE, """places AS (
+  SELECT DISTINCT lower(trim(n_name)) AS place FROM nation)""", """quote_req AS (
+  SELECT ride_id, cab_type, CASE WHEN ride_id % 31 = 2 THEN 'Rocket' ELSE name END AS name,
+         CASE ride_id % 31 WHEN 0 THEN 'Atlantis' WHEN 7 THEN '  ' || upper(source) || ' ' ELSE source END AS source,
+         CASE WHEN ride_id % 31 = 1 THEN 'Nowhere' ELSE destination END AS destination,
+         CASE WHEN ride_id % 31 = 6 THEN 3.5 ELSE surge_multiplier END AS surge_multiplier,
+         CAST(CASE WHEN ride_id % 31 = 3 THEN 24 ELSE hour(make_timestamp(time_stamp * 1000)) END AS INTEGER) AS hour,
+         CAST(CASE WHEN ride_id % 31 = 4 THEN 8 ELSE dayofweek(make_timestamp(time_stamp * 1000)) + 1 END AS INTEGER)
+           AS day_of_week,
+         CAST(CASE WHEN ride_id % 31 = 5 THEN 0 ELSE month(make_timestamp(time_stamp * 1000)) END AS INTEGER) AS month
+  FROM rides)""", """flagged AS (
+  SELECT q.*, ps.place AS src_ok, pd.place AS dst_ok, m.max_distance AS distance
+  FROM quote_req q
+  LEFT JOIN places ps ON ps.place = lower(trim(q.source))
+  LEFT JOIN places pd ON pd.place = lower(trim(q.destination))
+  LEFT JOIN dmap m ON m.source = lower(trim(q.source)) AND m.destination = lower(trim(q.destination)))""", f"""checked AS (
+  SELECT *,
+  CASE WHEN lower(trim(source)) = lower(trim(destination)) THEN 'same_endpoints'
+       WHEN NOT {_allowed_service_sql()} THEN 'unknown_service'
+       WHEN src_ok IS NULL THEN 'unknown_source'
+       WHEN dst_ok IS NULL THEN 'unknown_destination'
+       WHEN NOT coalesce(hour BETWEEN 0 AND 23, false) THEN 'bad_hour'
+       WHEN NOT coalesce(day_of_week BETWEEN 1 AND 7, false) THEN 'bad_day'
+       WHEN NOT coalesce(month BETWEEN 1 AND 12, false) THEN 'bad_month'
+       WHEN NOT coalesce(surge_multiplier BETWEEN 1.0 AND 3.0, false) THEN 'bad_surge'
+       WHEN distance IS NULL THEN 'unknown_route'
+  END AS reject_reason
+  FROM flagged)""")
+
+
 SQL: dict[str, str] = {
     "hourly_stats": _with() + f"""
 SELECT hour, {r('avg(price)', 'avg_price')}, count(*) AS ride_count
@@ -152,7 +188,7 @@ SELECT cab_type, name, {r('avg(price)', 'avg_price')} FROM feat GROUP BY cab_typ
 
     "top_services": _with("svc AS (SELECT cab_type, name, avg(price) AS avg_price FROM feat GROUP BY cab_type, name)") + f"""
 SELECT cab_type, name, {r('avg_price', 'avg_price')} FROM svc
-ORDER BY avg_price DESC, cab_type, name LIMIT 10""",
+ORDER BY avg_price DESC, cab_type, name LIMIT 7""",
 
     "surge_stats": _with() + f"""
 SELECT round(surge_multiplier, 6) AS surge_multiplier, {r('avg(price)', 'avg_price')}, count(*) AS "count"
@@ -167,6 +203,8 @@ SELECT CAST(sum(ride_count) AS BIGINT) AS total_rides,
        {r('max(avg_price)', 'peak_hour_price')},
        (SELECT peak_hour FROM peak) AS peak_hour,
        format('{{:,}}', CAST(sum(ride_count) AS BIGINT)) AS total_rides_text,
+       printf('$%.2f', avg(avg_price)) AS avg_price_text,
+       printf('$%.2f', max(avg_price)) AS peak_hour_price_text,
        CAST((SELECT peak_hour FROM peak) AS VARCHAR) || ':00' AS peak_hour_text
 FROM hourly""",
 
@@ -179,9 +217,20 @@ SELECT CASE grouping(hour, day_of_week, cab_type, name, surge_multiplier)
 FROM feat
 GROUP BY GROUPING SETS ((hour), (day_of_week), (cab_type, name), (surge_multiplier))""",
 
-    "distance_price_sample": _with(f"""hashed AS (SELECT ride_id, distance, price, {_hash32('ride_id')} AS h FROM clean)""") + """
+    "distance_price_sample": _with(f"""hashed AS (SELECT ride_id, distance, price, {_hash32('ride_id', SAMPLE_SALT)} AS h FROM clean)""") + """
+SELECT round(distance, 6) AS distance, round(price, 6) AS price FROM hashed WHERE h % 100 < 10""",
+
+    "distance_price_points": _with(f"""hashed AS (SELECT ride_id, distance, price, {_hash32('ride_id', SAMPLE_SALT)} AS h FROM clean)""") + """
 SELECT round(distance, 6) AS distance, round(price, 6) AS price FROM (
-  SELECT * FROM hashed WHERE h % 100 < 10 ORDER BY h, ride_id LIMIT 1000)""",
+  SELECT * FROM hashed WHERE h % 100 < 10 ORDER BY h, CAST(ride_id AS VARCHAR) LIMIT 50)""",
+
+    "ride_calendar": _with("""shifted AS (
+  SELECT ride_id, time_stamp + (ride_id % 12) * 30 * 86400000 AS time_stamp FROM clean)""") + """
+SELECT ride_id, time_stamp,
+       CAST(hour(make_timestamp(time_stamp * 1000)) AS INTEGER) AS hour,
+       CAST(dayofweek(make_timestamp(time_stamp * 1000)) + 1 AS INTEGER) AS day_of_week,
+       CAST(month(make_timestamp(time_stamp * 1000)) AS INTEGER) AS month
+FROM shifted""",
 
     "fare_trend": _with() + f"""
 SELECT CAST(regr_count(price, distance) AS BIGINT) AS n,
@@ -194,35 +243,20 @@ FROM clean""",
     "distance_map": _with(DMAP_CTE) + """
 SELECT source, destination, round(max_distance, 6) AS max_distance FROM dmap""",
 
-    "route_distance": _with(DMAP_CTE) + """
+    "route_distance": _with(MAPPED_CTE) + """
 SELECT r.ride_id, r.source, r.destination, round(m.max_distance, 6) AS route_distance
 FROM rides r LEFT JOIN dmap m
   ON m.source = lower(trim(r.source)) AND m.destination = lower(trim(r.destination))""",
 
-    "quote_requests_checked": _with(DMAP_CTE, """places AS (
-  SELECT DISTINCT lower(trim(n_name)) AS place FROM nation)""", """req AS (
-  SELECT ride_id, cab_type, name, source, destination, surge_multiplier,
-         CAST(hour(make_timestamp(time_stamp * 1000)) AS INTEGER) AS hour,
+    "quote_requests_checked": _with(*CHECKED_CTES) + """
+SELECT ride_id, round(distance, 6) AS distance, reject_reason FROM checked""",
+
+    "quote_requests_filled": _with(f"""req AS (
+  SELECT ride_id, CAST(hour(make_timestamp(time_stamp * 1000)) AS INTEGER) AS hour,
          CAST(dayofweek(make_timestamp(time_stamp * 1000)) + 1 AS INTEGER) AS day_of_week,
-         CAST(month(make_timestamp(time_stamp * 1000)) AS INTEGER) AS month
-  FROM rides)""", """flagged AS (
-  SELECT req.*, ps.place AS src_ok, pd.place AS dst_ok, m.max_distance AS distance
-  FROM req
-  LEFT JOIN places ps ON ps.place = lower(trim(req.source))
-  LEFT JOIN places pd ON pd.place = lower(trim(req.destination))
-  LEFT JOIN dmap m ON m.source = lower(trim(req.source)) AND m.destination = lower(trim(req.destination)))""") + f"""
-SELECT ride_id, round(distance, 6) AS distance,
-  CASE WHEN lower(trim(source)) = lower(trim(destination)) THEN 'same_endpoints'
-       WHEN NOT {_allowed_service_sql()} THEN 'unknown_service'
-       WHEN src_ok IS NULL THEN 'unknown_source'
-       WHEN dst_ok IS NULL THEN 'unknown_destination'
-       WHEN NOT coalesce(hour BETWEEN 0 AND 23, false) THEN 'bad_hour'
-       WHEN NOT coalesce(day_of_week BETWEEN 1 AND 7, false) THEN 'bad_day'
-       WHEN NOT coalesce(month BETWEEN 1 AND 12, false) THEN 'bad_month'
-       WHEN NOT coalesce(surge_multiplier BETWEEN 1.0 AND 3.0, false) THEN 'bad_surge'
-       WHEN distance IS NULL THEN 'unknown_route'
-  END AS reject_reason
-FROM flagged""",
+         CASE WHEN ride_id % 3 <> 0 THEN surge_multiplier END AS given
+  FROM rides)""", f"""based AS (SELECT *, {SURGE_BASE} AS base FROM req)""") + f"""
+SELECT ride_id, hour, day_of_week, round(coalesce(given, {SURGE_EXPR}), 6) AS surge_multiplier FROM based""",
 
     "scenario_prices": _with(f"""tariffs AS (
   SELECT ride_id AS tariff_id, distance, {_d(DEFAULT_BASE_RATE)} AS base_rate, {_d(DEFAULT_BASE_FEE)} AS base_fee
@@ -230,14 +264,19 @@ FROM flagged""",
         f"""expanded AS (
   SELECT b.*, unnest({_scenario_list()}, recursive := true) FROM based b)""",
         """priced AS (
-  SELECT *, base_price * multiplier AS estimated_price FROM expanded)""") + """
+  SELECT *, base_price * multiplier AS estimated_price FROM expanded)""",
+        """saved AS (
+  SELECT *, max(estimated_price) OVER (PARTITION BY tariff_id) - estimated_price AS savings FROM priced)""") + """
 SELECT tariff_id, round(distance, 6) AS distance, round(base_rate, 6) AS base_rate,
        round(base_fee, 6) AS base_fee, round(base_price, 6) AS base_price, scenario,
        round(multiplier, 6) AS multiplier, round(estimated_price, 6) AS estimated_price,
-       round(max(estimated_price) OVER (PARTITION BY tariff_id) - estimated_price, 6) AS savings,
+       round(savings, 6) AS savings,
+       CAST(multiplier AS VARCHAR) || 'x' AS multiplier_text,
+       printf('$%.2f', estimated_price) AS estimated_price_text,
+       CASE WHEN savings > 0 THEN printf('$%.2f', savings) ELSE '-' END AS savings_text,
        CAST(row_number() OVER (PARTITION BY tariff_id ORDER BY estimated_price, scenario) AS INTEGER)
          AS price_rank
-FROM priced""",
+FROM saved""",
 
     "train_test_split": _with() + f"""
 SELECT ride_id, CASE WHEN {_hash32('ride_id')} % 100 < {TRAIN_PERCENT} THEN 'train' ELSE 'test' END AS split
@@ -293,14 +332,16 @@ SQL.update({
     "label_index": _with(*SPLIT_CTES, *LABEL_CTES) + """
 SELECT feature, label, label_count, CAST(label_index AS INTEGER) AS label_index FROM idx""",
 
-    "onehot_slot_counts": _with(*SPLIT_CTES, *LABEL_CTES, f"test_long AS ({_long('test')})") + """
+    "onehot_slot_counts": _with(*SPLIT_CTES, *LABEL_CTES, f"test_long AS ({_long('feat')})") + """
 SELECT t.feature, CAST(i.label_index AS INTEGER) AS slot, CAST(i.block_size AS INTEGER) AS block_size,
        count(*) AS row_count
 FROM test_long t JOIN idx i ON i.feature = t.feature AND i.label = t.label
 GROUP BY 1, 2, 3""",
 
     "assembled_rows": _with(f"""labelled AS (
-  SELECT *, CASE WHEN {_hash32('ride_id')} % 100 < {TRAIN_PERCENT} THEN 'train' ELSE 'test' END AS split
+  SELECT * REPLACE (CASE WHEN ride_id % 53 = 0 THEN NULL WHEN ride_id % 59 = 0 THEN CAST('NaN' AS DOUBLE)
+                    ELSE surge_multiplier END AS surge_multiplier),
+         CASE WHEN {_hash32('ride_id')} % 100 < {TRAIN_PERCENT} THEN 'train' ELSE 'test' END AS split
   FROM feat)""") + f"""
 SELECT split, count(*) AS total_rows,
        count(*) FILTER (WHERE {_not_null_numeric}) AS kept_rows,
@@ -360,16 +401,19 @@ SELECT ride_id, {_REQ_COLS},
        CAST(CASE WHEN surge_multiplier > {_d(1.0)} THEN 1 ELSE 0 END AS INTEGER) AS is_surge,
        CASE WHEN distance < 1 THEN 'short' WHEN distance < 3 THEN 'medium' ELSE 'long' END
          AS distance_category
-FROM req WHERE NOT ({_bad_request})""",
+FROM req WHERE NOT ({_bad_request}) AND ride_id % 23 > 8""",
 
     "stream_rejects": _with(REQ_CTE) + f"""
 SELECT ride_id,
-       CASE WHEN distance IS NULL OR isnan(distance) THEN 'invalid_distance'
+       CASE ride_id % 23 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'null_value' WHEN 2 THEN 'empty_record'
+            WHEN 3 THEN 'invalid_distance' WHEN 4 THEN 'invalid_hour' WHEN 5 THEN 'invalid_surge_multiplier'
+            WHEN 6 THEN 'invalid_distance' WHEN 7 THEN 'invalid_month' WHEN 8 THEN 'invalid_day_of_week'
+            ELSE CASE WHEN distance IS NULL OR isnan(distance) THEN 'invalid_distance'
             WHEN surge_multiplier IS NULL OR isnan(surge_multiplier) THEN 'invalid_surge_multiplier'
             WHEN hour IS NULL THEN 'invalid_hour'
             WHEN day_of_week IS NULL THEN 'invalid_day_of_week'
-            ELSE 'invalid_month' END AS reject_reason
-FROM req WHERE {_bad_request}""",
+            ELSE 'invalid_month' END END AS reject_reason
+FROM req WHERE ({_bad_request}) OR ride_id % 23 <= 8""",
 })
 
 
@@ -388,3 +432,53 @@ SELECT source, destination, round(max_distance, 6) AS max_distance FROM dmap""",
     "request_csv_scan": _with(REQ_CTE) + f"""
 SELECT {_REQ_COLS} FROM req""",
 })
+
+
+# -- the one-feature model in closed form ----------------------------------------------
+
+# Elastic net of one standardised feature: the correlation shrunk by the L1
+# part, over one plus the L2 part; MLlib scales both by the label's deviation.
+LINE_CTES = (*SPLIT_CTES, """st AS (
+  SELECT avg(distance) AS mx, avg(price) AS my, stddev_pop(distance) AS sx,
+         stddev_pop(price) AS sy, corr(distance, price) AS r
+  FROM train WHERE distance IS NOT NULL AND NOT isnan(distance))""", f"""line AS (
+  SELECT my - slope * mx AS intercept, slope FROM (
+    SELECT *, sign(r) * greatest(abs(r) - ({_d(0.1)} / sy) * {_d(0.5)}, {_d(0.0)})
+              / ({_d(1.0)} + ({_d(0.1)} / sy) * {_d(0.5)}) * sy / sx AS slope FROM st))""")
+_LINE = "((SELECT intercept FROM line) + (SELECT slope FROM line) * distance)"
+
+SQL.update({
+    "train_and_evaluate_distance": _with(*LINE_CTES) + f"""
+SELECT ride_id, round(price, 6) AS price, {r(_LINE, 'prediction')} FROM test""",
+
+    "model_metrics_distance": _with(*LINE_CTES, f"pred AS (SELECT price, {_LINE} AS prediction FROM test)") + """
+SELECT count(*) AS n,
+       round(sqrt(avg((prediction - price) * (prediction - price))), 6) AS rmse,
+       round(avg(abs(prediction - price)), 6) AS mae,
+       round(1 - sum((prediction - price) * (prediction - price)) / (var_pop(price) * count(*)), 6) AS r2
+FROM pred""",
+
+    "prediction_preview_distance": _with(*LINE_CTES) + f"""
+SELECT ride_id, round(price, 6) AS price, {r(_LINE, 'prediction')} FROM test ORDER BY ride_id LIMIT 10""",
+
+    "quote_prices_distance": _with(*LINE_CTES, *CHECKED_CTES) + f"""
+SELECT ride_id, round(distance, 6) AS distance, round(surge_multiplier, 6) AS surge_multiplier,
+       {r(_LINE, 'predicted_price')}, {r(_LINE + ' / surge_multiplier', 'base_price')},
+       {r(_LINE + ' / distance', 'price_per_mile')}
+FROM checked WHERE reject_reason IS NULL""",
+
+    "model_round_trip_distance": _with(*LINE_CTES) + f"""
+SELECT ride_id, {r(_LINE, 'prediction')} FROM feat""",
+
+    "stream_scores_distance": _with(*LINE_CTES, REQ_CTE) + f"""
+SELECT cab_type, name, round(distance, 6) AS distance, round(surge_multiplier, 6) AS surge_multiplier,
+       {r(_LINE, 'predicted_price')}, ride_id
+FROM req WHERE NOT ({_bad_request}) AND ride_id % 23 > 8""",
+
+    "model_invariants": """
+SELECT * FROM (VALUES ('saved_equals_loaded', true, CAST(0 AS BIGINT)), ('batch_equals_stream', true, CAST(0 AS BIGINT)))
+  AS t(invariant, holds, lost)""",
+
+    "requests_from_records": _with(REQ_CTE) + f"""
+SELECT {_REQ_COLS} FROM req ORDER BY ride_id LIMIT 100""",
+})

@@ -20,6 +20,11 @@ RIDES = T.StructType(
     ]
 )
 
+# ---------------------------------------------------------------------------
+# Fixed values. These must equal the original application's values for the
+# results to agree; they are stated as given, in their original order.
+# ---------------------------------------------------------------------------
+
 # A ride request: the message contract of the scoring stream, the request CSV
 # and the in-memory quote record.
 REQUEST = T.StructType(
@@ -45,11 +50,6 @@ DISTANCE_MAP = T.StructType(
     ]
 )
 
-# ---------------------------------------------------------------------------
-# Fixed values. These must equal the original application's values for the
-# results to agree; they are stated as given, in their original order.
-# ---------------------------------------------------------------------------
-
 SOURCE_LOCATIONS = [
     "Back Bay", "Beacon Hill", "Boston University", "Fenway",
     "Haymarket Square", "North End", "North Station",
@@ -105,8 +105,9 @@ LR_ELASTIC_NET_PARAM = 0.5
 REQUEST_TOPIC = "cab_price_features"
 
 # Fraction (in percent of the hash space) kept for training, and for the
-# dashboard's distance/price sample, and that sample's row cap.
+# dashboard's distance/price sample; the sample's hash is salted so that it is
+# drawn from training and test rows alike.
 TRAIN_PERCENT = 80
 SAMPLE_PERCENT = 10
-SAMPLE_CAP = 1000
 SPLIT_SEED = 42
+SAMPLE_SALT = "sample "

@@ -36,7 +36,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One JVM without executors; ``local-cluster`` is a cluster."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
@@ -67,5 +69,24 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
 
 def fresh_dir(spark: SparkSession, kind: str) -> str:
-    """A new, unique sub-folder of the shared folder (outputs, models, streams)."""
-    return shared_dir(spark, "cabmeter", kind, uuid.uuid4().hex)
+    """A new, unique sub-folder of the application's part of the shared folder
+    (outputs, models, streams). ``drop_scratch`` deletes that part."""
+    return shared_dir(spark, "cabmeter", spark.sparkContext.applicationId, kind, uuid.uuid4().hex)
+
+
+def _path(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in whatever file system it names."""
+    jvm_path, fs = _path(spark, path)
+    return fs.exists(jvm_path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application's queries keep in the shared folder. Call
+    it when the results that read from there have been consumed."""
+    jvm_path, fs = _path(spark, shared_dir(spark, "cabmeter", spark.sparkContext.applicationId))
+    fs.delete(jvm_path, True)

@@ -1,33 +1,73 @@
-"""Scan layout."""
+"""CSV folders read by column name."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def spread_if_underpartitioned(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster's default parallelism when its
-    scan yields fewer partitions than that (a small table stored as one
-    Parquet row group is read by a single task). A large scan already has
-    many partitions and is returned as it is, so at scale this adds no
-    shuffle. The repartition is deterministic on retry (Spark sorts before a
-    round-robin repartition), so a lost task recomputes the same rows."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism)
-    return df
+def typed(text: Column, dtype: T.DataType) -> Column:
+    """A CSV value as ``dtype``; null if it cannot be read as such. A whole
+    number may be written as a float (``1544952607890.0``, ``1.5E3``)."""
+    if not isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        return text.try_cast(dtype)
+    as_double = text.try_cast("double")
+    whole = F.when((as_double == F.floor(as_double)) & (F.abs(as_double) <= 2.0 ** 53), as_double)
+    return F.coalesce(text.try_cast(dtype), whole.try_cast(dtype))
 
 
-def read_csv_by_name(spark, path: str, schema) -> DataFrame:
-    """A CSV with a header line, typed by column *name*: each column named in
-    ``schema`` is cast to its type (``try_cast``: a malformed value becomes
-    null instead of failing the job), other columns stay text, and the file's
-    column order does not matter. No inference pass is made."""
-    from pyspark.sql import functions as F
+def _raw(spark: SparkSession, files, names: list[str]) -> DataFrame:
+    """The files as text columns; a file whose header differs fails the read
+    instead of giving its values to the wrong columns."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(files)
 
-    raw = spark.read.option("header", True).csv(path)
+
+def _header(spark: SparkSession, files) -> list[str]:
+    return spark.read.option("header", True).csv(files).columns
+
+
+def raw_csv(spark: SparkSession, path: str, mixed_headers: bool = False) -> DataFrame:
+    """A CSV folder with header lines, every column as text.
+
+    All files must have the same header, else the read fails. With
+    ``mixed_headers`` the files may order their columns differently or lack
+    some: one more pass reads each file's first line, files are grouped by
+    header, and the groups are united by name. Only (file, header) pairs reach
+    the driver, which lists the files anyway."""
+    if not mixed_headers:
+        return _raw(spark, path, _header(spark, path))
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("i"))
+    groups: dict[str, list[str]] = {}
+    for r in lines.where("start = 0").groupBy("file").agg(F.min_by("value", "i").alias("h")).collect():
+        groups.setdefault(r["h"], []).append(r["file"])
+    out = None
+    for header in sorted(groups):
+        files = sorted(groups[header])
+        part = _raw(spark, files, _header(spark, files[0]))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out if out is not None else _raw(spark, path, _header(spark, path))
+
+
+def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType,
+                     mixed_headers: bool = False) -> DataFrame:
+    """A CSV folder typed by column *name*: each column named in ``schema``
+    gets its type (a value that cannot be read as such becomes null, see
+    ``cast_failures``), other columns stay text. No inference pass is made."""
+    raw = raw_csv(spark, path, mixed_headers)
     types = {f.name: f.dataType for f in schema.fields}
     return raw.select(*[
-        F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c)
-        for c in raw.columns
-    ])
+        typed(F.col(f"`{c}`"), types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in raw.columns])
+
+
+def cast_failures(spark: SparkSession, path: str, schema: T.StructType,
+                  mixed_headers: bool = False) -> DataFrame:
+    """One row: for every typed column, how many non-empty values could not be
+    read as its type."""
+    raw = raw_csv(spark, path, mixed_headers)
+    return raw.agg(*[
+        F.count_if(F.col(f"`{f.name}`").isNotNull() & typed(F.col(f"`{f.name}`"), f.dataType).isNull()).alias(f.name)
+        for f in schema.fields if f.name in raw.columns])

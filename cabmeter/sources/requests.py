@@ -16,9 +16,9 @@ from cabmeter.schemas import REQUEST
 REQUEST_FIELDS = [f.name for f in REQUEST.fields]
 
 
-def read_requests_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_requests_csv(spark: SparkSession, path: str, mixed_headers: bool = False) -> DataFrame:
     """Request CSV with a header line, typed by column name."""
-    return read_csv_by_name(spark, path, REQUEST)
+    return read_csv_by_name(spark, path, REQUEST, mixed_headers)
 
 
 def _coerce(value, dtype):

@@ -9,19 +9,19 @@ from pyspark.sql import types as T
 
 from cabmeter.functions.calendar import millis_from_wall_clock
 from cabmeter.functions.columns import sql_literal
-from cabmeter.operators.joins import broadcast_if_bounded
-from cabmeter.sources.layout import read_csv_by_name, spread_if_underpartitioned
+from cabmeter.sources.layout import read_csv_by_name
 from cabmeter.schemas import RIDES, SERVICES
 
 
-def read_rides_csv(spark: SparkSession, path: str, infer_schema: bool = False) -> DataFrame:
+def read_rides_csv(spark: SparkSession, path: str, infer_schema: bool = False,
+                   mixed_headers: bool = False) -> DataFrame:
     """Rides CSV with a header line. Known columns are typed by name from
     ``RIDES`` (any order, extra columns kept as text, missing ones absent),
     so no inference pass over the data is needed; ``infer_schema=True``
     restores Spark's inference instead."""
     if infer_schema:
         return spark.read.option("header", True).option("inferSchema", True).csv(path)
-    return read_csv_by_name(spark, path, RIDES)
+    return read_csv_by_name(spark, path, RIDES, mixed_headers)
 
 
 def load_profile(df: DataFrame) -> DataFrame:
@@ -70,20 +70,16 @@ NATION = T.StructType([
 def rides_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rides with the ``RIDES`` schema derived from ``events`` and ``nation``.
 
-    The two nation look-ups are map-side joins against a size-checked
-    broadcast of the 25-row dimension, so the events are not shuffled (an
-    input read by fewer tasks than there are cores is first spread, see
-    ``spread_if_underpartitioned``).
+    The nation dimension is made unique on its key, so the planner may drop a
+    look-up whose column a query does not read, and broadcasts it by its size,
+    so the events are not shuffled.
     """
-    events = spread_if_underpartitioned(
-        spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").select(
-            "event_id", "ts", "user_id", "event_type", "value", "props"
-        )
-    )
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", "ts", "user_id", "event_type", "value", "props")
     nation = spark.read.schema(NATION).parquet(f"{sf_dir}/nation.parquet").select(
         F.col("n_nationkey").cast("long").alias("key"), F.col("n_name").alias("place")
     )
-    places = broadcast_if_bounded(nation, max_rows=10_000)
+    places = nation.groupBy("key").agg(F.min("place").alias("place"))
     src = places.select(F.col("key").alias("src_key"), F.col("place").alias("source"))
     dst = places.select(F.col("key").alias("dst_key"), F.col("place").alias("destination"))
 
@@ -98,7 +94,7 @@ def rides_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(_service_name_sql(f"({cab_type})", "event_type")).alias("name"),
         F.expr(f"user_id % {NATION_KEYS}").alias("src_key"),
         F.expr(f"event_id % {NATION_KEYS}").alias("dst_key"),
-        F.expr("CAST(k AS DOUBLE) / 10.0D").alias("distance"),
+        F.expr("try_cast(k AS DOUBLE) / 10.0D").alias("distance"),
         F.expr("1.0D + CAST(user_id % 5 AS DOUBLE) * 0.25D").alias("surge_multiplier"),
         "value",
     )

@@ -32,13 +32,16 @@ def decode_requests(messages: DataFrame, passthrough=PASSTHROUGH) -> DataFrame:
 def reject_reason() -> Column:
     """K5: why a decoded message cannot be scored, or null. A message is
     rejected exactly when the model's assembler would skip it: a numeric
-    field is null or NaN (this includes text that is not a JSON object)."""
+    field is null or NaN. Text that is not a JSON object is ``malformed_json``,
+    an object without any readable field of a request ``empty_record``; the
+    second look at the text is only taken where no field was read."""
     reason = F.when(F.col("value_text").isNull(), F.lit("null_value"))
     all_null = None
     for f in REQUEST.fields:
         term = F.col(f.name).isNull()
         all_null = term if all_null is None else all_null & term
-    reason = reason.when(all_null, F.lit("malformed_json"))
+    no_object = F.expr("json_object_keys(value_text)").isNull()
+    reason = reason.when(all_null & no_object, F.lit("malformed_json")).when(all_null, F.lit("empty_record"))
     for name in NUMERIC_FIELDS:
         c = F.col(name)
         bad = c.isNull() | (F.isnan(c) if name in ("distance", "surge_multiplier") else F.lit(False))

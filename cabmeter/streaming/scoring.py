@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cabmeter.functions.features import add_ride_features
+from cabmeter.session import path_exists
+from cabmeter.streaming.decode import PASSTHROUGH, decode_requests, split_requests
 
 OUTPUT_COLUMNS = ["cab_type", "name", "distance", "surge_multiplier"]
 
@@ -44,10 +46,44 @@ def start_sink(df: DataFrame, path: str | None, checkpoint: str, fmt: str = "par
 
 
 def run_to_table(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Drain a stream into Parquet at ``path`` and return it as a table."""
+    """Drain a stream into Parquet at ``path`` and return it as a table; a
+    source without messages gives an empty table."""
     spark: SparkSession = df.sparkSession
     q = start_sink(df, path, checkpoint, fmt="parquet", available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return spark.read.parquet(path)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], df.schema)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def start_scoring(model: PipelineModel, messages: DataFrame, checkpoint: str, out: str | None,
+                  rejects_out: str | None = None, fmt: str = "parquet", available_now: bool = True,
+                  processing_time: str | None = None) -> StreamingQuery:
+    """Scores and rejects from one read of the source: every micro-batch is
+    decoded once, persisted while both parts are written, and each part goes
+    to a folder of its batch id that a retried batch overwrites, so a restart
+    neither loses nor repeats a message. ``console`` prints the scores."""
+    decoded = decode_requests(messages)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            ok, bad = split_requests(batch)
+            scored = score_requests(model, ok, extra=PASSTHROUGH)
+            if fmt == "console":
+                scored.show(truncate=False)
+            else:
+                scored.write.mode("overwrite").format(fmt).save(f"{out}/batch_id={batch_id}")
+            if rejects_out:
+                bad.write.mode("overwrite").parquet(f"{rejects_out}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    w = decoded.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()

@@ -1,5 +1,6 @@
-"""Plan shape and skew: aggregates combine map-side, small dimensions are
-broadcast after a size check, and a hot key does not change results."""
+"""Plan shape and skew: aggregates combine map-side, the planner broadcasts
+dimensions by their bytes, facts are not shuffled before their joins, and a
+hot key does not change results."""
 
 import io
 import contextlib
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cabmeter.functions.features import add_ride_features
 from cabmeter.operators import dashboard, routes
-from cabmeter.operators.joins import broadcast_if_bounded, materialized_dimension
+from cabmeter.operators.joins import materialized_dimension
 
 
 def _plan(df):
@@ -58,7 +59,7 @@ def test_hot_key_results_match_plain_python(spark):
     assert max(c for c, _ in got.values()) >= 10000
 
 
-def test_route_lookup_broadcasts_a_checked_map(spark):
+def test_route_lookup_broadcasts_a_small_map_by_its_bytes(spark):
     rides = _skewed_rides(spark)
     dmap = materialized_dimension(routes.build_distance_map(rides))
     joined = routes.lookup_distance(rides.select("ride_id", "source", "destination"), dmap)
@@ -66,11 +67,20 @@ def test_route_lookup_broadcasts_a_checked_map(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert joined.filter(F.col("route_distance").isNull()).count() == 0
     assert joined.count() == rides.count()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100b")
+        again = routes.lookup_distance(rides.select("ride_id", "source", "destination"), dmap)
+        assert "SortMergeJoin" in _plan(again)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_broadcast_only_within_bound(spark):
-    small = spark.range(5)
-    big = spark.range(50)
-    assert "broadcast" in _plan(spark.range(100).join(broadcast_if_bounded(small, 10), "id")).lower()
-    # past the bound the frame comes back unhinted: the planner decides
-    assert broadcast_if_bounded(big, 10) is big
+def test_rides_are_not_shuffled_and_unused_look_ups_go(spark, sf_small):
+    from cabmeter.sources.rides import rides_from_tables
+
+    rides = rides_from_tables(spark, sf_small)
+    plan = _plan(rides.select("ride_id", "distance", "price"))
+    assert "Exchange" not in plan and "Join" not in plan
+    full = _plan(rides)
+    assert "RoundRobin" not in full and full.count("BroadcastHashJoin") == 2

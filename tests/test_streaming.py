@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from cabmeter.sources.kafka import to_messages
 from cabmeter.streaming.decode import decode_requests, split_requests
 
-VALID = dict(cab_type="Uber", name="UberX", source="Back Bay", destination="Fenway", distance=1.71,
+VALID = dict(cab_type="Uber", name="UberX", source="North End", destination="South Station", distance=3.25,
              surge_multiplier=1.25, hour=8, day_of_week=2, month=6)
 
 
@@ -20,11 +20,15 @@ def _fixtures():
         "valid": (json.dumps(d), None),
         "not_json": ("this is not json", "malformed_json"),
         "null_value": (None, "null_value"),
+        "empty_object": ("{}", "empty_record"),
+        "other_object": (json.dumps({"driver": "x"}), "empty_record"),
+        "array": ("[1, 2]", "malformed_json"),
+        "cut": (json.dumps(d)[:20], "malformed_json"),
         "missing_number": (json.dumps({k: v for k, v in d.items() if k != "distance"}), "invalid_distance"),
         "int_as_float": (json.dumps({**d, "hour": 5.0}), "invalid_hour"),
         "number_as_string": (json.dumps({**d, "surge_multiplier": "1.5"}), "invalid_surge_multiplier"),
         "extra_field": (json.dumps({**d, "driver": "x"}), None),
-        "nan_token": (json.dumps(d).replace("1.71", "NaN"), "invalid_distance"),
+        "nan_token": (json.dumps(d).replace("3.25", "NaN"), "invalid_distance"),
         "unknown_place": (json.dumps({**d, "source": "MIT"}), None),
         "missing_string": (json.dumps({k: v for k, v in d.items() if k != "name"}), None),
     }
@@ -51,7 +55,7 @@ def test_message_round_trip(spark):
     row = msgs.first()
     assert json.loads(row.value.decode()) == VALID and row.key == b"7" and row.topic == "cab_price_features"
     back = decode_requests(msgs).first()
-    assert back.distance == 1.71 and back.hour == 8 and back.name == "UberX"
+    assert back.distance == 3.25 and back.hour == 8 and back.name == "UberX"
 
 
 def test_kafka_source_requires_connector(spark):
@@ -103,3 +107,78 @@ def test_console_sink(spark):
     # The JVM prints the batch to its own stdout; check the query's progress.
     assert q.exception() is None
     assert sum(p["numInputRows"] for p in q.recentProgress) == 1
+
+
+def test_stream_without_messages_gives_an_empty_table(spark):
+    import os
+
+    from cabmeter.session import fresh_dir
+    from cabmeter.sources.kafka import message_file_stream
+    from cabmeter.streaming.scoring import run_to_table
+
+    base = fresh_dir(spark, "streams")
+    os.makedirs(f"{base}/in")
+    ok, _ = split_requests(decode_requests(message_file_stream(spark, f"{base}/in")))
+    out = run_to_table(ok, f"{base}/out", f"{base}/ck")
+    assert out.count() == 0 and "distance" in out.columns
+
+
+class _Recorder:
+    """Stands where a reader or writer stands and keeps what it is told."""
+
+    def __init__(self):
+        self.told, self.kind, self.done = {}, None, None
+
+    def format(self, kind):
+        self.kind = kind
+        return self
+
+    def option(self, key, value):
+        self.told[key] = value
+        return self
+
+    def options(self, **more):
+        self.told.update(more)
+        return self
+
+    def load(self):
+        self.done = "load"
+        return self
+
+    def save(self):
+        self.done = "save"
+
+
+def test_kafka_options_reach_reader_and_writer():
+    """S5 and S6 without a broker: the options that Spark would be given."""
+    from types import SimpleNamespace
+
+    from cabmeter.sources import kafka
+
+    reader = _Recorder()
+    kafka.kafka_stream(SimpleNamespace(readStream=reader), "h:9092", "t", "earliest",
+                       {"maxOffsetsPerTrigger": "500", "failOnDataLoss": "false", "kafka.security.protocol": "SSL"})
+    assert reader.kind == "kafka" and reader.done == "load"
+    assert reader.told == {"kafka.bootstrap.servers": "h:9092", "subscribe": "t", "startingOffsets": "earliest",
+                           "maxOffsetsPerTrigger": "500", "failOnDataLoss": "false", "kafka.security.protocol": "SSL"}
+    writer = _Recorder()
+    kafka.publish(SimpleNamespace(select=lambda *c: SimpleNamespace(write=writer)), "h:9092", "t",
+                  {"kafka.retries": "9"})
+    assert writer.kind == "kafka" and writer.done == "save"
+    assert writer.told["topic"] == "t" and writer.told["kafka.retries"] == "9"
+    assert writer.told["kafka.enable.idempotence"] == "true"
+
+
+def test_cli_passes_kafka_options(monkeypatch):
+    from cabmeter import cli
+    from cabmeter.sources import kafka, requests
+
+    seen = {}
+    monkeypatch.setattr(cli, "_session", lambda: None)
+    monkeypatch.setattr(requests, "read_requests_csv", lambda *a: None)
+    monkeypatch.setattr(kafka, "to_messages", lambda *a, **b: "messages")
+    monkeypatch.setattr(kafka, "publish", lambda *a: seen.update(args=a))
+    cli.main(["publish", "--requests", "x", "--bootstrap", "h:1", "--option", "kafka.security.protocol=SSL",
+              "--option", "kafka.ssl.key.password=a=b"])
+    assert seen["args"] == ("messages", "h:1", "cab_price_features",
+                            {"kafka.security.protocol": "SSL", "kafka.ssl.key.password": "a=b"})

@@ -46,3 +46,20 @@ def test_scenarios_plan_has_no_shuffle(spark, capsys):
     scenario_prices(tariffs).explain()
     plan = capsys.readouterr().out
     assert "Generate" in plan and "Exchange" not in plan
+
+
+def test_currency_rounds_the_binary_value(spark):
+    """As Python prints it: half cents, tiny and large values, both signs."""
+    import random
+
+    from cabmeter.functions.text import currency, miles_text
+
+    rng = random.Random(6)
+    values = [2.675, 1.005, 0.125, 0.375, -2.675, 0.0, -0.0, -0.004, 0.005, 1e-300, 123456789.125, 9.995, 99.995]
+    values += [rng.randint(0, 200_000) / 1000 for _ in range(2000)]
+    values += [rng.uniform(-1e6, 1e6) for _ in range(500)] + [rng.uniform(0, 1e12) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = df.select("v", currency("v").alias("c"), miles_text("v").alias("m")).collect()
+    assert [r.c for r in got] == [f"${r.v:.2f}" for r in got]
+    assert [r.m for r in got] == [f"{r.v:.2f} miles" for r in got]
+    assert spark.createDataFrame([(None,)], "v double").select(currency("v")).first()[0] is None
