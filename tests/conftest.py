@@ -10,13 +10,14 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from cabmeter.session import build_session, shared_dir
+    from cabmeter.session import build_session, drop_scratch, shared_dir
 
     s = build_session("local[*]", 8, "cabmeter-tests")
     # The shared folder comes from the session's spark.checkpoint.dir; only
     # when that is unset does shared_dir give this local session its own.
     shared_dir(s)
     yield s
+    drop_scratch(s)
     s.stop()
 
 

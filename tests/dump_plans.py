@@ -24,6 +24,9 @@ def tree(df) -> str:
     lines = [sections[0]]
     for sec in sections[1:]:
         head = sec.strip().splitlines()[0] if sec.strip() else ""
+        if "Exchange" in head:
+            keep = [l for l in sec.strip().splitlines()[1:] if l.startswith("Arguments")]
+            lines.append(head + "\n  " + "\n  ".join(keep))
         if "Scan parquet" in head:
             keep = [l for l in sec.strip().splitlines()[1:]
                     if l.startswith(("ReadSchema", "PushedFilters", "Location"))]
@@ -39,9 +42,8 @@ def main() -> None:
     sf = "/root/testdata/sf0.01"
     parts = ["# Physical plans\n",
              "Generated by `python tests/dump_plans.py` (sf0.01, local[8], AQE on; the plans are the",
-             "initial adaptive plans). Exchanges of ride rows appear only as the round-robin spread of",
-             "the single-row-group test file; joins to dimensions are broadcast after a size check;",
-             "aggregates are partial before their exchange.\n"]
+             "initial adaptive plans). Ride rows are not exchanged before their joins and aggregates; the",
+             "planner broadcasts dimensions by their bytes; aggregates are partial before their exchange.\n"]
     for key in KEYS:
         parts.append(f"## {key}\n\n```\n{tree(E.queries()[key](spark, sf))}\n```\n")
     with open("PLANS.md", "w") as f:
