@@ -19,3 +19,22 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_entry_works_without_the_optional_parts(tmp_path):
+    """The ride queries are there when the training-data subpackage and its
+    pipeline are not."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copy(os.path.join(root, "__spark_entry__.py"), tmp_path)
+    shutil.copytree(os.path.join(root, "cabmeter"), tmp_path / "cabmeter",
+                    ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    code = "import __spark_entry__ as e; q, s = e.queries(), e.oracle_sql(); print(len(q), set(s) <= set(q))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    n, ok = out.stdout.split()
+    assert int(n) >= 47 and ok == "True", out.stderr
