@@ -8,10 +8,10 @@
    is the centre of a star: edges are as many as members, not pairs.
 3. Edges are confirmed on the full sets; confirmed links give components.
 4. A bucket whose members are still in several components is not settled: a
-   star's edges may fail where two other members are alike. In further rounds
-   more and more members of such buckets (by a hash, four times as many each
-   round, in the end all) are centres for the members of other components, so
-   every pair that shares a bucket is compared unless it is already connected.
+   star's edges may fail where two other members are alike. The classes of such
+   components are compared exactly: they are ordered by how rare their shingles
+   are, and two alike sets must share one of their rarest (the prefix filter),
+   so only pairs that do, and lie in different components, are confirmed.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from cabmeter.llm.textops import chain, chunks, mix, words_of
 BANDS, BAND_ROWS = 50, 5
 _U = np.uint64
 _ATTEMPTS = 4096
-_GROWTH = 4
+MAX_COUNTERS = 1 << 24  # counters of shingle frequencies that are broadcast, at most
 
 
 def _probe(bins: int) -> np.ndarray:
@@ -154,6 +154,59 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(alike).select("a", "b")
 
 
+def _unsettled_pairs(buckets: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes in different components that could be alike,
+    among the components that meet another one in some bucket.
+
+    For sets x and y that are alike, |x & y| is at least a = percent / (100 +
+    percent) * (|x| + |y|), so of their elements in any common order the first
+    |x| - a + 1 and |y| - a + 1 share one. The order is by frequency, rare
+    first, from a table of counters (an upper bound, which is an order as good
+    for exactness); |y| is at least the smallest size in x's unsettled buckets."""
+    spark = buckets.sparkSession
+    placed = (buckets.join(labels, "cid", "left").groupBy("bucket", F.coalesce("comp", "cid").alias("comp"))
+              .agg(F.min("n").alias("least")))
+    mixed = placed.groupBy("bucket").agg(F.min("least").alias("low"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    open_ = placed.join(mixed, "bucket").groupBy("comp").agg(F.min("low").alias("low"))
+    rows = sets.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")).join(open_, "comp")
+    rows = cut(rows.select("cid", "comp", "low", "set"), "minhash")
+    total = rows.agg(F.sum(F.size("set").cast("long")).alias("n")).first()["n"] or 0
+    counters = 1 << min(MAX_COUNTERS.bit_length() - 1, max(16, int(total).bit_length()))
+    counts = rows.select(F.explode("set").alias("s")).groupBy(
+        F.col("s").bitwiseAND(F.lit(counters - 1)).cast("int").alias("i")).agg(
+        F.count(F.lit(1)).cast("int").alias("c")).toArrow()
+    table = np.zeros(counters, np.int32)
+    table[counts.column("i").to_numpy()] = counts.column("c").to_numpy()
+    shared = spark.sparkContext.broadcast(table)
+
+    def prefixes(batches):
+        often = shared.value
+        for batch in batches:
+            out = [[], [], [], []]
+            lists = batch.column(3)
+            for i in range(batch.num_rows):
+                own = lists[i].values.to_numpy(zero_copy_only=False)
+                n = len(own)
+                least = max(batch.column(2)[i].as_py(), -(-n * percent // 100))
+                common = -(-percent * (n + least) // (100 + percent))
+                f = often[own & (counters - 1)]
+                first = np.lexsort((own, f))[:max(0, n - common + 1)]
+                first = own[first[f[first] > 1]]
+                for have, more in zip(out, (np.full(len(first), batch.column(0)[i].as_py()),
+                                            np.full(len(first), batch.column(1)[i].as_py()),
+                                            np.full(len(first), n), first)):
+                    have.append(more)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out],
+                                                 names=["cid", "comp", "n", "s"])
+
+    heads = cut(rows.mapInArrow(prefixes, "cid long, comp long, n long, s long"), "minhash")
+    left = heads.select("s", F.col("cid").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
+    right = heads.select("s", F.col("cid").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"))
+    return left.join(right, "s").where(
+        f"ca < cb AND least(na, nb) * 100 >= greatest(na, nb) * {percent}").select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5,
                     percent: int = 80, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
     """(key, n_shingles, component_id, kept) for every row of ``docs``.
@@ -184,11 +237,15 @@ def _grouped(docs: DataFrame, key: str, text: str, shingle: int, percent: int,
     """(doc, th, n, low, kept) for every row; ``th`` is a hash of the text."""
     rows = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
     sig = cut(_signatures(rows, shingle, bands, band_rows), "minhash")
-    reps = sig.where("n > 0").select("cid", "bands").dropDuplicates(["cid"])
-    members = reps.select("cid", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("cid").alias("centre"), F.count(F.lit(1)).alias("size")).where(
-        "size > 1")
-    buckets = cut(members.join(shared, "bucket"), "minhash")
+    # A class is led by its smallest key, and a bucket by its smallest class:
+    # copies mostly come after what they copy, so one centre serves all bands.
+    reps = sig.where("n > 0").groupBy("cid").agg(
+        F.min("doc").alias("lead"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    members = reps.select("cid", "lead", "n", F.explode("bands").alias("bucket"))
+    shared = members.groupBy("bucket").agg(
+        F.coalesce(F.min_by("cid", "lead"), F.min("cid")).alias("centre"), F.count(F.lit(1)).alias("size")).where(
+        "size > 1").drop("size")
+    buckets = cut(members.drop("lead").join(shared, "bucket"), "minhash")
 
     needed = (sig.where("n > 0").groupBy("cid").agg(F.min(F.struct("doc", "th")).alias("r"))
               .join(buckets.select("cid").distinct(), "cid", "left_semi")
@@ -200,29 +257,13 @@ def _grouped(docs: DataFrame, key: str, text: str, shingle: int, percent: int,
     links = cut(_confirmed(pairs, sets, percent), "minhash")
     labels = cut(connected_components(links).select(F.col("id").alias("cid"), F.col("component").alias("comp")),
                  "minhash")
-    # Members of a bucket take their turn as centres in the order of a hash.
-    turn = F.pmod(F.xxhash64("bucket", "cid"), F.lit(1 << 40)) / F.lit(float(1 << 40)) * F.col("size")
-    done, more = 0.0, 4.0
-    while True:
-        now = buckets.where(turn >= done).join(labels, "cid", "left").select(
-            "bucket", "cid", "size", F.coalesce("comp", "cid").alias("comp"))
-        mixed = now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-        open_ = cut(now.join(mixed.select("bucket"), "bucket", "left_semi"), "minhash")
-        if open_.isEmpty():
-            break
-        centres = open_.where(turn < done + more).select(
-            "bucket", F.col("cid").alias("b"), F.col("comp").alias("to"), turn.alias("turn_b"))
-        rest = open_.select("bucket", F.col("cid").alias("a"), "comp", turn.alias("turn_a"))
-        tries = rest.join(centres, "bucket").where("comp <> to AND turn_a > turn_b").select("a", "b").distinct()
-        found = cut(_confirmed(tries, sets, percent), "minhash")
-        done, more = done + more, more * _GROWTH
-        if found.isEmpty():
-            continue
-        names = lambda c: labels.select(F.col("cid").alias(c), F.col("comp").alias(f"{c}_comp"))
-        joined = (found.join(names("a"), "a", "left").join(names("b"), "b", "left")
-                  .select(F.coalesce("a_comp", "a").alias("a"), F.coalesce("b_comp", "b").alias("b")))
-        merged = cut(connected_components(joined).select(F.col("id").alias("comp"), F.col("component").alias("to")),
-                     "minhash")
+    more = cut(_confirmed(_unsettled_pairs(buckets, labels, sets, percent), sets, percent), "minhash")
+    if not more.isEmpty():
+        name = lambda c: labels.select(F.col("cid").alias(c), F.col("comp").alias(f"{c}_comp"))
+        joined = more.join(name("a"), "a", "left").join(name("b"), "b", "left").select(
+            F.coalesce("a_comp", "a").alias("a"), F.coalesce("b_comp", "b").alias("b"))
+        merged = cut(connected_components(joined).select(
+            F.col("id").alias("comp"), F.col("component").alias("to")), "minhash")
         old = labels.join(merged, "comp", "left").select("cid", F.coalesce("to", "comp").alias("comp"))
         new = merged.join(labels.select(F.col("cid").alias("comp")), "comp", "left_anti").select(
             F.col("comp").alias("cid"), F.col("to").alias("comp"))
