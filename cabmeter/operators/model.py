@@ -261,3 +261,35 @@ def fit_single_feature(train: DataFrame, feature: str = "distance") -> DataFrame
         n = rows.count()
     return train.sparkSession.createDataFrame(
         [(n, float(model.intercept), float(model.coefficients[0]))], "n long, intercept double, slope double")
+
+
+def elastic_net_violation(model: PipelineModel, train: DataFrame) -> float:
+    """How far the fitted coefficients are from the elastic net's optimality
+    conditions on the rows they were fitted on, relative to the L1 penalty: 0
+    is optimal. The gradient comes from one distributed Summarizer pass over
+    the residuals' positive and negative parts; only vectors as long as the
+    coefficients reach the driver."""
+    import numpy as np
+    from pyspark.ml.stat import Summarizer
+
+    lr = model.stages[-1]
+    r = F.col(LABEL) - F.col("prediction")
+    scored = model.transform(train).select(
+        "features", LABEL, F.greatest(r, F.lit(0.0)).alias("up"), F.greatest(-r, F.lit(0.0)).alias("down"))
+    s = scored.agg(
+        F.count(F.lit(1)).alias("n"), F.stddev_pop(LABEL).alias("sy"),
+        F.sum("up").alias("su"), F.sum("down").alias("sd"),
+        Summarizer.mean(F.col("features")).alias("mean"), Summarizer.std(F.col("features")).alias("std"),
+        Summarizer.mean(F.col("features"), F.col("up")).alias("up"),
+        Summarizer.mean(F.col("features"), F.col("down")).alias("down")).first()
+    mean, up, down = (s[c].toArray() for c in ("mean", "up", "down"))
+    sx = s["std"].toArray() * np.sqrt((s["n"] - 1) / s["n"])
+    keep = sx > 0
+    # In the space the solver works in: features and label standardised.
+    grad = ((up * s["su"] - down * s["sd"] - mean * (s["su"] - s["sd"]))[keep] / (s["n"] * sx[keep] * s["sy"]))
+    w = lr.coefficients.toArray()[keep] * sx[keep] / s["sy"]
+    penalty = LR_REG_PARAM / s["sy"]
+    l1, l2 = penalty * LR_ELASTIC_NET_PARAM, penalty * (1 - LR_ELASTIC_NET_PARAM)
+    active = np.abs(w) > 1e-9
+    off = np.where(active, np.abs(grad - l1 * np.sign(w) - l2 * w), np.maximum(np.abs(grad) - l1, 0))
+    return float(off.max(initial=0) / l1)

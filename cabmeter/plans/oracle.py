@@ -476,7 +476,8 @@ SELECT cab_type, name, round(distance, 6) AS distance, round(surge_multiplier, 6
 FROM req WHERE NOT ({_bad_request}) AND ride_id % 23 > 8""",
 
     "model_invariants": """
-SELECT * FROM (VALUES ('saved_equals_loaded', true, CAST(0 AS BIGINT)), ('batch_equals_stream', true, CAST(0 AS BIGINT)))
+SELECT * FROM (VALUES ('saved_equals_loaded', true, CAST(0 AS BIGINT)), ('batch_equals_stream', true, CAST(0 AS BIGINT)),
+  ('fit_is_optimal', true, CAST(0 AS BIGINT)))
   AS t(invariant, holds, lost)""",
 
     "requests_from_records": _with(REQ_CTE) + f"""

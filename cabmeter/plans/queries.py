@@ -352,10 +352,13 @@ def model_round_trip_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full model: the largest differences between the saved and the loaded
-    model and between batch and stream scores, and scores lost by either."""
+    """The full model: whether saved and loaded model and batch and stream agree
+    on every score, how many scores either loses, and whether the fit meets
+    the elastic net's optimality conditions."""
     r = Rides(spark, sf_dir)
     model, _ = _fit(r)
+    train, _ = m.split_train_test(r.featured)
+    optimal = m.elastic_net_violation(model, train) < 1e-3
     batch = model.transform(r.featured).select("ride_id", "prediction")
     loaded = _reloaded(spark, model).transform(r.featured).select("ride_id", F.col("prediction").alias("other"))
     stream = _stream_scored(spark, model, _messages(r.clean)).select(
@@ -367,7 +370,9 @@ def model_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.count_if(F.col("prediction").isNull() | F.col("other").isNull()).alias("lost")).select(
             F.lit(name).alias("invariant"), (F.col("gap") < 1e-9).alias("holds"), "lost")
 
-    return gap("saved_equals_loaded", loaded).unionByName(gap("batch_equals_stream", stream))
+    fit = spark.range(1).select(F.lit("fit_is_optimal").alias("invariant"), F.lit(optimal).alias("holds"),
+                                F.lit(0).cast("long").alias("lost"))
+    return gap("saved_equals_loaded", loaded).unionByName(gap("batch_equals_stream", stream)).unionByName(fit)
 
 
 # -- step 10: file sources -----------------------------------------------------------

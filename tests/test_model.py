@@ -157,6 +157,10 @@ def test_elastic_net_kkt_conditions(fitted):
     pred = np.array([r.prediction for r in model.transform(train).select("prediction").collect()])
     assert abs((y - pred).mean()) < 1e-6 * max(1.0, abs(y.mean()))
     assert active.sum() < len(w)  # the L1 part zeroes some coefficients
+    # The distributed check agrees.
+    from cabmeter.operators.model import elastic_net_violation
+
+    assert elastic_net_violation(model, train) < 1e-3
 
 
 def test_aggregates_are_layout_independent(feats):
