@@ -51,17 +51,26 @@ def best_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(a, b): a url and another address of the same page. Taken from the
-    canonical link and the refresh redirect of the html, where they name an
-    absolute address, and from the url itself without its fragment, which is
-    never sent to a server."""
+    canonical link and the refresh redirect of the html, and from the url
+    itself without its fragment, which is never sent to a server. An address
+    may be whole, begin with ``//`` (same scheme) or with ``/`` (same scheme
+    and host); other relative ones are left out."""
     u = F.col(url)
+    scheme, site = F.regexp_extract(u, r"^([^:/?#]+):", 1), F.regexp_extract(u, r"^([^:/?#]+://[^/?#]*)", 1)
+
+    def whole(address: Column) -> Column:
+        a = F.replace(address, F.lit("&amp;"), F.lit("&"))
+        return (F.when(a.rlike(r"^(?i)[a-z][a-z0-9+.-]*://"), a)
+                .when(a.startswith("//") & (scheme != ""), F.concat(scheme, F.lit(":"), a))
+                .when(a.startswith("/") & ~a.startswith("//") & (site != ""), F.concat(site, a)))
+
     head = F.col(html)
     link = F.regexp_extract(head, r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
     jump = F.regexp_extract(head, r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
     targets = F.array(
         F.regexp_replace(u, r"#[\s\S]*$", ""),
-        F.regexp_extract(link, r"(?i)\bhref\s*=\s*[\"']?([a-z][a-z0-9+.-]*://[^\"'\s>]*)", 1),
-        F.regexp_extract(jump, r"(?i)\burl\s*=\s*[\"']?([a-z][a-z0-9+.-]*://[^\"'\s>]*)", 1))
+        whole(F.regexp_extract(link, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]*)", 1)),
+        whole(F.regexp_extract(jump, r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]*)", 1)))
     return (pages.where(u.isNotNull()).select(u.alias("a"), F.explode(targets).alias("b"))
             .where((F.col("b") != "") & (F.col("a") != F.col("b"))))
 

@@ -42,6 +42,10 @@ def test_url_cases(spark):
          '<link rel="canonical" href="https://a.net/fr/9">'), (9, "http://x.org/1#top", None),
         (10, "http://www.example.com/en/2", '<meta http-equiv="refresh" content="0; url=http://b.net/es/1">'),
         (11, "http://notcom/en/", None), (12, "", ""), (9, "http://x.org/1#top", None),
+        (15, "https://x.org/5", '<link href="/9?a=1&amp;b=2" rel=canonical>'),
+        (16, "https://x.org/6", '<LINK REL="canonical" HREF="//a.net/es/1">'),
+        (17, "https://x.org/9?a=1&b=2", '<meta content="3;URL=https://b.net/fr/1" http-equiv=refresh>'),
+        (18, "https://x.org/8", '<link rel="canonical" href="next.html"><link rel="icon" href="https://a.net/fr/9">'),
         (13, "http://telecom/x", None), (14, "http://x.com?u=http://a.net/fr/", None),
     ]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("component", F.lit("x"))
@@ -57,6 +61,7 @@ def test_url_cases(spark):
     assert got[9] == ("x.org", "/1", None, "block")      # alias of that alias
     assert got[10][2:] == ("www.example.com/en/", "allow")  # its own allow holds
     assert got[11] == ("notcom", "/en/", None, "allow") and got[13][2] is None
+    assert [got[i][3] for i in (15, 16, 17, 18)] == ["block", "block", "block", "allow"]
     assert got[14] == ("x.com", "", None, "allow")
     assert urls.judge_urls(df, queries.URL_RULES).count() == len(rows)
     assert urls.judge_urls(df.limit(0), queries.URL_RULES).count() == 0
