@@ -162,7 +162,10 @@ def _unsettled_pairs(buckets: DataFrame, labels: DataFrame, sets: DataFrame, per
     percent) * (|x| + |y|), so of their elements in any common order the first
     |x| - a + 1 and |y| - a + 1 share one. The order is by frequency, rare
     first, from a table of counters (an upper bound, which is an order as good
-    for exactness); |y| is at least the smallest size in x's unsettled buckets."""
+    for exactness); |y| is at least the smallest size in x's unsettled buckets.
+    For the first element that x and y share, at places i and j of the order,
+    |x & y| is at most 1 + min(|x| - i, |y| - j): pairs for which no element
+    leaves room for a are not made."""
     spark = buckets.sparkSession
     placed = (buckets.join(labels, "cid", "left").groupBy("bucket", F.coalesce("comp", "cid").alias("comp"))
               .agg(F.min("n").alias("least")))
@@ -182,7 +185,7 @@ def _unsettled_pairs(buckets: DataFrame, labels: DataFrame, sets: DataFrame, per
     def prefixes(batches):
         often = shared.value
         for batch in batches:
-            out = [[], [], [], []]
+            out = [[], [], [], [], []]
             lists = batch.column(3)
             for i in range(batch.num_rows):
                 own = lists[i].values.to_numpy(zero_copy_only=False)
@@ -191,20 +194,24 @@ def _unsettled_pairs(buckets: DataFrame, labels: DataFrame, sets: DataFrame, per
                 common = -(-percent * (n + least) // (100 + percent))
                 f = often[own & (counters - 1)]
                 first = np.lexsort((own, f))[:max(0, n - common + 1)]
-                first = own[first[f[first] > 1]]
+                place = np.flatnonzero(f[first] > 1)
+                first = own[first[place]]
                 for have, more in zip(out, (np.full(len(first), batch.column(0)[i].as_py()),
                                             np.full(len(first), batch.column(1)[i].as_py()),
-                                            np.full(len(first), n), first)):
+                                            np.full(len(first), n), place + 1, first)):
                     have.append(more)
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out],
-                                                 names=["cid", "comp", "n", "s"])
-
-    heads = cut(rows.mapInArrow(prefixes, "cid long, comp long, n long, s long"), "minhash")
-    left = heads.select("s", F.col("cid").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
-    right = heads.select("s", F.col("cid").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"))
+                                                 names=["cid", "comp", "n", "i", "s"])
+
+    heads = cut(rows.mapInArrow(prefixes, "cid long, comp long, n long, i long, s long"), "minhash")
+    left = heads.select("s", F.col("cid").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"),
+                        F.col("i").alias("ia"))
+    right = heads.select("s", F.col("cid").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"),
+                         F.col("i").alias("ib"))
+    room = f"(1 + least(na - ia, nb - ib)) * {100 + percent} >= {percent} * (na + nb)"
     return left.join(right, "s").where(
-        f"ca < cb AND least(na, nb) * 100 >= greatest(na, nb) * {percent}").select("a", "b").distinct()
+        f"ca < cb AND least(na, nb) * 100 >= greatest(na, nb) * {percent} AND {room}").select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5,
