@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cabmeter.llm.scratch import cut
 
 WORDS = r"[^\x20\x09-\x0D]+"
+BLANKS = " \t\n\x0b\x0c\r"
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 BLOCK_WORDS = 20_000     # words that a block is meant to hold
@@ -20,7 +21,10 @@ MAX_SOURCES = 4_096      # sources that a mixture may name
 
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
+    """Words of a text; null has none. Every word becomes one letter and the
+    blanks go, so no list of the words is made."""
+    letters = F.translate(F.regexp_replace(text, WORDS, "w"), BLANKS, "")
+    return F.coalesce(F.length(letters), F.lit(0)).cast("long")
 
 
 def mixture_targets(sizes: list[int], weights: list[float], cap: float = MAX_EPOCHS) -> list[float]:

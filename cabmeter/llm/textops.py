@@ -14,7 +14,7 @@ import pyarrow as pa
 
 # Bytes of text handled at once; bounds the memory of the work arrays (about
 # sixty bytes for each byte of text). A longer single text is a chunk alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _U = np.uint64
 _WS = np.zeros(256, bool)
