@@ -278,8 +278,10 @@ def _grouped(docs: DataFrame, key: str, text: str, shingle: int, percent: int,
 
     named = sig.select("doc", "th", "n", "cid").join(labels, "cid", "left").select(
         "doc", "th", "n", F.when(F.col("n") > 0, F.coalesce("comp", "cid")).alias("comp"))
-    smallest = named.where("n > 0").groupBy("comp").agg(F.min("doc").alias("low")).select(
-        F.col("comp").alias("c"), "low")
+    # Written, so that the join deals both sides anew and AQE can split a
+    # component that holds a large part of all rows.
+    smallest = cut(named.where("n > 0").groupBy("comp").agg(F.min("doc").alias("low")).select(
+        F.col("comp").alias("c"), "low"), "minhash")
     return named.join(smallest, F.col("comp") == F.col("c"), "left").select(
         "doc", "th", "n", F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc")).alias("low")
     ).withColumn("kept", F.col("doc").eqNullSafe(F.col("low")))

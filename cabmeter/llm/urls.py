@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabmeter.llm.components import connected_components
+from cabmeter.llm.scratch import cut
 
 
 @dataclass(frozen=True)
@@ -94,10 +95,11 @@ def judge_urls(pages: DataFrame, rules: list[Rule], page: str = "page_id", url:
     links = alias_edges(pages, url, html)
     if edges is not None:
         links = links.unionByName(edges.select("a", "b"))
-    members = connected_components(links)
+    members = cut(connected_components(links), "urls")
     rule = best_rule(url_host(F.col("id")), url_path(F.col("id")), rules)
-    decided = members.select("component", (rule["verdict"] == "block").alias("hit")).groupBy(
-        "component").agg(F.coalesce(F.max("hit"), F.lit(False)).alias("blocked"))
+    # Both written, so that AQE can split a component with very many aliases.
+    decided = cut(members.select("component", (rule["verdict"] == "block").alias("hit")).groupBy(
+        "component").agg(F.coalesce(F.max("hit"), F.lit(False)).alias("blocked")), "urls")
     marked = members.join(decided, "component").select(
         F.col("id").alias("__id"), "component", "blocked")
     own = pages.select(F.col(page).alias("page_id"), F.col(url).alias("__url")).select(
