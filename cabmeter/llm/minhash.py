@@ -170,7 +170,7 @@ def _unsettled_pairs(buckets: DataFrame, labels: DataFrame, sets: DataFrame, per
     placed = (buckets.join(labels, "cid", "left").groupBy("bucket", F.coalesce("comp", "cid").alias("comp"))
               .agg(F.min("n").alias("least")))
     mixed = placed.groupBy("bucket").agg(F.min("least").alias("low"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    open_ = placed.join(mixed, "bucket").groupBy("comp").agg(F.min("low").alias("low"))
+    open_ = cut(placed.join(mixed, "bucket").groupBy("comp").agg(F.min("low").alias("low")), "minhash")
     rows = sets.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")).join(open_, "comp")
     rows = cut(rows.select("cid", "comp", "low", "set"), "minhash")
     total = rows.agg(F.sum(F.size("set").cast("long")).alias("n")).first()["n"] or 0
