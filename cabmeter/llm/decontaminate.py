@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabmeter.llm.scratch import cut
+from cabmeter.llm.ship import ensure_importable
 from cabmeter.llm.textops import Words, chain, chunks, mix, segment_hash, text_buffer
 
 WINDOW = 13            # template tokens of a window
@@ -203,6 +204,7 @@ class _Index:
     """The benchmark's windows, and their hashes where they may be broadcast."""
 
     def __init__(self, benchmark: DataFrame, key: str, text: str, limit: int):
+        ensure_importable(benchmark.sparkSession)
         self.table = cut(benchmark_windows(benchmark, key, text), "benchmark")
         self.sizes = _sizes(WINDOW, sorted(r["size"] for r in self.table.select("size").distinct().collect()
                                            if r["size"] < WINDOW))

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from cabmeter.llm.components import connected_components
 from cabmeter.llm.scratch import cut
+from cabmeter.llm.ship import ensure_importable
 from cabmeter.llm.textops import chain, chunks, mix, words_of
 
 BANDS, BAND_ROWS = 50, 5
@@ -242,6 +243,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 def _grouped(docs: DataFrame, key: str, text: str, shingle: int, percent: int,
              bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
     """(doc, th, n, low, kept) for every row; ``th`` is a hash of the text."""
+    ensure_importable(docs.sparkSession)
     rows = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
     sig = cut(_signatures(rows, shingle, bands, band_rows), "minhash")
     # A class is led by its smallest key, and a bucket by its smallest class:

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabmeter.llm.fmindex import FMIndex
+from cabmeter.llm.ship import ensure_importable
 from cabmeter.llm.textops import chain, chunks, mix, words_of
 
 GRAM = 4
@@ -346,6 +347,7 @@ def _covers(docs: DataFrame, key: str, text: str, window: int, hot_documents: in
             least_shards: int, salt_bytes: int) -> DataFrame:
     """(doc, tag, text, covers): every row, with the intervals found for its
     key; those with the row's tag (of the text) are its own."""
+    ensure_importable(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("doc"),
                        F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("tag"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0

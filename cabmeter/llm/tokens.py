@@ -10,6 +10,8 @@ from itertools import islice
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from cabmeter.llm.ship import ensure_importable
+
 # The pattern that splits a text before the merges, and its
 # equal for texts of ASCII characters only.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -144,6 +146,7 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, key: str = "doc_id",
     broadcast. Map-only: there is no shuffle, and a text is one unit of work.
     """
     spark = docs.sparkSession
+    ensure_importable(spark)
     shared = spark.sparkContext.broadcast(read_vocabulary(vocabulary_path))
 
     def run(batches):

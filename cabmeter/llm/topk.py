@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabmeter.llm.scratch import cut
+from cabmeter.llm.ship import ensure_importable
 
 QUERY_BLOCK = 2_048   # queries handled at once: what is broadcast
 ROW_BLOCK = 1_024     # candidates that a task scores at once
@@ -157,6 +158,7 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int, lists: int = LIS
     what all tasks send for a query is cut to k before it is shuffled.
     """
     spark = vectors.sparkSession
+    ensure_importable(spark)
     asked = queries.where("vec_id IS NOT NULL").groupBy("vec_id").agg(F.min("x").alias("x"))
     asked = cut(asked.select("vec_id", "x", F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)).alias("slot")), "topk")
     n = asked.count()
