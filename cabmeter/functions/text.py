@@ -13,27 +13,26 @@ def normalize_key(c: str) -> Column:
     return F.expr(f"lower(trim({ident(c)}))")
 
 
-def _two_decimals(x: Column) -> Column:
-    """A double with two decimals, rounded by its exact binary value (2.675 is
-    below its name and gives 2.67; an exact tie goes to the even cent), as C
-    and Python print it; ``format_string`` rounds the shortest decimal text
-    instead. x * 100 is taken apart by Dekker's splitting, so that what the
-    product rounds away decides."""
+def _whole_cents(x: Column) -> Column:
+    """A double to print with two decimals: rounded by its exact binary value
+    (2.675 is below its name and gives 2.67; an exact tie goes to the even
+    cent), as C and Python print it; ``format_string`` alone rounds the
+    shortest decimal text. x * 100 is taken apart by Dekker's splitting, so
+    that what the product rounds away decides; each part is used once, to
+    keep the generated code small."""
     a = F.abs(x)
     high = a * 134217729.0 - (a * 134217729.0 - a)
-    low = a - high
     n = F.floor(a * 100.0)
-    rest = (high * 100.0 - (n + F.lit(0.5))) + low * 100.0
-    cents = n + F.when(rest > 0, 1).when(rest < 0, 0).otherwise(n % 2)
-    sign = F.when((x < 0) | (x.cast("string") == "-0.0"), F.lit("-")).otherwise(F.lit(""))
-    text = F.concat(sign, F.floor(cents / 100).cast("string"), F.lit("."),
-                    F.lpad((cents % 100).cast("string"), 2, "0"))
-    return F.when(a < 1e13, text).when(x.isNotNull(), F.format_string("%.2f", x))
+    rest = (high * 100.0 - (n + F.lit(0.5))) + (a - high) * 100.0
+    # n, n + 1/2 or n + 1; rint takes a half to the even neighbour.
+    cents = F.rint(n + (F.signum(rest) + 1.0) * 0.5)
+    return F.when((x == 0) | (a >= 1e13), x).otherwise(F.signum(x) * cents / 100.0)
 
 
 def currency(x: Column | str) -> Column:
     """``$12.34``."""
-    return F.concat(F.lit("$"), _two_decimals(as_column(x).cast("double")))
+    v = as_column(x).cast("double")
+    return F.when(v.isNotNull(), F.format_string("$%.2f", _whole_cents(v)))
 
 
 def savings_text(x: Column | str) -> Column:
@@ -53,7 +52,8 @@ def hour_text(h: Column | str) -> Column:
 
 def miles_text(x: Column | str) -> Column:
     """F16: ``1.71 miles``."""
-    return F.concat(_two_decimals(as_column(x).cast("double")), F.lit(" miles"))
+    v = as_column(x).cast("double")
+    return F.when(v.isNotNull(), F.format_string("%.2f miles", _whole_cents(v)))
 
 
 def thousands(x: Column | str) -> Column:

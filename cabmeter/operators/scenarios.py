@@ -27,20 +27,26 @@ def scenario_prices(tariffs: DataFrame, scenarios: list[tuple[str, float]] = SCE
     base = tariffs.withColumn(
         "base_price", linear_tariff("distance", "base_rate", "base_fee")
     )
-    options = F.array(
-        *[
-            F.struct(
-                (F.col("base_price") * F.lit(mult)).alias("estimated_price"),
-                F.lit(name).alias("scenario"),
-                F.lit(mult).alias("multiplier"),
-            )
-            for name, mult in scenarios
-        ]
-    )
-    # Structs compare field by field: price first, then scenario name.
-    ranked = base.withColumn("_opts", F.array_sort(options))
-    peak = F.array_max(F.transform("_opts", lambda o: o["estimated_price"]))
-    ranked = ranked.withColumn("_peak", peak)
+    def options(chosen):
+        return F.array(
+            *[
+                F.struct(
+                    (F.col("base_price") * F.lit(mult)).alias("estimated_price"),
+                    F.lit(name).alias("scenario"),
+                    F.lit(mult).alias("multiplier"),
+                )
+                for name, mult in chosen
+            ]
+        )
+
+    # Structs compare field by field: price first, then scenario name. For an
+    # ordinary positive base price that is the order of the multipliers, so
+    # only other tariffs are sorted; the last price is the peak.
+    given = sorted(scenarios, key=lambda s: (s[1], s[0]))
+    ordinary = (F.col("base_price") > 1e-100) & (F.col("base_price") < 1e100)
+    ranked = base.withColumn(
+        "_opts", F.when(ordinary, options(given)).otherwise(F.array_sort(options(scenarios))))
+    ranked = ranked.withColumn("_peak", F.element_at("_opts", -1)["estimated_price"])
     out = ranked.select(
         "*", F.posexplode("_opts").alias("_pos", "_opt")
     )
