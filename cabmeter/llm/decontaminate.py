@@ -2,8 +2,9 @@
 
 A text becomes a sequence of tokens: its words without outer punctuation,
 lower-cased, with typed placeholders for numbers, quantities (``12km``), units
-after a number, and names (capitalised words that do not begin a sentence; a
-run of them is one name). Windows of ``WINDOW`` tokens of a document and of a
+after a number, and names (capitalised words; a run of them within a sentence
+is one name). A capitalised word that begins a sentence may be a name or not,
+so texts and items are read both ways. Windows of ``WINDOW`` tokens of a document and of a
 benchmark item are joined by the hash of their templates; a joined pair counts
 if its slots are consistent, that is if equal fillers on one side are equal on
 the other. So a question whose numbers or names were exchanged is found, and
@@ -55,8 +56,9 @@ _UNITS = _unit_hashes()
 
 
 class Template:
-    """The tokens of a chunk: ``key`` (template hash), ``value`` (hash of what
-    stands there), ``slot`` (whether it is a placeholder), ``doc`` (row)."""
+    """The words of a chunk and their readings as tokens. ``plain`` takes a
+    capitalised word that begins a sentence as a word and ``named`` as a name;
+    ``opening`` takes it as a name only where it begins a row."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         words = Words(data, offsets)
@@ -85,26 +87,52 @@ class Template:
         inside = np.zeros(len(data) + 1, np.int8)
         np.add.at(inside, left, 1)
         np.add.at(inside, right, -1)
-        value = segment_hash(data, np.cumsum(inside[:-1], dtype=np.int8).astype(bool), right - left, True)
+        inside = np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
+        self.value = segment_hash(data, inside, right - left, True)
         count = lambda flag: (lambda c: c[right] - c[left])(np.concatenate([[0], np.cumsum(flag)]))
         digits, letters, lower = count(_DIGIT[data]), count(_LETTER[data]), count(_LOWER[data])
         number = (digits > 0) & (letters == 0)
         quantity = ~number & _DIGIT[data[left]] & (letters > 0)
         after = np.zeros(len(doc), bool)
         after[1:] = number[:-1] & (doc[1:] == doc[:-1])
-        unit = after & (_UNITS[np.searchsorted(_UNITS, value) % len(_UNITS)] == value)
-        capital = (_UPPER[data[left]] | big[left]) & ((lower > 0) | (right - left == 1))
-        name = capital & ~begins & ~unit & ~number & ~quantity
-        key = value.copy()
-        for flag, mark in ((number, _NUMBER), (quantity, _QUANTITY), (unit, _UNIT), (name, _NAME)):
-            key[flag] = mark
-        head = np.ones(len(doc), bool)
-        head[1:] = ~(name[1:] & name[:-1] & (doc[1:] == doc[:-1]))
+        unit = after & (_UNITS[np.searchsorted(_UNITS, self.value) % len(_UNITS)] == self.value)
+        self.typed = number | quantity | unit
+        self.capital = (_UPPER[data[left]] | big[left]) & ((lower > 0) | (right - left == 1)) & ~self.typed
+        self.key = self.value.copy()
+        for flag, mark in ((number, _NUMBER), (quantity, _QUANTITY), (unit, _UNIT)):
+            self.key[flag] = mark
+        self.begins, self.doc = begins, doc
+        self.first = np.searchsorted(doc, np.arange(len(offsets)))
+
+    def plain(self) -> Reading:
+        return Reading(self, self.capital & ~self.begins)
+
+    def named(self) -> Reading:
+        return Reading(self, self.capital, self.capital & self.begins)
+
+    def opening(self) -> Reading:
+        opens = np.zeros(len(self.doc), bool)
+        opens[self.first[:-1][np.diff(self.first) > 0]] = True
+        return Reading(self, self.capital & (opens | ~self.begins), self.capital & opens)
+
+
+class Reading:
+    """The tokens of a template with the given names: ``key`` (template hash),
+    ``value`` (hash of what stands there), ``slot`` (whether it is a
+    placeholder), ``doc`` (row), ``place`` (word of the row that it begins
+    with). Where ``fresh`` words are given, only windows over one count; the
+    others are those of the plain reading."""
+
+    def __init__(self, t: Template, name: np.ndarray, fresh: np.ndarray | None = None):
+        head = np.ones(len(t.doc), bool)
+        head[1:] = ~(name[1:] & name[:-1] & (t.doc[1:] == t.doc[:-1]) & ~t.begins[1:])
         at = np.flatnonzero(head)
-        self.value = np.add.reduceat(value, at) if len(at) else value
-        self.key, self.doc = key[at], doc[at]
-        self.slot = (number | quantity | unit | name)[at]
-        self.first = np.searchsorted(self.doc, np.arange(len(offsets)))
+        self.value = np.add.reduceat(t.value, at) if len(at) else t.value
+        self.key, self.doc = np.where(name, _NAME, t.key)[at], t.doc[at]
+        self.slot = (t.typed | name)[at]
+        self.place = at - t.first[self.doc]
+        self.fresh = fresh if fresh is None or not len(at) else np.logical_or.reduceat(fresh, at)
+        self.first = np.searchsorted(self.doc, np.arange(len(t.first)))
 
     def windows(self, size: int, least: int) -> tuple[np.ndarray, np.ndarray]:
         """Template hash and first token of every window of ``size`` tokens
@@ -114,7 +142,11 @@ class Template:
             return np.zeros(0, _U), np.zeros(0, np.int64)
         slots = np.concatenate([[0], np.cumsum(self.slot)])
         plain = size - (slots[size:] - slots[:-size])
-        at = np.flatnonzero((self.doc[:total] == self.doc[size - 1:]) & (plain >= least))
+        good = (self.doc[:total] == self.doc[size - 1:]) & (plain >= least)
+        if self.fresh is not None:
+            seen = np.concatenate([[0], np.cumsum(self.fresh)])
+            good &= seen[size:] > seen[:-size]
+        at = np.flatnonzero(good)
         return chain(self.key, size)[at] ^ _U(size), at
 
     def patterns(self, at: np.ndarray, size: int) -> np.ndarray:
@@ -137,64 +169,49 @@ def _sizes(window: int, short: list[int]) -> list[tuple[int, int]]:
 
 def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text",
                       window: int = WINDOW) -> DataFrame:
-    """(h, pattern, size, item) of the benchmark. An item shorter than a
-    window is one window of its own size. The first word of an item may
-    stand in the midst of a sentence elsewhere and then read as a name, so
-    windows from it come in both readings."""
+    """(h, pattern, size, item, th, place) of the benchmark: the windows that
+    begin at word ``place`` of an item with the text hash ``th``. An item
+    shorter than a window is one window of its own size. The first word of an
+    item may stand in the midst of a sentence elsewhere and then read as a
+    name while other sentences begin as they do here, so that is a reading
+    too."""
     def run(batches):
         for batch in chunks(batches, "__text"):
-            data, offsets = text_buffer(batch.column(1))
-            t = Template(data, offsets)
+            t = Template(*text_buffer(batch.column(1)))
             out = []
-            for named in (False, True):
-                if named:
-                    heads = t.first[:-1][np.diff(t.first) > 0]
-                    heads = heads[~t.slot[heads] & _begins_capital(data, offsets)[np.diff(t.first) > 0]]
-                    if not len(heads):
-                        break
-                    t.key, t.slot = t.key.copy(), t.slot.copy()
-                    t.key[heads], t.slot[heads] = _NAME, True
-                lengths = np.diff(t.first)
+            for r in (t.plain(), t.named(), t.opening()):
+                lengths = np.diff(r.first)
                 for size in {window, *lengths[lengths < window].tolist()} - {0}:
                     least = LEAST_WORDS if size == window else LEAST_WORDS_SHORT
-                    h, at = t.windows(size, least)
+                    h, at = r.windows(size, least)
                     if size < window:
-                        whole = lengths[t.doc[at]] == size
+                        whole = lengths[r.doc[at]] == size
                         h, at = h[whole], at[whole]
-                    out.append((h, t.patterns(at, size), np.full(len(h), size), t.doc[at]))
-            h, p, n, doc = (np.concatenate(x) for x in zip(*out))
+                    out.append((h, r.patterns(at, size), np.full(len(h), size), r.doc[at], r.place[at]))
+            h, p, n, doc, place = (np.concatenate(x) for x in zip(*out))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(p), pa.array(n, pa.int32()), batch.column(0).take(pa.array(doc))],
-                names=["h", "pattern", "size", "item"])
+                [pa.array(h.view(np.int64)), pa.array(p), pa.array(n, pa.int32()), batch.column(0).take(pa.array(doc)),
+                 batch.column(2).take(pa.array(doc)), pa.array(place, pa.int32())],
+                names=["h", "pattern", "size", "item", "th", "place"])
 
     kind = benchmark.schema[key].dataType.simpleString()
-    return benchmark.select(F.col(key).alias("__item"), F.col(text).alias("__text")).mapInArrow(
-        run, f"h long, pattern long, size int, item {kind}").distinct()
-
-
-def _begins_capital(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Whether the first letter or digit of each row is a capital."""
-    solid = np.flatnonzero(_DIGIT[data] | _LETTER[data])
-    at = np.searchsorted(solid, offsets[:-1])
-    first = solid[np.minimum(at, max(len(solid) - 1, 0))] if len(solid) else np.zeros(len(at), np.int64)
-    nxt = data[np.minimum(first + 1, len(data) - 1)] if len(data) else np.zeros(len(at), np.uint8)
-    here = data[first] if len(data) else np.zeros(len(at), np.uint8)
-    return (at < len(solid)) & (_UPPER[here] | ((here == 0xC3) & (nxt >= 0x80) & (nxt <= 0x9E)))
+    return benchmark.select(
+        F.col(key).alias("__item"), F.col(text).alias("__text"), F.xxhash64(text).alias("__th")).mapInArrow(
+        run, f"h long, pattern long, size int, item {kind}, th long, place int").distinct()
 
 
 def _hits(t: Template, sizes: list[tuple[int, int]], keys: np.ndarray | None):
     """(hash, pattern, row) of the windows whose hash is among the sorted
     ``keys``, or of all windows."""
     out = []
-    for size, least in sizes:
-        h, at = t.windows(size, least)
-        if keys is not None:
-            if not len(keys):
-                continue
-            near = np.searchsorted(keys, h) % len(keys)
-            found = keys[near] == h
-            h, at = h[found], at[found]
-        out.append((h.view(np.int64), t.patterns(at, size), t.doc[at]))
+    for r in (t.plain(), t.named()) if keys is None or len(keys) else ():
+        for size, least in sizes:
+            h, at = r.windows(size, least)
+            if keys is not None:
+                near = np.searchsorted(keys, h) % len(keys)
+                found = keys[near] == h
+                h, at = h[found], at[found]
+            out.append((h.view(np.int64), r.patterns(at, size), r.doc[at]))
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*out))
@@ -238,18 +255,20 @@ def _doc_windows(rows: DataFrame, index: _Index) -> DataFrame:
 
 def _leaks(docs: DataFrame, key: str, text: str, index: _Index) -> DataFrame:
     rows = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
-    items = index.table.select(F.col("h").alias("bh"), F.col("pattern").alias("bp"), "item")
+    items = index.table.select(F.col("h").alias("bh"), F.col("pattern").alias("bp"), "item",
+                               F.col("th").alias("bth"), "place")
     if index.small:
         items = F.broadcast(items)
     # The hash join finds equal templates, the second condition consistent slots.
     return _doc_windows(rows, index).join(items, F.col("h") == F.col("bh")).where("pattern = bp").groupBy(
-        "doc", "th", "item").agg(F.countDistinct("h").alias("n_windows"))
+        "doc", "th", "item").agg(F.countDistinct("bth", "place").alias("n_windows"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                item: str = "item_id", item_text: str = "text", limit: int = MAX_BROADCAST) -> DataFrame:
     """(key, item, n_windows) for every document and benchmark item that share
-    a consistent template window.
+    a consistent template window; ``n_windows`` counts the words of the item
+    where one begins.
 
     Null and empty texts share nothing; an item with too few plain words to
     be told apart (under three, or under six in every window of a long one)

@@ -75,3 +75,19 @@ def test_whole_items_in_given_documents(spark):
     for d, i in got - want:  # anything else shares a run of 13 words
         w = plain(docs[d])
         assert grams[i] & {tuple(w[k:k + 13]) for k in range(len(w) - 12)}
+
+
+@pytest.mark.parametrize("limit", [D.MAX_BROADCAST, 0])
+def test_exchanged_names_that_begin_sentences(spark, limit):
+    one = "Maria buys 12 pens and gives half of them to her old brother"
+    many = "Maria has 5 red hats to sell. Maria Lopez sells 2 of them today. The shop then pays Maria for both."
+    items = spark.createDataFrame([(1, one), (2, many)], "item_id long, text string")
+    other = many.replace("Maria Lopez", "Peter").replace("Maria", "Peter").replace("5", "8")
+    docs = spark.createDataFrame([
+        (1, one.replace("Maria", "Peter").replace("12", "30")), (2, "All is well. " + one.replace("Maria", "Ida Roe")),
+        (3, "so it goes that " + one.replace("Maria", "Bo")), (4, other.replace("Peter sells", "Peter Cho sells")),
+        (5, "It is said: " + many.replace("Maria", "Zoë")), (6, "Peter has a hat.\nMaria buys a shop"),
+        (7, one.replace("Maria buys", "Peter sells")), (8, many)], "doc_id long, text string")
+    want = {(1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (8, 2)}
+    assert _pairs(D.find_leaks(docs, items, limit=limit)) == want
+    assert sorted(r["doc_id"] for r in D.drop_leaked(docs, items, limit=limit).collect()) == [6, 7]
