@@ -9,6 +9,10 @@ benchmark item are joined by the hash of their templates; a joined pair counts
 if its slots are consistent, that is if equal fillers on one side are equal on
 the other. So a question whose numbers or names were exchanged is found, and
 one that puts different fillers where the item repeats one is not.
+
+Beside that, windows of ``WINDOW`` words are joined by the hash of the words
+themselves, without placeholders, so that a verbatim copy is found however
+many numbers, units and names stand in it.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from cabmeter.llm.ship import ensure_importable
 from cabmeter.llm.textops import Words, chain, chunks, mix, segment_hash, text_buffer
 
 WINDOW = 13            # template tokens of a window
-LEAST_WORDS = 6        # of which at least so many are plain words
+LEAST_WORDS = 6        # of which at least so many are plain words; verbatim windows need none
 LEAST_WORDS_SHORT = 3  # the same for items shorter than a window, taken whole
 MAX_BROADCAST = 2_000_000  # benchmark windows that are broadcast; more are joined
 
@@ -34,7 +38,7 @@ UNITS = ("mm cm m km in ft yd mi mile miles inch inches foot feet meter meters m
          "percent degrees dollar dollars cent cents euro euros usd eur mph kmh w kw v a hz").split()
 
 _U = np.uint64
-_NUMBER, _QUANTITY, _UNIT, _NAME = (mix(np.array([k], _U))[0] for k in (101, 102, 103, 104))
+_NUMBER, _QUANTITY, _UNIT, _NAME, _VERBATIM = (mix(np.array([k], _U))[0] for k in (101, 102, 103, 104, 105))
 _DIGIT = np.zeros(256, bool)
 _DIGIT[0x30:0x3A] = True
 _UPPER = np.zeros(256, bool)
@@ -62,6 +66,7 @@ class Template:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         words = Words(data, offsets)
+        written = data
         # Two-byte Latin capitals are lower-cased here, A-Z by the hash.
         data = data.copy()
         big = np.zeros(len(data), bool)
@@ -89,6 +94,7 @@ class Template:
         np.add.at(inside, right, -1)
         inside = np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
         self.value = segment_hash(data, inside, right - left, True)
+        self.written = segment_hash(written, inside, right - left)
         count = lambda flag: (lambda c: c[right] - c[left])(np.concatenate([[0], np.cumsum(flag)]))
         digits, letters, lower = count(_DIGIT[data]), count(_LETTER[data]), count(_LOWER[data])
         number = (digits > 0) & (letters == 0)
@@ -116,6 +122,16 @@ class Template:
         return Reading(self, self.capital & (opens | ~self.begins), self.capital & opens)
 
 
+    def verbatim(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and first word of every window of ``size`` words of one row,
+        as they are written but for outer punctuation."""
+        total = len(self.doc) - size + 1
+        if total < 1:
+            return np.zeros(0, _U), np.zeros(0, np.int64)
+        at = np.flatnonzero(self.doc[:total] == self.doc[size - 1:])
+        return chain(self.written, size)[at] ^ _VERBATIM ^ _U(size), at
+
+
 class Reading:
     """The tokens of a template with the given names: ``key`` (template hash),
     ``value`` (hash of what stands there), ``slot`` (whether it is a
@@ -163,14 +179,11 @@ class Reading:
         return out
 
 
-def _sizes(window: int, short: list[int]) -> list[tuple[int, int]]:
-    return [(window, LEAST_WORDS), *((n, LEAST_WORDS_SHORT) for n in short)]
-
-
 def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text",
                       window: int = WINDOW) -> DataFrame:
-    """(h, pattern, size, item, th, place) of the benchmark: the windows that
-    begin at word ``place`` of an item with the text hash ``th``. An item
+    """(h, pattern, size, least, item, th, place) of the benchmark: the windows
+    that begin at word ``place`` of an item with the text hash ``th``, and the
+    plain words that they need; 0 stands for verbatim windows. An item
     shorter than a window is one window of its own size. The first word of an
     item may stand in the midst of a sentence elsewhere and then read as a
     name while other sentences begin as they do here, so that is a reading
@@ -187,31 +200,48 @@ def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "t
                     if size < window:
                         whole = lengths[r.doc[at]] == size
                         h, at = h[whole], at[whole]
-                    out.append((h, r.patterns(at, size), np.full(len(h), size), r.doc[at], r.place[at]))
-            h, p, n, doc, place = (np.concatenate(x) for x in zip(*out))
+                    out.append((h, r.patterns(at, size), np.full(len(h), size), np.full(len(h), least),
+                                r.doc[at], r.place[at]))
+            lengths = np.diff(t.first)
+            for size in {window, *lengths[lengths < window].tolist()} - {0}:
+                h, at = t.verbatim(size)
+                if size < window:
+                    whole = lengths[t.doc[at]] == size
+                    h, at = h[whole], at[whole]
+                none = np.zeros(len(h), np.int64)
+                out.append((h, none, np.full(len(h), size), none, t.doc[at], at - t.first[t.doc[at]]))
+            h, p, n, least, doc, place = (np.concatenate(x) for x in zip(*out))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(p), pa.array(n, pa.int32()), batch.column(0).take(pa.array(doc)),
-                 batch.column(2).take(pa.array(doc)), pa.array(place, pa.int32())],
-                names=["h", "pattern", "size", "item", "th", "place"])
+                [pa.array(h.view(np.int64)), pa.array(p), pa.array(n, pa.int32()), pa.array(least, pa.int32()),
+                 batch.column(0).take(pa.array(doc)), batch.column(2).take(pa.array(doc)), pa.array(place, pa.int32())],
+                names=["h", "pattern", "size", "least", "item", "th", "place"])
 
     kind = benchmark.schema[key].dataType.simpleString()
     return benchmark.select(
         F.col(key).alias("__item"), F.col(text).alias("__text"), F.xxhash64(text).alias("__th")).mapInArrow(
-        run, f"h long, pattern long, size int, item {kind}, th long, place int").distinct()
+        run, f"h long, pattern long, size int, least int, item {kind}, th long, place int").distinct()
 
 
 def _hits(t: Template, sizes: list[tuple[int, int]], keys: np.ndarray | None):
     """(hash, pattern, row) of the windows whose hash is among the sorted
     ``keys``, or of all windows."""
+    def known(h, at):
+        if keys is None:
+            return h, at
+        found = keys[np.searchsorted(keys, h) % len(keys)] == h
+        return h[found], at[found]
+
     out = []
-    for r in (t.plain(), t.named()) if keys is None or len(keys) else ():
+    if keys is None or len(keys):
+        for r in (t.plain(), t.named()):
+            for size, least in sizes:
+                if least:
+                    h, at = known(*r.windows(size, least))
+                    out.append((h.view(np.int64), r.patterns(at, size), r.doc[at]))
         for size, least in sizes:
-            h, at = r.windows(size, least)
-            if keys is not None:
-                near = np.searchsorted(keys, h) % len(keys)
-                found = keys[near] == h
-                h, at = h[found], at[found]
-            out.append((h.view(np.int64), r.patterns(at, size), r.doc[at]))
+            if not least:
+                h, at = known(*t.verbatim(size))
+                out.append((h.view(np.int64), np.zeros(len(h), np.int64), t.doc[at]))
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*out))
@@ -223,8 +253,8 @@ class _Index:
     def __init__(self, benchmark: DataFrame, key: str, text: str, limit: int):
         ensure_importable(benchmark.sparkSession)
         self.table = cut(benchmark_windows(benchmark, key, text), "benchmark")
-        self.sizes = _sizes(WINDOW, sorted(r["size"] for r in self.table.select("size").distinct().collect()
-                                           if r["size"] < WINDOW))
+        # At most two for each size up to WINDOW.
+        self.sizes = sorted((r["size"], r["least"]) for r in self.table.select("size", "least").distinct().collect())
         self.small = self.table.count() <= limit
         self.keys = self.pairs = None
         if self.small:
@@ -267,12 +297,13 @@ def _leaks(docs: DataFrame, key: str, text: str, index: _Index) -> DataFrame:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                item: str = "item_id", item_text: str = "text", limit: int = MAX_BROADCAST) -> DataFrame:
     """(key, item, n_windows) for every document and benchmark item that share
-    a consistent template window; ``n_windows`` counts the words of the item
-    where one begins.
+    a consistent template window or a verbatim one; ``n_windows`` counts the
+    words of the item where one begins.
 
     Null and empty texts share nothing; an item with too few plain words to
     be told apart (under three, or under six in every window of a long one)
-    is never found; repeated rows give one result row per key and text;
+    is found only where it is copied verbatim, and one of a single word thus
+    wherever that word stands; repeated rows give one result row per key and text;
     repeated items are found alike; empty tables give no rows; other columns
     are not read. The benchmark's windows are counted first: up to ``limit``
     of them are broadcast, and documents then send only windows that occur in
@@ -287,8 +318,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
 
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                 item: str = "item_id", item_text: str = "text", limit: int = MAX_BROADCAST) -> DataFrame:
-    """The rows of ``docs`` that share no consistent template window with any
-    item. With a benchmark of up to ``limit`` windows the rows are filtered
+    """The rows of ``docs`` that share no consistent template window and no
+    verbatim one with any item. With a benchmark of up to ``limit`` windows the rows are filtered
     where they are read, without a shuffle; see ``find_leaks``."""
     index = _Index(benchmark, item, item_text, limit)
     if not index.small:

@@ -91,3 +91,15 @@ def test_exchanged_names_that_begin_sentences(spark, limit):
     want = {(1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (8, 2)}
     assert _pairs(D.find_leaks(docs, items, limit=limit)) == want
     assert sorted(r["doc_id"] for r in D.drop_leaked(docs, items, limit=limit).collect()) == [6, 7]
+
+
+@pytest.mark.parametrize("limit", [D.MAX_BROADCAST, 0])
+def test_verbatim_copies_of_windows_without_words(spark, limit):
+    items = {1: "12 + 30 = 42 km, 7 x 8 = 56 kg, 90 - 31 = 59 and 14 / 2 = 7 cm",
+             2: "Anna Berg, Tom Miller, Ida Roe; Bo Chan, Zoë Lund, Émile Roux; Ada King, Max Born, Lise Ott", 3: "17 x 23 = 391"}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    rows = [(k, f"so we see that {t}, as was said") for k, t in items.items()]
+    rows += [(11, items[1].replace("56", "57")), (12, items[2].replace("Chan", "Lee")), (13, "17 x 24 = 391")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _pairs(D.find_leaks(docs, bench, limit=limit)) == {(1, 1), (2, 2), (3, 3)}
+    assert sorted(r["doc_id"] for r in D.drop_leaked(docs, bench, limit=limit).collect()) == [11, 12, 13]
