@@ -12,7 +12,9 @@ one that puts different fillers where the item repeats one is not.
 
 Beside that, windows of ``WINDOW`` words are joined by the hash of the words
 themselves, without placeholders, so that a verbatim copy is found however
-many numbers, units and names stand in it.
+many numbers, units and names stand in it and wherever its lines break. Items
+come in lower case too; copies in other case than these two are found by
+their templates only, which upper case or new capitals change.
 """
 
 from __future__ import annotations
@@ -122,14 +124,14 @@ class Template:
         return Reading(self, self.capital & (opens | ~self.begins), self.capital & opens)
 
 
-    def verbatim(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+    def verbatim(self, size: int, folded: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Hash and first word of every window of ``size`` words of one row,
-        as they are written but for outer punctuation."""
+        as they are written but for outer punctuation, or in lower case."""
         total = len(self.doc) - size + 1
         if total < 1:
             return np.zeros(0, _U), np.zeros(0, np.int64)
         at = np.flatnonzero(self.doc[:total] == self.doc[size - 1:])
-        return chain(self.written, size)[at] ^ _VERBATIM ^ _U(size), at
+        return chain(self.value if folded else self.written, size)[at] ^ _VERBATIM ^ _U(size), at
 
 
 class Reading:
@@ -204,12 +206,13 @@ def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "t
                                 r.doc[at], r.place[at]))
             lengths = np.diff(t.first)
             for size in {window, *lengths[lengths < window].tolist()} - {0}:
-                h, at = t.verbatim(size)
-                if size < window:
-                    whole = lengths[t.doc[at]] == size
-                    h, at = h[whole], at[whole]
-                none = np.zeros(len(h), np.int64)
-                out.append((h, none, np.full(len(h), size), none, t.doc[at], at - t.first[t.doc[at]]))
+                for folded in (False, True):
+                    h, at = t.verbatim(size, folded)
+                    if size < window:
+                        whole = lengths[t.doc[at]] == size
+                        h, at = h[whole], at[whole]
+                    none = np.zeros(len(h), np.int64)
+                    out.append((h, none, np.full(len(h), size), none, t.doc[at], at - t.first[t.doc[at]]))
             h, p, n, least, doc, place = (np.concatenate(x) for x in zip(*out))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h.view(np.int64)), pa.array(p), pa.array(n, pa.int32()), pa.array(least, pa.int32()),

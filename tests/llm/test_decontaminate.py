@@ -103,3 +103,13 @@ def test_verbatim_copies_of_windows_without_words(spark, limit):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert _pairs(D.find_leaks(docs, bench, limit=limit)) == {(1, 1), (2, 2), (3, 3)}
     assert sorted(r["doc_id"] for r in D.drop_leaked(docs, bench, limit=limit).collect()) == [11, 12, 13]
+
+
+@pytest.mark.parametrize("limit", [D.MAX_BROADCAST, 0])
+def test_copies_with_other_lines_or_in_lower_case(spark, limit):
+    bench = spark.createDataFrame([(100, ITEM)], "item_id long, text string")
+    rows = [(1, ITEM.lower()), (2, ITEM.replace(" ", "\n")), (3, ITEM.lower().replace(" ", " \n")),
+            (4, ITEM.lower().replace("apples", "pears").replace("anna", "ida").replace("school", "church"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _pairs(D.find_leaks(docs, bench, limit=limit)) == {(1, 100), (2, 100), (3, 100)}
+    assert [r["doc_id"] for r in D.drop_leaked(docs, bench, limit=limit).collect()] == [4]
