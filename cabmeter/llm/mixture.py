@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabmeter.llm.scratch import cut
+from cabmeter.llm.ship import ensure_importable
 
 WORDS = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -17,7 +19,7 @@ WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 BLOCK_WORDS = 20_000     # words that a block is meant to hold
 MAX_BLOCKS = 32_768      # blocks of all sources; larger corpora get larger blocks
-MAX_SOURCES = 4_096      # sources that a mixture may name
+MAX_SOURCES = 4_096      # sources that are planned on the driver; more are planned by Spark in so many groups
 
 
 def word_count(text: Column) -> Column:
@@ -46,11 +48,13 @@ def mixture_targets(sizes: list[int], weights: list[float], cap: float = MAX_EPO
     return targets
 
 
-def split_quotas(quotas: list[int], n_shards: int, seed: int) -> np.ndarray:
+def split_quotas(quotas: list[int], n_shards: int, seed: int, shares: np.ndarray | None = None,
+                 group: tuple = ()) -> np.ndarray:
     """Blocks of each source in each shard (sources x shards). At every node
     of a binary tree over the shards, the left half's share of all blocks is
     drawn without replacement from the node's quotas, so rows add up to the
-    quotas exactly and shards hold equally many blocks, to one."""
+    quotas exactly and shards hold equally many blocks, to one. For a group of
+    sources, ``shares`` are the blocks of the whole group in each shard."""
     out = np.zeros((len(quotas), n_shards), np.int64)
 
     def split(lo: int, hi: int, have: np.ndarray, total: int) -> None:
@@ -58,8 +62,8 @@ def split_quotas(quotas: list[int], n_shards: int, seed: int) -> np.ndarray:
             out[:, lo] = have
             return
         mid = (lo + hi) // 2
-        share = int(have.sum()) * (mid - lo) // (hi - lo)
-        rng = np.random.default_rng([seed, lo, hi])
+        share = int(have.sum()) * (mid - lo) // (hi - lo) if shares is None else int(shares[lo:mid].sum())
+        rng = np.random.default_rng([seed, lo, hi, *group])
         left = rng.multivariate_hypergeometric(have, share, method="marginals")
         split(lo, mid, left, share)
         split(mid, hi, have - left, total - share)
@@ -70,32 +74,39 @@ def split_quotas(quotas: list[int], n_shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def plan_blocks(blocks: list[tuple], targets: dict, n_shards: int, seed: int) -> list[tuple]:
+def plan_source(rank: int, own: list[tuple], target: float, seed: int) -> tuple[list, list]:
+    """What is taken of a source's blocks (block, words): (block, epochs,
+    part) for each, and (place, epoch) of each time one is taken, shuffled."""
+    own = sorted(own)
+    size = sum(w for _, w in own)
+    want = min(round(target), MAX_EPOCHS * size)
+    full, rest = divmod(want, size) if size else (0, 0)
+    rng = np.random.default_rng([seed, rank])
+    once = {}
+    for j in rng.permutation(len(own)):
+        block, words = own[j]
+        once[block] = min(words, max(rest, 0))
+        rest -= words
+    plan = [(block, full + (words > 0 and once[block] == words),
+             once[block] if 0 < once[block] < words else None) for block, words in own]
+    draws = [(j, e) for j, (_, n, part) in enumerate(plan) for e in range(n + (part is not None))]
+    return plan, [draws[k] for k in rng.permutation(len(draws))]
+
+
+def plan_blocks(blocks: list[tuple], targets: dict, n_shards: int, seed: int,
+                ranks: dict | None = None, shares: np.ndarray | None = None, group: tuple = ()) -> list[tuple]:
     """Rows (source, block, epochs, part, draws) from rows (source, block,
     words). ``epochs`` is how often the whole block is taken; ``part`` the
     words taken once more from it in the last epoch where the target ends
-    inside it (else null); ``draws`` the shard of each time it is taken."""
+    inside it (else null); ``draws`` the shard of each time it is taken. For a
+    group of sources, ``ranks`` are their places among all."""
     by: dict = {}
     for source, block, words in blocks:
         by.setdefault(source, []).append((block, words))
     order = sorted(by, key=lambda s: (s is None, s))
-    taken = []
-    for i, source in enumerate(order):
-        own = sorted(by[source])
-        size = sum(w for _, w in own)
-        want = min(round(targets[source]), MAX_EPOCHS * size)
-        full, rest = divmod(want, size) if size else (0, 0)
-        rng = np.random.default_rng([seed, i])
-        once = {}
-        for j in rng.permutation(len(own)):
-            block, words = own[j]
-            once[block] = min(words, max(rest, 0))
-            rest -= words
-        plan = [(block, full + (words > 0 and once[block] == words),
-                 once[block] if 0 < once[block] < words else None) for block, words in own]
-        draws = [(j, e) for j, (_, n, part) in enumerate(plan) for e in range(n + (part is not None))]
-        taken.append((source, plan, [draws[k] for k in rng.permutation(len(draws))]))
-    counts = split_quotas([len(d) for _, _, d in taken], n_shards, seed)
+    taken = [(source, *plan_source(i if ranks is None else ranks[source], by[source], targets[source], seed))
+             for i, source in enumerate(order)]
+    counts = split_quotas([len(d) for _, _, d in taken], n_shards, seed, shares, group)
     rows = []
     for (source, plan, draws), per_shard in zip(taken, counts):
         where: dict = {}
@@ -107,9 +118,100 @@ def plan_blocks(blocks: list[tuple], targets: dict, n_shards: int, seed: int) ->
     return rows
 
 
+_PLAN_NAMES = ("__s", "__b", "__epochs", "__rest", "__shards")
+_PLAN_KINDS = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
+
+
+def _plan_table(rows: list[tuple]) -> pa.Table:
+    return pa.table({n: pa.array(c, k) for n, c, k in zip(
+        _PLAN_NAMES, zip(*rows) if rows else [[]] * 5, _PLAN_KINDS)})
+
+
+def _few_heads(totals: list, weights: tuple, block_words: int) -> pa.Table:
+    """The table of sources (name, size, target, blocks), on the driver."""
+    sizes = {r["s"]: int(r["w"] or 0) for r in totals}
+    order = sorted(sizes, key=lambda s: (s is None, s))
+    weight = [float(weights[i % len(weights)]) for i in range(len(order))]
+    targets = mixture_targets([sizes[s] for s in order], weight)
+    per_block = max(block_words, math.ceil(max(1, sum(sizes.values())) / MAX_BLOCKS))
+    return pa.table({
+        "__s": pa.array(order, pa.string()),
+        "__source_size": pa.array([sizes[s] for s in order], pa.int64()),
+        "__target": pa.array(targets, pa.float64()),
+        "__n": pa.array([max(1, round(sizes[s] / per_block)) for s in order], pa.int64())})
+
+
+def _many_heads(totals: DataFrame, weights: tuple, block_words: int) -> DataFrame:
+    """The same table by Spark, with ``__rank`` (the source's place). Ranks
+    are places in range partitions after the sizes of those before, and the
+    resharing keeps one number: the words for a weight of one, which only
+    grows, so those above their cap are found from it and the table."""
+    null = F.col("s").isNull()
+    placed = cut(totals.repartitionByRange(null, "s").select(
+        "s", F.coalesce("w", F.lit(0)).cast("long").alias("__source_size"), F.spark_partition_id().alias("__p")), "sources")
+    counts = sorted((r["__p"], r["count"]) for r in placed.groupBy("__p").count().collect())
+    before = np.concatenate([[0], np.cumsum([n for _, n in counts])]).tolist()
+    starts = placed.sparkSession.createDataFrame(pa.table({
+        "__p": pa.array([p for p, _ in counts], pa.int32()), "__before": pa.array(before[:-1], pa.int64())}))
+    place = Window.partitionBy("__p").orderBy(null, "s")
+    ranked = cut(placed.join(F.broadcast(starts), "__p").withColumn(
+        "__rank", F.row_number().over(place) - 1 + F.col("__before")).withColumn(
+        "__weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
+                                 (F.col("__rank") % len(weights) + 1).cast("int"))), "ranks")
+    words, weight = ranked.agg(F.coalesce(F.sum("__source_size"), F.lit(0)), F.sum("__weight")).first()
+    cap = F.col("__source_size") * F.lit(MAX_EPOCHS)
+    unit, count = float(words) / weight, 0
+    while True:
+        n, size, heavy = ranked.where(F.col("__weight") * F.lit(unit) > cap).agg(
+            F.count("*"), F.sum("__source_size"), F.sum("__weight")).first()
+        if n == count or weight == heavy:
+            break
+        unit, count = (float(words) - float(MAX_EPOCHS * size)) / (weight - heavy), n
+    per_block = max(block_words, math.ceil(max(1, words) / MAX_BLOCKS))
+    return ranked.select(
+        F.col("s").alias("__s"), "__source_size",
+        F.when(F.col("__weight") * F.lit(unit) > cap, cap.cast("double")).otherwise(
+            F.col("__weight") * F.lit(unit)).alias("__target"),
+        F.greatest(F.lit(1), F.bround(F.col("__source_size") / F.lit(per_block))).cast("long").alias("__n"), "__rank")
+
+
+def _many_plans(found: DataFrame, heads: DataFrame, sources: int, groups: int, n_shards: int, seed: int) -> DataFrame:
+    """``plan_blocks`` by Spark over rows (s, __block, w). Neighbouring sources
+    form at most ``groups`` groups; the tree over the shards is drawn for the
+    groups on the driver and then within each group."""
+    per = math.ceil(sources / groups)
+    rows = cut(found.join(heads, F.col("s").eqNullSafe(F.col("__s"))).select(
+        F.expr(f"__rank div {per}").alias("g"), "__rank", F.col("s").alias("__s"), "__block", "w", "__target"), "groups")
+
+    def grouped(make: Callable) -> Callable:
+        def run(t: pa.Table) -> pa.Table:
+            c = {n: t.column(n).to_pylist() for n in t.column_names}
+            blocks = list(zip(c["__s"], c["__block"], c["w"]))
+            return make(c["g"][0], blocks, dict(zip(c["__s"], c["__target"])), dict(zip(c["__s"], c["__rank"])))
+        return run
+
+    def quota(g, blocks, targets, ranks):
+        by: dict = {}
+        for s, block, words in blocks:
+            by.setdefault(s, []).append((block, words))
+        return pa.table({"g": pa.array([g], pa.int64()), "n": pa.array(
+            [sum(len(plan_source(ranks[s], own, targets[s], seed)[1]) for s, own in by.items())], pa.int64())})
+
+    quotas = sorted((r["g"], r["n"]) for r in rows.groupBy("g").applyInArrow(grouped(quota), "g long, n long").collect())
+    shares = rows.sparkSession.sparkContext.broadcast(
+        dict(zip([g for g, _ in quotas], split_quotas([n for _, n in quotas], n_shards, seed))))
+
+    def plan(g, blocks, targets, ranks):
+        return _plan_table(plan_blocks(blocks, targets, n_shards, seed, ranks, shares.value[g], (g,)))
+
+    return cut(rows.groupBy("g").applyInArrow(
+        grouped(plan), "__s string, __b long, __epochs long, __rest long, __shards array<int>"), "plans")
+
+
 def mix_plan(docs: DataFrame, n_shards: int, source: str = "source", key: str = "doc_id",
              size: str = "size", weights: tuple = WEIGHTS, seed: int = 29,
-             block_words: int = BLOCK_WORDS, narrow: DataFrame | None = None) -> DataFrame:
+             block_words: int = BLOCK_WORDS, narrow: DataFrame | None = None,
+             max_sources: int = MAX_SOURCES) -> DataFrame:
     """``docs`` (with a column ``size``, its words) and what the mixture takes
     of each row: ``__source_size``, ``__target`` (of its source), ``__taken``
     (words, repeats counted) and ``__draws`` (shards of its copies; the last
@@ -124,43 +226,43 @@ def mix_plan(docs: DataFrame, n_shards: int, source: str = "source", key: str =
 
     Rows with equal keys fall into one block; rows of no words are taken
     zero times; a null source is a source; an empty table gives no rows. The
-    block table has at most ``MAX_BLOCKS`` + sources rows whatever the input,
-    and more than ``MAX_SOURCES`` sources are refused; only that table reaches
-    the driver and is broadcast. A hot source has most blocks, and no task
+    block table has at most ``MAX_BLOCKS`` + sources rows whatever the input.
+    Up to ``max_sources`` sources, that table reaches the driver and is
+    broadcast; with more, sources are ranked, reshared and planned by Spark in
+    groups, only one row per group reaches the driver, and sources and blocks
+    are joined as Spark sees fit; the words taken are the same. A hot source has most blocks, and no task
     needs a whole source; the block where a target ends is the only one whose
     rows meet. ``narrow`` may hold the source, key and size columns of the same
     rows, so that planning does not read the texts again.
     """
     spark = docs.sparkSession
     narrow = docs if narrow is None else narrow
-    totals = narrow.groupBy(F.col(source).alias("s")).agg(F.sum(size).alias("w")).limit(MAX_SOURCES + 1).collect()
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    sizes = {r["s"]: int(r["w"] or 0) for r in totals}
-    order = sorted(sizes, key=lambda s: (s is None, s))
-    weight = [float(weights[i % len(weights)]) for i in range(len(order))]
-    targets = dict(zip(order, mixture_targets([sizes[s] for s in order], weight)))
-    words = max(1, sum(sizes.values()))
-    per_block = max(block_words, math.ceil(words / MAX_BLOCKS))
-    heads = spark.createDataFrame(pa.table({
-        "__s": pa.array(order, pa.string()),
-        "__source_size": pa.array([sizes[s] for s in order], pa.int64()),
-        "__target": pa.array([targets[s] for s in order], pa.float64()),
-        "__n": pa.array([max(1, round(sizes[s] / per_block)) for s in order], pa.int64())}))
+    sums = narrow.groupBy(F.col(source).alias("s")).agg(F.sum(size).alias("w"))
+    totals = sums.limit(max_sources + 1).collect()
+    few = len(totals) <= max_sources
+    if few:
+        table = _few_heads(totals, weights, block_words)
+        targets = dict(zip(table["__s"].to_pylist(), table["__target"].to_pylist()))
+        heads = F.broadcast(spark.createDataFrame(table))
+    else:
+        ensure_importable(spark)
+        ranked = cut(_many_heads(sums, weights, block_words), "heads")
+        heads = ranked.drop("__rank")
 
     def in_blocks(rows: DataFrame) -> DataFrame:
-        return (rows.join(F.broadcast(heads), F.col(source).eqNullSafe(F.col("__s"))).drop("__s")
+        return (rows.join(heads, F.col(source).eqNullSafe(F.col("__s"))).drop("__s")
                 .withColumn("__h", F.xxhash64(F.lit(seed), F.col(key)))
                 .withColumn("__block", F.expr("pmod(__h, __n)")))
 
-    found = in_blocks(narrow).groupBy(F.col(source).alias("s"), "__block").agg(F.sum(size).alias("w")).collect()
-    plan = plan_blocks([(r["s"], r["__block"], int(r["w"] or 0)) for r in found], targets, n_shards, seed)
-    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
-    names = ("__s", "__b", "__epochs", "__rest", "__shards")
-    table = pa.table({n: pa.array(c, k) for n, c, k in zip(names, zip(*plan) if plan else [[]] * 5, kinds)})
+    found = in_blocks(narrow).groupBy(F.col(source).alias("s"), "__block").agg(
+        F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("w"))
+    if few:
+        plan = plan_blocks([tuple(r) for r in found.collect()], targets, n_shards, seed)
+        plans = F.broadcast(spark.createDataFrame(_plan_table(plan)))
+    else:
+        plans = _many_plans(found, ranked, ranked.count(), max_sources, n_shards, seed)
     joined = in_blocks(docs).join(
-        F.broadcast(spark.createDataFrame(table)),
-        F.col(source).eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b"))).drop("__s", "__b")
+        plans, F.col(source).eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b"))).drop("__s", "__b")
     whole = joined.where("__rest IS NULL").withColumn("__more", F.lit(0).cast("long"))
     upto = Window.partitionBy(source, "__block").orderBy("__h", key, size).rowsBetween(
         Window.unboundedPreceding, -1)

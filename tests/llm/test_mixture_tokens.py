@@ -55,6 +55,27 @@ def test_mix_plan(spark, block_words):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+def test_mix_plan_of_many_sources(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice([0, 1, 3, 20, 60, 900]), rng.choice([None, "hot", *(f"é{k}" for k in range(60))]))
+            for i in range(700)] + [(800, None, "none"), (801, 0, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, size long, source string")
+    few = {r["doc_id"]: r for r in mixture.mix_plan(docs, 8, block_words=50).collect()}
+    many = mixture.mix_plan(docs, 8, block_words=50, max_sources=7).collect()
+    assert len(many) == len(rows)
+    for r in many:  # all but the shards of the copies is equal
+        one = few[r["doc_id"]]
+        assert [(k, v) for k, v in r.asDict().items() if k != "__draws"] == [
+            (k, v) for k, v in one.asDict().items() if k != "__draws"]
+        assert len(r["__draws"]) == len(one["__draws"]) and all(0 <= d < 8 for d in r["__draws"])
+    again = mixture.mix_plan(docs.repartition(5), 8, block_words=50, max_sources=7).collect()
+    assert sorted(map(str, many)) == sorted(map(str, again))
+    # A source each for more rows than are planned on the driver.
+    wide = spark.range(mixture.MAX_SOURCES + 4).selectExpr("id doc_id", "1L size", "concat('s', id) source")
+    got = mixture.mix_plan(wide, 8).agg(F.count("*"), F.sum(F.abs(F.col("__taken") - F.round("__target")))).first()
+    assert got[0] == mixture.MAX_SOURCES + 4 and got[1] <= mixture.MAX_SOURCES
+
+
 def test_mix_documents_takes_what_is_planned(spark):
     rng = random.Random(2)
     rows = [(i, " " * (i % 3) + "w\t " * rng.choice([0, 1, 3, 20, 60]), "en", rng.choice(["a", "a", "a", "b"]), 0)
