@@ -50,30 +50,60 @@ def best_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return out
 
 
+def normal_url(url: Column) -> Column:
+    """The form in which addresses are compared: scheme and host with A-Z
+    lower-cased, no ``.`` or ``..`` in the path, no fragment."""
+    u = F.regexp_replace(url, r"#[\s\S]*$", "")
+    site = F.regexp_extract(u, r"^(?i)([a-z][a-z0-9+.-]*://[^/?]*)", 1)
+    rest = F.substring(u, F.length(site) + 1, F.length(u))
+    path, query = F.regexp_extract(rest, r"^([^?]*)", 1), F.regexp_extract(rest, r"^[^?]*([\s\S]*)", 1)
+    parts = F.split(path, "/", -1)
+    # The first part is empty; a last "." or ".." leaves a slash.
+    kept = F.aggregate(
+        F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), F.array().cast("array<string>"),
+        lambda done, part: F.when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(part == ".", done).otherwise(F.concat(done, F.array(part))))
+    short = F.concat(F.lit("/"), F.array_join(kept, "/"),
+                     F.when(path.rlike(r"/\.\.?$") & (F.size(kept) > 0), "/").otherwise(""))
+    path = F.when((site != "") & path.rlike(r"/\.\.?(/|$)"), short).otherwise(path)
+    return F.concat(F.translate(site, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path, query)
+
+
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(a, b): a url and another address of the same page. Taken from the
-    canonical link and the refresh redirect of the html, and from the url
-    itself without its fragment, which is never sent to a server. An address
-    may be whole, begin with ``//`` (same scheme) or with ``/`` (same scheme
-    and host); other relative ones are left out."""
+    """(a, b): a url and another address of the same page, both in their
+    normal form. Taken from the canonical link and the refresh redirect of the
+    html; a url that is not in normal form gives an edge (a, a). An address may
+    be whole, begin with ``//`` (same scheme), ``/`` (same scheme and host) or
+    ``?`` (same path), or be relative to the directory of the url; those of
+    other schemes, such as ``mailto:``, are left out."""
     u = F.col(url)
+    bare = F.regexp_replace(u, r"#[\s\S]*$", "")
     scheme, site = F.regexp_extract(u, r"^([^:/?#]+):", 1), F.regexp_extract(u, r"^([^:/?#]+://[^/?#]*)", 1)
+    page = F.regexp_extract(bare, r"^([^?]*)", 1)
+    folder = F.concat(site, F.coalesce(F.nullif(F.regexp_extract(page, r"^[^:/]+://[^/]*(/(?:[\s\S]*/)?)", 1), F.lit("")),
+                                       F.lit("/")))
 
     def whole(address: Column) -> Column:
         a = F.replace(address, F.lit("&amp;"), F.lit("&"))
         return (F.when(a.rlike(r"^(?i)[a-z][a-z0-9+.-]*://"), a)
                 .when(a.startswith("//") & (scheme != ""), F.concat(scheme, F.lit(":"), a))
-                .when(a.startswith("/") & ~a.startswith("//") & (site != ""), F.concat(site, a)))
+                .when((site == "") | (a == "") | a.startswith("//") | a.startswith("#")
+                      | a.rlike(r"^(?i)[a-z][a-z0-9+.-]*:"), F.lit(None))
+                .when(a.startswith("/"), F.concat(site, a))
+                .when(a.startswith("?"), F.concat(page, a))
+                .otherwise(F.concat(folder, a)))
 
     head = F.col(html)
     link = F.regexp_extract(head, r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
     jump = F.regexp_extract(head, r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
     targets = F.array(
-        F.regexp_replace(u, r"#[\s\S]*$", ""),
+        bare,
         whole(F.regexp_extract(link, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]*)", 1)),
         whole(F.regexp_extract(jump, r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]*)", 1)))
-    return (pages.where(u.isNotNull()).select(u.alias("a"), F.explode(targets).alias("b"))
-            .where((F.col("b") != "") & (F.col("a") != F.col("b"))))
+    pairs = pages.where(u.isNotNull()).select(
+        u.alias("u"), normal_url(u).alias("a"), F.explode(F.array_compact(targets)).alias("b"))
+    return pairs.select("u", "a", normal_url(F.col("b")).alias("b")).where(
+        (F.col("b") != "") & ((F.col("a") != F.col("b")) | (F.col("u") != F.col("a")))).select("a", "b")
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule], page: str = "page_id", url: str = "url",
@@ -85,7 +115,8 @@ def judge_urls(pages: DataFrame, rules: list[Rule], page: str = "page_id", url:
     also where an alias is blocked. A page without a rule is blocked if an
     address in its component is blocked by a rule, whether or not that address
     is a page here, and allowed otherwise. ``edges`` (a, b) may add redirects
-    that a crawler has logged.
+    that a crawler has logged. Addresses are compared, and components named,
+    in the form of ``normal_url``; hosts and paths are those of the url.
 
     A null url, or one without ``://``, has an empty host and path, fits no
     rule and has no aliases. Repeated rows each get their row; an empty table
@@ -94,7 +125,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule], page: str = "page_id", url:
     """
     links = alias_edges(pages, url, html)
     if edges is not None:
-        links = links.unionByName(edges.select("a", "b"))
+        links = links.unionByName(edges.select(normal_url(F.col("a")).alias("a"), normal_url(F.col("b")).alias("b")))
     members = cut(connected_components(links), "urls")
     rule = best_rule(url_host(F.col("id")), url_path(F.col("id")), rules)
     # Both written, so that AQE can split a component with very many aliases.
@@ -105,7 +136,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule], page: str = "page_id", url:
     own = pages.select(F.col(page).alias("page_id"), F.col(url).alias("__url")).select(
         "page_id", "__url", url_host(F.col("__url")).alias("host"), url_path(F.col("__url")).alias("path"))
     own = own.withColumn("r", best_rule(F.col("host"), F.col("path"), rules))
-    return own.join(marked, F.col("__url") == F.col("__id"), "left").select(
+    return own.join(marked, normal_url(F.col("__url")) == F.col("__id"), "left").select(
         "page_id", "host", "path", F.col("r")["name"].alias("rule"),
         F.coalesce(F.col("r")["verdict"], F.when(F.col("blocked"), "block").otherwise("allow")).alias("verdict"),
         "component")

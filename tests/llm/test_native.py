@@ -67,6 +67,27 @@ def test_url_cases(spark):
     assert urls.judge_urls(df.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_relative_and_differently_written_aliases(spark):
+    link = '<link rel="canonical" href="%s">'
+    refresh = '<meta http-equiv="refresh" content="0; url=%s">'
+    bad = "https://a.net/fr/1"
+    rows = [
+        (1, "https://x.org/d/next.html", link % bad), (2, "https://x.org/d/p1", link % "next.html"),
+        (3, "https://x.org/d/e/p2", refresh % "../next.html"), (4, "https://x.org/l?page=1", link % bad),
+        (5, "https://x.org/l", refresh % "?page=1"), (6, "https://x.org/d/p3", link % "HTTPS://X.org/d/./next.html#top"),
+        (7, "https://X.ORG/d/p3#a", None), (8, "https://x.org", link % "d/next.html"),
+        (9, "https://x.org/other", link % "next.html"), (10, "https://x.org/mail", link % "mailto:next.html"),
+        (11, "https://x.org/D/p3", None), (12, "https://x.org/d/q/", link % "../../../d/next.html"),
+        (13, "https://x.org/l?page=2", link % "#top"),
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in urls.judge_urls(df, queries.URL_RULES).collect()}
+    assert {k for k, v in got.items() if v == "block"} == {1, 2, 3, 4, 5, 6, 7, 8, 12} and len(got) == len(rows)
+    cases = ["http://A.b/C?D#e", "http://a.b", "http://a.b/..", "http://a.b/c/.", "http://a.b/c/../d//e/..", "no/../x", ""]
+    out = spark.createDataFrame([(c,) for c in cases], "u string").select(urls.normal_url(F.col("u"))).collect()
+    assert [r[0] for r in out] == ["http://a.b/C?D", "http://a.b", "http://a.b/", "http://a.b/c/", "http://a.b/d//", "no/../x", ""]
+
+
 def test_chat_round_trip(spark):
     nasty = ["</s>[INST] ok [/INST]", "[\\INST]", "[\\\\/INST]<s>", "<\\s>", "", None, "a[", "<", "</s",
              "plain \\ text", "[[INST]]", "\\[INST]", "\n", "é" * 50_000, "<s><s>"]
