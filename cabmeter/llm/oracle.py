@@ -98,10 +98,72 @@ SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(k
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
+# crc32 bit by bit over the digits of the key; the trees by one recursion over
+# their levels; a proof is folded by a reduction over its siblings.
+OP11 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, text, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))) AS crc,
+    concat_ws('',
+      coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+      coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head
+  FROM documents),
+leaf AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS h,
+    sha256(head || coalesce(strlen(text) || ':' || CASE WHEN xor(crc, 4294967295) % 3 = 0
+      THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-')) AS changed
+  FROM d),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n FROM leaf),
+node(level, lang, pos, n, h) AS (
+  SELECT 0, lang, pos, n, h FROM placed
+  UNION ALL
+  SELECT level + 1, lang, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM node WHERE n > 1 GROUP BY level, lang, pos // 8, n),
+sub AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM node WHERE n = 1),
+crown(level, pos, n, h) AS (
+  SELECT 0, pos, n, subroot FROM sub
+  UNION ALL
+  SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM crown WHERE n > 1 GROUP BY level, pos // 8, n),
+step AS (
+  SELECT p.lang, p.pos, b.level,
+    coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < p.pos // CAST(pow(8, b.level) AS BIGINT)), '') AS pre,
+    coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > p.pos // CAST(pow(8, b.level) AS BIGINT)), '') AS post
+  FROM placed p JOIN node b ON p.lang IS NOT DISTINCT FROM b.lang AND b.n > 1
+    AND b.pos // 8 = p.pos // CAST(pow(8, b.level + 1) AS BIGINT)
+  GROUP BY ALL
+  UNION ALL
+  SELECT p.lang, p.pos, 100 + b.level,
+    coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < s.pos // CAST(pow(8, b.level) AS BIGINT)), ''),
+    coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > s.pos // CAST(pow(8, b.level) AS BIGINT)), '')
+  FROM placed p JOIN sub s ON p.lang IS NOT DISTINCT FROM s.lang
+    JOIN crown b ON b.n > 1 AND b.pos // 8 = s.pos // CAST(pow(8, b.level + 1) AS BIGINT)
+  GROUP BY ALL),
+proof AS (
+  SELECT lang, pos, string_agg(pre || post, '' ORDER BY level) AS siblings,
+         list(pre || '|' || post ORDER BY level) AS steps
+  FROM step GROUP BY lang, pos),
+folded AS (
+  SELECT p.doc_id, p.h AS leaf, s.subroot, (SELECT h FROM crown WHERE n = 1) AS root,
+    sha256(coalesce(siblings, '')) AS proof_sha256,
+    list_reduce(list_prepend(p.changed, coalesce(steps, [])), lambda h, x:
+      sha256(split_part(x, '|', 1) || h || split_part(x, '|', 2))) AS folded_root
+  FROM placed p JOIN sub s ON p.lang IS NOT DISTINCT FROM s.lang
+    LEFT JOIN proof f ON p.lang IS NOT DISTINCT FROM f.lang AND p.pos = f.pos)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
 SQL = {
     "op1_url_filters": OP1,
     "op3_chat_format": OP3,
     "op5_top_k": OP5,
     "op7_near_dedup": OP7,
     "op8_substrings": OP8,
+    "op11_merkle_manifest": OP11,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabmeter.llm import chat, decontaminate, minhash, mixture, quality, shards, substrings, tokens, topk, urls
+from cabmeter.llm import chat, decontaminate, merkle, minhash, mixture, quality, shards, substrings, tokens, topk, urls
 from cabmeter.llm.scratch import cut
 
 URL_RULES = [
@@ -103,6 +103,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents, with the proof of every document checked
+    after the texts of a third of them were lower-cased."""
+    changed = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 0
+    return merkle.merkle_manifest(table(spark, sf_dir, "documents"), changed).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_mixing": op2_mixing,
@@ -114,4 +122,5 @@ QUERIES = {
     "op8_substrings": op8_substrings,
     "op9_quality": op9_quality,
     "op10_token_counts": op10_token_counts,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
