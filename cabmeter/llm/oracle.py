@@ -159,6 +159,28 @@ folded AS (
 SELECT *, folded_root = root AS verified FROM folded
 """
 
+OP12 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same,
+         CAST(list_dot_product(a.x, o.x) AS BIGINT) AS score
+  FROM v a JOIN v o ON a.vec_id <> o.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM (
+  SELECT p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+    AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+WHERE rank <= 5
+"""
+
 SQL = {
     "op1_url_filters": OP1,
     "op3_chat_format": OP3,
@@ -166,4 +188,5 @@ SQL = {
     "op7_near_dedup": OP7,
     "op8_substrings": OP8,
     "op11_merkle_manifest": OP11,
+    "op12_hard_negatives": OP12,
 }

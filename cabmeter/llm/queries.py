@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabmeter.llm import chat, decontaminate, merkle, minhash, mixture, quality, shards, substrings, tokens, topk, urls
+from cabmeter.llm import (
+    chat, decontaminate, merkle, minhash, mixture, negatives, quality, shards, substrings, tokens, topk, urls)
 from cabmeter.llm.scratch import cut
 
 URL_RULES = [
@@ -111,6 +112,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five hard negatives for each of the five positives of every anchor
+    (vec_id divisible by 100); every seventh label is moved on first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_mixing": op2_mixing,
@@ -123,4 +131,5 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_token_counts": op10_token_counts,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_hard_negatives": op12_hard_negatives,
 }
