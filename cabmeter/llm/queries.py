@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabmeter.llm import (
-    chat, decontaminate, merkle, minhash, mixture, negatives, quality, shards, substrings, tokens, topk, urls)
+    chat, decontaminate, merkle, minhash, mixture, negatives, quality, shards, substrings, tokens, topk, toxicity, urls)
 from cabmeter.llm.scratch import cut
 
 URL_RULES = [
@@ -119,6 +119,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score and toxic spans of every document."""
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_mixing": op2_mixing,
@@ -132,4 +137,5 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_toxicity": op13_toxicity,
 }
