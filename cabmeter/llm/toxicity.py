@@ -300,7 +300,8 @@ def tag_texts(docs: DataFrame, field: Field, key: str = "doc_id", text: str = "t
         for batch in chunks(batches, "__text"):
             data, offsets = text_buffer(batch.column(1))
             t = Tokens(data, offsets)
-            p = shared.value.marginals(t.ids, t.first)
+            # Rounded, so that how texts are dealt to chunks does not show.
+            p = np.round(shared.value.marginals(t.ids, t.first), 9)
             row, start, end, score = _spans(t, p, data, offsets)
             spans = pa.StructArray.from_arrays(
                 [pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(score)], fields=list(_SPAN))
