@@ -19,11 +19,12 @@ from pyspark.ml.feature import (
     OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler,
 )
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabmeter.functions.hashing import hash_bucket, row_key
 from cabmeter.functions.pricing import base_price, price_per_mile
+from cabmeter.operators.ranking import range_ranks
 from cabmeter.schemas import (
     CATEGORICAL_FEATURES, LR_ELASTIC_NET_PARAM, LR_MAX_ITER, LR_REG_PARAM,
     NUMERIC_FEATURES, SPLIT_SEED, TRAIN_PERCENT,
@@ -187,15 +188,14 @@ def load_model_pair(preprocessing_path: str, regressor_path: str) -> PipelineMod
 
 def label_index(df: DataFrame, categorical: list[str] = CATEGORICAL_FEATURES) -> DataFrame:
     """Per categorical feature, each label's frequency and the index the
-    string indexer gives it (descending count, ties by label). The window is
-    partitioned by feature and holds only that feature's vocabulary."""
-    from pyspark.sql import Window
-
+    string indexer gives it (descending count, ties by label). Labels are
+    counted with partial aggregates and ranked over range partitions, so no
+    task holds a whole vocabulary."""
     cats = [c for c in categorical if c in df.columns]
     long = df.select(*cats).unpivot([], cats, "feature", "label").filter(F.col("label").isNotNull())
     counts = long.groupBy("feature", "label").agg(F.count(F.lit(1)).alias("label_count"))
-    w = Window.partitionBy("feature").orderBy(F.desc("label_count"), F.asc("label"))
-    return counts.withColumn("label_index", (F.row_number().over(w) - 1).cast("int"))
+    ranked = range_ranks(counts.withColumn("__down", -F.col("label_count")), "feature", ["__down", "label"], "label_index")
+    return ranked.select("feature", "label", "label_count", F.col("label_index").cast("int"))
 
 
 def onehot_slot_counts(model: PipelineModel, df: DataFrame,
@@ -250,6 +250,50 @@ def feature_std(model: PipelineModel, df: DataFrame,
     return scaled.join(names, "pos").select("feature", "label", "raw_std", "scaled_std")
 
 
+def model_terms(model: PipelineModel, numeric: list[str] = NUMERIC_FEATURES) -> DataFrame:
+    """The fitted model as a table (feature, label, weight): what one unit of
+    a numeric feature (label null), or a row having that label of a
+    categorical one, adds to the prediction; and the intercept (feature
+    null). A feature without spread adds nothing, as the scaler makes it 0."""
+    from pyspark.ml.feature import StandardScalerModel
+
+    scaler = next(s for s in model.stages if isinstance(s, StandardScalerModel))
+    lr = model.stages[-1]
+    rows = [(feature, label, float(lr.coefficients[pos]) / float(scaler.std[pos]) if scaler.std[pos] else 0.0)
+            for pos, feature, label in feature_slots(model, numeric)]
+    # As long as the vocabulary, which the model holds on the driver anyway.
+    spark = SparkSession.getActiveSession()
+    return spark.createDataFrame([*rows, (None, None, float(lr.intercept))],
+                                 "feature string, label string, weight double")
+
+
+def predict_by_terms(terms: DataFrame, df: DataFrame, id_col: str = "ride_id",
+                     categorical: list[str] = CATEGORICAL_FEATURES,
+                     numeric: list[str] = NUMERIC_FEATURES) -> DataFrame:
+    """(id_col, prediction) of every row whose numeric features are neither
+    null nor NaN, without MLlib: the row's features are exploded, joined with
+    the terms and summed. A label that the fit has not seen, or a null one,
+    adds nothing. Ids must be unique."""
+    cats, nums = available_features(df, categorical, numeric)
+    known = terms.where("feature IS NOT NULL")
+    parts = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("label"), F.lit(1.0).alias("value"))
+             for c in cats]
+    parts += [F.struct(F.lit(c).alias("feature"), F.lit(None).cast("string").alias("label"),
+                       F.col(c).cast("double").alias("value")) for c in nums]
+    whole = F.lit(True)
+    for c in nums:
+        whole = whole & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    long = df.where(whole).select(id_col, F.inline(F.array(*parts)))
+    # A null label of a categorical feature must not meet a numeric term.
+    key = F.coalesce(F.concat(F.lit("="), F.col("label")), F.lit(""))
+    kind = F.col("feature").isin(nums)
+    long = long.withColumn("key", F.when(kind | F.col("label").isNotNull(), key))
+    sums = long.join(known.select("feature", key.alias("key"), "weight"), ["feature", "key"], "left").groupBy(id_col).agg(
+        F.coalesce(F.sum(F.col("value") * F.col("weight")), F.lit(0.0)).alias("total"))
+    intercept = terms.where("feature IS NULL").agg(F.first("weight")).first()[0]
+    return sums.select(id_col, (F.col("total") + F.lit(intercept)).alias("prediction"))
+
+
 def fit_single_feature(train: DataFrame, feature: str = "distance") -> DataFrame:
     """M8 on one raw feature: (n, intercept, slope). MLlib standardises
     internally, so this has a closed form, used by the SQL check. Only the two

@@ -475,11 +475,20 @@ SELECT cab_type, name, round(distance, 6) AS distance, round(surge_multiplier, 6
        {r(_LINE, 'predicted_price')}, ride_id
 FROM req WHERE NOT ({_bad_request}) AND ride_id % 23 > 8""",
 
-    "model_invariants": """
+    "model_invariants": _with(*SPLIT_CTES) + """
 SELECT * FROM (VALUES ('saved_equals_loaded', true, CAST(0 AS BIGINT)), ('batch_equals_stream', true, CAST(0 AS BIGINT)),
-  ('fit_is_optimal', true, CAST(0 AS BIGINT)))
-  AS t(invariant, holds, lost)""",
-
-    "requests_from_records": _with(REQ_CTE) + f"""
-SELECT {_REQ_COLS} FROM req ORDER BY ride_id LIMIT 100""",
+  ('model_equals_sum_of_terms', true, CAST(0 AS BIGINT)), ('fit_is_optimal', true, CAST(0 AS BIGINT)))
+  AS t(invariant, holds, lost)
+UNION ALL SELECT 'rows_without_a_number_are_skipped', true, count(*) FROM feat WHERE ride_id % 11 = 0""",
+
+    # What the loosely typed records stand for, by the ride's id.
+    "requests_from_records": _with(REQ_CTE) + """
+SELECT ride_id, cab_type, name, source, destination,
+  CASE WHEN ride_id % 19 NOT IN (4, 5) THEN round(distance, 6) END AS distance,
+  round(surge_multiplier, 6) AS surge_multiplier,
+  CASE WHEN ride_id % 23 NOT IN (6, 7) THEN hour END AS hour, day_of_week,
+  CASE WHEN ride_id % 17 <> 3 THEN month END AS month,
+  nullif(concat_ws(',', CASE WHEN ride_id % 19 IN (4, 5) THEN 'distance' END,
+    CASE WHEN ride_id % 23 IN (6, 7) THEN 'hour' END, CASE WHEN ride_id % 17 = 3 THEN 'month' END), '') AS bad_fields
+FROM req""",
 })

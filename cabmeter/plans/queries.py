@@ -8,6 +8,7 @@ tables. Doubles are rounded to 6 decimals so results compare across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,8 +22,7 @@ from cabmeter.operators.joins import materialized_dimension
 from cabmeter.plans.common import Rides, round_doubles
 from cabmeter.session import fresh_dir
 from cabmeter.sources.kafka import message_file_stream, to_messages, write_message_files
-from cabmeter.sources.requests import read_requests_csv, requests_from_rides
-from cabmeter.sources.requests import requests_from_records as _requests_from_records
+from cabmeter.sources.requests import coerce_requests, read_requests_csv, requests_from_rides
 from cabmeter.sources.rides import NATION, load_profile as _load_profile, read_rides_csv
 from cabmeter.sources.routes import read_distance_map_csv
 from cabmeter.streaming.decode import decode_requests, split_requests
@@ -199,12 +199,20 @@ def quote_requests_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requests_from_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 100 rides' requests as in-memory records with numbers as
-    a form gives them (text or floats), turned into a request table."""
-    first = requests_from_rides(Rides(spark, sf_dir).all).orderBy("ride_id").limit(100).collect()
-    records = [{**r.asDict(), "hour": float(r.hour), "month": str(r.month), "distance": str(r.distance)}
-               for r in first]
-    return round_doubles(_requests_from_records(spark, records))
+    """Every ride's request as a loosely typed record (numbers as text with
+    blanks, whole numbers as fractions, words for numbers, by the ride's id),
+    turned into a request table."""
+    k = F.col("ride_id")
+    loose = requests_from_rides(Rides(spark, sf_dir).all).select(
+        "ride_id", F.lit("form").alias("origin"), "cab_type", "name", "source", "destination",
+        F.when(k % 19 == 4, "far").when(k % 19 == 5, " ")
+        .otherwise(F.concat(F.lit(" "), F.col("distance").cast("string"))).alias("distance"),
+        F.col("surge_multiplier").cast("decimal(6,2)").alias("surge_multiplier"),
+        F.when(k % 23 == 6, 3e9).when(k % 23 == 7, F.lit("NaN").cast("double"))
+        .otherwise(F.col("hour") + (k % 4) / 4).alias("hour"),
+        F.concat(F.lit("\t"), F.col("day_of_week").cast("string"), F.lit("e0\n")).alias("day_of_week"),
+        F.when(k % 17 == 3, "June").otherwise(F.concat(F.lit("+"), F.col("month").cast("string"), F.lit("."))).alias("month"))
+    return round_doubles(coerce_requests(loose, keep=["ride_id"]))
 
 
 # -- step 5: scenarios -------------------------------------------------------------
@@ -352,13 +360,15 @@ def model_round_trip_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full model: whether saved and loaded model and batch and stream agree
-    on every score, how many scores either loses, and whether the fit meets
-    the elastic net's optimality conditions."""
+    """The full model: whether saved and loaded model, batch and stream, and
+    MLlib and a sum over the fitted terms agree on every score; how many scores
+    either side loses; whether the fit meets the elastic net's optimality
+    conditions; and whether just the rows with a missing number are skipped (some
+    rides lose their surge first), with their count."""
     r = Rides(spark, sf_dir)
     model, _ = _fit(r)
     train, _ = m.split_train_test(r.featured)
-    optimal = m.elastic_net_violation(model, train) < 1e-3
+    optimal = m.elastic_net_violation(model, train) < 1e-5
     batch = model.transform(r.featured).select("ride_id", "prediction")
     loaded = _reloaded(spark, model).transform(r.featured).select("ride_id", F.col("prediction").alias("other"))
     stream = _stream_scored(spark, model, _messages(r.clean)).select(
@@ -372,7 +382,15 @@ def model_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     fit = spark.range(1).select(F.lit("fit_is_optimal").alias("invariant"), F.lit(optimal).alias("holds"),
                                 F.lit(0).cast("long").alias("lost"))
-    return gap("saved_equals_loaded", loaded).unionByName(gap("batch_equals_stream", stream)).unionByName(fit)
+    summed = m.predict_by_terms(m.model_terms(model), r.featured).withColumnRenamed("prediction", "other")
+    gappy = r.featured.withColumn("surge_multiplier", F.when(F.col("ride_id") % 11 != 0, F.col("surge_multiplier")))
+    scored = model.transform(gappy).select("ride_id", F.lit(True).alias("scored"))
+    skipped = gappy.join(scored, "ride_id", "left").agg(
+        F.count_if(F.col("surge_multiplier").isNull() == F.col("scored").isNotNull()).alias("wrong"),
+        F.count_if(F.col("scored").isNull()).alias("lost")).select(
+        F.lit("rows_without_a_number_are_skipped").alias("invariant"), (F.col("wrong") == 0).alias("holds"), "lost")
+    legs = [gap("batch_equals_stream", stream), gap("model_equals_sum_of_terms", summed), fit, skipped]
+    return reduce(DataFrame.unionByName, legs, gap("saved_equals_loaded", loaded))
 
 
 # -- step 10: file sources -----------------------------------------------------------
