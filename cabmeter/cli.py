@@ -73,7 +73,7 @@ def score_stream(args) -> None:
     """Request messages (Kafka, or message files with ``--messages-dir``) ->
     features -> prediction -> sink (console by default), until stopped or,
     with ``--available-now``, until the input present is drained. Rejected
-    messages go to ``--rejects-out``. The checkpoint folder makes a restart
+    messages go to ``--rejects-out``. With ``--sink kafka`` both are topics. The checkpoint folder makes a restart
     resume from the last committed offsets."""
     from cabmeter.sources.kafka import kafka_stream, message_file_stream
     from cabmeter.streaming.scoring import start_scoring
@@ -86,8 +86,10 @@ def score_stream(args) -> None:
         source = kafka_stream(spark, args.bootstrap, args.topic, args.starting_offsets, _options(args))
     # One read of the source; message key, topic, partition and offset ride
     # along with each score.
+    sink_options = dict(o.split("=", 1) for o in args.sink_option or [])
     start_scoring(model, source, args.checkpoint, args.out, args.rejects_out, fmt=args.sink,
-                  available_now=args.available_now, processing_time=args.trigger).awaitTermination()
+                  available_now=args.available_now, processing_time=args.trigger,
+                  bootstrap=args.sink_bootstrap or args.bootstrap, options=sink_options).awaitTermination()
 
 
 def publish(args) -> None:
@@ -114,19 +116,11 @@ def dashboard(args) -> None:
     from cabmeter.sources.rides import read_rides_csv
 
     spark = _session()
-    # Parsed once for the eight tables; released when they are written.
-    feats = add_ride_features(clean_rides(read_rides_csv(spark, args.rides))).persist()
-    hourly = d.hourly_stats(feats)
-    service = d.service_stats(feats)
-    tables = {
-        "hourly": hourly, "daily": d.daily_stats(feats), "service": service,
-        "top_services": d.top_services(service), "surge": d.surge_stats(feats),
-        "kpis": d.dashboard_kpis(hourly), "fare_trend": d.fare_trend(feats),
-        "distance_price": d.distance_price_sample(feats, id_col=args.id_col, cap=args.points),
-    }
-    for name, df in tables.items():
+    feats = add_ride_features(clean_rides(read_rides_csv(spark, args.rides)))
+    # One read of the rides: one aggregate over all groupings, written once by
+    # grouping; the eight tables are made from that.
+    for name, df in d.dashboard_tables(d.dashboard_pass(feats, id_col=args.id_col), cap=args.points).items():
         df.write.mode("overwrite").parquet(f"{args.out}/{name}")
-    feats.unpersist()
     spark.read.parquet(f"{args.out}/kpis").show(truncate=False)
 
 
@@ -189,9 +183,11 @@ def main(argv=None) -> None:
     s.add_argument("--regressor", default=None)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--starting-offsets", default="latest")
-    s.add_argument("--sink", default="console", choices=["console", "parquet"])
-    s.add_argument("--out", default=None)
-    s.add_argument("--rejects-out", default=None)
+    s.add_argument("--sink", default="console", choices=["console", "parquet", "kafka"])
+    s.add_argument("--out", default=None, help="folder of the scores, or their topic")
+    s.add_argument("--rejects-out", default=None, help="folder of the rejects, or their topic")
+    s.add_argument("--sink-bootstrap", default=None, help="servers of the kafka sink, if not those of --bootstrap")
+    s.add_argument("--sink-option", action="append", metavar="KEY=VALUE", help="writer option of the sink")
     s.add_argument("--trigger", default=None)
     s.add_argument("--option", action="append", metavar="KEY=VALUE",
                    help="Kafka source option, such as maxOffsetsPerTrigger=1000 or kafka.security.protocol=SSL")

@@ -15,6 +15,7 @@ from cabmeter.functions.calendar import day_name
 from cabmeter.functions.hashing import hash32, row_key
 from cabmeter.functions.text import currency, hour_text, thousands
 from cabmeter.schemas import SAMPLE_PERCENT, SAMPLE_SALT, SPLIT_SEED
+from cabmeter.session import fresh_dir
 
 
 def hourly_aggregate(rides: DataFrame) -> DataFrame:
@@ -141,3 +142,70 @@ def fare_trend(rides: DataFrame) -> DataFrame:
         F.regr_r2("price", "distance").alias("r2"),
         F.corr("distance", "price").alias("correlation"),
     )
+
+
+def dashboard_pass(rides: DataFrame, id_col: str = "ride_id", percent: int = SAMPLE_PERCENT,
+                   seed: int = SPLIT_SEED) -> DataFrame:
+    """Everything the dashboard shows, from one read of the rides, as a
+    Parquet table in the shared folder, partitioned by ``part``: the four
+    groupings (A1-A4), the whole table (A10, A11) and the rides of the
+    distance/price sample (R1) are the grouping sets of one aggregate.
+
+    Rides outside the sample fall into one group of the last set, which each
+    task combines to a row before the shuffle, so only aggregates and the
+    sample are moved. Equal sampled rows are one group with a count. No copy of
+    the rides is kept."""
+    keys = ["hour", "day_of_week", "cab_type", "name", "surge_multiplier"]
+    point = ["_sampled", "_h", "_key", "_x", "_y"]
+    rows = rides.select(*keys, "distance", "price", row_key(rides, id_col).cast("string").alias("_key"))
+    rows = rows.withColumn("_h", hash32("_key", seed, SAMPLE_SALT)).withColumn("_sampled", F.col("_h") % 100 < percent)
+    rows = rows.select(*keys, "distance", "price", "_sampled", *[
+        F.when(F.col("_sampled"), F.col(c)).alias(a)
+        for c, a in (("_h", "_h"), ("_key", "_key"), ("distance", "_x"), ("price", "_y"))])
+    sets = [["hour"], ["day_of_week"], ["cab_type", "name"], ["surge_multiplier"], [], point]
+    every = [*keys, *point]
+    agg = rows.groupingSets([[F.col(c) for c in s] for s in sets], *every).agg(
+        F.grouping_id(*every).alias("_gid"), F.avg("price").alias("avg_price"), F.count(F.lit(1)).alias("ride_count"),
+        F.regr_count("price", "distance").alias("n"), F.regr_slope("price", "distance").alias("slope"),
+        F.regr_intercept("price", "distance").alias("intercept"), F.regr_r2("price", "distance").alias("r2"))
+    part = F.lit(None).cast("string")
+    for s, name in zip(sets, ("hourly", "daily", "service", "surge", "whole", "points")):
+        rolled_up = sum(1 << (len(every) - 1 - i) for i, c in enumerate(every) if c not in s)
+        part = F.when(F.col("_gid") == rolled_up, F.lit(name)).otherwise(part)
+    out = agg.withColumn("part", part).where("part <> 'points' OR _sampled").drop("_gid", "_sampled")
+    spark, path = rides.sparkSession, fresh_dir(rides.sparkSession, "dashboard")
+    out.write.partitionBy("part").parquet(path)
+    return spark.read.schema(out.schema).parquet(path)
+
+
+def dashboard_tables(parts: DataFrame, k: int = 10, cap: int | None = None) -> dict[str, DataFrame]:
+    """The dashboard's tables from the result of ``dashboard_pass``: the same
+    as those of the single operators. Each reads its partitions only."""
+    of = lambda name: parts.where(F.col("part") == name)
+    hourly = of("hourly").select("hour", "avg_price", "ride_count")
+    service = of("service").select("cab_type", "name", "avg_price")
+    points = of("points")
+    if cap is None:
+        points = points.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("ride_count").cast("int"))))
+    else:
+        # Equal rows follow one another, so no more than cap copies count.
+        copies = F.sequence(F.lit(1), F.least(F.col("ride_count"), F.lit(cap)).cast("int"))
+        points = points.orderBy("_h", "_key").limit(cap).withColumn("_again", F.explode(copies)).orderBy(
+            "_h", "_key").limit(cap)
+    # An aggregate without a group has a row also where there are no rides.
+    whole = of("whole").agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), F.max("slope").alias("slope"),
+                            F.max("intercept").alias("intercept"), F.max("r2").alias("r2"))
+    # From the line: corr() fails on the many groups of one ride. Undefined
+    # where all prices are equal (slope 0, r2 1).
+    whole = whole.withColumn("correlation", F.when(
+        ~((F.col("slope") == 0) & (F.col("r2") == 1)), F.signum("slope") * F.sqrt("r2")))
+    return {
+        "hourly": hourly.orderBy("hour"),
+        "daily": of("daily").select("day_of_week", "avg_price").withColumn(
+            "day_name", day_name("day_of_week")).orderBy("day_of_week"),
+        "service": service, "top_services": top_services(service, k),
+        "surge": of("surge").select("surge_multiplier", "avg_price", F.col("ride_count").alias("count")).orderBy(
+            "surge_multiplier"),
+        "kpis": dashboard_kpis(hourly), "fare_trend": whole,
+        "distance_price": points.select(F.col("_x").alias("distance"), F.col("_y").alias("price")),
+    }

@@ -217,6 +217,20 @@ SELECT CASE grouping(hour, day_of_week, cab_type, name, surge_multiplier)
 FROM feat
 GROUP BY GROUPING SETS ((hour), (day_of_week), (cab_type, name), (surge_multiplier))""",
 
+    "dashboard_one_pass": _with() + f"""
+SELECT CASE grouping(hour, day_of_week, cab_type, name, surge_multiplier) WHEN 15 THEN 'hourly' WHEN 23 THEN 'daily'
+         WHEN 25 THEN 'service' WHEN 30 THEN 'surge' ELSE 'whole' END AS part,
+       hour, day_of_week, cab_type, name, round(surge_multiplier, 6) AS surge_multiplier,
+       CAST(NULL AS VARCHAR) AS ride, CAST(NULL AS DOUBLE) AS distance, {r('avg(price)', 'avg_price')}, count(*) AS ride_count,
+       CASE WHEN grouping(hour, day_of_week, cab_type, name, surge_multiplier) = 31 THEN round(regr_slope(price, distance), 6) END AS slope,
+       CASE WHEN grouping(hour, day_of_week, cab_type, name, surge_multiplier) = 31 THEN round(regr_intercept(price, distance), 6) END AS intercept,
+       CASE WHEN grouping(hour, day_of_week, cab_type, name, surge_multiplier) = 31 THEN round(regr_r2(price, distance), 6) END AS r2
+FROM feat
+GROUP BY GROUPING SETS ((hour), (day_of_week), (cab_type, name), (surge_multiplier), ())
+UNION ALL
+SELECT 'points', NULL, NULL, NULL, NULL, NULL, CAST(ride_id AS VARCHAR), round(distance, 6), round(price, 6), 1, NULL, NULL, NULL
+FROM feat WHERE {_hash32('ride_id', SAMPLE_SALT)} % 100 < 10""",
+
     "distance_price_sample": _with(f"""hashed AS (SELECT ride_id, distance, price, {_hash32('ride_id', SAMPLE_SALT)} AS h FROM clean)""") + """
 SELECT round(distance, 6) AS distance, round(price, 6) AS price FROM hashed WHERE h % 100 < 10""",
 

@@ -149,6 +149,16 @@ def dashboard_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(dashboard.dashboard_grouping_sets(Rides(spark, sf_dir).featured))
 
 
+def dashboard_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A13 with A1-A4, A10, A11 and R1: all that the dashboard shows, from one
+    read of the rides."""
+    parts = dashboard.dashboard_pass(Rides(spark, sf_dir).featured)
+    line = [F.when(F.col("part") == "whole", F.col(c)).alias(c) for c in ("slope", "intercept", "r2")]
+    return round_doubles(parts.select(
+        "part", "hour", "day_of_week", "cab_type", "name", "surge_multiplier", F.col("_key").alias("ride"),
+        F.col("_x").alias("distance"), "avg_price", "ride_count", *line))
+
+
 def distance_price_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(dashboard.distance_price_sample(Rides(spark, sf_dir).clean))
 
@@ -532,6 +542,7 @@ QUERIES: dict[str, Query] = {
     "surge_stats": surge_stats,
     "dashboard_kpis": dashboard_kpis,
     "dashboard_grouping_sets": dashboard_grouping_sets,
+    "dashboard_one_pass": dashboard_one_pass,
     "distance_price_sample": distance_price_sample,
     "fare_trend": fare_trend,
     "distance_map": distance_map,

@@ -55,6 +55,22 @@ def publish(messages: DataFrame, bootstrap_servers: str, topic: str = REQUEST_TO
      .option("topic", topic).options(**opts).save())
 
 
+def to_result_messages(rows: DataFrame, key_col: str = "key") -> DataFrame:
+    """Rows as messages: ``key_col`` (the request's message key, if there is
+    one) as the key, all other columns as one JSON object in ``value``. Binary
+    columns become text."""
+    plain = [F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, T.BinaryType)
+             else F.col(f"`{f.name}`") for f in rows.schema.fields if f.name != key_col]
+    key = F.col(key_col).cast("binary") if key_col in rows.columns else F.lit(None).cast("binary")
+    return rows.select(key.alias("key"), F.to_json(F.struct(*plain)).cast("binary").alias("value"))
+
+
+def result_options(bootstrap_servers: str, topic: str, options: dict | None = None) -> dict[str, str]:
+    """Writer options of a result topic: the producer settings of
+    ``publish``, which ``options`` may replace."""
+    return {**PRODUCER_OPTIONS, "kafka.bootstrap.servers": bootstrap_servers, "topic": topic, **(options or {})}
+
+
 def kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str = REQUEST_TOPIC,
                  starting_offsets: str = "latest", options: dict | None = None) -> DataFrame:
     """The request topic as a streaming frame (``key``, ``value``,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,22 +30,49 @@ def _header(spark: SparkSession, files) -> list[str]:
     return spark.read.option("header", True).csv(files).columns
 
 
+def file_headers(spark: SparkSession, path: str, threads: int = 16) -> list[tuple[str, str | None]]:
+    """(file, header) of every file under ``path``: its first line that is not
+    blank, or null if it has none.
+
+    The files are opened through their own file system (and codec) from a few
+    threads of the driver, which lists them anyway, and closed after one read
+    buffer: some kilobytes a file, whatever its size. A Spark task cannot stop
+    there, its reader goes on to the end of the split."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first_line(file: str) -> tuple[str, str | None]:
+        where = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream = where.getFileSystem(conf).open(where)
+        try:
+            codec = codecs.getCodec(where)
+            lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+                codec.createInputStream(stream) if codec else stream, "UTF-8"))
+            line = lines.readLine()
+            while line is not None and not line.strip():
+                line = lines.readLine()
+            return where.toString(), line  # as readers take it, without escapes
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(threads) as pool:
+        return sorted(pool.map(first_line, spark.read.text(path).inputFiles()))
+
+
 def raw_csv(spark: SparkSession, path: str, mixed_headers: bool = False) -> DataFrame:
     """A CSV folder with header lines, every column as text.
 
     All files must have the same header, else the read fails. With
     ``mixed_headers`` the files may order their columns differently or lack
-    some: one more pass reads each file's first line, files are grouped by
-    header, and the groups are united by name. Only (file, header) pairs reach
-    the driver, which lists the files anyway."""
+    some: each file's first line is read (see ``file_headers``), files are
+    grouped by header, and the groups are united by name. Only (file, header)
+    pairs reach the driver, which lists the files anyway."""
     if not mixed_headers:
         return _raw(spark, path, _header(spark, path))
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("i"))
     groups: dict[str, list[str]] = {}
-    for r in lines.where("start = 0").groupBy("file").agg(F.min_by("value", "i").alias("h")).collect():
-        groups.setdefault(r["h"], []).append(r["file"])
+    for file, header in file_headers(spark, path):
+        if header is not None:
+            groups.setdefault(header, []).append(file)
     out = None
     for header in sorted(groups):
         files = sorted(groups[header])
