@@ -6,9 +6,10 @@ after a number, and names (capitalised words; a run of them within a sentence
 is one name). A capitalised word that begins a sentence may be a name or not,
 so texts and items are read both ways. Windows of ``WINDOW`` tokens of a document and of a
 benchmark item are joined by the hash of their templates; a joined pair counts
-if its slots are consistent, that is if equal fillers on one side are equal on
-the other. So a question whose numbers or names were exchanged is found, and
-one that puts different fillers where the item repeats one is not.
+if its slots are consistent, that is if slots with equal fillers in the item
+have equal fillers in the document; those that differ in the item may coincide
+there. So a question whose numbers or names were exchanged is found, and one
+that puts different fillers where the item repeats one is not.
 
 Beside that, windows of ``WINDOW`` words are joined by the hash of the words
 themselves, without placeholders, so that a verbatim copy is found however
@@ -168,19 +169,41 @@ class Reading:
         return chain(self.key, size)[at] ^ _U(size), at
 
     def patterns(self, at: np.ndarray, size: int) -> np.ndarray:
-        """Which slots of each window hold equal values, as a number; 0 for
-        windows without a repeated filler."""
-        out = np.zeros(len(at), np.int64)
+        """Which slots of each window hold equal values: for every slot, in
+        four bits, the first slot of the window with the same value. Slots that
+        a window does not have stand for themselves."""
+        out = np.full(len(at), ALL_DIFFER, np.int64)
         slots = np.concatenate([[0], np.cumsum(self.slot)])
         for i in np.flatnonzero(slots[at + size] - slots[at] > 1):
             part = slice(at[i], at[i] + size)
             values = self.value[part][self.slot[part]].tolist()
-            places = [values.index(v) for v in values]
-            if places != list(range(len(values))):
-                out[i] = chain(np.array(places, _U), len(places)).view(np.int64)[0]
+            for k, v in enumerate(values):
+                out[i] += (values.index(v) - k) << 4 * k
         return out
 
 
+# The pattern of a window whose slots all hold different values.
+_MOST_SLOTS = 15
+ALL_DIFFER = sum(k << 4 * k for k in range(_MOST_SLOTS))
+
+
+def consistent(item: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether slots that hold equal values in the item's window do so in the
+    document's; those that differ in the item may be equal there."""
+    good = np.ones(len(item), bool)
+    for k in range(_MOST_SLOTS):
+        first = (item >> 4 * k) & 15
+        good &= (doc >> 4 * k) & 15 == (doc >> 4 * first) & 15
+    return good
+
+
+def _consistent_sql(item: str, doc: str) -> str:
+    """The same as a condition on two columns."""
+    return " AND ".join(
+        f"(shiftright({doc}, {4 * k}) & 15) = (shiftright({doc}, cast(4 * (shiftright({item}, {4 * k}) & 15) AS int)) & 15)"
+        for k in range(_MOST_SLOTS))
+
+
 def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text",
                       window: int = WINDOW) -> DataFrame:
     """(h, pattern, size, least, item, th, place) of the benchmark: the windows
@@ -211,8 +234,8 @@ def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "t
                     if size < window:
                         whole = lengths[t.doc[at]] == size
                         h, at = h[whole], at[whole]
-                    none = np.zeros(len(h), np.int64)
-                    out.append((h, none, np.full(len(h), size), none, t.doc[at], at - t.first[t.doc[at]]))
+                    same, none = np.full(len(h), ALL_DIFFER, np.int64), np.zeros(len(h), np.int64)
+                    out.append((h, same, np.full(len(h), size), none, t.doc[at], at - t.first[t.doc[at]]))
             h, p, n, least, doc, place = (np.concatenate(x) for x in zip(*out))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h.view(np.int64)), pa.array(p), pa.array(n, pa.int32()), pa.array(least, pa.int32()),
@@ -244,7 +267,7 @@ def _hits(t: Template, sizes: list[tuple[int, int]], keys: np.ndarray | None):
         for size, least in sizes:
             if not least:
                 h, at = known(*t.verbatim(size))
-                out.append((h.view(np.int64), np.zeros(len(h), np.int64), t.doc[at]))
+                out.append((h.view(np.int64), np.full(len(h), ALL_DIFFER, np.int64), t.doc[at]))
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*out))
@@ -263,8 +286,9 @@ class _Index:
         if self.small:
             rows = self.table.select("h", "pattern").distinct().toArrow()
             h, p = (np.asarray(rows.column(i).to_numpy()) for i in (0, 1))
+            order = np.argsort(h.view(_U))
             self.keys = np.unique(h.view(_U))
-            self.pairs = np.unique(mix(h.view(_U)) ^ p.view(_U))
+            self.pairs = h.view(_U)[order], p[order]
 
 
 def _doc_windows(rows: DataFrame, index: _Index) -> DataFrame:
@@ -293,10 +317,21 @@ def _leaks(docs: DataFrame, key: str, text: str, index: _Index) -> DataFrame:
     if index.small:
         items = F.broadcast(items)
     # The hash join finds equal templates, the second condition consistent slots.
-    return _doc_windows(rows, index).join(items, F.col("h") == F.col("bh")).where("pattern = bp").groupBy(
+    return _doc_windows(rows, index).join(items, F.col("h") == F.col("bh")).where(_consistent_sql("bp", "pattern")).groupBy(
         "doc", "th", "item").agg(F.countDistinct("bth", "place").alias("n_windows"))
 
 
+def _any_consistent(h: np.ndarray, doc: np.ndarray, hashes: np.ndarray, items: np.ndarray) -> np.ndarray:
+    """Whether one of the items' patterns with the hash of each window (sorted
+    ``hashes`` with their patterns ``items``) is consistent with it."""
+    first, last = np.searchsorted(hashes, h), np.searchsorted(hashes, h, "right")
+    good = np.zeros(len(h), bool)
+    for k in range(int((last - first).max(initial=0))):
+        open_ = np.flatnonzero((first + k < last) & ~good)
+        good[open_] = consistent(items[first[open_] + k], doc[open_])
+    return good
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                item: str = "item_id", item_text: str = "text", limit: int = MAX_BROADCAST) -> DataFrame:
     """(key, item, n_windows) for every document and benchmark item that share
@@ -326,9 +361,10 @@ def drop_leaked(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text
     where they are read, without a shuffle; see ``find_leaks``."""
     index = _Index(benchmark, item, item_text, limit)
     if not index.small:
-        bad = _leaks(docs, key, text, index).select(F.xxhash64("doc", "th").alias("__row")).distinct()
-        rows = docs.withColumn("__row", F.xxhash64(key, F.xxhash64(text)))
-        return rows.join(bad, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+        bad = _leaks(docs, key, text, index).select("doc", "th").distinct()
+        rows = docs.withColumn("__th", F.xxhash64(text))
+        return rows.join(bad, F.col(f"`{key}`").eqNullSafe(F.col("doc")) & (F.col("__th") == F.col("th")),
+                         "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     shared = docs.sparkSession.sparkContext.broadcast((index.sizes, index.keys, index.pairs))
 
     def run(batches):
@@ -338,7 +374,7 @@ def drop_leaked(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text
             h, p, doc = _hits(t, sizes, keys)
             clean = np.ones(batch.num_rows, bool)
             if len(h):
-                clean[doc[np.isin(mix(h.view(_U)) ^ p.view(_U), pairs)]] = False
+                clean[doc[_any_consistent(h.view(_U), p, *pairs)]] = False
             yield batch.filter(pa.array(clean))
 
     return docs.mapInArrow(run, docs.schema)

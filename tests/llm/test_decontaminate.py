@@ -113,3 +113,62 @@ def test_copies_with_other_lines_or_in_lower_case(spark, limit):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert _pairs(D.find_leaks(docs, bench, limit=limit)) == {(1, 100), (2, 100), (3, 100)}
     assert [r["doc_id"] for r in D.drop_leaked(docs, bench, limit=limit).collect()] == [4]
+
+
+@pytest.mark.parametrize("limit", [D.MAX_BROADCAST, 0])
+def test_repeated_fillers_of_one_class(spark, limit):
+    """Two or three slots of one class, all equal in the item, and slots that
+    differ in the item but not in the document."""
+    two = "box on shelf holds 7 red and 7 blue caps for the club"
+    three = "box on shelf holds 7 red and 7 blue and 7 old caps for clubs"
+    free = "tray on desk holds 3 red and 5 blue caps for the club"
+    items = spark.createDataFrame([(1, two), (2, three), (3, free)], "item_id long, text string")
+    put = lambda text, *n: text.replace("7", "%s").replace("3", "%s").replace("5", "%s") % n
+    docs = spark.createDataFrame([
+        (1, put(two, 3, 5)), (2, put(two, 4, 4)), (3, put(three, 1, 1, 2)), (4, put(three, 1, 2, 2)), (5, put(three, 9, 9, 9)),
+        (6, put(free, 4, 4)), (7, put(free, 8, 6)), (8, two), (9, put(three, 1, 2, 1))], "doc_id long, text string")
+    assert _pairs(D.find_leaks(docs, items, limit=limit)) == {(2, 1), (5, 2), (6, 3), (7, 3), (8, 1)}
+    assert sorted(r["doc_id"] for r in D.drop_leaked(docs, items, limit=limit).collect()) == [1, 3, 4, 9]
+
+
+def _leaks_by_hand(item, doc):
+    """Whether a document holds a window of an item, for texts of lower-case
+    words and numbers."""
+    a, b = item.split(), doc.split()
+    size = min(len(a), D.WINDOW)
+    least = D.LEAST_WORDS if size == D.WINDOW else D.LEAST_WORDS_SHORT
+    for i in range(len(a) - size + 1):
+        for k in range(len(b) - size + 1):
+            x, y = a[i:i + size], b[k:k + size]
+            if x == y:
+                return True
+            slots = [(p, q) for p, q in zip(x, y) if p.isdigit()]
+            if any(p.isdigit() != q.isdigit() or not p.isdigit() and p != q for p, q in zip(x, y)):
+                continue
+            if size - len(slots) >= least and all(q == s for p, q in slots for r, s in slots if p == r):
+                return True
+    return False
+
+
+@pytest.mark.parametrize("limit", [D.MAX_BROADCAST, 0])
+def test_random_templates_match_brute_force(spark, limit):
+    rng = random.Random(11)
+    stems = ["red", "box", "cap", "club", "shop", "lane"]
+
+    def text(n):
+        return " ".join(str(rng.randint(1, 3)) if rng.random() < .35 else rng.choice(stems) for _ in range(n))
+
+    items = {i: text(rng.choice([6, 9, 12, 13, 15, 20])) for i in range(40)}
+    docs = {}
+    for d in range(300):
+        new = {str(k): str(rng.randint(1, 4)) for k in range(1, 4)}
+        kept = [rng.choice([new[w], w, str(rng.randint(1, 3))]) if w.isdigit() and rng.random() < .4 else new.get(w, w)
+                for w in items[rng.randrange(40)].split()]
+        docs[d] = " ".join(["so", *kept, "end"]) if rng.random() < .9 else text(30)
+    want = {(d, i) for d, t in docs.items() for i, s in items.items() if _leaks_by_hand(s, t)}
+    assert 60 < len(want) and len({d for d, _ in want}) < 290
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    assert _pairs(D.find_leaks(frame, bench, limit=limit)) == want
+    kept = {r["doc_id"] for r in D.drop_leaked(frame, bench, limit=limit).collect()}
+    assert kept == set(docs) - {d for d, _ in want}
