@@ -158,10 +158,12 @@ def fit_quality(feats: DataFrame, labels: DataFrame, key: str = "doc_id", label:
     """The model of the labelled rows, or of ``train_rows`` of them in a
     seeded order of the key if there are more (the bound of what the driver
     gets). A key that is labelled repeatedly counts once, by its smallest
-    label; null labels or keys are left out. Without rows of both labels
+    label, and one that has several texts by the one whose features come first
+    in order, so the fit does not depend on the layout; null labels or keys are left out. Without rows of both labels
     every score is ``CUT``."""
     marks = labels.where(f"{label} IN (0, 1)").groupBy(key).agg(F.min(label).alias("__y"))
-    rows = (feats.join(marks, key).dropDuplicates([key])
+    # Of a key's rows the one with the smallest features, in each task first.
+    rows = (feats.join(marks, key).groupBy(key, "__y").agg(F.min("features").alias("features"))
             .orderBy(F.xxhash64(F.lit(5), key), key).limit(train_rows).select("features", "__y").collect())
     x = np.array([r["features"] for r in rows], float).reshape(len(rows), N_FEATURES)
     return QualityModel(x, np.array([r["__y"] for r in rows], int))

@@ -170,6 +170,17 @@ def test_quality_separates_held_out(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in got)
 
 
+def test_quality_does_not_depend_on_the_layout(spark):
+    """A third of the keys come again with another text."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.select("doc_id", "text")
+    docs = docs.unionByName(docs.where("doc_id % 3 = 0").selectExpr("doc_id", "concat('other !! ', reverse(text)) AS text"))
+    scores = [sorted((r["doc_id"], round(r["score"], 9)) for r in quality.score_quality(docs.repartition(n), labels).collect())
+              for n in (1, 7)]
+    assert scores[0] == scores[1] and len({s for _, s in scores[0]}) > 500
+
+
 def test_quality_of_odd_rows(spark):
     rows = [(1, None, "en", "a", 0), (1, "", "en", "a", 0), (None, "x", None, None, 0), (3, "a b " * 50_000, "", "", 0)]
     docs = spark.createDataFrame(rows, DOC).withColumn("score", F.lit("mine"))
