@@ -255,7 +255,7 @@ def _segment_rows(texts: DataFrame, window: int, shards: int) -> DataFrame:
             hashes = words.hash[words_at]
             keys = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
             tags = batch.column(1).to_numpy(zero_copy_only=False)
-            found.append((keys[doc], tags[doc].astype(np.uint16), (begin - words.first[doc]).astype(np.uint32),
+            found.append((keys[doc], tags[doc], (begin - words.first[doc]).astype(np.uint32),
                           count.astype(np.uint16), route, content,
                           (hashes >> _U(32)).astype(np.uint32), (hashes >> _U(24)).astype(np.uint8)))
             size += batch.nbytes
@@ -271,10 +271,10 @@ def _segment_rows(texts: DataFrame, window: int, shards: int) -> DataFrame:
 
 def _searched(window: int):
     """The work of a shard: (doc, tag, begin, words) of covered intervals."""
-    schema = pa.schema([("doc", pa.int64()), ("tag", pa.int32()), ("begin", pa.int32()), ("words", pa.int32())])
+    schema = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("begin", pa.int32()), ("words", pa.int32())])
 
     def run(table: pa.Table) -> pa.Table:
-        kinds = {"doc": np.int64, "tag": np.uint16, "begin": np.uint32, "windows": np.uint16,
+        kinds = {"doc": np.int64, "tag": np.int64, "begin": np.uint32, "windows": np.uint16,
                  "low": np.uint32, "high": np.uint8}
         part = {local: {n: np.concatenate([np.zeros(0, k)] + [np.frombuffer(x, k) for x, own in zip(
             table[n].to_pylist(), table["local"].to_pylist()) if own == local]) for n, k in kinds.items()}
@@ -333,7 +333,7 @@ def _searched(window: int):
         new[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (begin[1:] > begin[:-1] + count[:-1])
         heads = np.flatnonzero(new)
         end = np.maximum.reduceat(begin + count, heads) if len(heads) else begin
-        return pa.table([pa.array(doc[heads]), pa.array(tag[heads].astype(np.int32)), pa.array(begin[heads].astype(np.int32)),
+        return pa.table([pa.array(doc[heads]), pa.array(tag[heads]), pa.array(begin[heads].astype(np.int32)),
                          pa.array((end - begin[heads] + window - 1 if len(heads) else end).astype(np.int32))], schema=schema)
 
     return run
@@ -349,7 +349,7 @@ def _covers(docs: DataFrame, key: str, text: str, window: int, hot_documents: in
     key; those with the row's tag (of the text) are its own."""
     ensure_importable(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("doc"),
-                       F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("tag"), F.col(text).alias("text"))
+                       F.xxhash64(text).alias("tag"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     shards = max(least_shards, size // SHARD_BYTES)
     salts = 1 + size // salt_bytes
@@ -363,7 +363,7 @@ def _covers(docs: DataFrame, key: str, text: str, window: int, hot_documents: in
         F.collect_list(F.struct("shard", "some", "hot")).alias("marks")).withColumnRenamed("doc", "__doc")
     marked = rows.join(marks, F.col("doc") == F.col("__doc"), "left").select("doc", "tag", "text", "marks")
     found = _segment_rows(marked, window, shards).groupBy("shard").applyInArrow(
-        _searched(window), "doc long, tag int, begin int, words int")
+        _searched(window), "doc long, tag long, begin int, words int")
     covers = found.groupBy("doc").agg(F.collect_list(F.struct("tag", "begin", "words")).alias("covers")
                                       ).withColumnRenamed("doc", "__doc")
     return rows.join(covers, F.col("doc") == F.col("__doc"), "left").select("doc", "tag", "text", "covers")
@@ -380,7 +380,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     it also starts in a document with a smaller key; windows are judged on
     the input. Words are runs of other than ASCII blanks, unchanged. Null
     and empty texts have no words; texts shorter than a window keep all; rows
-    with equal keys are no repeats of each other; a row with a null key keeps
+    with equal keys are no repeats of each other (they are told apart by 64 bits
+    of their texts' hashes); a row with a null key keeps
     all its words and removes none elsewhere; an empty table gives no rows;
     other columns are not read.
 

@@ -101,3 +101,18 @@ def test_backward_search_counts():
         counts = [sum(whole.startswith(whole[e - k:e], i) for i in range(len(whole))) for k in range(1, 7)]
         longest = max([k for k, c in enumerate(counts, 1) if c > 1], default=0)
         assert m == longest and (b - a) == (counts[5] if longest == 6 else 0)
+
+
+def test_rows_of_one_key_with_clashing_hashes(spark):
+    """Two texts of one key whose hashes agree in their low 16 bits: only the
+    one that repeats a passage loses it."""
+    passage = " ".join(f"p{i}" for i in range(20))
+    texts = spark.range(200_000).selectExpr("concat('own ', id, ' words here and there but no passage at all in it "
+                                            "and so on for a while') AS t").selectExpr("t", "xxhash64(t) & 65535 AS tag")
+    repeat = "x " + passage
+    tag = spark.sql(f"SELECT xxhash64('{repeat}') & 65535").first()[0]
+    other = texts.where(F.col("tag") == tag).orderBy("t").first()["t"]
+    rows = [(1, passage), (5, repeat), (5, other), (5, repeat)]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got) == brute(rows, 13)
+    assert sorted(r["n_removed"] for r in got) == [0, 0, 20, 20]
