@@ -52,7 +52,8 @@ def best_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 def normal_url(url: Column) -> Column:
     """The form in which addresses are compared: scheme and host with A-Z
-    lower-cased, no ``.`` or ``..`` in the path, no fragment."""
+    lower-cased, no ``.`` or ``..`` in the path, ``/`` for an empty path, no
+    fragment."""
     u = F.regexp_replace(url, r"#[\s\S]*$", "")
     site = F.regexp_extract(u, r"^(?i)([a-z][a-z0-9+.-]*://[^/?]*)", 1)
     rest = F.substring(u, F.length(site) + 1, F.length(u))
@@ -65,7 +66,8 @@ def normal_url(url: Column) -> Column:
         .when(part == ".", done).otherwise(F.concat(done, F.array(part))))
     short = F.concat(F.lit("/"), F.array_join(kept, "/"),
                      F.when(path.rlike(r"/\.\.?$") & (F.size(kept) > 0), "/").otherwise(""))
-    path = F.when((site != "") & path.rlike(r"/\.\.?(/|$)"), short).otherwise(path)
+    path = F.when((site != "") & (path == ""), "/").when(
+        (site != "") & path.rlike(r"/\.\.?(/|$)"), short).otherwise(path)
     return F.concat(F.translate(site, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path, query)
 
 
@@ -109,7 +111,7 @@ def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
 def judge_urls(pages: DataFrame, rules: list[Rule], page: str = "page_id", url: str = "url",
                html: str = "html", edges: DataFrame | None = None) -> DataFrame:
     """One row per page: ``page``, host, path, rule, verdict, and component
-    (the smallest address of its aliases; null if it has none).
+    (the smallest address of its aliases; null if it has none, or a rule).
 
     A rule that fits a page decides for it: an explicit allow therefore holds
     also where an alias is blocked. A page without a rule is blocked if an
@@ -120,23 +122,31 @@ def judge_urls(pages: DataFrame, rules: list[Rule], page: str = "page_id", url:
 
     A null url, or one without ``://``, has an empty host and path, fits no
     rule and has no aliases. Repeated rows each get their row; an empty table
-    gives no rows; other columns are ignored. Only pages without a rule look
-    up their component, by an equi-join.
+    gives no rows; other columns are ignored. The html is read once, for the
+    edges, and the url once, into a table of narrow rows. Only pages without a
+    rule look up their component, by an equi-join on that table's address.
     """
     links = alias_edges(pages, url, html)
     if edges is not None:
         links = links.unionByName(edges.select(normal_url(F.col("a")).alias("a"), normal_url(F.col("b")).alias("b")))
-    members = cut(connected_components(links), "urls")
+    members = cut(connected_components(cut(links, "urls")), "urls")
     rule = best_rule(url_host(F.col("id")), url_path(F.col("id")), rules)
     # Both written, so that AQE can split a component with very many aliases.
     decided = cut(members.select("component", (rule["verdict"] == "block").alias("hit")).groupBy(
         "component").agg(F.coalesce(F.max("hit"), F.lit(False)).alias("blocked")), "urls")
-    marked = members.join(decided, "component").select(
-        F.col("id").alias("__id"), "component", "blocked")
+    marked = cut(members.join(decided, "component").select(
+        F.col("id").alias("address"), "component", "blocked"), "urls")
     own = pages.select(F.col(page).alias("page_id"), F.col(url).alias("__url")).select(
         "page_id", "__url", url_host(F.col("__url")).alias("host"), url_path(F.col("__url")).alias("path"))
     own = own.withColumn("r", best_rule(F.col("host"), F.col("path"), rules))
-    return own.join(marked, normal_url(F.col("__url")) == F.col("__id"), "left").select(
-        "page_id", "host", "path", F.col("r")["name"].alias("rule"),
-        F.coalesce(F.col("r")["verdict"], F.when(F.col("blocked"), "block").otherwise("allow")).alias("verdict"),
+    own = cut(own.select("page_id", "host", "path", F.col("r")["name"].alias("rule"), F.col("r")["verdict"].alias("verdict"),
+                         F.when(F.col("r").isNull(), normal_url(F.col("__url"))).alias("address")), "urls")
+    # A null url has no address: it must not meet others in one task.
+    known = F.col("rule").isNotNull() | F.col("address").isNull()
+    plain = own.where(known).select(
+        "page_id", "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"),
+        F.lit(None).cast("string").alias("component"))
+    looked_up = own.where(~known).join(marked, "address", "left").select(
+        "page_id", "host", "path", "rule", F.when(F.col("blocked"), "block").otherwise("allow").alias("verdict"),
         "component")
+    return plain.unionByName(looked_up)

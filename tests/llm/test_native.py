@@ -1,6 +1,7 @@
 """URL filters, chat formatting and sharding."""
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,9 +84,69 @@ def test_relative_and_differently_written_aliases(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r["verdict"] for r in urls.judge_urls(df, queries.URL_RULES).collect()}
     assert {k for k, v in got.items() if v == "block"} == {1, 2, 3, 4, 5, 6, 7, 8, 12} and len(got) == len(rows)
-    cases = ["http://A.b/C?D#e", "http://a.b", "http://a.b/..", "http://a.b/c/.", "http://a.b/c/../d//e/..", "no/../x", ""]
+    cases = ["http://A.b/C?D#e", "http://a.b", "HTTP://a.B?q", "http://a.b/..", "http://a.b/c/.", "http://a.b/c/../d//e/..", "no/../x", ""]
     out = spark.createDataFrame([(c,) for c in cases], "u string").select(urls.normal_url(F.col("u"))).collect()
-    assert [r[0] for r in out] == ["http://a.b/C?D", "http://a.b", "http://a.b/", "http://a.b/c/", "http://a.b/d//", "no/../x", ""]
+    assert [r[0] for r in out] == ["http://a.b/C?D", "http://a.b/", "http://a.b/?q", "http://a.b/", "http://a.b/c/", "http://a.b/d//", "no/../x", ""]
+
+
+def test_an_empty_path_is_a_slash(spark):
+    refresh = '<meta http-equiv="refresh" content="0; url=%s">'
+    rows = [(1, "https://a.net/fr/x", refresh % "https://y.org"), (2, "https://x.org/p", refresh % "https://y.org/"),
+            (3, "https://y.org", None), (4, "https://y.org/other", None), (5, None, refresh % "https://y.org/")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in urls.judge_urls(df, queries.URL_RULES).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow"}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_page_graph_matches_resolver_and_union_find(spark, seed):
+    """Pages of a few sites that link by every form of address; compared with
+    the standard library's resolver and a union-find."""
+    from urllib.parse import urldefrag, urljoin, urlsplit
+
+    rng = random.Random(seed)
+    sites = ["https://x.org", "http://Y.org", "https://a.net", "http://www.example.com", "https://b.example.com"]
+    paths = ["", "/", "/fr/1", "/es/2", "/en/3", "/d/p", "/d/e/q", "/d/", "/l?p=1", "/l?p=2", "/m#x"]
+    targets = ["p", "../p", "./q", "?p=1", "/d/p", "/fr/1", "//x.org/d/p", "e/../p", "..", "#x", "mailto:x", "/m"]
+
+    def normal(u):
+        parts = urlsplit(urldefrag(u).url)
+        whole = f"{parts.scheme}://{parts.netloc.lower()}"
+        return urljoin(whole + "/", (parts.path or "/") + ("?" + parts.query if parts.query else ""))
+
+    def rule_of(u):
+        host, path = urlsplit(u).netloc.lower(), urlsplit(u).path
+        fits = [r for r in queries.URL_RULES
+                if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        return max(fits, key=lambda r: len(r.name), default=None)
+
+    pages, edges = [], []
+    for i in range(90):
+        u = rng.choice(sites) + rng.choice(paths)
+        to = rng.choice([None, rng.choice(targets), rng.choice(sites) + rng.choice(paths)])
+        html = None if to is None else rng.choice([
+            f'<link rel="canonical" href="{to}">', f'<meta http-equiv="refresh" content="0; url={to}">'])
+        pages.append((i, u, html))
+        edges.append((normal(u), normal(u)))
+        if to is not None and not to.startswith(("#", "mailto:")):
+            edges.append((normal(u), normal(urljoin(urldefrag(u).url, to))))
+    root = _find(edges)
+    blocked = {root[a] for a in root if (r := rule_of(a)) and r.verdict == "block"}
+    want = {}
+    for i, u, _ in pages:
+        r = rule_of(u)
+        want[i] = r.verdict if r else "block" if root[normal(u)] in blocked else "allow"
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
+    got = {r["page_id"]: r["verdict"] for r in urls.judge_urls(df, queries.URL_RULES).collect()}
+    assert got == want and {"block", "allow"} == set(got.values())
+
+
+def test_lookup_joins_plain_columns(spark, capsys):
+    df = spark.createDataFrame([(1, "https://x.org/1", '<link rel="canonical" href="https://a.net/fr/9">')],
+                               "page_id long, url string, html string")
+    urls.judge_urls(df, queries.URL_RULES).explain()
+    plan = capsys.readouterr().out
+    assert "Join" in plan and "regexp" not in plan.split("Join", 1)[1]
 
 
 def test_chat_round_trip(spark):
