@@ -19,7 +19,7 @@ WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 BLOCK_WORDS = 20_000     # words that a block is meant to hold
 MAX_BLOCKS = 32_768      # blocks of all sources; larger corpora get larger blocks
-MAX_SOURCES = 4_096      # sources that are planned on the driver; more are planned by Spark in so many groups
+MAX_SOURCES = 4_096      # sources that are planned on the driver; more are planned by Spark, with the same result
 
 
 def word_count(text: Column) -> Column:
@@ -48,29 +48,59 @@ def mixture_targets(sizes: list[int], weights: list[float], cap: float = MAX_EPO
     return targets
 
 
+def _draw(have: np.ndarray, share: int, seed: tuple, level: int, first: int) -> np.ndarray:
+    """``share`` draws without replacement from entries that hold ``have``:
+    a pyramid of sums over pairs is walked down, and the part of a pair's left
+    entry is hypergeometric, which gives the multivariate hypergeometric as a
+    whole. Every pair has a seed of its own, by its level and place, so what a
+    part of the pyramid draws does not depend on where it is walked. ``first``
+    is the place of the first entry among those of ``level``."""
+    sums = [have]
+    while len(sums[-1]) > 1:
+        odd = len(sums[-1]) % 2
+        sums.append(np.append(sums[-1], np.zeros(odd, np.int64)).reshape(-1, 2).sum(1))
+    part = np.array([share], np.int64)
+    for j in range(len(sums) - 1, 0, -1):
+        below = np.zeros(2 * len(sums[j]), np.int64)
+        below[:len(sums[j - 1])] = sums[j - 1]
+        left = np.zeros(len(sums[j]), np.int64)
+        for i, n in enumerate(part.tolist()):
+            good, bad = below[2 * i].item(), below[2 * i + 1].item()
+            if not n or not bad:
+                left[i] = n
+            elif good:
+                rng = np.random.default_rng([*seed, level + j, (first >> j) + i])
+                left[i] = rng.hypergeometric(good, bad, n)
+        part = np.column_stack([left, part - left]).ravel()[:len(sums[j - 1])]
+    return part
+
+
 def split_quotas(quotas: list[int], n_shards: int, seed: int, shares: np.ndarray | None = None,
-                 group: tuple = ()) -> np.ndarray:
+                 level: int = 0, first: int = 0) -> np.ndarray:
     """Blocks of each source in each shard (sources x shards). At every node
     of a binary tree over the shards, the left half's share of all blocks is
     drawn without replacement from the node's quotas, so rows add up to the
-    quotas exactly and shards hold equally many blocks, to one. For a group of
-    sources, ``shares`` are the blocks of the whole group in each shard."""
+    quotas exactly and shards hold equally many blocks, to one.
+
+    For an aligned group of 2**k sources (or the last of them) from place
+    ``first`` on, ``shares`` are the blocks of the whole group in each shard;
+    those come from a call with the groups' quotas and ``level`` k. The result
+    is that of one call with all sources."""
     out = np.zeros((len(quotas), n_shards), np.int64)
 
-    def split(lo: int, hi: int, have: np.ndarray, total: int) -> None:
+    def split(lo: int, hi: int, have: np.ndarray) -> None:
         if hi - lo == 1:
             out[:, lo] = have
             return
         mid = (lo + hi) // 2
         share = int(have.sum()) * (mid - lo) // (hi - lo) if shares is None else int(shares[lo:mid].sum())
-        rng = np.random.default_rng([seed, lo, hi, *group])
-        left = rng.multivariate_hypergeometric(have, share, method="marginals")
-        split(lo, mid, left, share)
-        split(mid, hi, have - left, total - share)
+        left = _draw(have, share, (seed, lo, hi), level, first)
+        split(lo, mid, left)
+        split(mid, hi, have - left)
 
     have = np.asarray(quotas, np.int64)
     if len(have):
-        split(0, n_shards, have, int(have.sum()))
+        split(0, n_shards, have)
     return out
 
 
@@ -94,19 +124,19 @@ def plan_source(rank: int, own: list[tuple], target: float, seed: int) -> tuple[
 
 
 def plan_blocks(blocks: list[tuple], targets: dict, n_shards: int, seed: int,
-                ranks: dict | None = None, shares: np.ndarray | None = None, group: tuple = ()) -> list[tuple]:
+                ranks: dict | None = None, shares: np.ndarray | None = None, first: int = 0) -> list[tuple]:
     """Rows (source, block, epochs, part, draws) from rows (source, block,
     words). ``epochs`` is how often the whole block is taken; ``part`` the
     words taken once more from it in the last epoch where the target ends
     inside it (else null); ``draws`` the shard of each time it is taken. For a
-    group of sources, ``ranks`` are their places among all."""
+    group of sources, ``ranks`` are their places among all, from ``first`` on."""
     by: dict = {}
     for source, block, words in blocks:
         by.setdefault(source, []).append((block, words))
     order = sorted(by, key=lambda s: (s is None, s))
     taken = [(source, *plan_source(i if ranks is None else ranks[source], by[source], targets[source], seed))
              for i, source in enumerate(order)]
-    counts = split_quotas([len(d) for _, _, d in taken], n_shards, seed, shares, group)
+    counts = split_quotas([len(d) for _, _, d in taken], n_shards, seed, shares, first=first)
     rows = []
     for (source, plan, draws), per_shard in zip(taken, counts):
         where: dict = {}
@@ -176,10 +206,12 @@ def _many_heads(totals: DataFrame, weights: tuple, block_words: int) -> DataFram
 
 
 def _many_plans(found: DataFrame, heads: DataFrame, sources: int, groups: int, n_shards: int, seed: int) -> DataFrame:
-    """``plan_blocks`` by Spark over rows (s, __block, w). Neighbouring sources
-    form at most ``groups`` groups; the tree over the shards is drawn for the
-    groups on the driver and then within each group."""
-    per = math.ceil(sources / groups)
+    """``plan_blocks`` by Spark over rows (s, __block, w), with the same
+    result. Neighbouring sources form at most ``groups`` groups of a power of
+    two; the tree over the shards is drawn for the groups on the driver and
+    then within each group."""
+    level = max(0, math.ceil(sources / groups) - 1).bit_length()
+    per = 1 << level
     rows = cut(found.join(heads, F.col("s").eqNullSafe(F.col("__s"))).select(
         F.expr(f"__rank div {per}").alias("g"), "__rank", F.col("s").alias("__s"), "__block", "w", "__target"), "groups")
 
@@ -199,10 +231,10 @@ def _many_plans(found: DataFrame, heads: DataFrame, sources: int, groups: int, n
 
     quotas = sorted((r["g"], r["n"]) for r in rows.groupBy("g").applyInArrow(grouped(quota), "g long, n long").collect())
     shares = rows.sparkSession.sparkContext.broadcast(
-        dict(zip([g for g, _ in quotas], split_quotas([n for _, n in quotas], n_shards, seed))))
+        dict(zip([g for g, _ in quotas], split_quotas([n for _, n in quotas], n_shards, seed, level=level))))
 
     def plan(g, blocks, targets, ranks):
-        return _plan_table(plan_blocks(blocks, targets, n_shards, seed, ranks, shares.value[g], (g,)))
+        return _plan_table(plan_blocks(blocks, targets, n_shards, seed, ranks, shares.value[g], g * per))
 
     return cut(rows.groupBy("g").applyInArrow(
         grouped(plan), "__s string, __b long, __epochs long, __rest long, __shards array<int>"), "plans")
@@ -230,7 +262,7 @@ def mix_plan(docs: DataFrame, n_shards: int, source: str = "source", key: str =
     Up to ``max_sources`` sources, that table reaches the driver and is
     broadcast; with more, sources are ranked, reshared and planned by Spark in
     groups, only one row per group reaches the driver, and sources and blocks
-    are joined as Spark sees fit; the words taken are the same. A hot source has most blocks, and no task
+    are joined as Spark sees fit; the result is the same. A hot source has most blocks, and no task
     needs a whole source; the block where a target ends is the only one whose
     rows meet. ``narrow`` may hold the source, key and size columns of the same
     rows, so that planning does not read the texts again.

@@ -55,6 +55,32 @@ def test_mix_plan(spark, block_words):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+@pytest.mark.parametrize("n, level", [(1, 0), (5, 1), (16, 2), (37, 3), (100, 2)])
+def test_groups_of_sources_draw_as_all_do(n, level):
+    rng = random.Random(n)
+    quotas = [rng.choice([0, 1, 5, 300]) for _ in range(n)]
+    whole = mixture.split_quotas(quotas, 7, 3)
+    assert whole.sum(1).tolist() == quotas and np.ptp(whole.sum(0)) <= 1
+    per = 1 << level
+    groups = [quotas[i:i + per] for i in range(0, n, per)]
+    shares = mixture.split_quotas([sum(g) for g in groups], 7, 3, level=level)
+    parts = [mixture.split_quotas(g, 7, 3, shares[i], first=i * per) for i, g in enumerate(groups)]
+    assert (np.concatenate(parts) == whole).all()
+
+
+def test_draws_are_hypergeometric():
+    """The share of one source in one shard over many seeds, against the
+    distribution's mean and variance."""
+    quotas, n = [30, 7, 0, 23, 20], 4
+    draws = np.array([mixture.split_quotas(quotas, n, seed) for seed in range(3000)])
+    total, each = sum(quotas), sum(quotas) / n
+    for i, q in enumerate(quotas):
+        p = q / total
+        var = each * p * (1 - p) * (total - each) / (total - 1)
+        assert (np.abs(draws[:, i].mean(0) - each * p) < 4 * (var / 3000) ** .5 + 1e-9).all()
+        assert (np.abs(draws[:, i].var(0) - var) < .15 * var + 1e-9).all()
+
+
 def test_mix_plan_of_many_sources(spark):
     rng = random.Random(4)
     rows = [(i, rng.choice([0, 1, 3, 20, 60, 900]), rng.choice([None, "hot", *(f"é{k}" for k in range(60))]))
@@ -63,11 +89,7 @@ def test_mix_plan_of_many_sources(spark):
     few = {r["doc_id"]: r for r in mixture.mix_plan(docs, 8, block_words=50).collect()}
     many = mixture.mix_plan(docs, 8, block_words=50, max_sources=7).collect()
     assert len(many) == len(rows)
-    for r in many:  # all but the shards of the copies is equal
-        one = few[r["doc_id"]]
-        assert [(k, v) for k, v in r.asDict().items() if k != "__draws"] == [
-            (k, v) for k, v in one.asDict().items() if k != "__draws"]
-        assert len(r["__draws"]) == len(one["__draws"]) and all(0 <= d < 8 for d in r["__draws"])
+    assert {r["doc_id"]: r for r in many} == few
     again = mixture.mix_plan(docs.repartition(5), 8, block_words=50, max_sources=7).collect()
     assert sorted(map(str, many)) == sorted(map(str, again))
     # A source each for more rows than are planned on the driver.
