@@ -1,3 +1,4 @@
 """Operators for large training corpora: URL filters, mixing, chat formatting,
-decontamination, exact search, sharding, deduplication, quality scores and
-token counts. Nothing outside this subpackage imports it."""
+decontamination, exact search, sharding, deduplication, quality scores, token
+counts, Merkle manifests, hard negatives and toxicity. Nothing outside this
+subpackage imports it."""
