@@ -4,14 +4,14 @@ A vector's components are dealt to ``lists`` lists; a list's local score for a
 query is the inner product over its components, and the score is the sum of
 the local scores. For a block of queries:
 
-1. every task sends, for each query and list, its ``k`` best local scores
-   (with their whole score); the k-th best whole score among them is a lower
-   bound of the final k-th score: the cutoff;
+1. every task sends, for each query and list, the entries with its ``k`` best
+   local scores, and only these are added up over the lists; the k-th best sum
+   among them is a lower bound of the final k-th score: the cutoff;
 2. the cutoffs are broadcast; an entry all of whose local scores are below
    cutoff / lists has a score below the cutoff, so the entries with a local
    score of at least that are sufficient;
-3. only for those the remaining lists are added up exactly, and a task sends
-   its k best that reach the cutoff.
+3. only those are added up over the lists, and a task sends its k best that
+   reach the cutoff.
 """
 
 from __future__ import annotations
@@ -23,9 +23,11 @@ from pyspark.sql import functions as F
 
 from cabmeter.llm.scratch import cut
 from cabmeter.llm.ship import ensure_importable
+from cabmeter.session import fresh_dir
 
-QUERY_BLOCK = 2_048   # queries handled at once: what is broadcast
-ROW_BLOCK = 1_024     # candidates that a task scores at once
+BLOCK_BYTES = 32 << 20  # queries handled at once: what is broadcast
+QUERY_TILE = 2_048      # queries and
+ROW_BLOCK = 1_024       # candidates that a task scores at once
 LISTS = 2
 _EXACT = float(1 << 53)
 _NULL = np.iinfo(np.int64).max
@@ -75,11 +77,12 @@ def _phase(queries: dict, k: int, lists: int, cutoff: np.ndarray | None, batches
     dim = q.shape[1]
     edges = np.linspace(0, dim, lists + 1).astype(int)
     found = [[], [], []]
+    held = max(200_000, 4 * k * lists * len(qid))
 
     def put(*new):
         for have, more in zip(found, new):
             have.append(more)
-        if sum(map(len, found[0])) > 200_000:
+        if sum(map(len, found[0])) > held:
             squeeze()
 
     def squeeze():
@@ -87,34 +90,39 @@ def _phase(queries: dict, k: int, lists: int, cutoff: np.ndarray | None, batches
         keep = _best(*whole, k)
         found[:] = [[x[keep]] for x in whole]
 
+    def score(x, ids, base):
+        tile = q[base:base + QUERY_TILE]
+        local = [_dot(x[:, a:b], tile[:, a:b]) for a, b in zip(edges, edges[1:])]
+        other = ids[:, None] != qid[None, base:base + QUERY_TILE]
+        if cutoff is None:
+            for s in local:
+                if len(ids) > k:
+                    kth = -np.partition(-np.where(other, s, -np.inf), k - 1, axis=0)[k - 1]
+                    r, c = np.nonzero((s >= kth) & other)
+                    few = _best(c, s[r, c], ids[r], k)
+                    r, c = r[few], c[few]
+                else:
+                    r, c = np.nonzero(other)
+                put(c + base, sum(t[r, c] for t in local), ids[r])
+        else:
+            own = cutoff[base:base + QUERY_TILE]
+            enough = np.zeros(other.shape, bool)
+            for s in local:
+                enough |= s * lists >= own
+            r, c = np.nonzero(enough & other)
+            sums = sum(t[r, c] for t in local)
+            good = sums >= own[c]
+            r, c = r[good], c[good]
+            put(c + base, sums[good], ids[r])
+
     for batch in batches:
         for at in range(0, batch.num_rows, ROW_BLOCK):
             own = batch.column(0).slice(at, ROW_BLOCK)
             # A null id stands behind all others of the same score.
             ids = own.fill_null(_NULL).to_numpy(zero_copy_only=False)
             x = _matrix(batch.column(1).slice(at, ROW_BLOCK), dim)
-            local = [_dot(x[:, a:b], q[:, a:b]) for a, b in zip(edges, edges[1:])]
-            total = sum(local)
-            other = ids[:, None] != qid[None, :]
-            if cutoff is None:
-                for s in local:
-                    if len(ids) > k:
-                        kth = -np.partition(-np.where(other, s, -np.inf), k - 1, axis=0)[k - 1]
-                        r, c = np.nonzero((s >= kth) & other)
-                        few = _best(c, s[r, c], ids[r], k)
-                        r, c = r[few], c[few]
-                    else:
-                        r, c = np.nonzero(other)
-                    put(c, total[r, c], ids[r])
-            else:
-                enough = np.zeros(total.shape, bool)
-                for s in local:
-                    enough |= s * lists >= cutoff
-                r, c = np.nonzero(enough & other)
-                sums = total[r, c]
-                good = sums >= cutoff[c]
-                r, c = r[good], c[good]
-                put(c, sums[good], ids[r])
+            for base in range(0, len(qid), QUERY_TILE):
+                score(x, ids, base)
     if found[0]:
         squeeze()
         c, s, v = (x[0] for x in found)
@@ -139,7 +147,7 @@ def whole_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding
 
 
 def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int, lists: int = LISTS,
-                query_block: int = QUERY_BLOCK) -> DataFrame:
+                block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best of ``vectors`` for each
     of ``queries`` (both vec_id, x with whole-number components as doubles),
     all if there are fewer; ties to the smaller vec_id.
@@ -152,40 +160,45 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int, lists: int = LIS
     Empty tables give no rows. Scores are exact whole numbers; scores beyond the
     range of a long become the nearest long and tie there.
 
-    Queries are taken in blocks of at most about ``query_block`` (the bound
-    of what is broadcast); for each block the vectors are read twice and never
-    shuffled or collected. A task sends at most k rows per query and list, and
-    what all tasks send for a query is cut to k before it is shuffled.
+    The vectors are written once, as the whole numbers they are. Queries are
+    taken in blocks of about ``block_bytes`` (the bound of what is broadcast);
+    for each block that table is read twice and never shuffled or collected,
+    and the block's result is appended to one folder. A task sends at most k
+    rows per query and list, and what all tasks send for a query is cut to k
+    before it is shuffled.
     """
     spark = vectors.sparkSession
     ensure_importable(spark)
+    vectors = cut(vectors.select("vec_id", "x"), "topk")
     asked = queries.where("vec_id IS NOT NULL").groupBy("vec_id").agg(F.min("x").alias("x"))
     asked = cut(asked.select("vec_id", "x", F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)).alias("slot")), "topk")
-    n = asked.count()
-    out = spark.createDataFrame([], f"{_SCHEMA}, rank int")
-    parts = max(1, -(-n // query_block))
-    for b in range(parts if n else 0):
-        rows = asked.where(f"slot * {parts} div {1 << 20} = {b}").select("vec_id", "x").orderBy("vec_id").collect()
-        if not rows:
+    size = asked.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("x").cast("long")).alias("c")).first()
+    path = fresh_dir(spark, "llm/topk")
+    spark.createDataFrame([], f"{_SCHEMA}, rank int").write.parquet(path)
+    parts = max(1, -(-(16 * size["n"] + 8 * (size["c"] or 0)) // block_bytes))
+    for b in range(parts if size["n"] else 0):
+        rows = asked.where(f"slot * {parts} div {1 << 20} = {b}").select("vec_id", "x").orderBy("vec_id").toArrow()
+        if not rows.num_rows:
             continue
-        dim = max(len(r["x"]) for r in rows)
-        x = np.zeros((len(rows), dim))
-        for i, r in enumerate(rows):
-            x[i, :len(r["x"])] = r["x"]
-        block = {"id": np.array([r["vec_id"] for r in rows], np.int64), "x": x}
+        lists_of = rows.column(1).combine_chunks()
+        dim = max(int(np.diff(lists_of.offsets.to_numpy()).max()), 0)
+        block = {"id": rows.column(0).to_numpy(), "x": _matrix(lists_of, dim)}
         shared = spark.sparkContext.broadcast(block)
         first = vectors.mapInArrow(lambda it, s=shared: _phase(s.value, k, lists, None, it), _SCHEMA)
-        ranked = _top(first, k)
-        floor = {r["query_id"]: float(r["score"]) for r in ranked.groupBy("query_id").agg(
-            F.min("score").alias("score"), F.count(F.lit(1)).alias("c")).where(f"c = {k}").collect()}
-        cutoff = np.array([floor.get(int(i), -np.inf) for i in block["id"]])
+        floors = _top(first, k).groupBy("query_id").agg(
+            F.min("score").alias("score"), F.count(F.lit(1)).alias("c")).where(f"c = {k}").select(
+            "query_id", "score").toArrow()
+        cutoff = np.full(rows.num_rows, -np.inf)
+        cutoff[np.searchsorted(block["id"], floors.column(0).to_numpy())] = floors.column(1).to_numpy()
         # One below, so that the rounding of a cutoff to a double never excludes.
         cutoff = np.where(np.abs(cutoff) < _EXACT, cutoff, cutoff - np.abs(cutoff) * 1e-15)
         bound = spark.sparkContext.broadcast(cutoff)
         second = vectors.mapInArrow(
             lambda it, s=shared, c=bound: _phase(s.value, k, lists, c.value, it), _SCHEMA)
-        out = out.unionByName(cut(_top(second, k), "topk"))
-    return out.select("query_id", "rank", "vec_id", "score")
+        _top(second, k).write.mode("append").parquet(path)
+        bound.destroy()
+        shared.destroy()
+    return spark.read.schema(f"{_SCHEMA}, rank int").parquet(path).select("query_id", "rank", "vec_id", "score")
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:

@@ -98,6 +98,22 @@ def test_mix_plan_of_many_sources(spark):
     assert got[0] == mixture.MAX_SOURCES + 4 and got[1] <= mixture.MAX_SOURCES
 
 
+@pytest.mark.parametrize("many", [False, True])
+def test_a_target_ends_among_rows_of_one_key(spark, many):
+    # All rows of a source share key and size: they stand at one place of the hash order.
+    rows = [(1, f"{i} b c d e", "en", "hot", 0) for i in range(90)] + [(1, "a b c d e", "en", "hot", 0)] * 10
+    rows += [(None, "x y z", "en", None, 0)] * 7 + [(i, "k " * 40, "en", "a", 0) for i in range(30)]
+    docs = spark.createDataFrame(rows, DOC).withColumn("size", mixture.word_count(F.col("text")))
+    plan = lambda df: mixture.mix_plan(df, 8, max_sources=2 if many else mixture.MAX_SOURCES).collect()
+    got = plan(docs)
+    assert len(got) == len(rows)
+    for source in ("hot", "a", None):
+        own = [r for r in got if r["source"] == source]
+        assert sum(r["__taken"] for r in own) == round(own[0]["__target"])
+        assert sum(r["__part"] is not None for r in own) <= 1
+    assert sorted(map(str, plan(docs.repartition(6)))) == sorted(map(str, got))
+
+
 def test_mix_documents_takes_what_is_planned(spark):
     rng = random.Random(2)
     rows = [(i, " " * (i % 3) + "w\t " * rng.choice([0, 1, 3, 20, 60]), "en", rng.choice(["a", "a", "a", "b"]), 0)
@@ -253,7 +269,7 @@ def test_top_k_matches_brute_force(spark, case):
         vectors = vectors[:3]
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").withColumn("score", F.lit("x"))
     whole = topk.whole_vectors(df.repartition(4))
-    got = topk.exact_top_k(whole, whole.where("vec_id % 50 = 0"), 5, query_block=3).collect()
+    got = topk.exact_top_k(whole, whole.where("vec_id % 50 = 0"), 5, block_bytes=2_000).collect()
     assert sorted(((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got), key=str) == _brute(vectors, 5)
     none = whole.limit(0)
     assert topk.exact_top_k(none, none, 5).count() == 0
