@@ -254,7 +254,9 @@ def mix_plan(docs: DataFrame, n_shards: int, source: str = "source", key: str =
     cut into blocks by a seeded hash of the key; whole epochs take every block,
     the last epoch takes blocks in a seeded order up to the target. In the
     block where the target ends, rows are taken in hash order and the last of
-    them is cut, so every source's words equal its rounded target.
+    them is cut, so every source's words equal its rounded target; rows with
+    the key and size of that last one are taken in the order of a hash of all
+    their columns.
 
     Rows with equal keys fall into one block; rows of no words are taken
     zero times; a null source is a source; an empty table gives no rows. The
@@ -264,7 +266,7 @@ def mix_plan(docs: DataFrame, n_shards: int, source: str = "source", key: str =
     groups, only one row per group reaches the driver, and sources and blocks
     are joined as Spark sees fit; the result is the same. A hot source has most blocks, and no task
     needs a whole source; the block where a target ends is the only one whose
-    rows meet. ``narrow`` may hold the source, key and size columns of the same
+    rows meet, and of these only key and size. ``narrow`` may hold the source, key and size columns of the same
     rows, so that planning does not read the texts again.
     """
     spark = docs.sparkSession
@@ -290,18 +292,38 @@ def mix_plan(docs: DataFrame, n_shards: int, source: str = "source", key: str =
         F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("w"))
     if few:
         plan = plan_blocks([tuple(r) for r in found.collect()], targets, n_shards, seed)
-        plans = F.broadcast(spark.createDataFrame(_plan_table(plan)))
+        plans = spark.createDataFrame(_plan_table(plan))
     else:
         plans = _many_plans(found, ranked, ranked.count(), max_sources, n_shards, seed)
+    # The row at which a target ends, found on the narrow rows: (hash, key,
+    # size) and the words before it.
+    upto = Window.partitionBy("__p", "__b").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.struct(F.col("__h").alias("h"), F.col(key).alias("k"), F.col(size).alias("w"))
+    last = in_blocks(narrow).select(
+        F.col(source).alias("__s"), "__block", place.alias("__at"), F.col(size).alias("__w")).join(
+        plans.where("__rest IS NOT NULL").select(F.col("__s").alias("__p"), "__b", "__rest"),
+        F.col("__s").eqNullSafe(F.col("__p")) & (F.col("__block") == F.col("__b")))
+    last = last.groupBy("__p", "__b", "__rest", "__at").agg(F.sum("__w").alias("__w")).withColumn(
+        "__before", F.coalesce(F.sum("__w").over(upto), F.lit(0)))
+    last = cut(last.where("__before + __w >= __rest").groupBy("__p", "__b").agg(
+        F.min(F.struct("__at", "__before")).alias("e")).select(
+        F.col("__p").alias("__ls"), F.col("__b").alias("__lb"), F.col("e.__at").alias("__end"),
+        F.col("e.__before").alias("__before")), "ends")
+    plans = plans.join(last, F.col("__s").eqNullSafe(F.col("__ls")) & (F.col("__b") == F.col("__lb")), "left").drop(
+        "__ls", "__lb")
     joined = in_blocks(docs).join(
-        plans, F.col(source).eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b"))).drop("__s", "__b")
-    whole = joined.where("__rest IS NULL").withColumn("__more", F.lit(0).cast("long"))
-    upto = Window.partitionBy(source, "__block").orderBy("__h", key, size).rowsBetween(
-        Window.unboundedPreceding, -1)
-    ends = joined.where("__rest IS NOT NULL").withColumn(
-        "__more", F.least(F.col(size), F.greatest(F.lit(0), F.col("__rest") - F.coalesce(
-            F.sum(size).over(upto), F.lit(0)))).cast("long"))
-    both = whole.unionByName(ends)
+        F.broadcast(plans) if few else plans,
+        F.col(source).eqNullSafe(F.col("__s")) & (F.col("__block") == F.col("__b"))).drop("__s", "__b")
+    joined = joined.withColumn("__at", place)
+    clear = joined.where("__end IS NULL OR __at <> __end").withColumn(
+        "__more", F.when(F.col("__rest").isNull(), F.lit(0)).when(
+            F.col("__end").isNull() | (F.col("__at") < F.col("__end")), F.col(size)).otherwise(F.lit(0)).cast("long"))
+    # Mostly one row per source: rows with the key and size of the last one.
+    plain = [F.col(f"`{c}`") for c, t in docs.dtypes if not t.startswith("map")]
+    nth = F.row_number().over(Window.partitionBy(source, "__block").orderBy(F.xxhash64(*plain))) - 1
+    ends = joined.where("__at = __end").withColumn("__more", F.least(F.col(size), F.greatest(
+        F.lit(0), F.col("__rest") - F.col("__before") - nth * F.col(size))).cast("long"))
+    both = clear.unionByName(ends)
     copies = F.col("__epochs") + (F.col("__more") > 0).cast("long")
     return both.select(
         *[F.col(f"`{c}`") for c in docs.columns], "__source_size", "__target",
