@@ -293,9 +293,11 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
                          percent: int = 80) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one with the
     smallest key, once if row and key are repeated. Rows without a set all
-    stay, once per key. Texts are shuffled once, by a hash of key and text."""
+    stay, once per key. Rows are told apart by their key and 64 bits of their
+    text, so only rows of one key could be taken for each other. Texts are
+    shuffled once, by key and hash of the text."""
     kept = _grouped(docs, key, text, shingle, percent).where("kept").select(
-        F.xxhash64("doc", "th").alias("__row"))
-    rows = docs.withColumn("__row", F.xxhash64(key, F.xxhash64(text)))
-    return rows.join(kept, "__row", "left_semi").dropDuplicates(["__row"]).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+        F.col("doc").alias("__doc"), F.col("th").alias("__t"))
+    rows = docs.withColumn("__th", F.xxhash64(text))
+    return (rows.join(kept, F.col(f"`{key}`").eqNullSafe(F.col("__doc")) & (F.col("__th") == F.col("__t")), "left_semi")
+            .dropDuplicates([key, "__th"]).select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -106,3 +106,14 @@ def test_similar_small_sets_share_bins():
         keys = minhash.sketches(sets, np.array([0, 9, 18]), 250, 1)
         agree.append((keys[0] == keys[1]).mean())
     assert abs(np.mean(agree) - 0.8) < 0.03
+
+
+def test_rows_of_one_key_are_told_apart(spark):
+    long = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, long), (1, long), (1, "other words than those of the first text"), (2, long), (None, "x"), (None, "x"),
+            (3, None), (3, None), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("doc", F.lit(0)).withColumn("th", F.lit("t"))
+    got = minhash.drop_near_duplicates(df)
+    assert got.columns == df.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(
+        [(1, long), (1, "other words than those of the first text"), (None, "x"), (3, None), (3, "")], key=str)
