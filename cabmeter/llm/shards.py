@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cabmeter.llm.scratch import cut
+
 # Rows that one ranking group is meant to hold, and the least number of
 # groups a ranking is cut into.
 GROUP_ROWS = 50_000
@@ -31,7 +34,7 @@ def _ranked(rows: DataFrame, keys: list[str], bucket: str, order: list, out: str
 
 def stratified_shards(rows: DataFrame, n_shards: int, source: str = "source",
                       key: str = "doc_id", seed: int = 17,
-                      group_rows: int = GROUP_ROWS) -> DataFrame:
+                      group_rows: int = GROUP_ROWS, tie: str | None = None) -> DataFrame:
     """``rows`` with ``shard`` (0 to ``n_shards`` - 1) and ``slot`` (position in
     the shard, gapless from 0).
 
@@ -43,7 +46,8 @@ def stratified_shards(rows: DataFrame, n_shards: int, source: str = "source",
     one row at either end.
 
     A null source is a source of its own; a null key hashes like any value;
-    rows that agree in every column are interchangeable; fewer rows than
+    rows of one key are ordered by the column ``tie``, else by a hash of all
+    columns, and are interchangeable where that agrees; fewer rows than
     shards leave shards empty; an empty table gives no rows. Existing columns
     ``shard`` and ``slot`` are replaced. Neither a source nor a shard is ever
     gathered: both rankings work on groups of about ``group_rows`` rows that
@@ -56,11 +60,12 @@ def stratified_shards(rows: DataFrame, n_shards: int, source: str = "source",
     names = [f"c{i}" for i in range(len(cols))]
     base = rows.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(cols, names)])
     src, ident = names[cols.index(source)], names[cols.index(key)]
-    plain = [n for n, t in base.dtypes if not t.startswith("map")]
+    last = F.xxhash64(*[n for n, t in base.dtypes if not t.startswith("map")]) if tie is None else F.col(
+        names[cols.index(tie)])
     # The sign bit is flipped off so that the bucket grows with the hash.
     h = base.withColumn("h", F.xxhash64(F.lit(seed), ident).bitwiseAND(F.lit((1 << 62) - 1)))
     h = h.withColumn("b", F.floor(F.col("h") / F.lit(float(1 << 62)) * groups))
-    ranked = _ranked(h, [src], "b", ["h", ident, F.xxhash64(*plain)], "r")
+    ranked = _ranked(h, [src], "b", ["h", ident, last], "r")
     per_source = base.groupBy(src).agg(F.count(F.lit(1)).alias("n")).select(
         F.col(src).alias("__src"), "n")
     frac = ranked.join(per_source, F.col(src).eqNullSafe(F.col("__src"))).drop("__src")
@@ -74,3 +79,33 @@ def stratified_shards(rows: DataFrame, n_shards: int, source: str = "source",
         *[F.col(n).alias(c) for c, n in zip(cols, names)],
         F.col("s").cast("int").alias("shard"),
         F.expr(f"p - (s * {total} + {n_shards - 1}) div {n_shards}").alias("slot"))
+
+
+def _with_place(docs: DataFrame) -> DataFrame:
+    """``docs`` with where each row stands in its file, if it is read from files."""
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.xxhash64("_metadata.file_path").alias("__file"),
+                       F.col("_metadata.row_index").alias("__row"))
+
+
+def shard_documents(docs: DataFrame, n_shards: int, source: str = "source", key: str = "doc_id",
+                    seed: int = 17, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """``stratified_shards`` of rows with long texts: the same shards and slots,
+    but only the source, the key, a hash of the row and its place in its file
+    go through the rankings, and the columns move once, to meet their shard.
+
+    Rows that are not read from Parquet files are written first, so that a
+    row keeps its place whatever is lost. Null sources and keys, repeated rows, few
+    rows and empty tables are as in ``stratified_shards``.
+    """
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")])
+    try:
+        placed = _with_place(docs)
+    except AnalysisException:
+        placed = _with_place(cut(docs, "shards"))
+    plain = [F.col(f"`{c}`") for c, t in docs.dtypes if not t.startswith("map")]
+    narrow = cut(placed.select(F.col(f"`{source}`").alias("source"), F.col(f"`{key}`").alias("key"),
+                               F.xxhash64(*plain).alias("hash"), "__file", "__row"), "shards")
+    shards = cut(stratified_shards(narrow, n_shards, "source", "key", seed, group_rows, "hash").select(
+        F.col("__file").alias("__f"), F.col("__row").alias("__r"), "shard", "slot"), "shards")
+    return placed.join(shards, (F.col("__file") == F.col("__f")) & (F.col("__row") == F.col("__r"))).select(
+        *[F.col(f"`{c}`") for c in docs.columns], "shard", "slot")

@@ -216,6 +216,28 @@ def test_shards_are_even_and_mixed(spark, n):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+@pytest.mark.parametrize("n", [0, 3, 700])
+def test_documents_get_the_shards_of_their_rows(spark, tmp_path, n):
+    # Copies of rows, rows of one key, null keys and sources; ``slot`` is replaced.
+    rows = [(i // 3 if i % 50 else None, ["big", "big", "b", None][i % 4], f"t{i // 3 if i % 7 else i}", 7)
+            for i in range(n)] + [(5, "big", "same", 7)] * (n // 3)
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, slot int")
+    want = sorted(map(str, shards.stratified_shards(df, 40, group_rows=10).collect()))
+    got = shards.shard_documents(df, 40, group_rows=10)
+    assert got.columns == ["doc_id", "source", "text", "shard", "slot"]
+    assert sorted(map(str, got.collect())) == want
+    df.repartition(3).write.parquet(str(tmp_path / "docs"))
+    filed = spark.read.parquet(str(tmp_path / "docs")).select("doc_id", "source", "text")
+    assert sorted(map(str, shards.shard_documents(filed, 40, group_rows=10).collect())) == want
+
+
+def test_texts_stay_out_of_the_rankings(spark, sf_small, capsys):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    shards.shard_documents(docs, 40).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "Window" not in plan and plan.count("Join") <= 4
+
+
 def test_sized_rows(spark):
     df = spark.createDataFrame([(1, "é", "s", "en"), (2, None, "s", "en"), (3, "", None, None)],
                                "doc_id long, text string, source string, lang string")
