@@ -16,7 +16,7 @@ from cabmeter.llm.mixture import mix_documents
 from cabmeter.llm.quality import keep_good
 from cabmeter.llm.queries import N_SHARDS, table
 from cabmeter.llm.scratch import cut
-from cabmeter.llm.shards import stratified_shards
+from cabmeter.llm.shards import shard_documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -49,7 +49,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows with their shard (0 to 39) and place in the shard."""
-    return stratified_shards(docs.select(*COLUMNS), N_SHARDS)
+    return shard_documents(docs.select(*COLUMNS), N_SHARDS)
 
 
 STAGES = [
