@@ -361,9 +361,9 @@ def drop_leaked(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text
     where they are read, without a shuffle; see ``find_leaks``."""
     index = _Index(benchmark, item, item_text, limit)
     if not index.small:
-        bad = _leaks(docs, key, text, index).select("doc", "th").distinct()
+        bad = _leaks(docs, key, text, index).select(F.col("doc").alias("__doc"), F.col("th").alias("__t")).distinct()
         rows = docs.withColumn("__th", F.xxhash64(text))
-        return rows.join(bad, F.col(f"`{key}`").eqNullSafe(F.col("doc")) & (F.col("__th") == F.col("th")),
+        return rows.join(bad, F.col(f"`{key}`").eqNullSafe(F.col("__doc")) & (F.col("__th") == F.col("__t")),
                          "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     shared = docs.sparkSession.sparkContext.broadcast((index.sizes, index.keys, index.pairs))
 

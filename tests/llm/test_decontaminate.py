@@ -54,8 +54,9 @@ def test_planted_and_clean(spark, limit):
     riddles = spark.createDataFrame([(9, riddle)], "item_id long, text string")
     assert _pairs(D.find_leaks(spark.createDataFrame(pairs, "doc_id long, text string"), riddles, limit=limit)
                   ) == {(1, 9), (2, 9)}
-    kept = D.drop_leaked(docs, bench, limit=limit)
-    assert kept.columns == docs.columns
+    clashing = docs.withColumn("doc", F.lit("x")).withColumn("th", F.lit(1)).withColumn("item", F.lit(None))
+    kept = D.drop_leaked(clashing, bench, limit=limit)
+    assert kept.columns == clashing.columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted(
         [k for k, (_, leaked) in cases.items() if not leaked], key=str)
     assert D.find_leaks(docs.limit(0), bench, limit=limit).count() == 0
