@@ -12,6 +12,7 @@ from cabmeter.llm.ship import ensure_importable
 from cabmeter.llm.textops import CHUNK_BYTES, Words, chunks, text_buffer
 
 TRAIN_ROWS = 20_000   # labelled rows of the fit, at most
+SLOT_BITS = 20        # slots of the seeded order that are counted, as a power of 2
 TRAIN_PAIRS = 60_000  # preference pairs of the fit, at most
 CUT = 0.3             # score from which a document is predicted good
 RIDGE = 1e-3
@@ -162,9 +163,18 @@ def fit_quality(feats: DataFrame, labels: DataFrame, key: str = "doc_id", label:
     in order, so the fit does not depend on the layout; null labels or keys are left out. Without rows of both labels
     every score is ``CUT``."""
     marks = labels.where(f"{label} IN (0, 1)").groupBy(key).agg(F.min(label).alias("__y"))
+    order = F.xxhash64(F.lit(5), key)
+    known = feats.select(key).join(marks, key).groupBy(key).agg(F.min("__y").alias("__y"))
+    known = cut(known.withColumn("__slot", F.shiftright(order, 64 - SLOT_BITS)), "quality")
+    # The slots of the order that hold the rows of the fit: at most 2 ** SLOT_BITS
+    # counts, so that no task sends ``train_rows`` rows of its own.
+    slots = known.groupBy("__slot").agg(F.count(F.lit(1)).alias("n")).toArrow().sort_by("__slot")
+    reach = np.searchsorted(np.cumsum(slots.column("n").to_numpy()), train_rows)
+    if reach < slots.num_rows:
+        known = known.where(F.col("__slot") <= slots.column("__slot")[int(reach)].as_py())
     # Of a key's rows the one with the smallest features, in each task first.
-    rows = (feats.join(marks, key).groupBy(key, "__y").agg(F.min("features").alias("features"))
-            .orderBy(F.xxhash64(F.lit(5), key), key).limit(train_rows).select("features", "__y").collect())
+    rows = (feats.join(known, key).groupBy(key, "__y").agg(F.min("features").alias("features"))
+            .orderBy(order, key).limit(train_rows).select("features", "__y").collect())
     x = np.array([r["features"] for r in rows], float).reshape(len(rows), N_FEATURES)
     return QualityModel(x, np.array([r["__y"] for r in rows], int))
 

@@ -219,6 +219,23 @@ def test_quality_does_not_depend_on_the_layout(spark):
     assert scores[0] == scores[1] and len({s for _, s in scores[0]}) > 500
 
 
+def test_quality_fit_takes_the_first_rows_of_the_order(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i % 400 if i % 9 else None, [float(v) for v in rng.normal(size=quality.N_FEATURES)]) for i in range(600)]
+    feats = spark.createDataFrame(rows, "doc_id long, features array<double>")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(-50, 300)], "doc_id long, quality int")
+    order = {r[0]: r[1] for r in spark.range(300).select("id", F.xxhash64(F.lit(5), "id")).collect()}
+    own = {}
+    for k, x in rows:
+        if k in order:
+            own[k] = min(own.get(k, x), x)
+    for n in (1, 40, 10_000):
+        first = sorted(own, key=lambda k: order[k])[:n]
+        want = quality.QualityModel(np.array([own[k] for k in first]), np.array([k % 2 for k in first]))
+        got = quality.fit_quality(feats.repartition(5), labels, train_rows=n)
+        assert np.array_equal(got.mean, want.mean) and np.array_equal(got.weights, want.weights)
+
+
 def test_quality_of_odd_rows(spark):
     rows = [(1, None, "en", "a", 0), (1, "", "en", "a", 0), (None, "x", None, None, 0), (3, "a b " * 50_000, "", "", 0)]
     docs = spark.createDataFrame(rows, DOC).withColumn("score", F.lit("mine"))
