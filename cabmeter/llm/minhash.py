@@ -11,11 +11,17 @@
    star's edges may fail where two other members are alike. The classes of such
    components are compared exactly: they are ordered by how rare their shingles
    are, and two alike sets must share one of their rarest (the prefix filter),
-   so only pairs that do, and lie in different components, are confirmed.
+   so only pairs that do, and lie in different components, are confirmed. A
+   shingle that very many classes have among their rarest makes no pairs by
+   itself: alike sets that share it share more of their rarest, so classes meet
+   on groups of up to four shingles and on their sizes.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +36,10 @@ BANDS, BAND_ROWS = 50, 5
 _U = np.uint64
 _ATTEMPTS = 4096
 MAX_COUNTERS = 1 << 24  # counters of shingle frequencies that are broadcast, at most
+HOT_SHINGLE = 500       # classes from which a shingle makes no pairs by itself
+# Largest size (of the larger set) up to which groups of 4, 3 and 2 shingles are
+# joined: a set then has some hundred groups at most. Beyond, single shingles.
+GROUP_SIZES = ((4, 16), (3, 32), (2, 64))
 
 
 def _probe(bins: int) -> np.ndarray:
@@ -155,7 +165,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(alike).select("a", "b")
 
 
-def _unsettled_pairs(buckets: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _unsettled_pairs(buckets: DataFrame, labels: DataFrame, sets: DataFrame, percent: int,
+                     hot_shingle: int) -> DataFrame:
     """Pairs (a, b) of classes in different components that could be alike,
     among the components that meet another one in some bucket.
 
@@ -166,7 +177,9 @@ def _unsettled_pairs(buckets: DataFrame, labels: DataFrame, sets: DataFrame, per
     for exactness); |y| is at least the smallest size in x's unsettled buckets.
     For the first element that x and y share, at places i and j of the order,
     |x & y| is at most 1 + min(|x| - i, |y| - j): pairs for which no element
-    leaves room for a are not made."""
+    leaves room for a are not made. Shingles in the beginnings of more than
+    ``hot_shingle`` classes are left to ``_shingle_groups``: if the first that x
+    and y share is none of them, the pair is found without."""
     spark = buckets.sparkSession
     placed = (buckets.join(labels, "cid", "left").groupBy("bucket", F.coalesce("comp", "cid").alias("comp"))
               .agg(F.min("n").alias("least")))
@@ -206,17 +219,101 @@ def _unsettled_pairs(buckets: DataFrame, labels: DataFrame, sets: DataFrame, per
                                                  names=["cid", "comp", "n", "i", "s"])
 
     heads = cut(rows.mapInArrow(prefixes, "cid long, comp long, n long, i long, s long"), "minhash")
-    left = heads.select("s", F.col("cid").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"),
-                        F.col("i").alias("ia"))
-    right = heads.select("s", F.col("cid").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"),
-                         F.col("i").alias("ib"))
+    hot = cut(heads.groupBy("s").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > hot_shingle).select("s"), "minhash")
+    some_hot = not hot.isEmpty()
+    cold = heads.join(hot, "s", "left_anti") if some_hot else heads
+    left = cold.select("s", F.col("cid").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"),
+                       F.col("i").alias("ia"))
+    right = cold.select("s", F.col("cid").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"),
+                        F.col("i").alias("ib"))
     room = f"(1 + least(na - ia, nb - ib)) * {100 + percent} >= {percent} * (na + nb)"
-    return left.join(right, "s").where(
-        f"ca < cb AND least(na, nb) * 100 >= greatest(na, nb) * {percent} AND {room}").select("a", "b").distinct()
+    sizes = f"least(na, nb) * 100 >= greatest(na, nb) * {percent}"
+    pairs = left.join(right, "s").where(f"ca < cb AND {sizes} AND {room}").select("a", "b")
+    if some_hot:
+        hots = heads.join(hot, "s", "left_semi").groupBy("cid").agg(F.collect_list("s").alias("hots"))
+        groups = cut(_shingle_groups(rows.join(hots, "cid").select("cid", "comp", "low", "set", "hots"),
+                                     shared, counters, percent), "minhash")
+        left = groups.select("k", F.col("band").alias("x"), F.col("other").alias("y"), F.col("cid").alias("a"),
+                             F.col("comp").alias("ca"), F.col("n").alias("na"))
+        right = groups.select("k", F.col("other").alias("x"), F.col("band").alias("y"), F.col("cid").alias("b"),
+                              F.col("comp").alias("cb"), F.col("n").alias("nb"))
+        pairs = pairs.unionByName(left.join(right, ["k", "x", "y"]).where(f"ca < cb AND {sizes}").select("a", "b"))
+    return pairs.distinct()
+
+
+@lru_cache(maxsize=None)
+def _size_bands() -> np.ndarray:
+    """Smallest size of every band: single sizes up to 20, then steps of 5 %."""
+    lows = list(range(1, 21))
+    while lows[-1] < 1 << 40:
+        lows.append(max(lows[-1] + 1, lows[-1] * 21 // 20))
+    return np.array(lows, np.int64)
+
+
+def _group_size(size: int, percent: int) -> int:
+    """How many shingles are joined at once for pairs whose larger set has some
+    ``size`` shingles. Different sets that are alike have at least percent /
+    (100 - percent) shingles in common, no more may be asked for."""
+    most = -(-percent // max(1, 100 - percent))
+    return min(most, next((k for k, top in GROUP_SIZES if size <= top), 1))
+
+
+@lru_cache(maxsize=256)
+def _choices(n: int, k: int) -> np.ndarray:
+    """All choices of ``k`` of the places 0 to ``n`` - 1, in order."""
+    return np.array(list(combinations(range(n), k)), np.int64).reshape(-1, k)
+
+
+def _groups_of(own: np.ndarray, f: np.ndarray, hots: np.ndarray, low: int, percent: int):
+    """(band, other band, keys) of a set for every band of sizes that an alike
+    set can have. Sets x and y with a shingles in common share k of their first
+    |x| - a + k and |y| - a + k, and the first that they share is among the
+    first |x| - a + 1 and |y| - a + 1: if it is a hot one, both have the group of
+    the first k that they share."""
+    n, lows = len(own), _size_bands()
+    least = max(low, -(-n * percent // 100))
+    order = np.lexsort((own, f))
+    band = int(np.searchsorted(lows, n, "right")) - 1
+    first_band = int(np.searchsorted(lows, least, "right")) - 1
+    last_band = int(np.searchsorted(lows, n * 100 // percent, "right")) - 1
+    for other in range(first_band, last_band + 1):
+        k = _group_size(int(lows[max(band, other)]), percent)
+        common = -(-percent * (n + max(least, int(lows[other]))) // (100 + percent))
+        first = own[order[:max(0, n - common + k)]]
+        if len(first) < k:
+            continue
+        pick = _choices(len(first), k) if k > 1 else np.arange(len(first))[:, None]
+        pick = pick[(pick[:, 0] <= n - common) & np.isin(first, hots)[pick[:, 0]]]
+        key = np.full(len(pick), k, _U)
+        for j in range(k):
+            key = mix(key ^ first[pick[:, j]].view(_U)) + _U(j)
+        yield band, other, key.view(np.int64)
+
+
+def _shingle_groups(rows: DataFrame, often, counters: int, percent: int) -> DataFrame:
+    """(cid, comp, n, band, other, k) of rows (cid, comp, low, set, hots): the
+    groups of shingles on which a class meets those of size band ``other``."""
+    def run(batches):
+        table = often.value
+        for batch in batches:
+            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                out = [[np.zeros(0, np.int64)] for _ in range(6)]
+                for cid, comp, low, own, hots in zip(*(part.column(c) for c in range(5))):
+                    own = own.values.to_numpy(zero_copy_only=False)
+                    hots = hots.values.to_numpy(zero_copy_only=False)
+                    for band, other, key in _groups_of(own, table[own & (counters - 1)], hots, low.as_py(), percent):
+                        for have, one in zip(out, (cid.as_py(), comp.as_py(), len(own), band, other)):
+                            have.append(np.full(len(key), one, np.int64))
+                        out[5].append(key)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out],
+                                                 names=["cid", "comp", "n", "band", "other", "k"])
+
+    return rows.mapInArrow(run, "cid long, comp long, n long, band long, other long, k long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5,
-                    percent: int = 80, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
+                    percent: int = 80, bands: int = BANDS, band_rows: int = BAND_ROWS,
+                    hot_shingle: int = HOT_SHINGLE) -> DataFrame:
     """(key, n_shingles, component_id, kept) for every row of ``docs``.
 
     Two texts are linked if 100 * shared shingles >= ``percent`` * all
@@ -234,14 +331,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
     Nothing is collected. Copies fold into classes by partial aggregates,
     stars come from a minimum per bucket and an equi-join, and only sets of
-    classes that share a bucket are kept for the confirmation.
+    classes that share a bucket are kept for the confirmation. A shingle with
+    which more than ``hot_shingle`` unsettled classes begin, in the order of
+    rareness, makes no pairs by itself.
     """
-    return _grouped(docs, key, text, shingle, percent, bands, band_rows).select(
+    return _grouped(docs, key, text, shingle, percent, bands, band_rows, hot_shingle).select(
         F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.col("low").alias("component_id"), "kept")
 
 
 def _grouped(docs: DataFrame, key: str, text: str, shingle: int, percent: int,
-             bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
+             bands: int = BANDS, band_rows: int = BAND_ROWS, hot_shingle: int = HOT_SHINGLE) -> DataFrame:
     """(doc, th, n, low, kept) for every row; ``th`` is a hash of the text."""
     ensure_importable(docs.sparkSession)
     rows = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
@@ -266,7 +365,7 @@ def _grouped(docs: DataFrame, key: str, text: str, shingle: int, percent: int,
     links = cut(_confirmed(pairs, sets, percent), "minhash")
     labels = cut(connected_components(links).select(F.col("id").alias("cid"), F.col("component").alias("comp")),
                  "minhash")
-    more = cut(_confirmed(_unsettled_pairs(buckets, labels, sets, percent), sets, percent), "minhash")
+    more = cut(_confirmed(_unsettled_pairs(buckets, labels, sets, percent, hot_shingle), sets, percent), "minhash")
     if not more.isEmpty():
         name = lambda c: labels.select(F.col("cid").alias(c), F.col("comp").alias(f"{c}_comp"))
         joined = more.join(name("a"), "a", "left").join(name("b"), "b", "left").select(

@@ -117,3 +117,46 @@ def test_rows_of_one_key_are_told_apart(spark):
     assert got.columns == df.columns
     assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(
         [(1, long), (1, "other words than those of the first text"), (None, "x"), (3, None), (3, "")], key=str)
+
+
+@pytest.mark.parametrize("percent", [80, 60, 40])
+def test_groups_of_shingles_lose_no_pair(percent):
+    """Sets over few shingles, all of them hot: every alike pair of different
+    sets meets on a group, whatever the sizes."""
+    rng = np.random.default_rng(percent)
+    for top in (12, 30, 45, 90):
+        base = rng.integers(-2**63, 2**63 - 1, top)
+        sets = []
+        for _ in range(40):
+            own = base[rng.random(top) < rng.choice([.3, .9])]
+            sets += [own, own[rng.random(len(own)) < .9]]
+        sets = [np.sort(x) for x in sets if len(x)]
+        names = {int(x): i for i, x in enumerate(base)}
+        counts = np.zeros(top, np.int64)
+        for x in sets:
+            counts[[names[int(v)] for v in x]] += 1
+        keys = []
+        for x in sets:
+            f = counts[[names[int(v)] for v in x]]
+            keys.append({(b, o, int(k)) for b, o, ks in minhash._groups_of(x, f, base, 1, percent) for k in ks})
+        for i, x in enumerate(sets):
+            for j in range(i):
+                y = sets[j]
+                both = len(np.intersect1d(x, y))
+                if 100 * both >= percent * (len(x) + len(y) - both) and not np.array_equal(x, y):
+                    assert {(b, o, k) for b, o, k in keys[i]} & {(o, b, k) for b, o, k in keys[j]}
+
+
+def hot_rows(n, seed=3):
+    """Short texts of few words: all their shingles are frequent."""
+    rng = random.Random(seed)
+    return [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.choice([6, 6, 6, 7, 9, 14])))) for i in range(n)]
+
+
+@pytest.mark.parametrize("hot_shingle", [0, 5, 40])
+def test_hot_shingles_match_brute_force(spark, hot_shingle):
+    rows = hot_rows(300) + made(random.Random(5), "family")
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = minhash.near_duplicates(df, shingle=2, hot_shingle=hot_shingle).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == brute(rows, 2)
