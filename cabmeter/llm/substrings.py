@@ -299,8 +299,7 @@ def _searched(window: int):
             new[1:] = key[order][1:] != key[order][:-1]
             leads = np.sort(order[new])
             kept = np.isin(owner, leads)
-            index = FMIndex(whole[kept], len(symbols) + 1, window)
-            smallest = doc[owner[kept]][index.order]
+            index = FMIndex(whole[kept], len(symbols) + 1)
             # A distinct segment is searched once; its copies share the answer.
             ends = np.repeat(at[leads] + window, count[leads]) + _steps(count[leads])
             _, lo, hi = index.search(whole, ends, window)
@@ -310,8 +309,11 @@ def _searched(window: int):
                 heads, back = np.unique(lo[full], return_inverse=True)
                 tails = np.zeros(len(heads), np.int64)
                 tails[back] = hi[full]
-                padded = np.append(smallest, np.iinfo(np.int64).max)
-                low[full] = np.minimum.reduceat(padded, np.column_stack([heads, tails]).ravel())[::2][back]
+                # Intervals of one length do not overlap: each row is looked up once.
+                size = tails - heads
+                rows = np.repeat(heads, size) + _steps(size)
+                smallest = doc[leads][index.segments(rows)]
+                low[full] = np.minimum.reduceat(smallest, np.cumsum(size) - size)[back]
             # Copies of a segment: the lead's document is also a place.
             group = np.zeros(len(doc), np.int64)
             group[order] = np.cumsum(new) - 1

@@ -85,7 +85,9 @@ def test_backward_search_counts():
     rng = np.random.default_rng(2)
     segments = [rng.integers(1, 5, rng.integers(1, 30)) for _ in range(40)]
     text = np.concatenate([np.append(s, 0) for s in segments])
-    index = FMIndex(text, 5, 6)
+    index = FMIndex(text, 5)
+    owners = np.cumsum(text == 0) - (text == 0)
+    assert len(index.sampled) == sum(-(-(len(s) + 1) // 8) for s in segments)
     whole = "".join(map(str, text))
     for _ in range(300):
         n = int(rng.integers(1, 7))
@@ -94,7 +96,7 @@ def test_backward_search_counts():
         for c in pattern[::-1]:
             lo, hi = index.extend(np.array([c]), lo, hi)
         want = [i for i in range(len(whole)) if whole.startswith("".join(map(str, pattern)), i)]
-        assert sorted(index.order[lo[0]:hi[0]].tolist()) == want
+        assert sorted(index.segments(np.arange(lo[0], hi[0])).tolist()) == [owners[i] for i in want]
     ends = np.array([e for e in range(6, len(text)) if 0 not in text[e - 6:e]])
     matched, lo, hi = index.search(text, ends, 6)
     for e, m, a, b in zip(ends, matched, lo, hi):
