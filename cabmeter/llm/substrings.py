@@ -5,8 +5,11 @@
    words, and neighbouring windows with one anchor are a segment. Equal windows
    have equal anchors, so a shard that gets all segments of an anchor sees all
    places of their windows.
-2. Anchors are counted over all documents, packed by shard and salt. Only
-   segments whose anchor is in two documents or more are worth searching.
+2. Anchors are counted over all documents: a task sends every anchor once with
+   how many of its documents have it. Only segments whose anchor is in two
+   documents or more are worth searching. The loudest anchors, a bounded number,
+   are broadcast, so no list of their documents is ever gathered; the documents
+   of the others are told by the shard of the anchor.
 3. Those segments, as numbers for words, go to the shard of their anchor. The
    segments of anchors in very many documents are split into single windows
    and go to the shard of the window, so no anchor is a hot key; segments that
@@ -28,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabmeter.llm.fmindex import FMIndex
+from cabmeter.llm.scratch import cut
 from cabmeter.llm.ship import ensure_importable
 from cabmeter.llm.textops import chain, chunks, mix, words_of
 
@@ -35,7 +39,7 @@ GRAM = 4
 HOT_DOCUMENTS = 2_000     # documents from which an anchor is split by window
 SHARD_BYTES = 2_000_000   # bytes of text for which there is a shard
 LEAST_SHARDS = 512
-SALT_BYTES = 200_000_000_000  # bytes of text for which anchor lists get a salt
+LOUD_ANCHORS = 1 << 20    # hot anchors that are broadcast (12 bytes each), at most
 _FLUSH = 12_000_000       # bytes of text that a task gathers before it sends
 _U = np.uint64
 
@@ -92,20 +96,27 @@ def _pieces(key: np.ndarray, *columns: np.ndarray):
         yield int(key[a]), [c[a:b] for c in columns]
 
 
-def _anchor_lists(rows: DataFrame, window: int, shards: int, salts: int) -> DataFrame:
-    """(shard, salt, base, h, d): packed anchors and their documents."""
+def _anchor_lists(rows: DataFrame, window: int, shards: int) -> DataFrame:
+    """(shard, entries, base, h, n, d): packed anchors, each once with how many
+    documents it has, and these documents."""
     def send(found):
         h, doc = (np.concatenate(x) for x in zip(*found))
         base = int(doc.min())
         span = int(doc.max()) - base
         near = (doc.astype(np.uint64) - _U(base & (2**64 - 1))).astype(np.uint32 if span < 2**32 else np.uint64)
-        salt = int(mix(np.array([base & (2**64 - 1)], _U))[0]) % salts
-        out = [(k, a.tobytes(), b.tobytes()) for k, (a, b) in _pieces(_shard(h, shards), _short(h), near)]
-        k, a, b = zip(*out)
-        n = len(k)
+        short = _short(h)
+        order = np.argsort(short, kind="stable")
+        out = []
+        for k, (a, d) in _pieces(_shard(h, shards)[order], short[order], near[order]):
+            heads = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
+            n = np.diff(np.append(heads, len(a)))
+            out.append((k, len(a), a[heads].tobytes(), n.astype(np.uint16 if n.max() < 2**16 else np.uint32).tobytes(),
+                        d.tobytes()))
+        k, size, a, n, d = zip(*out)
         return pa.RecordBatch.from_arrays(
-            [pa.array(k, pa.int32()), pa.array([salt] * n, pa.int32()), pa.array([base] * n, pa.int64()),
-             pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["shard", "salt", "base", "h", "d"])
+            [pa.array(k, pa.int32()), pa.array(size, pa.int64()), pa.array([base] * len(k), pa.int64()),
+             pa.array(a, pa.binary()), pa.array(n, pa.binary()), pa.array(d, pa.binary())],
+            names=["shard", "entries", "base", "h", "n", "d"])
 
     def run(batches):
         found, size = [], 0
@@ -128,66 +139,87 @@ def _anchor_lists(rows: DataFrame, window: int, shards: int, salts: int) -> Data
             yield send(found)
 
     return rows.select("doc", "text").mapInArrow(
-        run, "shard int, salt int, base long, h binary, d binary")
+        run, "shard int, entries long, base long, h binary, n binary, d binary")
 
 
-def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    hs, ds = [], []
-    for base, h, d in zip(table["base"].to_pylist(), table["h"].to_pylist(), table["d"].to_pylist()):
-        h = np.frombuffer(h, np.uint32)
-        d = np.frombuffer(d, np.uint32 if len(d) == 4 * len(h) else np.uint64)
-        hs.append(h)
-        ds.append((d.astype(_U) + _U(base & (2**64 - 1))).astype(np.int64))
-    return np.concatenate(hs), np.concatenate(ds)
+def _counted(h: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray]:
+    h = np.frombuffer(h, np.uint32)
+    return h, np.frombuffer(n, np.uint16 if len(n) == 2 * len(h) else np.uint32).astype(np.int64)
 
 
-def _tally(table: pa.Table) -> pa.Table:
-    """Anchors of a shard and salt, and in how many documents they are."""
-    h, n = np.unique(_unpacked(table)[0], return_counts=True)
-    few = n == 1
-    return pa.table({"shard": table["shard"][:1], "salt": table["salt"][:1],
-                     "once": pa.array([h[few].tobytes()], pa.binary()),
-                     "often": pa.array([h[~few].tobytes()], pa.binary()),
-                     "n": pa.array([np.minimum(n[~few], 2**31).astype(np.uint32).tobytes()], pa.binary())})
+def _documents(base: int, total: int, d: bytes) -> np.ndarray:
+    d = np.frombuffer(d, np.uint32 if len(d) == 4 * total else np.uint64)
+    return (d.astype(_U) + _U(base & (2**64 - 1))).astype(np.int64)
 
 
-def _shared(salts: int, hot_documents: int):
-    """The anchors of a shard in two documents or more, hot ones apart, once
-    for each salt."""
+def _tally(hot_documents: int, loud_from: int):
+    """The anchors of a shard in two documents or more, hot ones and the
+    loudest of these apart."""
     def run(table: pa.Table) -> pa.Table:
-        read = lambda name: [np.frombuffer(x, np.uint32) for x in table[name].to_pylist()]
-        once, often, n = read("once"), read("often"), read("n")
-        keys = np.concatenate(once + often)
-        count = np.concatenate([np.ones(sum(map(len, once)), np.int64), *[x.astype(np.int64) for x in n]])
-        h, where = np.unique(keys, return_inverse=True)
-        total = np.bincount(where, weights=count, minlength=len(h))
-        hot = total >= hot_documents
-        return pa.table({"shard": pa.array([table["shard"][0].as_py()] * salts, pa.int32()),
-                         "salt": pa.array(range(salts), pa.int32()),
-                         "some": pa.array([h[(total > 1) & ~hot].tobytes()] * salts, pa.binary()),
-                         "hot": pa.array([h[hot].tobytes()] * salts, pa.binary())})
+        h, n = (np.concatenate(x) for x in zip(*map(_counted, table["h"].to_pylist(), table["n"].to_pylist())))
+        h, where = np.unique(h, return_inverse=True)
+        total = np.bincount(where, weights=n, minlength=len(h))
+        hot, loud = total >= hot_documents, total >= loud_from
+        return pa.table([table["shard"][:1], *[pa.array([h[x].tobytes()], pa.binary()) for x in
+                                               ((total > 1) & ~hot, hot & ~loud, loud)]],
+                        names=["shard", "some", "hot", "loud"])
 
     return run
 
 
+def _without(lists: DataFrame, loud: dict[int, np.ndarray]) -> DataFrame:
+    """The lists without the loudest anchors."""
+    sent = lists.sparkSession.sparkContext.broadcast(loud)
+
+    def run(batches):
+        own = sent.value
+        for batch in batches:
+            rows = []
+            for k, entries, base, h, n, d in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                if k in own:
+                    names, count = _counted(h, n)
+                    keep = ~np.isin(names, own[k])
+                    size = len(d) // entries
+                    d = np.frombuffer(d, f"V{size}")[np.repeat(keep, count)].tobytes()
+                    entries = int(count[keep].sum())
+                    width = len(n) // len(names)
+                    h, n = names[keep].tobytes(), np.frombuffer(n, f"V{width}")[keep].tobytes()
+                if entries:
+                    rows.append((k, entries, base, h, n, d))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, f.type) for x, f in zip(zip(*rows), batch.schema)], schema=batch.schema)
+
+    return lists.mapInArrow(run, lists.schema)
+
+
 def _answer(left: pa.Table, right: pa.Table) -> pa.Table:
     """(doc, shard, some, hot): the shared anchors of each document in a shard."""
     schema = pa.schema([("doc", pa.int64()), ("shard", pa.int32()), ("some", pa.binary()), ("hot", pa.binary())])
     if not left.num_rows or not right.num_rows:
         return schema.empty_table()
-    h, doc = _unpacked(left)
-    mine = {}
-    for name in ("some", "hot"):
-        keep = np.isin(h, np.frombuffer(right[name][0].as_py(), np.uint32))
-        for d, (x,) in _pieces(doc[keep], h[keep]):
-            mine.setdefault(d, {})[name] = x.tobytes()
-    shard = left["shard"][0].as_py()
-    return pa.table([pa.array(list(mine), pa.int64()), pa.array([shard] * len(mine), pa.int32()),
-                     *[pa.array([m.get(name, b"") for m in mine.values()], pa.binary()) for name in ("some", "hot")]],
+    hs, docs = [], []
+    for base, h, n, d in zip(*(left[c].to_pylist() for c in ("base", "h", "n", "d"))):
+        h, n = _counted(h, n)
+        hs.append(np.repeat(h, n))
+        docs.append(_documents(base, int(n.sum()), d))
+    h, doc = np.concatenate(hs), np.concatenate(docs)
+    order = np.argsort(doc, kind="stable")
+    h, doc = h[order], doc[order]
+    flags = [np.isin(h, np.frombuffer(right[name][0].as_py(), np.uint32)) for name in ("some", "hot")]
+    mine = np.unique(doc[flags[0] | flags[1]])
+    lists = []
+    for flag in flags:
+        ends = np.searchsorted(doc[flag], mine, "right")
+        lists.append(pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(mine),
+            [None, pa.py_buffer(np.append(0, ends * 4).astype(np.int64)), pa.py_buffer(h[flag].tobytes())]
+        ).cast(pa.binary()))
+    return pa.table([pa.array(mine), pa.array(np.full(len(mine), left["shard"][0].as_py(), np.int32)), *lists],
                     schema=schema)
 
 
-def _segment_rows(texts: DataFrame, window: int, shards: int) -> DataFrame:
+def _segment_rows(texts: DataFrame, window: int, shards: int, loudest) -> DataFrame:
     """Packed segments by shard, from rows (doc, tag, text, marks)."""
     names = ["shard", "local", "doc", "tag", "begin", "windows", "low", "high"]
     kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 6]
@@ -219,19 +251,18 @@ def _segment_rows(texts: DataFrame, window: int, shards: int) -> DataFrame:
         found, size = [], 0
         for batch in chunks(batches):
             marks = batch.column(3)
-            if marks.null_count == len(marks):
-                continue
             words = words_of(batch)
             seg = Segments(words, window)
-            some, hot = np.zeros(len(seg.doc), bool), np.zeros(len(seg.doc), bool)
             short = _placed(_shard(seg.anchor, shards), _short(seg.anchor))
+            some = np.zeros(len(seg.doc), bool)
+            hot = np.isin(short, loudest.value) & np.asarray(batch.column(0).is_valid())[seg.doc]
             first = np.searchsorted(seg.doc, np.arange(batch.num_rows + 1))
             for i in range(batch.num_rows):
                 own = slice(first[i], first[i + 1])
                 if marks[i].is_valid and first[i] < first[i + 1]:
                     lists = marks[i].as_py()
                     for flag, name in ((some, "some"), (hot, "hot")):
-                        flag[own] = np.isin(short[own], np.concatenate(
+                        flag[own] |= np.isin(short[own], np.concatenate(
                             [_placed(m["shard"], np.frombuffer(m[name], np.uint32)) for m in lists]))
             whole = np.flatnonzero(some & ~hot)
             split = np.flatnonzero(hot)
@@ -346,7 +377,7 @@ def _steps(count: np.ndarray) -> np.ndarray:
 
 
 def _covers(docs: DataFrame, key: str, text: str, window: int, hot_documents: int,
-            least_shards: int, salt_bytes: int) -> DataFrame:
+            least_shards: int, loud_anchors: int) -> DataFrame:
     """(doc, tag, text, covers): every row, with the intervals found for its
     key; those with the row's tag (of the text) are its own."""
     ensure_importable(docs.sparkSession)
@@ -354,17 +385,21 @@ def _covers(docs: DataFrame, key: str, text: str, window: int, hot_documents: in
                        F.xxhash64(text).alias("tag"), F.col(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     shards = max(least_shards, size // SHARD_BYTES)
-    salts = 1 + size // salt_bytes
-    lists = _anchor_lists(rows, window, shards, salts)
-    tally = lists.groupBy("shard", "salt").applyInArrow(
-        _tally, "shard int, salt int, once binary, often binary, n binary")
-    shared = tally.groupBy("shard").applyInArrow(
-        _shared(salts, hot_documents), "shard int, salt int, some binary, hot binary")
-    marks = lists.groupBy("shard", "salt").cogroup(shared.groupBy("shard", "salt")).applyInArrow(
+    lists = cut(_anchor_lists(rows, window, shards), "substrings")
+    entries = lists.agg(F.sum("entries").alias("n")).first()["n"] or 0
+    # No more than loud_anchors anchors can have this share of all entries.
+    loud_from = max(hot_documents, -(-entries // loud_anchors))
+    shared = cut(lists.select("shard", "h", "n").groupBy("shard").applyInArrow(
+        _tally(hot_documents, loud_from), "shard int, some binary, hot binary, loud binary"), "substrings")
+    table = shared.where(F.octet_length("loud") > 0).select("shard", "loud").toArrow()
+    loud = {k: np.frombuffer(h, np.uint32) for k, h in zip(table["shard"].to_pylist(), table["loud"].to_pylist())}
+    loudest = docs.sparkSession.sparkContext.broadcast(
+        np.concatenate([np.zeros(0, _U)] + [_placed(np.full(len(h), k), h) for k, h in loud.items()]))
+    marks = (_without(lists, loud) if loud else lists).groupBy("shard").cogroup(shared.groupBy("shard")).applyInArrow(
         _answer, "doc long, shard int, some binary, hot binary").groupBy("doc").agg(
         F.collect_list(F.struct("shard", "some", "hot")).alias("marks")).withColumnRenamed("doc", "__doc")
     marked = rows.join(marks, F.col("doc") == F.col("__doc"), "left").select("doc", "tag", "text", "marks")
-    found = _segment_rows(marked, window, shards).groupBy("shard").applyInArrow(
+    found = _segment_rows(marked, window, shards, loudest).groupBy("shard").applyInArrow(
         _searched(window), "doc long, tag long, begin int, words int")
     covers = found.groupBy("doc").agg(F.collect_list(F.struct("tag", "begin", "words")).alias("covers")
                                       ).withColumnRenamed("doc", "__doc")
@@ -373,7 +408,7 @@ def _covers(docs: DataFrame, key: str, text: str, window: int, hot_documents: in
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 13,
                    hot_documents: int = HOT_DOCUMENTS, least_shards: int = LEAST_SHARDS,
-                   salt_bytes: int = SALT_BYTES) -> DataFrame:
+                   loud_anchors: int = LOUD_ANCHORS) -> DataFrame:
     """(key, n_words, n_removed, intervals, kept): ``kept`` is the text's words
     without those in ``intervals`` (array of begin and words, disjoint and in
     order), joined by one space.
@@ -414,7 +449,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
                  pa.array(kept, pa.binary()).cast(pa.string())],
                 names=["doc", "n_words", "n_removed", "intervals", "kept"])
 
-    return _covers(docs, key, text, window, hot_documents, least_shards, salt_bytes).mapInArrow(
+    return _covers(docs, key, text, window, hot_documents, least_shards, loud_anchors).mapInArrow(
         run, "doc long, n_words long, n_removed long, intervals array<struct<begin:int,words:int>>, kept string"
     ).withColumnRenamed("doc", key)
 

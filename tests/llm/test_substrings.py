@@ -51,10 +51,11 @@ def made(seed):
 
 
 @pytest.mark.parametrize("options", [
-    {}, {"hot_documents": 3, "least_shards": 3}, {"salt_bytes": 4000, "least_shards": 5, "hot_documents": 20},
+    {}, {"hot_documents": 3, "least_shards": 3}, {"least_shards": 5, "hot_documents": 20},
+    {"loud_anchors": 1, "hot_documents": 3}, {"loud_anchors": 60, "hot_documents": 3, "least_shards": 2},
 ])
 def test_removal_matches_brute_force(spark, options):
-    rows = made(len(options))
+    rows = made(len(options) + options.get("loud_anchors", 0))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = substrings.remove_repeats(df, **options).collect()
     assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got), key=str) == brute(rows, 13)
@@ -118,3 +119,28 @@ def test_rows_of_one_key_with_clashing_hashes(spark):
     got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got) == brute(rows, 13)
     assert sorted(r["n_removed"] for r in got) == [0, 0, 20, 20]
+
+
+def test_no_list_is_gathered_for_an_anchor_of_all_documents(spark):
+    """A line in every document: its anchors are loud, and what the shards
+    gather does not hold their documents."""
+    line = " ".join(f"l{i}" for i in range(13))
+    rows = [(d, f"{line} " + " ".join(f"w{d}x{i}" for i in range(5))) for d in range(400)]
+    rows += [(1000, None), (None, line)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    keyed = df.selectExpr("doc_id AS doc", "text")
+    lists = substrings._anchor_lists(keyed, 13, 7).collect()
+    seen = {}
+    for r in lists:
+        for h, n in zip(*substrings._counted(r["h"], r["n"])):
+            seen[r["shard"], int(h)] = seen.get((r["shard"], int(h)), 0) + int(n)
+    loud = {}
+    for (k, h), n in seen.items():
+        if n >= 100:
+            loud.setdefault(k, []).append(h)
+    assert max(seen.values()) == 400 and loud
+    left = substrings._without(substrings._anchor_lists(keyed, 13, 7),
+                               {k: np.array(h, np.uint32) for k, h in loud.items()}).collect()
+    assert sum(r["entries"] for r in left) == sum(n for n in seen.values() if n < 100)
+    got = substrings.remove_repeats(df, hot_documents=100).collect()
+    assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got), key=str) == brute(rows, 13)
