@@ -103,16 +103,38 @@ def fitting_input(train: DataFrame, categorical: list[str], numeric: list[str]):
         data.unpersist()
 
 
-def fit_fare_model(train: DataFrame, categorical: list[str] = CATEGORICAL_FEATURES,
-                   numeric: list[str] = NUMERIC_FEATURES) -> PipelineModel:
+@contextmanager
+def fitted_fare_model(train: DataFrame, categorical: list[str] = CATEGORICAL_FEATURES,
+                      numeric: list[str] = NUMERIC_FEATURES):
     """M6 + M8: fit preprocessing and regressor on the training split only,
-    on those of the given features that it has. The indexer's vocabularies
-    reach the driver, as MLlib's always do: they are meant for columns with
-    up to some 100,000 labels. Up to 4,096 assembled features the regressor
-    needs one distributed pass (normal equations); beyond, MLlib iterates."""
+    on those of the given features that it has; the model and the assembled
+    training rows (``features_raw`` and label), persisted until the block ends
+    for checks on the rows of the fit. The indexer's vocabularies reach the
+    driver, as MLlib's always do: they are meant for columns with up to some
+    100,000 labels. Up to 4,096 assembled features the regressor needs one
+    distributed pass (normal equations); beyond, MLlib iterates.
+
+    Encoding and assembling cost more than the passes after them (scaler's
+    moments, regressor's statistics and summary), so it is done once for all."""
     cats, nums = available_features(train, categorical, numeric)
-    with fitting_input(train, cats, nums) as data:
-        return fare_model(cats, nums).fit(data)
+    *to_vector, scaler = preprocessing_stages(cats, nums)
+    assembled = None
+    try:
+        with fitting_input(train, cats, nums) as data:
+            vectors = Pipeline(stages=to_vector).fit(data)
+            assembled = vectors.transform(data).select("features_raw", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+            fitted = Pipeline(stages=[scaler, regressor()]).fit(assembled)
+        yield PipelineModel(stages=[*vectors.stages, *fitted.stages]), assembled
+    finally:
+        if assembled is not None:
+            assembled.unpersist()
+
+
+def fit_fare_model(train: DataFrame, categorical: list[str] = CATEGORICAL_FEATURES,
+                   numeric: list[str] = NUMERIC_FEATURES) -> PipelineModel:
+    """The model of ``fitted_fare_model``; nothing stays persisted."""
+    with fitted_fare_model(train, categorical, numeric) as (model, _):
+        return model
 
 
 # -- M9, M10, A9 ----------------------------------------------------------------
@@ -271,25 +293,35 @@ def predict_by_terms(terms: DataFrame, df: DataFrame, id_col: str = "ride_id",
                      categorical: list[str] = CATEGORICAL_FEATURES,
                      numeric: list[str] = NUMERIC_FEATURES) -> DataFrame:
     """(id_col, prediction) of every row whose numeric features are neither
-    null nor NaN, without MLlib: the row's features are exploded, joined with
-    the terms and summed. A label that the fit has not seen, or a null one,
-    adds nothing. Ids must be unique."""
+    null nor NaN, without MLlib: each categorical feature looks its weight up
+    in its own labels, a numeric one is multiplied by its weight, and the row
+    adds them up. A label that the fit has not seen, or a null one, adds
+    nothing. Ids must be unique.
+
+    The labels are broadcast, as long as the vocabulary that the model holds
+    on the driver anyway; rows are never multiplied by their features and are
+    dealt once, as (id_col, sum)."""
     cats, nums = available_features(df, categorical, numeric)
-    known = terms.where("feature IS NOT NULL")
-    parts = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("label"), F.lit(1.0).alias("value"))
-             for c in cats]
-    parts += [F.struct(F.lit(c).alias("feature"), F.lit(None).cast("string").alias("label"),
-                       F.col(c).cast("double").alias("value")) for c in nums]
-    whole = F.lit(True)
+    # One small task: no shuffle of its own for each look-up.
+    weights = terms.coalesce(1).groupBy("feature", "label").agg(F.sum("weight").alias("weight"))
+    slopes = {w.feature: w.weight for w in weights.where(
+        F.col("feature").isin(nums) & F.col("label").isNull()).collect()}
+    whole, total = F.lit(True), F.lit(0.0)
     for c in nums:
-        whole = whole & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
-    long = df.where(whole).select(id_col, F.inline(F.array(*parts)))
-    # A null label of a categorical feature must not meet a numeric term.
-    key = F.coalesce(F.concat(F.lit("="), F.col("label")), F.lit(""))
-    kind = F.col("feature").isin(nums)
-    long = long.withColumn("key", F.when(kind | F.col("label").isNotNull(), key))
-    sums = long.join(known.select("feature", key.alias("key"), "weight"), ["feature", "key"], "left").groupBy(id_col).agg(
-        F.coalesce(F.sum(F.col("value") * F.col("weight")), F.lit(0.0)).alias("total"))
+        value = F.col(c).cast("double")
+        whole = whole & F.col(c).isNotNull() & ~F.isnan(value)
+        if slopes.get(c) is not None:
+            total = total + value * F.lit(slopes[c])
+    rows = df.where(whole).select(
+        id_col, total.alias("__total"), *[F.col(c).cast("string").alias(f"__{i}") for i, c in enumerate(cats)])
+    for i, c in enumerate(cats):
+        labels = weights.where((F.col("feature") == c) & F.col("label").isNotNull()).select(
+            F.col("label").alias(f"__{i}"), F.col("weight").alias(f"__w{i}"))
+        rows = rows.join(F.broadcast(labels), f"__{i}", "left")
+    total = F.col("__total")
+    for i in range(len(cats)):
+        total = total + F.coalesce(F.col(f"__w{i}"), F.lit(0.0))
+    sums = rows.select(id_col, total.alias("total")).groupBy(id_col).agg(F.sum("total").alias("total"))
     intercept = terms.where("feature IS NULL").agg(F.first("weight")).first()[0]
     return sums.select(id_col, (F.col("total") + F.lit(intercept)).alias("prediction"))
 
@@ -310,24 +342,26 @@ def fit_single_feature(train: DataFrame, feature: str = "distance") -> DataFrame
 def elastic_net_violation(model: PipelineModel, train: DataFrame) -> float:
     """How far the fitted coefficients are from the elastic net's optimality
     conditions on the rows they were fitted on, relative to the L1 penalty: 0
-    is optimal. The gradient comes from one distributed Summarizer pass over
-    the residuals' positive and negative parts; only vectors as long as the
-    coefficients reach the driver."""
+    is optimal. ``train`` has the features or, as ``fitted_fare_model`` gives
+    it, the assembled vectors. The gradient comes from one distributed
+    Summarizer pass over the residuals' positive and negative parts; only
+    vectors as long as the coefficients reach the driver."""
     import numpy as np
     from pyspark.ml.stat import Summarizer
 
     lr = model.stages[-1]
     r = F.col(LABEL) - F.col("prediction")
-    scored = model.transform(train).select(
+    stages = model.stages[-2:] if "features_raw" in train.columns else model.stages
+    scored = PipelineModel(stages=stages).transform(train).select(
         "features", LABEL, F.greatest(r, F.lit(0.0)).alias("up"), F.greatest(-r, F.lit(0.0)).alias("down"))
     s = scored.agg(
         F.count(F.lit(1)).alias("n"), F.stddev_pop(LABEL).alias("sy"),
         F.sum("up").alias("su"), F.sum("down").alias("sd"),
-        Summarizer.mean(F.col("features")).alias("mean"), Summarizer.std(F.col("features")).alias("std"),
+        Summarizer.metrics("mean", "std").summary(F.col("features")).alias("moments"),
         Summarizer.mean(F.col("features"), F.col("up")).alias("up"),
         Summarizer.mean(F.col("features"), F.col("down")).alias("down")).first()
-    mean, up, down = (s[c].toArray() for c in ("mean", "up", "down"))
-    sx = s["std"].toArray() * np.sqrt((s["n"] - 1) / s["n"])
+    mean, up, down = (v.toArray() for v in (s["moments"]["mean"], s["up"], s["down"]))
+    sx = s["moments"]["std"].toArray() * np.sqrt((s["n"] - 1) / s["n"])
     keep = sx > 0
     # In the space the solver works in: features and label standardised.
     grad = ((up * s["su"] - down * s["sd"] - mean * (s["su"] - s["sd"]))[keep] / (s["n"] * sx[keep] * s["sy"]))
